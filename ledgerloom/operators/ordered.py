@@ -20,8 +20,13 @@ from ledgerloom.sources.store import Store
 SLICE, POS = "_slice", "_pos"
 _SLICE_BITS = 33  # monotonically_increasing_id keeps the partition above its lower 33 bits
 
-_BEFORE = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-_ALL = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+def _before():
+    """The slices before this one. Only ever used over frames of one row per slice."""
+    return Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _all():
+    return Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def lay_out(df: DataFrame, order: Sequence[Column], store: Store, name: str) -> DataFrame:
@@ -41,8 +46,8 @@ def row_numbers(laid: DataFrame, number: str, total: str) -> DataFrame:
     edges = laid.groupBy(SLICE).agg(F.count("*").alias("_n"))
     edges = edges.select(
         SLICE,
-        F.coalesce(F.sum("_n").over(_BEFORE), F.lit(0)).alias("_before"),
-        F.sum("_n").over(_ALL).alias(total),
+        F.coalesce(F.sum("_n").over(_before()), F.lit(0)).alias("_before"),
+        F.sum("_n").over(_all()).alias(total),
     )
     return laid.join(F.broadcast(edges), SLICE).withColumn(number, F.col("_before") + F.col(POS)).drop("_before")
 
@@ -62,8 +67,8 @@ def running_sum(laid: DataFrame, amount: str, running: str, total: str) -> DataF
     edges = laid.groupBy(SLICE).agg(F.sum(amount).alias("_s"))
     edges = edges.select(
         SLICE,
-        F.coalesce(F.sum("_s").over(_BEFORE), F.lit(0)).alias("_before"),
-        F.sum("_s").over(_ALL).alias(total),
+        F.coalesce(F.sum("_s").over(_before()), F.lit(0)).alias("_before"),
+        F.sum("_s").over(_all()).alias(total),
     )
     within = Window.partitionBy(SLICE).orderBy(POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
@@ -123,7 +128,7 @@ def last_known(laid: DataFrame, group: str, value: str, known: str) -> DataFrame
     row = F.struct(F.col(group).alias("g"), F.col(value).alias("v"))
     newest = F.max_by(row, F.when(F.col(value).isNotNull(), F.col(POS)))
     edges = laid.groupBy(SLICE).agg(newest.alias("_newest"))
-    edges = edges.select(SLICE, F.last("_newest", ignorenulls=True).over(_BEFORE).alias("_edge"))
+    edges = edges.select(SLICE, F.last("_newest", ignorenulls=True).over(_before()).alias("_edge"))
     within = Window.partitionBy(SLICE, group).orderBy(POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = F.when(F.col("_edge.g") == F.col(group), F.col("_edge.v"))
     return (

@@ -28,26 +28,27 @@ class ColumnCheck:
     detail: Column
 
 
-_COUNT = F.col("_failures").cast("string")
+def _count(what: str) -> Column:
+    return F.concat(F.col("_failures").cast("string"), F.lit(f" {what}"))
 
 
 def not_null(*columns: str) -> ColumnCheck:
     nulls = sum((F.count_if(F.col(c).isNull()) for c in columns[1:]), F.count_if(F.col(columns[0]).isNull()))
-    detail = F.when(F.col("_failures") == 0, "no nulls").otherwise(F.concat(_COUNT, F.lit(" nulls")))
+    detail = F.when(F.col("_failures") == 0, "no nulls").otherwise(_count("nulls"))
     return ColumnCheck(f"not_null({', '.join(columns)})", nulls, detail)
 
 
 def accepted_values(column: str, allowed: Sequence[str]) -> ColumnCheck:
     """NULL passes."""
     bad = F.count_if(~F.col(column).isin(*allowed))
-    detail = F.when(F.col("_failures") == 0, "all valid").otherwise(F.concat(_COUNT, F.lit(" unexpected")))
+    detail = F.when(F.col("_failures") == 0, "all valid").otherwise(_count("unexpected"))
     return ColumnCheck(f"accepted_values({column})", bad, detail)
 
 
 def positive(column: str) -> ColumnCheck:
     """NULL passes."""
     return ColumnCheck(
-        f"positive({column})", F.count_if(F.col(column) <= 0), F.concat(_COUNT, F.lit(" non-positive values"))
+        f"positive({column})", F.count_if(F.col(column) <= 0), _count("non-positive values")
     )
 
 
@@ -58,19 +59,19 @@ def accepted_range(column: str, low=None, high=None) -> ColumnCheck:
         outside = outside | (F.col(column) < F.lit(low))
     if high is not None:
         outside = outside | (F.col(column) > F.lit(high))
-    return ColumnCheck(f"accepted_range({column})", F.count_if(outside), F.concat(_COUNT, F.lit(" out of range")))
+    return ColumnCheck(f"accepted_range({column})", F.count_if(outside), _count("out of range"))
 
 
 def expression_is_true(expression: str) -> ColumnCheck:
     """NULL passes."""
     return ColumnCheck(
-        f"expression_is_true({expression})", F.count_if(~F.expr(expression)), F.concat(_COUNT, F.lit(" false"))
+        f"expression_is_true({expression})", F.count_if(~F.expr(expression)), _count("false")
     )
 
 
 def min_rows(n: int) -> ColumnCheck:
     short = F.greatest(F.lit(n) - F.count("*"), F.lit(0))
-    return ColumnCheck(f"min_rows({n})", short, F.concat(_COUNT, F.lit(" rows short")))
+    return ColumnCheck(f"min_rows({n})", short, _count("rows short"))
 
 
 def _results(counted: DataFrame, table: str, checks: Sequence[tuple[str, str, Column]], scope, scopes) -> DataFrame:
@@ -116,7 +117,7 @@ def check_unique(
     groups = df.groupBy(*scope, *columns).agg(F.count("*").alias("_n"))
     counted = groups.groupBy(*scope).agg(F.sum(F.col("_n") - 1).alias("_c0"))
     rows = _results(counted, table, [(f"unique({', '.join(columns)})", "_c0", F.lit(0).cast("bigint"))], scope, scopes)
-    return _finish(rows, F.concat(_COUNT, F.lit(" duplicate keys")), scope)
+    return _finish(rows, _count("duplicate keys"), scope)
 
 
 def check_relationship(
@@ -138,7 +139,7 @@ def check_relationship(
     counted = orphans.groupBy(*scope).agg(F.sum("_n").alias("_c0"))
     name = f"relationship({column} -> {parent_column})"
     rows = _results(counted, table, [(name, "_c0", F.lit(0).cast("bigint"))], scope, scopes)
-    return _finish(rows, F.concat(_COUNT, F.lit(" orphan rows")), scope)
+    return _finish(rows, _count("orphan rows"), scope)
 
 
 def union(parts: Sequence[DataFrame]) -> DataFrame:
