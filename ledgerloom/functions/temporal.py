@@ -28,17 +28,12 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def parse_utc(text: Column) -> Column:
-    """Timestamp text to zone-free UTC. A trailing offset is applied, none means UTC already."""
-    offset = r"([+-])(\d{2}):?(\d{2})$"
-    sign = F.when(F.regexp_extract(text, offset, 1) == "-", -1).otherwise(1)
-    hours = F.regexp_extract(text, offset, 2).try_cast("int") * sign
-    minutes = F.regexp_extract(text, offset, 3).try_cast("int") * sign
-    local = F.regexp_replace(text, offset, "").try_cast(NTZ)
-    return (
-        F.when(text.endswith("Z"), F.regexp_replace(text, "Z$", "").try_cast(NTZ))
-        .when(text.rlike(r":\d{2}(\.\d+)?" + offset), local - F.make_dt_interval(hours=hours, mins=minutes))
-        .otherwise(text.try_cast(NTZ))
-    )
+    """Timestamp text to zone-free UTC. ``Z`` or a trailing offset is applied, none means UTC already."""
+    zoned = text.rlike(r":\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})$")
+    # counted from the epoch, because casting an instant to a zone-free time would use the session zone
+    micros = F.unix_micros(text.try_cast("timestamp"))
+    utc = F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast(NTZ))
+    return F.when(zoned, utc).otherwise(text.try_cast(NTZ))
 
 
 def days_before(ts: Column, days: int) -> Column:

@@ -12,9 +12,19 @@ NA_TOKENS = (
 )
 
 
+# Every Unicode white-space character, U+00A0 included.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text: Column) -> Column:
-    """Trim every kind of Unicode white space; blank becomes NULL."""
-    return F.nullif(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""), F.lit(""))
+    """Trim every kind of Unicode white space; blank becomes NULL.
+
+    ``btrim`` looks only at the ends of the text; a regular expression would scan all of it.
+    """
+    return F.nullif(F.btrim(text, F.lit(WHITE_SPACE)), F.lit(""))
 
 
 def title_case(text: Column) -> Column:

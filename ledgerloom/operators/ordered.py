@@ -11,6 +11,7 @@ slice and is broadcast. A hot value simply spans several slices.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,15 +42,15 @@ def lay_out(df: DataFrame, order: Sequence[Column], store: Store, name: str) ->
     ).drop("_id")
 
 
-def row_numbers(laid: DataFrame, number: str, total: str) -> DataFrame:
+def place(laid: DataFrame, number: str, total: str) -> DataFrame:
     """Global row number, and the row count of the table."""
     edges = laid.groupBy(SLICE).agg(F.count("*").alias("_n"))
     edges = edges.select(
         SLICE,
-        F.coalesce(F.sum("_n").over(_before()), F.lit(0)).alias("_before"),
+        F.coalesce(F.sum("_n").over(_before()), F.lit(0)).alias("_n_before"),
         F.sum("_n").over(_all()).alias(total),
     )
-    return laid.join(F.broadcast(edges), SLICE).withColumn(number, F.col("_before") + F.col(POS)).drop("_before")
+    return laid.join(F.broadcast(edges), SLICE).withColumn(number, F.col("_n_before") + F.col(POS)).drop("_n_before")
 
 
 def ntile(number: Column, total: Column, buckets: int) -> Column:
@@ -62,49 +63,98 @@ def ntile(number: Column, total: Column, buckets: int) -> Column:
     return F.when(number <= cut, in_larger).otherwise(in_rest).cast("int")
 
 
-def running_sum(laid: DataFrame, amount: str, running: str, total: str) -> DataFrame:
-    """Running sum in the global order, and the sum of the table."""
-    edges = laid.groupBy(SLICE).agg(F.sum(amount).alias("_s"))
-    edges = edges.select(
-        SLICE,
-        F.coalesce(F.sum("_s").over(_before()), F.lit(0)).alias("_before"),
-        F.sum("_s").over(_all()).alias(total),
-    )
-    within = Window.partitionBy(SLICE).orderBy(POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        laid.join(F.broadcast(edges), SLICE)
-        .withColumn(running, F.col("_before") + F.sum(amount).over(within))
-        .drop("_before")
-    )
+@dataclass(frozen=True)
+class Positions:
+    """Names of the columns ``positions`` adds."""
+
+    number: str = "_n"  # row number
+    total: str = "_total"  # rows
+    first: str = "_first"  # row numbers of the first and the last row of equal value
+    last: str = "_last"
+    running: str = "_running"  # running sum of the value
+    whole: str = "_whole"  # sum of the value
+    rank: str = "_rank"  # rank of the value within the group
 
 
-def peers(numbered: DataFrame, columns: Sequence[str], number: str, first: str, last: str) -> DataFrame:
-    """Global row numbers of the first and the last row equal in ``columns``.
+def positions(laid: DataFrame, value: str, group: str, names: Positions = Positions()) -> DataFrame:
+    """Every position of a row in a layout that descends by the non-null ``value``.
 
-    ``columns`` are the leading, non-null columns of the order and ``number`` is the global row
-    number. Equal rows inside one slice need only a window there. Those that reach over an edge are
-    at most one value per slice; their span is counted separately and broadcast.
+    ``group`` has few distinct values. All the frames that are broadcast hold at most one row per
+    slice and group: counts and sums of the slices, and the values that reach over an edge, of which
+    a slice has at most two. They are all taken from the layout itself.
     """
-    value = F.struct(*columns)
-    edges = numbered.groupBy(SLICE).agg(F.min_by(value, POS).alias("_lo"), F.max_by(value, POS).alias("_hi"))
+    edges = laid.groupBy(SLICE).agg(
+        F.count("*").alias("_rows"),
+        F.sum(value).alias("_sum"),
+        F.min_by(value, POS).alias("_lo"),
+        F.max_by(value, POS).alias("_hi"),
+    )
+    before = edges.select(
+        SLICE,
+        "_rows",
+        F.coalesce(F.sum("_rows").over(_before()), F.lit(0)).alias("_rows_before"),
+        F.coalesce(F.sum("_sum").over(_before()), F.lit(0)).alias("_sum_before"),
+        F.sum("_rows").over(_all()).alias(names.total),
+        F.sum("_sum").over(_all()).alias(names.whole),
+    )
+    earlier = Window.partitionBy(group).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = (
+        laid.groupBy(SLICE, group)
+        .agg(F.count("*").alias("_rows"))
+        .select(SLICE, group, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_ahead"))
+    )
+
+    # values that reach over an edge, counted per slice and group
     spanning = (
-        edges.select(F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_value"))
-        .groupBy("_value")
+        edges.select(F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias(value))
+        .groupBy(value)
         .count()
         .filter("count > 1")
-        .select("_value.*")
+        .select(value)
+    )
+    spread = (
+        laid.join(F.broadcast(spanning), value, "left_semi").groupBy(value, SLICE, group).agg(F.count("*").alias("_k"))
     )
+    # such a value ends its first slice, so its first row follows all others there
     span = (
-        numbered.join(F.broadcast(spanning), list(columns), "left_semi")
-        .groupBy(*columns)
-        .agg(F.min(number).alias("_span_first"), F.max(number).alias("_span_last"))
+        spread.groupBy(value, SLICE)
+        .agg(F.sum("_k").alias("_k"))
+        .groupBy(value)
+        .agg(F.min(SLICE).alias(SLICE), F.min_by("_k", SLICE).alias("_k"), F.sum("_k").alias("_all"))
+        .join(F.broadcast(before), SLICE)
+        .select(
+            value,
+            (F.col("_rows_before") + F.col("_rows") - F.col("_k") + 1).alias("_span_first"),
+            F.col("_all").alias("_span_rows"),
+        )
     )
-    equal = Window.partitionBy(SLICE, *columns)
+    # rows of earlier slices with the same value are equals, not ahead
+    earlier_equal = Window.partitionBy(group, value).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    tied = spread.select(SLICE, group, value, F.sum("_k").over(earlier_equal).alias("_tied"))
+
+    in_slice = Window.partitionBy(SLICE)
+    running = F.sum(value).over(in_slice.orderBy(POS).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    by_value = in_slice.orderBy(F.col(value).desc())
+    equal_or_ahead = by_value.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    in_group = Window.partitionBy(SLICE, group).orderBy(F.col(value).desc())
     return (
-        numbered.join(F.broadcast(span), list(columns), "left")
-        .withColumn(first, F.coalesce("_span_first", F.min(number).over(equal)))
-        .withColumn(last, F.coalesce("_span_last", F.max(number).over(equal)))
-        .drop("_span_first", "_span_last")
+        laid.join(F.broadcast(before.drop("_rows")), SLICE)
+        .join(F.broadcast(ahead), [SLICE, group])
+        .join(F.broadcast(tied), [SLICE, group, value], "left")
+        .join(F.broadcast(span), value, "left")
+        .withColumn(names.number, F.col("_rows_before") + F.col(POS))
+        # the first window fixes the partitioning by slice that the others share
+        .withColumn(names.running, F.col("_sum_before") + running)
+        .withColumn(names.first, F.coalesce("_span_first", F.col("_rows_before") + F.rank().over(by_value)))
+        .withColumn(
+            names.last,
+            F.coalesce(
+                F.col("_span_first") + F.col("_span_rows") - 1,
+                F.col("_rows_before") + F.count("*").over(equal_or_ahead),
+            ),
+        )
+        .withColumn(names.rank, F.col("_ahead") + F.rank().over(in_group) - F.coalesce("_tied", F.lit(0)))
+        .drop("_rows_before", "_sum_before", "_ahead", "_tied", "_span_first", "_span_rows")
     )
 
 

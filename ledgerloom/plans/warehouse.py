@@ -279,13 +279,17 @@ class Warehouse:
         return marts.monthly_revenue(self.fct_orders, self.dim_customer, self.dim_date)
 
     @table
-    def customer_ltv(self):
+    def placed_customers(self):
         base = marts.customer_base(self.fct_orders, self.dim_customer, self.params)
-        return marts.customer_ltv(base, self.store)
+        return marts.placed_customers(base, self.store)
+
+    @view
+    def customer_ltv(self):
+        return marts.customer_ltv(self.placed_customers)
 
     @table
     def rfm_segments(self):
-        return marts.rfm_segments(self.customer_ltv, self.store)
+        return marts.rfm_segments(self.placed_customers, self.store)
 
     @table
     def cohort_retention(self):

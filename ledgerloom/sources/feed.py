@@ -243,9 +243,20 @@ def source_paths(sf_dir: str) -> list[str]:
     return [f"{sf_dir}/{source}.parquet" for source, _ in SOURCES.values()]
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Deal out a table that is read in fewer pieces than there are cores.
+
+    Otherwise a few cores would do all of its cleaning. A large table is read in many pieces and is
+    left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
-        name: shape(spark.read.parquet(f"{sf_dir}/{source}.parquet")) for name, (source, shape) in SOURCES.items()
+        name: shape(_spread(spark.read.parquet(f"{sf_dir}/{source}.parquet")))
+        for name, (source, shape) in SOURCES.items()
     }
 
 

@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 # The column names of the five extracts.
 EXTRACT_COLUMNS = {
@@ -27,6 +37,8 @@ def text_schema(table: str) -> StructType:
     return StructType([StructField(c, StringType()) for c in EXTRACT_COLUMNS[table]])
 
 
+LOADED_AT = StructField("_loaded_at", TimestampNTZType())
+
 RUNS = StructType(
     [
         StructField("run_id", StringType()),
@@ -52,3 +64,46 @@ CHECK_RESULTS = StructType(
         StructField("detail", StringType()),
     ]
 )
+
+# Landing tables hold cleaned rows; the batch id is the partition folder.
+LANDED = {
+    "customers": StructType(
+        [StructField(c, StringType()) for c in EXTRACT_COLUMNS["customers"][:7]]
+        + [StructField("signup_date", DateType()), StructField("updated_at", TimestampNTZType()), LOADED_AT]
+    ),
+    "orders": StructType(
+        [
+            StructField("order_id", StringType()),
+            StructField("customer_id", StringType()),
+            StructField("order_ts", TimestampNTZType()),
+            StructField("currency", StringType()),
+            StructField("status", StringType()),
+            StructField("sales_channel", StringType()),
+            StructField("discount_pct", DecimalType(5, 4)),
+            StructField("ingested_at", TimestampNTZType()),
+            LOADED_AT,
+        ]
+    ),
+    "order_items": StructType(
+        [
+            StructField("order_id", StringType()),
+            StructField("line_number", IntegerType()),
+            StructField("product_id", StringType()),
+            StructField("quantity", IntegerType()),
+            StructField("unit_price", DecimalType(14, 2)),
+            LOADED_AT,
+        ]
+    ),
+    "products": StructType(
+        [
+            StructField("product_id", StringType()),
+            StructField("product_name", StringType()),
+            StructField("category", StringType()),
+            StructField("list_price_usd", DecimalType(12, 2)),
+            LOADED_AT,
+        ]
+    ),
+    "fx_rates": StructType(
+        [StructField("currency", StringType()), StructField("rate_to_usd", DecimalType(18, 6)), LOADED_AT]
+    ),
+}
