@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ NTZ = "timestamp_ntz"
 FAR_FUTURE = "9999-12-31 00:00:00"
 
 
+def moment(at: datetime | str) -> Column:
+    """A zone-free literal. ``lit`` of a datetime would pass through the session zone."""
+    return F.lit(str(at)).cast(NTZ)
+
+
 def month_start(day: Column) -> Column:
     return F.trunc(day, "MM")
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.temporal import NTZ
+from ledgerloom.functions.temporal import NTZ, moment
 from ledgerloom.operators.latest import latest_per_key
 from ledgerloom.operators.ordered import POS, SLICE, lay_out, next_in_group
 from ledgerloom.sources.store import Store
@@ -27,7 +28,7 @@ def open_versions(current: DataFrame, key: str, stamp: str) -> DataFrame:
     )
 
 
-def scd2_apply(history: DataFrame, current: DataFrame, key: str, stamp: str, as_of: Column) -> DataFrame:
+def scd2_apply(history: DataFrame, current: DataFrame, key: str, stamp: str, as_of: datetime | str) -> DataFrame:
     """Take one snapshot into the history.
 
     A newer ``stamp`` closes the open version and opens another, a key that has gone is closed at
@@ -43,7 +44,7 @@ def scd2_apply(history: DataFrame, current: DataFrame, key: str, stamp: str, as_
     is_new = F.col("was").isNull()
     is_gone = F.col("now").isNull()
     is_newer = F.coalesce(F.col(f"now.{stamp}") > F.col(f"was.{stamp}"), F.lit(False))
-    ends = F.when(is_gone, as_of.cast(NTZ)).when(is_newer, F.col(f"now.{stamp}"))
+    ends = F.when(is_gone, moment(as_of)).when(is_newer, F.col(f"now.{stamp}"))
     kept = F.when(~is_new, F.col("was").withField("valid_to", ends))
     opened = F.when(is_new | is_newer, F.col("now"))
     versions = F.filter(F.array(kept, opened), lambda v: v.isNotNull())

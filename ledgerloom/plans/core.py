@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import money
-from ledgerloom.functions.temporal import FAR_FUTURE, NTZ, calendar, month_start
+from ledgerloom.functions.temporal import FAR_FUTURE, calendar, moment, month_start
 from ledgerloom.operators.upsert import reprocess_from, upsert
 from ledgerloom.params import Params
 from ledgerloom.plans.staging import stg_order_items, stg_orders
@@ -89,7 +89,7 @@ def changed_orders(raw_orders: DataFrame, existing: DataFrame, params: Params) -
     recent is still newest among the recent ones. So only days of data are read and shuffled.
     """
     since = reprocess_from(existing, "ingested_at", params.lookback_days)
-    recent = raw_orders if since is None else raw_orders.filter(F.col("ingested_at") >= F.lit(since).cast(NTZ))
+    recent = raw_orders if since is None else raw_orders.filter(F.col("ingested_at") >= moment(since))
     return stg_orders(recent)
 
 
@@ -155,7 +155,7 @@ def dim_customer_history(history: DataFrame) -> DataFrame:
         "country",
         "acquisition_channel",
         "valid_from",
-        F.coalesce("valid_to", F.lit(FAR_FUTURE).cast(NTZ)).alias("valid_to"),
+        F.coalesce("valid_to", moment(FAR_FUTURE)).alias("valid_to"),
         F.col("valid_to").isNull().alias("is_current"),
     )
 

@@ -15,10 +15,6 @@ WARN_HOURS, ERROR_HOURS = 26, 50
 COOL_DAYS, RAW_DAYS, ARCHIVE_DAYS, DELETE_DAYS = 30, 90, 180, 2555
 
 
-def _seconds_between(earlier: Column, later: Column) -> Column:
-    return F.timestamp_diff("SECOND", earlier, later)
-
-
 def latest_run_per_stage(runs: DataFrame) -> DataFrame:
     newest = [F.col("started_at").desc_nulls_last(), F.col("run_id").desc()]
     return latest_per_key(runs, ["stage"], newest).select(
@@ -51,12 +47,16 @@ def source_freshness(raw: Mapping[str, DataFrame], now: Column) -> DataFrame:
         df.agg(F.max("_loaded_at").alias("max_loaded_at")).withColumn("table_name", F.lit(table))
         for table, df in raw.items()
     ]
-    age = _seconds_between(F.col("max_loaded_at"), now)
+    newest = F.col("max_loaded_at")
+
+    def older_than(hours: int) -> Column:
+        return newest < now - F.make_dt_interval(hours=F.lit(hours))
+
     return union(parts).select(
         "table_name",
         "max_loaded_at",
-        F.when(age.isNull() | (age > ERROR_HOURS * 3600), "error")
-        .when(age > WARN_HOURS * 3600, "warn")
+        F.when(newest.isNull() | older_than(ERROR_HOURS), "error")
+        .when(older_than(WARN_HOURS), "warn")
         .otherwise("pass")
         .alias("freshness"),
     )

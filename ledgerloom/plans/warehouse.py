@@ -231,8 +231,7 @@ class Warehouse:
             if history is None:
                 history = open_versions(current, "customer_id", "updated_at")
             else:
-                stamp = F.lit(self.loaded_at[batch])
-                history = scd2_apply(history, current, "customer_id", "updated_at", stamp)
+                history = scd2_apply(history, current, "customer_id", "updated_at", self.loaded_at[batch])
         return history
 
     @view
@@ -244,8 +243,7 @@ class Warehouse:
             if history is None:
                 history = open_versions(current, "customer_id", "updated_at")
             else:
-                stamp = F.lit(self.loaded_at[batch])
-                history = scd2_apply(history, current, "customer_id", "updated_at", stamp)
+                history = scd2_apply(history, current, "customer_id", "updated_at", self.loaded_at[batch])
         return history
 
     @table

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType
 
-from ledgerloom.functions.temporal import NTZ
+from ledgerloom.functions.temporal import moment
 from ledgerloom.operators.security import masked
 from ledgerloom.plans import checks, marts, monitoring
 from ledgerloom.plans.cleaning import Cleaned
@@ -68,10 +68,6 @@ def _accounts(w: Warehouse) -> DataFrame:
     return checks.accounted(w.extracts, _cleaned(w), SCOPE)
 
 
-def _at(moment: str):
-    return F.lit(moment).cast(NTZ)
-
-
 def _raw_batch_replace(w: Warehouse) -> DataFrame:
     """Land both batches, the first one twice, and count what is there."""
     orders = w.clean("orders")
@@ -194,15 +190,15 @@ QUERIES: dict[str, Query] = {
     "mask_email": _on_warehouse(_dim_customer_masked),
     # monitoring
     "ops_latest_run_per_stage": _on_events(lambda e: monitoring.latest_run_per_stage(feed.run_log(e))),
-    "ops_failed_checks_7d": _on_events(lambda e: monitoring.failed_checks(feed.check_log(e), _at(LOG_AS_OF))),
+    "ops_failed_checks_7d": _on_events(lambda e: monitoring.failed_checks(feed.check_log(e), moment(LOG_AS_OF))),
     "ops_rows_per_batch": _on_warehouse(
         lambda w: monitoring.rows_per_batch(feed.daily_landing(w.clean("orders")))
     ),
     "source_freshness": _on_warehouse(
-        lambda w: monitoring.source_freshness({t: w.raw(t) for t in TABLES}, _at(AS_OF))
+        lambda w: monitoring.source_freshness({t: w.raw(t) for t in TABLES}, moment(AS_OF))
     ),
     "batch_retention_tier": _on_warehouse(
-        lambda w: monitoring.classify_batches(feed.daily_landing(w.clean("orders")), _at(AS_OF))
+        lambda w: monitoring.classify_batches(feed.daily_landing(w.clean("orders")), moment(AS_OF))
     ),
     # streaming
     "stream_orders_latest": _on_warehouse(latest_from_stream),

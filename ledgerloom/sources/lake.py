@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 _SAFE = re.compile(r"[A-Za-z0-9_.-]+")
 
@@ -35,7 +35,7 @@ def replace_batch(df: DataFrame, path: str, batch_id: str, column: str = "_batch
 
 def read_batches(spark: SparkSession, path: str, schema: StructType, column: str = "_batch_id") -> DataFrame:
     """All batches of a table. The schema is given, so a batch id of digits stays text."""
-    full = schema if column in schema.names else schema.add(column, "string")
+    full = schema if column in schema.names else StructType([*schema.fields, StructField(column, StringType())])
     if not exists(spark, path):
         return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(path)
