@@ -20,7 +20,9 @@ def order_items_converted(
     """Order lines with their order, in USD, net of the order's discount.
 
     No side carries a broadcast hint: Spark broadcasts rates and products while they are below its
-    size limit and shuffles them beyond it. The operand types keep the product at decimal(38,12), so
+    size limit and shuffles them beyond it. Orders, rates and products are written tables, so both
+    sides of each join come straight out of a shuffle and Spark can split an order or a product that
+    holds a large share of the lines. The operand types keep the product at decimal(38,12), so
     the only rounding is the one to cents.
     """
     local = F.col("quantity").cast("decimal(7,0)") * F.col("unit_price_local").cast("decimal(12,2)")
@@ -94,14 +96,9 @@ def changed_orders(raw_orders: DataFrame, existing: DataFrame, params: Params) -
 
 
 def changed_lines(
-    raw_orders: DataFrame,
-    raw_items: DataFrame,
-    fx_rates: DataFrame,
-    products: DataFrame,
-    existing: DataFrame,
-    params: Params,
+    orders: DataFrame, raw_items: DataFrame, fx_rates: DataFrame, products: DataFrame
 ) -> DataFrame:
-    orders = changed_orders(raw_orders, existing, params)
+    """The lines of the changed orders."""
     items = stg_order_items(raw_items.join(orders.select("order_id"), "order_id", "left_semi"))
     return order_items_converted(items, orders, fx_rates, products)
 

@@ -1,7 +1,7 @@
 """The layered tables over a set of extracts, each built when first asked for.
 
-Staging stays a plan. What several jobs read (cleaned and landed tables, facts, dimensions, marts)
-is written once to the shared folder, so no mart recomputes the facts below it.
+What several jobs read (cleaned and landed tables, staged orders, facts, dimensions, marts) is written
+once to the shared folder, so no mart recomputes the facts below it. The rest stays a plan.
 """
 
 from __future__ import annotations
@@ -152,7 +152,7 @@ class Warehouse:
     def stg_customers(self):
         return staging.stg_customers(self.raw("customers"))
 
-    @view
+    @table
     def stg_orders(self):
         return staging.stg_orders(self.raw("orders"))
 
@@ -160,11 +160,11 @@ class Warehouse:
     def stg_order_items(self):
         return staging.stg_order_items(self.raw("order_items"))
 
-    @view
+    @table
     def stg_products(self):
         return staging.stg_products(self.raw("products"))
 
-    @view
+    @table
     def stg_fx_rates(self):
         return staging.stg_fx_rates(self.raw("fx_rates"))
 
@@ -184,39 +184,40 @@ class Warehouse:
     def fct_orders(self):
         return core.fct_orders(self.stg_orders, self.fct_order_items)
 
+    @table
+    def first_load_stg_orders(self):
+        return staging.stg_orders(self.raw("orders", self.first_batch))
+
     @table
     def first_load_order_items(self):
         """The line fact as the first batch alone builds it."""
         first = self.first_batch
         return core.order_items_converted(
             staging.stg_order_items(self.raw("order_items", first)),
-            staging.stg_orders(self.raw("orders", first)),
+            self.first_load_stg_orders,
             staging.stg_fx_rates(self.raw("fx_rates", first)),
             staging.stg_products(self.raw("products", first)),
         )
 
     @table
     def first_load_orders(self):
-        return core.fct_orders(
-            staging.stg_orders(self.raw("orders", self.first_batch)), self.first_load_order_items
-        )
+        return core.fct_orders(self.first_load_stg_orders, self.first_load_order_items)
 
-    def _changed_lines(self, existing: DataFrame) -> DataFrame:
-        return core.changed_lines(
-            self.raw("orders"), self.raw("order_items"), self.stg_fx_rates, self.stg_products, existing, self.params
-        )
+    def _changed(self, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Orders to reprocess, and their lines."""
+        orders = self.store.scratch(core.changed_orders(self.raw("orders"), existing, self.params), "changed")
+        return orders, core.changed_lines(orders, self.raw("order_items"), self.stg_fx_rates, self.stg_products)
 
     @view
     def fct_order_items_incremental(self):
         """The line fact after the following batches were taken in by the lookback upsert."""
         existing = self.first_load_order_items
-        return core.fct_order_items_incremental(existing, self._changed_lines(existing))
+        return core.fct_order_items_incremental(existing, self._changed(existing)[1])
 
     @view
     def fct_orders_incremental(self):
         existing = self.first_load_orders
-        orders = core.changed_orders(self.raw("orders"), existing, self.params)
-        return core.fct_orders_incremental(existing, core.fct_orders(orders, self._changed_lines(existing)))
+        return core.fct_orders_incremental(existing, core.fct_orders(*self._changed(existing)))
 
     @table
     def dim_customer(self):
