@@ -7,7 +7,8 @@ once to the shared folder, so no mart recomputes the facts below it. The rest st
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,10 @@ def _node(written: bool) -> Callable:
 
         @wraps(build)
         def get(self: Warehouse) -> DataFrame:
-            with self._lock:
+            # a lock per node: jobs that do not depend on each other run side by side
+            with self._locks_guard:
+                lock = self._locks.setdefault(name, threading.RLock())
+            with lock:
                 if name not in self._built:
                     df = build(self)
                     self._built[name] = self.store.write(name, df) if written else df
@@ -63,7 +67,8 @@ class Warehouse:
         self.store = store
         self.params = params
         self._built: dict[str, DataFrame] = {}
-        self._lock = threading.RLock()
+        self._locks: dict[str, threading.RLock] = {}
+        self._locks_guard = threading.Lock()
 
     @property
     def first_batch(self) -> str:
@@ -75,15 +80,15 @@ class Warehouse:
 
     # ---- cleaning: one job for all batches -------------------------------------------------
 
-    @view
+    @table
     def judged_fx_rates(self):
         return cleaning.judge_fx_rates(self.extracts["fx_rates"])
 
-    @view
+    @table
     def judged_products(self):
         return cleaning.judge_products(self.extracts["products"])
 
-    @view
+    @table
     def judged_customers(self):
         return cleaning.judge_customers(self.extracts["customers"])
 
@@ -338,12 +343,12 @@ class Warehouse:
         "rfm_segments",
     )
 
-    def build(self) -> Warehouse:
-        """Build everything, landing tables first."""
-        for name in TABLES:
-            self.clean(name)
-        for name in (*self.CORE, *self.ANALYTICS):
-            getattr(self, name)
+    LANDED = tuple("clean_orders" if t == "orders" else f"settled_{t}" for t in TABLES)
+
+    def build(self, names: Sequence[str] = (*LANDED, *CORE, *ANALYTICS), threads: int = 4) -> Warehouse:
+        """Build tables, several at a time; one that another needs is built once and waited for."""
+        with ThreadPoolExecutor(threads) as pool:
+            list(pool.map(lambda name: getattr(self, name), names))
         return self
 
 

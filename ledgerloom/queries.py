@@ -71,7 +71,7 @@ def _accounts(w: Warehouse) -> DataFrame:
 def _raw_batch_replace(w: Warehouse) -> DataFrame:
     """Land both batches, the first one twice, and count what is there."""
     orders = w.clean("orders")
-    path = w.store.path("landing/orders")
+    path = w.store.path(w.store.unique("landing"))
     for batch in (w.first_batch, *sorted(w.loaded_at)):
         lake.replace_batch(orders.filter(F.col("_batch_id") == batch), path, batch)
     landed = lake.read_batches(w.store.spark, path, orders.schema)

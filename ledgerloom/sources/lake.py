@@ -33,6 +33,11 @@ def replace_batch(df: DataFrame, path: str, batch_id: str, column: str = "_batch
     df.drop(column).write.mode("overwrite").parquet(f"{path}/{column}={batch_id}")
 
 
+def drop_batch(spark: SparkSession, path: str, batch_id: str, column: str = "_batch_id") -> None:
+    p, fs = _fs(spark, f"{path}/{column}={batch_id}")
+    fs.delete(p, True)
+
+
 def read_batches(spark: SparkSession, path: str, schema: StructType, column: str = "_batch_id") -> DataFrame:
     """All batches of a table. The schema is given, so a batch id of digits stays text."""
     full = schema if column in schema.names else StructType([*schema.fields, StructField(column, StringType())])

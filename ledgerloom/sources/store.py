@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,17 @@ class Store:
         folder = f"{shared_root(spark)}/ledgerloom/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
         return cls(spark, folder)
 
+    @classmethod
+    @contextmanager
+    def temporary(cls, spark: SparkSession) -> Iterator[Store]:
+        """A store whose folder goes when the job is done."""
+        store = cls.for_session(spark)
+        try:
+            yield store
+        finally:
+            path = spark._jvm.org.apache.hadoop.fs.Path(store.root)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -55,9 +67,12 @@ class Store:
         # the given schema saves the footer-reading job that inference would start
         return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
 
+    def unique(self, name: str) -> str:
+        """A name nobody else uses."""
+        return f"scratch/{name}-{uuid.uuid4().hex[:12]}"
+
     def scratch(self, df: DataFrame, name: str) -> DataFrame:
-        """Write under a name nobody else uses."""
-        return self.write(f"scratch/{name}-{uuid.uuid4().hex[:12]}", df)
+        return self.write(self.unique(name), df)
 
 
 def file_stamp(spark: SparkSession, paths: Sequence[str]) -> tuple:

@@ -69,16 +69,17 @@ def landed_orders(spark: SparkSession, landing: str, schema: StructType) -> Data
 def latest_from_stream(warehouse) -> DataFrame:
     """Write the order feed as files, stream them in, and take the newest delivery of each order."""
     spark, store = warehouse.store.spark, warehouse.store
-    feed_path = store.path("stream/feed")
+    base = store.path(store.unique("stream"))
+    feed_path = f"{base}/feed"
     warehouse.extracts["orders"].drop("_src_pos").write.mode("overwrite").option("ignoreNullFields", False).json(feed_path)
-    landing = store.path("stream/landing")
+    landing = f"{base}/landing"
     land_orders(
         order_feed(spark, feed_path, ["_batch_id"]),
         warehouse.settled_customers,
         warehouse.settled_fx_rates,
         landing,
-        store.path("stream/quarantine"),
-        store.path("stream/progress"),
+        f"{base}/quarantine",
+        f"{base}/progress",
         ["_batch_id"],
     )
     schema = warehouse.judged_orders.drop("_src_pos", REASON).schema

@@ -1,7 +1,7 @@
 """End to end over files: two batches, idempotent reloads, history, audit, export."""
 
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 from pathlib import Path
 
@@ -142,6 +142,15 @@ def test_a_failed_gate_lands_nothing_but_leaves_evidence(spark, env, tmp_path):
     assert Path(root, "rejects/orders/batch_id=bad").exists()
 
 
+def test_old_batches_leave_the_landing_tables_only(spark, env):
+    assert pipeline.expire(spark, env["lake"], pipeline.utc_now()) == []
+    later = pipeline.utc_now() + timedelta(days=91)
+    dropped = pipeline.expire(spark, env["lake"], later)
+    assert "orders/20010101" in dropped and "fx_rates/20010102" in dropped
+    assert read_batches(spark, f"{env['lake']}/raw/orders", LANDED["orders"]).isEmpty()
+    assert not spark.read.parquet(f"{env['lake']}/clean/orders").isEmpty()
+
+
 def test_missing_extract_is_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="customers.csv"):
         read_extract(spark, str(tmp_path), "customers")
