@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -53,7 +54,7 @@ def calendar(bounds: DataFrame) -> DataFrame:
     return bounds.select(F.explode(days).alias("date_day"))
 
 
-def month_spine(bounds: DataFrame) -> DataFrame:
-    """One row per month start for a one-row frame ``(first_day, last_day)``, both ends included."""
+def month_spine(bounds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per month start from ``first_day`` to ``last_day`` for each row of ``bounds``, ends included."""
     months = F.sequence(month_start(F.col("first_day")), month_start(F.col("last_day")), F.expr("interval 1 month"))
-    return bounds.select(F.explode(months).alias("order_month"))
+    return bounds.select(F.explode(months).alias("order_month"), *by)

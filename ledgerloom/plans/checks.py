@@ -87,7 +87,8 @@ def accounted(raw: Mapping[str, DataFrame], cleaned: Mapping[str, Cleaned], scop
         ]
         joined = counts[0]
         for other in counts[1:]:
-            joined = joined.join(other, list(scope), "left") if scope else joined.crossJoin(other)
+            name = other.columns[-1]
+            joined = joined.join(other, list(scope), "left") if scope else joined.withColumn(name, other.scalar())
         parts.append(
             joined.select(
                 *scope,
@@ -164,10 +165,10 @@ def recon_order_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def recon_monthly_revenue(monthly: DataFrame, orders: DataFrame) -> DataFrame:
-    trend = monthly.agg(F.sum("revenue_usd").alias("trend_revenue"))
-    fact = orders.filter("is_revenue_order").agg(F.sum("net_revenue_usd").alias("fact_revenue"))
+    fact = orders.filter("is_revenue_order").agg(F.sum("net_revenue_usd")).scalar()
+    both = monthly.agg(F.sum("revenue_usd").alias("trend_revenue")).withColumn("fact_revenue", fact)
     off = F.abs(F.col("trend_revenue") - F.col("fact_revenue")) > F.lit("0.01").cast("decimal(3,2)")
-    return trend.crossJoin(F.broadcast(fact)).select("trend_revenue", "fact_revenue", (~off).alias("passed"))
+    return both.withColumn("passed", ~off)
 
 
 def recon_cohort_month_zero(cohorts: DataFrame) -> DataFrame:

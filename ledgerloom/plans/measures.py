@@ -139,8 +139,10 @@ class Measures:
             part = base().groupBy(*by).agg(*[family[m]().alias(m) for m in wanted])
             if result is None:
                 result = part
+            elif by:
+                result = result.join(part, list(by), "full_outer")
             else:
-                result = result.join(part, list(by), "full_outer") if by else result.crossJoin(part)
+                result = result.withColumns({m: part.select(m).scalar() for m in wanted})
         if missing:
             raise ValueError(f"no such measure: {sorted(missing)}")
         return result.select(*by, *measures)
@@ -154,12 +156,12 @@ class Measures:
     def time_intelligence(self, by: Sequence[str] = ()) -> DataFrame:
         """Previous month and year, year to date and rolling quarter on a dense calendar."""
         orders = self._visible(self.warehouse.fct_orders)
-        span = orders.agg(F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"))
         sold = self.evaluate(["total_revenue"], ["order_month", *by])
-        frame = month_spine(span)
+        span = orders.agg(F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"))
         if by:
-            frame = frame.crossJoin(sold.select(*by).distinct())
-        dense = frame.join(sold, ["order_month", *by], "left")
+            ends = {c: span.select(c).scalar() for c in span.columns}
+            span = sold.select(*by).distinct().withColumns(ends)
+        dense = month_spine(span, by).join(sold, ["order_month", *by], "left")
 
         in_order = Window.partitionBy(*by).orderBy("order_month")
         in_year = Window.partitionBy(*by, F.year("order_month")).orderBy("order_month")
@@ -214,7 +216,7 @@ class Measures:
         aggregation per (customer, month) then replaces the intersection of two sets per month.
         """
         orders = self._visible(self.warehouse.fct_orders)
-        last = orders.agg(F.max("order_month").alias("last_month"))
+        last = orders.agg(F.max("order_month")).scalar()
         counted = F.array(
             F.struct(F.col("order_month").alias("order_month"), F.lit(True).alias("now")),
             F.struct(F.add_months("order_month", 1).alias("order_month"), F.lit(False).alias("now")),
@@ -232,8 +234,7 @@ class Measures:
             )
         )
         return (
-            buyers.crossJoin(F.broadcast(last))
-            .filter(F.col("order_month") <= F.col("last_month"))
+            buyers.filter(F.col("order_month") <= last)
             .select(
                 "order_month",
                 "active_customers",

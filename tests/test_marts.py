@@ -138,3 +138,22 @@ def test_email_is_masked_for_reporters_only(spark):
     df = spark.createDataFrame([("ada@example.com",)], "email string")
     assert masked(df, "reporter").first().email == "*****@example.com"
     assert masked(df, "transformer").first().email == "ada@example.com"
+
+
+def test_measures_of_several_tables_in_one_row(spark, warehouse):
+    row = Measures(warehouse, spark).evaluate(["total_revenue", "customers", "champions_count", "active_customers"]).first()
+    kpi = warehouse.kpi_summary.first()
+    assert (row.total_revenue, row.customers) == (kpi.total_revenue_usd, kpi.paying_customers)
+    assert row.active_customers == kpi.paying_customers and 0 < row.champions_count < row.customers
+
+
+def test_time_intelligence_per_segment_adds_up(spark, warehouse):
+    layer = Measures(warehouse, spark)
+    whole = {r.order_month: r for r in layer.time_intelligence().collect()}
+    parts = layer.time_intelligence(["segment"]).groupBy("order_month").agg(
+        F.sum("total_revenue").alias("total"), F.sum("revenue_rolling_3m").alias("rolling"), F.count("*").alias("n")
+    )
+    rows = parts.collect()
+    assert len(rows) == len(whole) and {r.n for r in rows} == {3}
+    for r in rows:
+        assert (r.total, r.rolling) == (whole[r.order_month].total_revenue, whole[r.order_month].revenue_rolling_3m)
