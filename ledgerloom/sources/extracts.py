@@ -32,7 +32,8 @@ SOURCES = {
 }
 
 
-def read_extract(spark: SparkSession, landing: str, table: str) -> DataFrame:
+def read_extract(spark: SparkSession, landing: str, table: str, multi_line: bool = False) -> DataFrame:
+    """``multi_line`` lets a quoted field hold line breaks, but such files can no longer be split."""
     spec = SOURCES[table]
     path = f"{landing}/{spec.system}/{spec.file}"
     if not exists(spark, path):
@@ -40,8 +41,8 @@ def read_extract(spark: SparkSession, landing: str, table: str) -> DataFrame:
     reader = spark.read.schema(text_schema(table))
     if spec.format == "json":
         return reader.json(path)
-    # quotes are doubled inside a quoted field and a field may span lines
-    rows = reader.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    # quotes are doubled inside a quoted field
+    rows = reader.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
     return rows.select(*[na_to_null(F.col(c)).alias(c) for c in rows.columns])
 
 

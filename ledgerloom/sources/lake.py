@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
@@ -9,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ledgerloom.operators.upsert import upsert
+from ledgerloom.sources.store import Store
+
 _SAFE = re.compile(r"[A-Za-z0-9_.-]+")
 
 
@@ -63,6 +67,69 @@ def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    p, fs = _fs(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
+@dataclass(frozen=True)
+class PartitionedTable:
+    """A table in one folder per value of a column; an update rewrites only the folders it touches."""
+
+    spark: SparkSession
+    path: str
+    column: str
+
+    def exists(self) -> bool:
+        return exists(self.spark, f"{self.path}/_schema")
+
+    def read(self) -> DataFrame:
+        # the schema is kept beside the data, so older folders show later columns as NULL
+        schema = StructType.fromJson(json.loads(_read_text(self.spark, f"{self.path}/_schema")))
+        return self.spark.read.schema(schema).parquet(self.path).select(*schema.names)
+
+    def _write(self, df: DataFrame, mode: str) -> None:
+        # rebalancing writes few files per folder and splits a folder that holds much of the table
+        writer = df.hint("rebalance", self.column).write.mode("overwrite").partitionBy(self.column)
+        writer.option("partitionOverwriteMode", mode).parquet(self.path)
+        _write_text(self.spark, f"{self.path}/_schema", df.schema.json())
+
+    def replace(self, df: DataFrame) -> DataFrame:
+        self._write(df, "static")
+        return self.read()
+
+    def upsert(self, delta: DataFrame, key: str, store: Store) -> DataFrame:
+        """Replace the delta's keys. Both the folders they were in and those they go to are rewritten."""
+        existing = self.read()
+        before = existing.join(delta.select(key), key, "left_semi").select(self.column)
+        # one value per folder
+        touched = [r[0] for r in before.union(delta.select(self.column)).distinct().collect()]
+        if not touched:
+            return existing
+        kept = existing.filter(F.col(self.column).isin(touched))
+        changed = store.scratch(upsert(kept, delta, key), "changed_folders")
+        filled = {r[0] for r in changed.select(self.column).distinct().collect()}
+        self._write(changed, "dynamic")
+        for value in set(touched) - filled:
+            drop_batch(self.spark, self.path, str(value), self.column)
+        return self.read()
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     """A table that is replaced as a whole: a new version folder, then a pointer to it.
@@ -77,14 +144,7 @@ class VersionedTable:
         return f"{self.path}/_current"
 
     def version(self) -> int:
-        p, fs = _fs(self.spark, self._pointer())
-        if not fs.exists(p):
-            return 0
-        stream = fs.open(p)
-        try:
-            return int(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return int(_read_text(self.spark, self._pointer()) or 0)
 
     def exists(self) -> bool:
         return self.version() > 0
@@ -95,12 +155,7 @@ class VersionedTable:
     def replace(self, df: DataFrame) -> DataFrame:
         following = self.version() + 1
         df.write.mode("overwrite").parquet(f"{self.path}/v{following}")
-        p, fs = _fs(self.spark, self._pointer())
-        stream = fs.create(p, True)
-        try:
-            stream.write(bytearray(str(following), "ascii"))
-        finally:
-            stream.close()
+        _write_text(self.spark, self._pointer(), str(following))
         return self.read()
 
 

@@ -1,7 +1,7 @@
 """End to end over files: two batches, idempotent reloads, history, audit, export."""
 
 import json
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 from pathlib import Path
 
@@ -12,7 +12,7 @@ from ledgerloom.operators.quality import DataQualityError
 from ledgerloom.plans import pipeline
 from ledgerloom.sources import feed, lake
 from ledgerloom.sources.extracts import SOURCES, read_extract
-from ledgerloom.sources.lake import VersionedTable, load_staged, read_batches, replace_batch
+from ledgerloom.sources.lake import PartitionedTable, VersionedTable, load_staged, read_batches, replace_batch
 from ledgerloom.sources.schemas import EXTRACT_COLUMNS, LANDED
 
 SF = "/root/testdata/sf0.001"
@@ -186,6 +186,22 @@ def test_staged_columns_match_in_any_case(spark, tmp_path):
     assert (row.currency, row.rate_to_usd, row["_batch_id"]) == ("USD", Decimal("1.5"), "x")
 
 
+def test_upsert_rewrites_only_the_touched_folders(spark, store, tmp_path):
+    schema = "id int, m date, v string"
+    t = PartitionedTable(spark, str(tmp_path / "t"), "m")
+    jan, feb, mar = (date(2024, i, 1) for i in (1, 2, 3))
+    t.replace(spark.createDataFrame([(1, jan, "a"), (2, feb, "b"), (3, mar, "c"), (4, mar, "d")], schema))
+    untouched = {p.name for p in (tmp_path / "t/m=2024-03-01").glob("*.parquet")}
+    # row 2 moves from February, which becomes empty, to January; row 5 is new; a column is added
+    delta = spark.createDataFrame([(2, jan, "B", 7), (5, jan, "e", 8)], schema + ", w int")
+    t.upsert(delta, "id", store)
+    got = sorted((r.id, r.m, r.v, r.w) for r in t.read().collect())
+    assert got == [(1, jan, "a", None), (2, jan, "B", 7), (3, mar, "c", None), (4, mar, "d", None), (5, jan, "e", 8)]
+    assert not (tmp_path / "t/m=2024-02-01").exists()
+    assert {p.name for p in (tmp_path / "t/m=2024-03-01").glob("*.parquet")} == untouched
+    assert t.upsert(delta.limit(0), "id", store).count() == 5
+
+
 def test_versions_are_switched_not_overwritten(spark, tmp_path):
     t = VersionedTable(spark, str(tmp_path / "t"))
     assert not t.exists()
