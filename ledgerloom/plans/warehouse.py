@@ -94,6 +94,7 @@ class Warehouse:
 
     @table
     def judged_orders(self):
+        self.build(("settled_customers", "settled_fx_rates", "settled_products"))
         return cleaning.judge_orders(
             self.extracts["orders"], self.settled_customers, self.settled_fx_rates, SCOPE
         )
@@ -177,6 +178,7 @@ class Warehouse:
 
     @view
     def order_items_converted(self):
+        self.build(("settled_order_items", "stg_fx_rates", "stg_products", "clean_orders"))
         return core.order_items_converted(
             self.stg_order_items, self.stg_orders, self.stg_fx_rates, self.stg_products
         )
