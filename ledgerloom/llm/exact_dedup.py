@@ -15,49 +15,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.bits import MAX_BITS, bitmaps, bits_for, with_membership
 from ledgerloom.llm.words import numbered_rows, whole, without_space
 from ledgerloom.sources.store import Store
 
-MAX_BITS = 1 << 28
-_BITS_PER_ROW = 16
-_BLOCK = 15  # a bitmap of the filter holds 2**15 bits
-
-
 def _bit(digest: Column, k: int, bits: int) -> Column:
     """The k-th bit of a hexadecimal digest."""
     return F.conv(F.substring(digest, 1 + 15 * k, 15), 16, 10).cast("long").bitwiseAND(F.lit(bits - 1))
 
 
-def _is_set(bitmap: Column, bit: Column) -> Column:
-    place = bit.bitwiseAND(F.lit((1 << _BLOCK) - 1))
-    byte = F.conv(F.hex(F.substring(bitmap, F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
-
-
-def repeated_bits(digests: DataFrame, digest: str, bits: int) -> DataFrame:
-    """Bloom filter of the bits that more than one row sets: a bitmap per block that has any."""
-    both = F.explode(F.array(*[_bit(F.col(digest), k, bits) for k in (0, 1)]))
-    twice = digests.select(both.alias("_bit")).groupBy("_bit").count().filter("count > 1")
-    return twice.groupBy(F.shiftright("_bit", _BLOCK).alias("_block")).agg(
-        F.bitmap_construct_agg(F.col("_bit").bitwiseAND(F.lit((1 << _BLOCK) - 1))).alias("_bitmap")
-    )
-
-
 def possibly_repeated(digests: DataFrame, digest: str, name: str, max_bits: int = MAX_BITS) -> DataFrame:
     """Add boolean ``name``: false only for rows whose digest no other row has."""
-    bits = 1 << _BLOCK
-    rows = digests.count()
-    while bits < min(max_bits, _BITS_PER_ROW * rows):
-        bits *= 2
-    bitmaps = repeated_bits(digests, digest, bits)
+    bits = bits_for(digests.count(), max_bits)
+    both = digests.select(F.explode(F.array(*[_bit(F.col(digest), k, bits) for k in (0, 1)])).alias("_bit"))
+    twice = bitmaps(both.groupBy("_bit").count().filter("count > 1"), "_bit")
     out = digests
     for k in (0, 1):
-        block = bitmaps.select(F.col("_block").alias(f"_block{k}"), F.col("_bitmap").alias(f"_bitmap{k}"))
-        out = out.withColumn(f"_bit{k}", _bit(F.col(digest), k, bits))
-        # at most max_bits / 2**15 bitmaps of 4 kB
-        out = out.join(F.broadcast(block), F.shiftright(f"_bit{k}", _BLOCK) == F.col(f"_block{k}"), "left")
-    set_in_both = [_is_set(F.col(f"_bitmap{k}"), F.col(f"_bit{k}")) for k in (0, 1)]
-    return out.select(*digests.columns, (set_in_both[0] & set_in_both[1]).alias(name))
+        out = with_membership(out, _bit(F.col(digest), k, bits), twice, f"_set{k}")
+    return out.withColumn(name, F.col("_set0") & F.col("_set1")).drop("_set0", "_set1")
 
 
 def exact_duplicates(

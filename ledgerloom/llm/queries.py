@@ -4,23 +4,69 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, exact_dedup, fingerprints, mixing
+from ledgerloom.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    fingerprints,
+    lm_score,
+    mixing,
+    ngram_join,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
+from ledgerloom.llm.deploy import deployed
 from ledgerloom.sources.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+CONTEXT_TOKENS = 512
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return deployed(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return toxicity.scored_documents(documents, labels, Store.for_session(spark))
+
+
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), Store.for_session(spark))
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"), Store.for_session(spark))
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        suffix_dedup.removed_bytes(F.col("spans")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.digests(bpe.encoded_documents(documents, ranks, public_tokenizers.PATTERN))
 
 
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(_table(spark, sf_dir, "conversations"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return lm_score.cross_entropy_difference(documents, labels.filter("quality = 1"), Store.for_session(spark))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -35,13 +81,25 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    out = token_counts.token_counts(documents, public_tokenizers.path("byte_bpe_50k.json"))
+    return out.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_toxicity,
+        op2_ngram_join,
+        op3_suffix_dedup,
+        op4_bpe,
         op5_chat_formatting,
+        op6_lm_score,
         op7_fingerprints,
         op8_exact_dedup,
         op9_source_mixing,
+        op10_token_counts,
     )
 }
 
