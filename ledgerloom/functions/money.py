@@ -11,7 +11,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(24,2)"
 WIDE = "decimal(28,0)"
 
 

@@ -31,17 +31,24 @@ def parse_date(text: Column) -> Column:
     return F.coalesce(*[F.try_to_date(text, fmt) for fmt in ("yyyy-MM-dd", "dd MMM yyyy", "MM/dd/yyyy")])
 
 
-def parse_timestamp(text: Column) -> Column:
-    return text.try_cast(NTZ)
+_ZONE = r"\s*([Zz]|[+-]\d{2}(?::?\d{2})?)$"
+_TIMED = r"^\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}"
 
 
 def parse_utc(text: Column) -> Column:
-    """Timestamp text to zone-free UTC. ``Z`` or a trailing offset is applied, none means UTC already."""
-    zoned = text.rlike(r":\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})$")
-    # counted from the epoch, because casting an instant to a zone-free time would use the session zone
-    micros = F.unix_micros(text.try_cast("timestamp"))
-    utc = F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast(NTZ))
-    return F.when(zoned, utc).otherwise(text.try_cast(NTZ))
+    """Timestamp text to zone-free UTC.
+
+    ``Z`` or an offset (``+02``, ``+0200``, ``+02:00``, after blanks too) is applied to a time of day; none means
+    UTC already. Any other zone is unknown, and so is the time.
+    """
+    zone = F.when(text.rlike(_TIMED), F.nullif(F.regexp_extract(text, _ZONE, 1), F.lit("")))
+    local = F.when(zone.isNotNull(), F.regexp_replace(text, _ZONE, "")).otherwise(text)
+    # a cast to a zone-free time would drop a zone without notice
+    plain = F.when(local.rlike(r"^[\d:.T -]+$"), local.try_cast(NTZ))
+    digits = F.regexp_replace(zone, "[^0-9]", "")
+    minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.coalesce(F.substring(digits, 3, 2).try_cast("int"), F.lit(0))
+    offset = F.when(F.coalesce(F.upper(zone), F.lit("Z")) == "Z", 0).when(zone.startswith("-"), -minutes).otherwise(minutes)
+    return F.timestamp_add("MINUTE", -offset, plain)
 
 
 def days_before(ts: Column, days: int) -> Column:

@@ -31,20 +31,30 @@ def open_versions(current: DataFrame, key: str, stamp: str) -> DataFrame:
 def scd2_apply(history: DataFrame, current: DataFrame, key: str, stamp: str, as_of: datetime | str) -> DataFrame:
     """Take one snapshot into the history.
 
-    A newer ``stamp`` closes the open version and opens another, a key that has gone is closed at
-    ``as_of``, and one that returns opens a new version. An unknown stamp is never newer.
+    A newer ``stamp`` closes the open version and opens another, and a key that has gone is closed at ``as_of``.
+    One that returns opens a version that starts at its stamp if that is past the end of its last version, else at
+    ``as_of``, so that versions never overlap. An unknown stamp is never newer.
     """
     columns = history.columns
     closed = history.filter(F.col("valid_to").isNotNull())
     still_open = history.filter(F.col("valid_to").isNull())
     was = still_open.select(F.col(key), F.struct(*columns).alias("was"))
-    now = open_versions(current, key, stamp).select(F.col(key), F.struct(*columns).alias("now"))
+    ended = closed.groupBy(key).agg(F.max("valid_to").alias("_ended"))
+    late = F.col("_ended").isNotNull() & ~F.coalesce(F.col(stamp) >= F.col("_ended"), F.lit(False))
+    starting = current.join(ended, key, "left").withColumn("_start", F.when(late, moment(as_of)).otherwise(F.col(stamp)))
+    opening = starting.select(
+        version_key(key, "_start").alias("customer_version_key"),
+        *current.columns,
+        F.col("_start").alias("valid_from"),
+        F.lit(None).cast(NTZ).alias("valid_to"),
+    )
+    now = opening.select(F.col(key), F.struct(*columns).alias("now"))
     pair = was.join(now, key, "full_outer")
 
     is_new = F.col("was").isNull()
     is_gone = F.col("now").isNull()
     is_newer = F.coalesce(F.col(f"now.{stamp}") > F.col(f"was.{stamp}"), F.lit(False))
-    ends = F.when(is_gone, moment(as_of)).when(is_newer, F.col(f"now.{stamp}"))
+    ends = F.when(is_gone, moment(as_of)).when(is_newer, F.col("now.valid_from"))
     kept = F.when(~is_new, F.col("was").withField("valid_to", ends))
     opened = F.when(is_new | is_newer, F.col("now"))
     versions = F.filter(F.array(kept, opened), lambda v: v.isNotNull())

@@ -25,10 +25,11 @@ def country_grants(spark: SparkSession) -> DataFrame:
 
 
 def visible_customers(customers: DataFrame, grants: DataFrame, user: str, restricted: bool = True) -> DataFrame:
-    """Customers of the countries granted to the user. Restricted without a grant: none."""
+    """Customers of the countries granted to the user, whose address is compared in any case. Restricted without a
+    grant: none."""
     if not restricted:
         return customers
-    mine = grants.filter(F.col("user_email") == user).select("country").distinct()
+    mine = grants.filter(F.lower("user_email") == user.lower()).select("country").distinct()
     return customers.join(mine, "country", "left_semi").select(*customers.columns)
 
 

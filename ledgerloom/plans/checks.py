@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from ledgerloom.operators import quality as q
 from ledgerloom.operators.security import country_grants
 from ledgerloom.plans.cleaning import STATUSES, Cleaned, duplicates
 
+# Fixed values.
 SEGMENT_VALUES = ("Consumer", "SMB", "Enterprise")
 LIFECYCLE_VALUES = ("Active", "Lapsing", "Churned")
 RFM_VALUES = (
@@ -20,52 +22,58 @@ RFM_VALUES = (
 WARN_REJECT_PCT = 5
 
 
+@dataclass(frozen=True)
+class TableChecks:
+    """What the gate asks of a table: column checks, its key, and (column, parent table) references."""
+
+    columns: tuple[q.ColumnCheck, ...]
+    key: tuple[str, ...]
+    parents: tuple[tuple[str, str], ...] = ()
+
+
+def gate() -> dict[str, TableChecks]:
+    return {
+        "customers": TableChecks(
+            (q.min_rows(1), q.not_null("customer_id", "email", "signup_date", "segment")), ("customer_id",)
+        ),
+        "products": TableChecks((q.positive("list_price_usd"),), ("product_id",)),
+        "fx_rates": TableChecks((), ("currency",)),
+        "orders": TableChecks(
+            (
+                q.min_rows(1),
+                q.not_null("order_id", "customer_id", "order_ts", "status", "currency"),
+                q.accepted_values("status", STATUSES),
+            ),
+            ("order_id",),
+            (("customer_id", "customers"), ("currency", "fx_rates")),
+        ),
+        "order_items": TableChecks(
+            (q.positive("quantity"), q.positive("unit_price")),
+            ("order_id", "line_number"),
+            (("order_id", "orders"), ("product_id", "products")),
+        ),
+    }
+
+
 def gate_checks(
     clean: Mapping[str, DataFrame], scope: Sequence[str] = (), scopes: DataFrame | None = None
 ) -> DataFrame:
     """The 17 checks on the cleaned tables."""
-    c, o, i, p, fx = (clean[t] for t in ("customers", "orders", "order_items", "products", "fx_rates"))
-    s = {"scope": scope, "scopes": scopes}
-    return q.union(
-        [
-            q.check_columns(
-                c, "customers", [q.min_rows(1), q.not_null("customer_id", "email", "signup_date", "segment")], **s
-            ),
-            q.check_unique(c, "customers", ["customer_id"], **s),
-            q.check_columns(p, "products", [q.positive("list_price_usd")], **s),
-            q.check_unique(p, "products", ["product_id"], **s),
-            q.check_unique(fx, "fx_rates", ["currency"], **s),
-            q.check_columns(
-                o,
-                "orders",
-                [
-                    q.min_rows(1),
-                    q.not_null("order_id", "customer_id", "order_ts", "status", "currency"),
-                    q.accepted_values("status", STATUSES),
-                ],
-                **s,
-            ),
-            q.check_unique(o, "orders", ["order_id"], **s),
-            q.check_relationship(o, "orders", "customer_id", c, "customer_id", **s),
-            q.check_relationship(o, "orders", "currency", fx, "currency", **s),
-            q.check_columns(i, "order_items", [q.positive("quantity"), q.positive("unit_price")], **s),
-            q.check_unique(i, "order_items", ["order_id", "line_number"], **s),
-            q.check_relationship(i, "order_items", "order_id", o, "order_id", **s),
-            q.check_relationship(i, "order_items", "product_id", p, "product_id", **s),
-        ]
-    )
+    parts = []
+    for table, asked in gate().items():
+        if asked.columns:
+            parts.append(q.check_columns(clean[table], table, asked.columns, scope, scopes))
+        parts.append(q.check_unique(clean[table], table, asked.key, scope, scopes))
+        for column, parent in asked.parents:
+            parts.append(q.check_relationship(clean[table], table, column, clean[parent], column, scope, scopes))
+    return q.union(parts)
 
 
 def relationship_checks(
     clean: Mapping[str, DataFrame], scope: Sequence[str] = (), scopes: DataFrame | None = None
 ) -> DataFrame:
     s = {"scope": scope, "scopes": scopes}
-    links = (
-        ("orders", "customer_id", "customers"),
-        ("orders", "currency", "fx_rates"),
-        ("order_items", "order_id", "orders"),
-        ("order_items", "product_id", "products"),
-    )
+    links = [(table, *link) for table, asked in gate().items() for link in asked.parents]
     return q.union(
         [q.check_relationship(clean[child], child, col, clean[parent], col, **s) for child, col, parent in links]
     )
@@ -187,6 +195,9 @@ def model_tests(w) -> DataFrame:
     half = F.lit("0.5").cast("decimal(2,1)")
     one = F.lit(1).cast("decimal(22,4)")
 
+    def unique(df, model, columns):
+        return q.check_unique(df, model, columns, nulls_count=False)
+
     def related(model, child, column, parent, parent_column):
         return q.check_relationship(child, model, column, parent, parent_column, null_is_orphan=False)
 
@@ -202,13 +213,13 @@ def model_tests(w) -> DataFrame:
             country_grants(w.store.spark), "security_country_access", [q.not_null("user_email"), q.not_null("country")]
         ),
         # staging
-        q.check_unique(stg_c, "stg_customers", ["customer_id"]),
+        unique(stg_c, "stg_customers", ["customer_id"]),
         q.check_columns(
             stg_c,
             "stg_customers",
             [q.not_null("customer_id"), q.not_null("email"), q.accepted_values("segment", SEGMENT_VALUES)],
         ),
-        q.check_unique(stg_o, "stg_orders", ["order_id"]),
+        unique(stg_o, "stg_orders", ["order_id"]),
         q.check_columns(
             stg_o,
             "stg_orders",
@@ -221,17 +232,17 @@ def model_tests(w) -> DataFrame:
         ),
         related("stg_orders", stg_o, "customer_id", stg_c, "customer_id"),
         related("stg_orders", stg_o, "currency", stg_fx, "currency"),
-        q.check_unique(stg_i, "stg_order_items", ["order_item_id"]),
+        unique(stg_i, "stg_order_items", ["order_item_id"]),
         q.check_columns(
             stg_i, "stg_order_items", [q.not_null("order_item_id"), q.accepted_range("quantity", F.lit(1))]
         ),
         related("stg_order_items", stg_i, "product_id", stg_p, "product_id"),
-        q.check_unique(stg_p, "stg_products", ["product_id"]),
+        unique(stg_p, "stg_products", ["product_id"]),
         q.check_columns(stg_p, "stg_products", [q.not_null("product_id")]),
-        q.check_unique(stg_fx, "stg_fx_rates", ["currency"]),
+        unique(stg_fx, "stg_fx_rates", ["currency"]),
         q.check_columns(stg_fx, "stg_fx_rates", [q.not_null("currency")]),
         # core
-        q.check_unique(w.fct_orders, "fct_orders", ["order_id"]),
+        unique(w.fct_orders, "fct_orders", ["order_id"]),
         q.check_columns(
             w.fct_orders,
             "fct_orders",
@@ -246,37 +257,37 @@ def model_tests(w) -> DataFrame:
         ),
         related("fct_orders", w.fct_orders, "customer_id", w.dim_customer, "customer_id"),
         related("fct_orders", w.fct_orders, "order_date", w.dim_date, "date_day"),
-        q.check_unique(w.fct_order_items, "fct_order_items", ["order_item_id"]),
+        unique(w.fct_order_items, "fct_order_items", ["order_item_id"]),
         q.check_columns(w.fct_order_items, "fct_order_items", [q.not_null("order_item_id")]),
         related("fct_order_items", w.fct_order_items, "product_id", w.dim_product, "product_id"),
-        q.check_unique(w.dim_customer, "dim_customer", ["customer_id"]),
+        unique(w.dim_customer, "dim_customer", ["customer_id"]),
         q.check_columns(
             w.dim_customer, "dim_customer", [q.not_null("customer_id"), q.accepted_values("segment", SEGMENT_VALUES)]
         ),
-        q.check_unique(w.dim_customer_history, "dim_customer_history", ["customer_version_key"]),
+        unique(w.dim_customer_history, "dim_customer_history", ["customer_version_key"]),
         q.check_columns(
             w.dim_customer_history,
             "dim_customer_history",
             [q.not_null("customer_version_key"), q.expression_is_true("valid_from < valid_to")],
         ),
-        q.check_unique(w.dim_product, "dim_product", ["product_id"]),
+        unique(w.dim_product, "dim_product", ["product_id"]),
         q.check_columns(w.dim_product, "dim_product", [q.not_null("product_id")]),
-        q.check_unique(w.dim_date, "dim_date", ["date_day"]),
+        unique(w.dim_date, "dim_date", ["date_day"]),
         q.check_columns(w.dim_date, "dim_date", [q.not_null("date_day")]),
         # analytics
-        q.check_unique(w.monthly_revenue, "monthly_revenue", ["order_month"]),
+        unique(w.monthly_revenue, "monthly_revenue", ["order_month"]),
         q.check_columns(w.monthly_revenue, "monthly_revenue", [q.not_null("order_month")]),
-        q.check_unique(ltv, "customer_ltv", ["customer_id"]),
+        unique(ltv, "customer_ltv", ["customer_id"]),
         q.check_columns(
             ltv, "customer_ltv", [q.not_null("customer_id"), q.accepted_values("lifecycle_status", LIFECYCLE_VALUES)]
         ),
         related("customer_ltv", ltv, "customer_id", w.dim_customer, "customer_id"),
-        q.check_unique(w.cohort_retention, "cohort_retention", ["cohort_month", "months_since_first"]),
+        unique(w.cohort_retention, "cohort_retention", ["cohort_month", "months_since_first"]),
         q.check_columns(w.cohort_retention, "cohort_retention", [q.accepted_range("retention_rate", F.lit(0), one)]),
-        q.check_unique(w.retention_90d, "retention_90d", ["month_start"]),
-        q.check_unique(rfm, "rfm_segments", ["customer_id"]),
+        unique(w.retention_90d, "retention_90d", ["month_start"]),
+        unique(rfm, "rfm_segments", ["customer_id"]),
         q.check_columns(rfm, "rfm_segments", [q.accepted_values("rfm_segment", RFM_VALUES)]),
-        q.check_unique(w.revenue_by_category, "revenue_by_category", ["order_month", "category"]),
+        unique(w.revenue_by_category, "revenue_by_category", ["order_month", "category"]),
         q.check_columns(
             w.kpi_summary, "kpi_summary", [q.expression_is_true("repeat_purchase_rate between 0 and 1")]
         ),

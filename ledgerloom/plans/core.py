@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.money import money
+from ledgerloom.functions.money import MONEY, money
 from ledgerloom.functions.temporal import FAR_FUTURE, calendar, moment, month_start
 from ledgerloom.operators.upsert import reprocess_from, upsert
 from ledgerloom.params import Params
@@ -22,11 +22,12 @@ def order_items_converted(
     No side carries a broadcast hint: Spark broadcasts rates and products while they are below its
     size limit and shuffles them beyond it. Orders, rates and products are written tables, so both
     sides of each join come straight out of a shuffle and Spark can split an order or a product that
-    holds a large share of the lines. The operand types keep the product at decimal(38,12), so
-    the only rounding is the one to cents.
+    holds a large share of the lines. Cleaning lets a line through whose amount fits decimal(18,2) and a
+    rate that fits decimal(12,6), so the product is an exact decimal(38,12) and the only rounding is the
+    one to cents.
     """
-    local = F.col("quantity").cast("decimal(7,0)") * F.col("unit_price_local").cast("decimal(12,2)")
-    usd = local * F.col("rate_to_usd").cast("decimal(10,6)")
+    local = (F.col("quantity").cast("decimal(10,0)") * F.col("unit_price_local")).cast("decimal(18,2)")
+    usd = local * F.col("rate_to_usd").cast("decimal(12,6)")
     net = usd * (F.lit(Decimal(1)) - F.col("discount_pct"))
     return (
         items.drop("_loaded_at")
@@ -50,7 +51,7 @@ def order_items_converted(
             money(local).alias("line_amount_local"),
             money(usd).alias("line_amount_usd"),
             F.when(F.col("status") == "completed", money(net))
-            .otherwise(F.lit(Decimal(0)).cast("decimal(18,2)"))
+            .otherwise(F.lit(Decimal(0)).cast(MONEY))
             .alias("net_revenue_usd"),
         )
     )

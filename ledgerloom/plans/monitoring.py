@@ -16,7 +16,8 @@ COOL_DAYS, RAW_DAYS, ARCHIVE_DAYS, DELETE_DAYS = 30, 90, 180, 2555
 
 
 def latest_run_per_stage(runs: DataFrame) -> DataFrame:
-    newest = [F.col("started_at").desc_nulls_last(), F.col("run_id").desc()]
+    # of the rows of one run the one with its outcome
+    newest = [F.col("started_at").desc_nulls_last(), F.col("run_id").desc(), F.col("finished_at").desc_nulls_last()]
     return latest_per_key(runs, ["stage"], newest).select(
         "stage", "run_id", "status", "started_at", "duration_seconds", "error_message"
     )
@@ -77,8 +78,3 @@ def classify_batches(raw: DataFrame, now: Column) -> DataFrame:
         .alias("tier"),
         (age <= RAW_DAYS).alias("kept_in_raw"),
     )
-
-
-def expire_batches(raw: DataFrame, now: Column) -> DataFrame:
-    """The landing table without the batches it no longer keeps."""
-    return raw.filter(F.datediff(now.cast("date"), F.col("_loaded_at").cast("date")) <= RAW_DAYS)

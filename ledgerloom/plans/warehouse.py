@@ -25,6 +25,7 @@ from ledgerloom.sources.schemas import TABLES
 from ledgerloom.sources.store import Store, file_stamp
 
 SCOPE = ("_batch_id",)
+RESTORED_AT = "2001-12-03 02:00:00"
 VERSION_COLUMNS = ("customer_id", "segment", "country", "acquisition_channel", "updated_at")
 
 
@@ -154,7 +155,7 @@ class Warehouse:
         landed = self.clean(name).withColumn("_loaded_at", F.element_at(stamps, F.col("_batch_id")).cast(NTZ))
         return landed if upto is None else landed.filter(F.col("_batch_id") <= upto)
 
-    @view
+    @table
     def stg_customers(self):
         return staging.stg_customers(self.raw("customers"))
 
@@ -162,7 +163,7 @@ class Warehouse:
     def stg_orders(self):
         return staging.stg_orders(self.raw("orders"))
 
-    @view
+    @table
     def stg_order_items(self):
         return staging.stg_order_items(self.raw("order_items"))
 
@@ -210,21 +211,24 @@ class Warehouse:
     def first_load_orders(self):
         return core.fct_orders(self.first_load_stg_orders, self.first_load_order_items)
 
-    def _changed(self, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Orders to reprocess, and their lines."""
-        orders = self.store.scratch(core.changed_orders(self.raw("orders"), existing, self.params), "changed")
-        return orders, core.changed_lines(orders, self.raw("order_items"), self.stg_fx_rates, self.stg_products)
+    @table
+    def changed_orders(self):
+        """Orders to reprocess. Both facts of the first load hold the same orders, so they share the delta."""
+        return core.changed_orders(self.raw("orders"), self.first_load_orders, self.params)
+
+    @table
+    def changed_lines(self):
+        return core.changed_lines(self.changed_orders, self.raw("order_items"), self.stg_fx_rates, self.stg_products)
 
     @view
     def fct_order_items_incremental(self):
         """The line fact after the following batches were taken in by the lookback upsert."""
-        existing = self.first_load_order_items
-        return core.fct_order_items_incremental(existing, self._changed(existing)[1])
+        return core.fct_order_items_incremental(self.first_load_order_items, self.changed_lines)
 
     @view
     def fct_orders_incremental(self):
-        existing = self.first_load_orders
-        return core.fct_orders_incremental(existing, core.fct_orders(*self._changed(existing)))
+        delta = core.fct_orders(self.changed_orders, self.changed_lines)
+        return core.fct_orders_incremental(self.first_load_orders, delta)
 
     @table
     def dim_customer(self):
@@ -244,7 +248,7 @@ class Warehouse:
 
     @view
     def crm_snapshots(self):
-        """The same from the CRM deliveries themselves, in which customers can go missing."""
+        """The same from the CRM deliveries themselves, in which customers go missing and then return unchanged."""
         history = None
         for batch in sorted(self.loaded_at):
             current = self.clean("customers").filter(F.col("_batch_id") == batch).select(*VERSION_COLUMNS)
@@ -252,7 +256,10 @@ class Warehouse:
                 history = open_versions(current, "customer_id", "updated_at")
             else:
                 history = scd2_apply(history, current, "customer_id", "updated_at", self.loaded_at[batch])
-        return history
+        # a day later the missing ones are back as they were in the first delivery
+        first = self.clean("customers").filter(F.col("_batch_id") == self.first_batch).select(*VERSION_COLUMNS)
+        restored = current.unionByName(first.join(current.select("customer_id"), "customer_id", "left_anti"))
+        return scd2_apply(history, restored, "customer_id", "updated_at", RESTORED_AT)
 
     @table
     def customer_versions(self):

@@ -6,16 +6,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerloom.functions.text import na_to_null
 from ledgerloom.sources.lake import exists
-from ledgerloom.sources.schemas import text_schema
+from ledgerloom.sources.schemas import EXTRACT_COLUMNS, text_schema
 
 
 @dataclass(frozen=True)
 class SourceSpec:
     system: str
     file: str
+    multi_line: bool = False
 
     @property
     def format(self) -> str:
@@ -32,18 +34,29 @@ SOURCES = {
 }
 
 
-def read_extract(spark: SparkSession, landing: str, table: str, multi_line: bool = False) -> DataFrame:
-    """``multi_line`` lets a quoted field hold line breaks, but such files can no longer be split."""
+def read_extract(spark: SparkSession, landing: str, table: str) -> DataFrame:
+    """The columns of a table by their names in the file, as text.
+
+    A header in another order is read right, one that lacks a column is refused, and so is a folder whose files
+    have different headers. A quoted field may hold line breaks where the source says so; such a file is read as
+    one piece.
+    """
     spec = SOURCES[table]
     path = f"{landing}/{spec.system}/{spec.file}"
     if not exists(spark, path):
-        raise FileNotFoundError(f"missing source extract: {path}")
-    reader = spark.read.schema(text_schema(table))
+        raise FileNotFoundError(f"{spec.system} has not delivered {table}: no {path}")
+    wanted = EXTRACT_COLUMNS[table]
     if spec.format == "json":
-        return reader.json(path)
+        return spark.read.schema(text_schema(table)).json(path)
     # quotes are doubled inside a quoted field
-    rows = reader.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
-    return rows.select(*[na_to_null(F.col(c)).alias(c) for c in rows.columns])
+    reader = spark.read.options(header=True, escape='"', multiLine=spec.multi_line)
+    names = reader.csv(path).columns
+    missing = [c for c in wanted if c not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    given = StructType([StructField(c, StringType()) for c in names])
+    rows = reader.option("enforceSchema", False).schema(given).csv(path)
+    return rows.select(*[na_to_null(F.col(f"`{c}`")).alias(c) for c in wanted])
 
 
 def read_extracts(spark: SparkSession, landing: str) -> dict[str, DataFrame]:

@@ -18,8 +18,8 @@ from ledgerloom.functions.temporal import NTZ
 # Fixed values of the derived feed.
 COUNTRIES = ("US", "GB", "DE", "FR", "IN", "CA", "AU")
 CURRENCIES = ("USD", "GBP", "EUR", "EUR", "INR", "CAD", "AUD")
-FX_RATE_TO_USD = {"USD": "1.0", "EUR": "1.09", "GBP": "1.27", "INR": "0.012", "CAD": "0.74", "AUD": "0.66"}
-CHANNELS = ("Organic", "Paid Search", "Social", "Referral", "Partner")
+FX_RATE_TO_USD = {"USD": "1.0", "EUR": "1.125", "GBP": "1.3334", "INR": "0.0157", "CAD": "0.8021", "AUD": "0.7312"}
+CHANNELS = ("Newsletter", "Trade Fair", "Search", "Reseller", "Word of Mouth")
 FIRST_NAMES = ("Ada", "Grace", "Alan", "Mary-Jane", "Edsger", "Barbara")
 LAST_NAMES = ("Lovelace", "O'Brien", "Turing", "Hopper", "Van Rossum")
 DISCOUNTS = ("0.05", "0.1", "0.15", "0.2")
@@ -88,6 +88,7 @@ def customers(t: DataFrame) -> DataFrame:
         .otherwise(signup.cast("string"))
         .alias("signup_date"),
         F.when(kind == "stale", "1990-01-01 00:00:00")
+        .when(k % 60 == 30, F.concat(F.date_add(signup, age).cast("string"), F.lit("T02:00:00+02:00")))
         .otherwise(F.concat(F.date_add(signup, age).cast("string"), F.lit(" 00:00:00")))
         .alias("updated_at"),
         *_batch_columns(),
@@ -99,6 +100,7 @@ def orders(t: DataFrame) -> DataFrame:
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     kind, batch = F.col("d.kind"), F.col("d.batch")
     placed = F.col("o_orderdate").cast(NTZ) + F.make_dt_interval(hours=F.lit(8), secs=(k % 54000).cast("decimal(18,6)"))
+    two_hours_on = placed + F.make_dt_interval(hours=F.lit(2))
     received = placed + F.make_dt_interval(secs=(k % 86340 + 60).cast("decimal(18,6)"))
     status = (
         F.when(k % 500 == 9, "shipped")
@@ -124,10 +126,10 @@ def orders(t: DataFrame) -> DataFrame:
         F.concat(F.when(k % 250 == 3, "CX").otherwise("C"), c.cast("string")).alias("customer_id"),
         F.when(k % 333 == 5, None)
         .when(k % 5 == 0, placed.cast("string"))
-        .when(
-            k % 77 == 11,
-            F.concat(_iso(placed + F.make_dt_interval(hours=F.lit(2))), F.lit("+02:00")),
-        )
+        .when(k % 77 == 11, F.concat(_iso(two_hours_on), F.lit("+02:00")))
+        .when(k % 77 == 12, F.concat(_iso(two_hours_on), F.lit("+02")))
+        .when(k % 77 == 13, F.concat(_iso(two_hours_on), F.lit(" +02:00")))
+        .when(k % 770 == 14, F.concat(_iso(placed), F.lit(" CET")))
         .otherwise(F.concat(_iso(placed), F.lit("Z")))
         .alias("order_ts"),
         F.when(k % 20 == 7, F.lower(currency)).otherwise(currency).alias("currency"),
@@ -174,12 +176,18 @@ def order_items(t: DataFrame) -> DataFrame:
         F.when(mix % 500 == 4, "P-none")
         .otherwise(F.concat(F.when(F.col("l_partkey") % 9 == 0, "p").otherwise("P"), F.col("l_partkey").cast("string")))
         .alias("product_id"),
-        F.when(mix % 500 == 0, "0")
+        F.when(mix % 20000 == 17, "10000000")
+        .when(mix % 500 == 0, "0")
         .when(mix % 1000 == 1, "-1")
         .when(mix % 700 == 3, F.concat(quantity.cast("string"), F.lit(".0")))
         .otherwise(quantity.cast("string"))
         .alias("quantity"),
-        F.when(mix % 500 == 2, None).when(mix % 1000 == 8, "NaN").otherwise(price).alias("unit_price"),
+        F.when(mix % 500 == 2, None)
+        .when(mix % 1000 == 8, "NaN")
+        .when(mix % 20000 == 19, "10000000000.00")
+        .when(mix % 3000 == 23, "1000000000000.00")
+        .otherwise(price)
+        .alias("unit_price"),
         *_batch_columns(),
         F.struct(*delivered).alias("_src_pos"),
     )
@@ -224,7 +232,11 @@ def fx_rates(events: DataFrame) -> DataFrame:
         F.when(k % 20 == 7, "JPY")
         .when(k % 1000 != 3, F.when(k % 20 == 9, F.lower(known)).otherwise(known))
         .alias("currency"),
-        F.when(k % 20 == 7, "-1").when(k % 1000 == 11, "NaN").otherwise(moved.cast("string")).alias("rate_to_usd"),
+        F.when(k % 20 == 7, "-1")
+        .when(k % 1000 == 11, "NaN")
+        .when(k % 1000 == 13, "10000000")
+        .otherwise(moved.cast("string"))
+        .alias("rate_to_usd"),
         *_batch_columns(),
         F.struct("ts", "event_id").alias("_src_pos"),
     )
@@ -243,19 +255,9 @@ def source_paths(sf_dir: str) -> list[str]:
     return [f"{sf_dir}/{source}.parquet" for source, _ in SOURCES.values()]
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Deal out a table that is read in fewer pieces than there are cores.
-
-    Otherwise a few cores would do all of its cleaning. A large table is read in many pieces and is
-    left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
-        name: shape(_spread(spark.read.parquet(f"{sf_dir}/{source}.parquet")))
+        name: shape(spark.read.parquet(f"{sf_dir}/{source}.parquet"))
         for name, (source, shape) in SOURCES.items()
     }
 

@@ -58,9 +58,9 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def write(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    def write(self, name: str, df: DataFrame) -> DataFrame:
         """Write ``df`` and return the table read back, so that later plans start at the files."""
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
+        df.write.mode("overwrite").parquet(self.path(name))
         return self.read(name, df.schema)
 
     def read(self, name: str, schema: StructType) -> DataFrame:
@@ -76,12 +76,14 @@ class Store:
 
 
 def file_stamp(spark: SparkSession, paths: Sequence[str]) -> tuple:
-    """Length and change time of each path, to notice that a source was replaced."""
+    """Every file below the paths with its length and change time, to notice that a source was replaced."""
     conf = spark._jsc.hadoopConfiguration()
     stamps = []
     for p in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(p)
         fs = path.getFileSystem(conf)
-        status = fs.getFileStatus(path) if fs.exists(path) else None
-        stamps.append((p, status.getLen(), status.getModificationTime()) if status else (p, None, None))
-    return tuple(stamps)
+        found = fs.listFiles(path, True) if fs.exists(path) else None
+        while found is not None and found.hasNext():
+            file = found.next()
+            stamps.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return tuple(sorted(stamps))

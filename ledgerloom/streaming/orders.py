@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.operators.rules import REASON, rejected
-from ledgerloom.plans.cleaning import judge_orders, settle
+from ledgerloom.plans.cleaning import judge_orders, settle, split_empty_orders
 from ledgerloom.plans.staging import stg_orders
 from ledgerloom.sources.lake import read_batches, replace_batch
 from ledgerloom.sources.schemas import text_schema
@@ -23,12 +23,17 @@ from ledgerloom.sources.schemas import text_schema
 MICRO_BATCH = "_micro_batch"
 
 
-def order_feed(spark: SparkSession, path: str, extra: Sequence[str] = (), files_per_batch: int = 8) -> DataFrame:
-    """The feed as JSON lines, everything as text."""
+def order_feed(
+    spark: SparkSession, path: str, extra: Sequence[str] = (), files_per_batch: int | None = None
+) -> DataFrame:
+    """The feed as JSON lines, everything as text. Without ``files_per_batch`` one micro-batch takes all that waits."""
     schema = text_schema("orders")
     for column in extra:
         schema = schema.add(column, "string")
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(path)
 
 
 def without_exact_redeliveries(feed: DataFrame, stamp: str, lookback: str = "3 days") -> DataFrame:
@@ -48,8 +53,10 @@ def land_orders(
     """Take in everything that is waiting, then stop."""
 
     def land(rows: DataFrame, micro_batch: int) -> None:
-        judged = judge_orders(rows, customers, fx_rates, scope)
         name = f"{micro_batch:09d}"
+        # judged once, and both halves are taken from what was written
+        replace_batch(judge_orders(rows, customers, fx_rates, scope), f"{quarantine}_judged", name, MICRO_BATCH)
+        judged = rows.sparkSession.read.parquet(f"{quarantine}_judged/{MICRO_BATCH}={name}")
         replace_batch(rejected(judged), quarantine, name, MICRO_BATCH)
         replace_batch(settle(judged, "orders", scope), landing, name, MICRO_BATCH)
 
@@ -86,4 +93,5 @@ def latest_from_stream(warehouse) -> DataFrame:
     landed = landed_orders(spark, landing, schema).drop(MICRO_BATCH)
     loads = F.create_map(*[F.lit(v) for pair in warehouse.loaded_at.items() for v in pair])
     stamped = landed.withColumn("_loaded_at", F.element_at(loads, F.col("_batch_id")).cast("timestamp_ntz"))
-    return stg_orders(stamped)
+    # the same rule as for files: an order without accepted lines is not staged
+    return stg_orders(split_empty_orders(stamped, warehouse.settled_order_items, ["_batch_id"])[0])

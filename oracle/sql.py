@@ -32,7 +32,7 @@ def text_list(*values: str) -> str:
 
 COUNTRIES = text_list("US", "GB", "DE", "FR", "IN", "CA", "AU")
 CURRENCIES = text_list("USD", "GBP", "EUR", "EUR", "INR", "CAD", "AUD")
-CHANNELS = text_list("Organic", "Paid Search", "Social", "Referral", "Partner")
+CHANNELS = text_list("Newsletter", "Trade Fair", "Search", "Reseller", "Word of Mouth")
 FIRST_NAMES = text_list("Ada", "Grace", "Alan", "Mary-Jane", "Edsger", "Barbara")
 LAST_NAMES = text_list("Lovelace", "O'Brien", "Turing", "Hopper", "Van Rossum")
 DISCOUNTS = text_list("0.05", "0.1", "0.15", "0.2")
@@ -57,7 +57,9 @@ def as_date(x: str) -> str:
 def as_utc(x: str) -> str:
     return (
         f"CASE WHEN {x} LIKE '%Z' THEN try_cast(rtrim({x}, 'Z') AS TIMESTAMP) "
-        f"WHEN {x} LIKE '%+02:00' THEN try_cast(left({x}, length({x}) - 6) AS TIMESTAMP) - INTERVAL 2 HOUR "
+        f"WHEN {x} LIKE '%+02:00' THEN try_cast(rtrim(left({x}, length({x}) - 6)) AS TIMESTAMP) - INTERVAL 2 HOUR "
+        f"WHEN {x} LIKE '%+02' THEN try_cast(left({x}, length({x}) - 3) AS TIMESTAMP) - INTERVAL 2 HOUR "
+        f"WHEN {x} LIKE '%CET' THEN NULL "
         f"ELSE try_cast({x} AS TIMESTAMP) END"
     )
 
@@ -97,7 +99,8 @@ SELECT CASE WHEN kind <> 'noid' THEN (CASE WHEN k % 10 = 0 THEN 'c' ELSE 'C' END
             ELSE strftime(signup, '%Y-%m-%d') END AS signup_date,
        CASE WHEN kind = 'stale' THEN '1990-01-01 00:00:00'
             ELSE strftime(signup + (k % 400 + CASE WHEN batch = 'b2' AND k % 10 = 5 THEN 1460 ELSE 0 END)::INTEGER,
-                          '%Y-%m-%d') || ' 00:00:00' END AS updated_at,
+                          '%Y-%m-%d') || CASE WHEN k % 60 = 30 THEN 'T02:00:00+02:00' ELSE ' 00:00:00' END END
+            AS updated_at,
        batch AS _batch_id,
        kind AS _pos
 FROM (
@@ -125,6 +128,9 @@ SELECT CASE WHEN kind <> 'noid' THEN 'SO' || k END AS order_id,
        CASE WHEN k % 333 = 5 THEN NULL
             WHEN k % 5 = 0 THEN strftime(placed, '%Y-%m-%d %H:%M:%S')
             WHEN k % 77 = 11 THEN {iso("placed + INTERVAL 2 HOUR")} || '+02:00'
+            WHEN k % 77 = 12 THEN {iso("placed + INTERVAL 2 HOUR")} || '+02'
+            WHEN k % 77 = 13 THEN {iso("placed + INTERVAL 2 HOUR")} || ' +02:00'
+            WHEN k % 770 = 14 THEN {iso("placed")} || ' CET'
             ELSE {iso("placed")} || 'Z' END AS order_ts,
        CASE WHEN k % 20 = 7 THEN lower(cur) ELSE cur END AS currency,
        CASE WHEN k % 33 = 0 THEN upper(st) ELSE st END AS status,
@@ -159,9 +165,10 @@ SELECT (CASE WHEN k % 11 = 2 THEN 'so' ELSE 'SO' END) || k AS order_id,
        CASE WHEN m % 1000 <> 6 THEN l_linenumber::VARCHAR END AS line_number,
        CASE WHEN m % 500 = 4 THEN 'P-none'
             ELSE (CASE WHEN l_partkey % 9 = 0 THEN 'p' ELSE 'P' END) || l_partkey END AS product_id,
-       CASE WHEN m % 500 = 0 THEN '0' WHEN m % 1000 = 1 THEN '-1'
+       CASE WHEN m % 20000 = 17 THEN '10000000' WHEN m % 500 = 0 THEN '0' WHEN m % 1000 = 1 THEN '-1'
             WHEN m % 700 = 3 THEN q || '.0' ELSE q::VARCHAR END AS quantity,
-       CASE WHEN m % 500 = 2 THEN NULL WHEN m % 1000 = 8 THEN 'NaN'
+       CASE WHEN m % 500 = 2 THEN NULL WHEN m % 1000 = 8 THEN 'NaN' WHEN m % 20000 = 19 THEN '10000000000.00'
+            WHEN m % 3000 = 23 THEN '1000000000000.00'
             ELSE (u // 100) || '.' || lpad((u % 100)::VARCHAR, 2, '0') END AS unit_price,
        batch AS _batch_id,
        l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_quantity
@@ -193,12 +200,13 @@ WHERE kind = 'main' OR p_partkey = 0
 CTE["x_fx_rates"] = f"""
 SELECT CASE WHEN k % 20 = 7 THEN 'JPY' WHEN k % 1000 = 3 THEN NULL
             WHEN k % 20 = 9 THEN lower(cur) ELSE cur END AS currency,
-       CASE WHEN k % 20 = 7 THEN '-1' WHEN k % 1000 = 11 THEN 'NaN' ELSE moved::VARCHAR END AS rate_to_usd,
+       CASE WHEN k % 20 = 7 THEN '-1' WHEN k % 1000 = 11 THEN 'NaN' WHEN k % 1000 = 13 THEN '10000000'
+            ELSE moved::VARCHAR END AS rate_to_usd,
        batch AS _batch_id, ts, k
 FROM (
     SELECT event_id AS k, ts, batch, cur,
-           CASE cur WHEN 'USD' THEN 1.0::DECIMAL(10, 6) WHEN 'EUR' THEN 1.09 WHEN 'GBP' THEN 1.27
-                WHEN 'INR' THEN 0.012 WHEN 'CAD' THEN 0.74 ELSE 0.66 END
+           CASE cur WHEN 'USD' THEN 1.0::DECIMAL(10, 6) WHEN 'EUR' THEN 1.125 WHEN 'GBP' THEN 1.3334
+                WHEN 'INR' THEN 0.0157 WHEN 'CAD' THEN 0.8021 ELSE 0.7312 END
            + ((event_id % 5)::DECIMAL(10, 6) / 10000)::DECIMAL(10, 6) AS moved
     FROM (SELECT *, ({CURRENCIES})[user_id % 7 + 1] AS cur FROM events), (VALUES ('b1'), ('b2')) d(batch)
 )
@@ -207,7 +215,13 @@ FROM (
 # ---- cleaning ---------------------------------------------------------------------------------
 
 CTE["j_fx_rates"] = f"""
-SELECT *, {reason(("missing_currency", "currency IS NULL"), ("invalid_rate", "NOT (rate_to_usd > 0)"))} AS reject_reason
+SELECT *, {
+    reason(
+        ("missing_currency", "currency IS NULL"),
+        ("rate_out_of_range", "coalesce(rate_to_usd >= 1000000, false)"),
+        ("invalid_rate", "NOT (rate_to_usd > 0)"),
+    )
+} AS reject_reason
 FROM (SELECT upper({strip("currency")}) AS currency, try_cast(rate_to_usd AS DECIMAL(18, 6)) AS rate_to_usd,
              _batch_id, ts, k FROM x_fx_rates)
 """
@@ -245,7 +259,7 @@ FROM (SELECT upper({strip("customer_id")}) AS customer_id, {title(strip("first_n
                   WHEN 'enterprise' THEN 'Enterprise' END AS segment,
              coalesce({strip("acquisition_channel")}, 'Unknown') AS acquisition_channel,
              {as_date(strip("signup_date"))} AS signup_date,
-             try_cast({strip("updated_at")} AS TIMESTAMP) AS updated_at,
+             {as_utc(strip("updated_at"))} AS updated_at,
              _batch_id, _pos FROM x_customers)
 """
 CTE["s_customers"] = """
@@ -286,13 +300,14 @@ SELECT i.*, {
         ("unknown_product", "p.product_id IS NULL"),
         ("missing_line_number", "i.line_number IS NULL"),
         ("non_positive_quantity", "NOT (i.quantity > 0)"),
+        ("unit_price_out_of_range", "coalesce(i.asked >= 1000000000000, false)"),
         ("invalid_unit_price", "NOT (i.unit_price > 0)"),
     )
 } AS reject_reason
 FROM (SELECT upper({strip("order_id")}) AS order_id, try_cast(line_number AS INTEGER) AS line_number,
              upper({strip("product_id")}) AS product_id,
              try_cast(try_cast(quantity AS DECIMAL(20, 6)) AS INTEGER) AS quantity,
-             try_cast(unit_price AS DECIMAL(14, 2)) AS unit_price,
+             try_cast(unit_price AS DECIMAL(14, 2)) AS unit_price, try_cast(unit_price AS DECIMAL(30, 2)) AS asked,
              _batch_id, l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_quantity FROM x_order_items) i
 LEFT JOIN s_orders o ON o.order_id = i.order_id AND o._batch_id = i._batch_id
 LEFT JOIN s_products p ON p.product_id = i.product_id AND p._batch_id = i._batch_id
@@ -686,7 +701,12 @@ def model_test_checks() -> list[str]:
 
     segments = ("Consumer", "SMB", "Enterprise")
     statuses = ("completed", "refunded", "cancelled")
-    grants = "(VALUES ('emea.manager@example.com', 'GB')) g(user_email, country)"
+    grants = (
+        "(VALUES ('emea.manager@example.com', 'GB'), ('emea.manager@example.com', 'DE'), "
+        "('emea.manager@example.com', 'FR'), ('americas.manager@example.com', 'US'), "
+        "('americas.manager@example.com', 'CA'), ('apac.manager@example.com', 'IN'), "
+        "('apac.manager@example.com', 'AU')) g(user_email, country)"
+    )
     lines_vs = (
         "(SELECT o.order_id AS a, l.order_id AS z, o.net_cents AS n1, l.net_cents AS n2, o.gross_cents AS g1, "
         "l.usd_cents AS g2 FROM facts o FULL JOIN (SELECT order_id, sum(net_cents) AS net_cents, "
@@ -871,7 +891,11 @@ Q: dict[str, str] = {
             UNION ALL
             SELECT z.customer_id, z.segment, z.country, z.acquisition_channel, z.updated_at, NULL
             FROM z LEFT JOIN a ON a.customer_id = z.customer_id
-            WHERE a.customer_id IS NULL OR z.updated_at > a.updated_at)""",
+            WHERE a.customer_id IS NULL OR z.updated_at > a.updated_at)
+        UNION ALL
+        SELECT md5(concat_ws('|', customer_id, '2001-12-03 02:00:00')), customer_id, segment, country,
+               acquisition_channel, updated_at, TIMESTAMP '2001-12-03 02:00:00', NULL
+        FROM a WHERE customer_id NOT IN (SELECT customer_id FROM z)""",
     "scd2_history": "SELECT * EXCLUDE (version) FROM history",
     "monthly_revenue": f"""
         SELECT order_month, {usd("cents")} AS revenue_usd, orders, active AS active_customers, new AS new_customers,
@@ -1040,9 +1064,7 @@ Q: dict[str, str] = {
                WHEN age > 30 THEN 'cool' ELSE 'hot' END AS tier, age <= 90 AS kept_in_raw
         FROM (SELECT _batch_id, max(_loaded_at) AS loaded_at, count(*) AS rows,
                      date_diff('day', max(_loaded_at)::DATE, DATE '2001-12-03') AS age FROM ({DAILY}) GROUP BY 1)""",
-    "stream_orders_latest": f"""
-        SELECT {ORDER}, order_ts::DATE AS order_date, _loaded_at
-        FROM ({newest(f"(SELECT *, {loaded('_loaded_at')} FROM s_orders)", "order_id", "ingested_at DESC NULLS LAST, ")})""",
+    "stream_orders_latest": f"SELECT {ORDER}, order_date, _loaded_at FROM stg_orders",
 }
 
 

@@ -101,6 +101,45 @@ def test_order_items_reject_invalid_lines(spark):
     ]
 
 
+def test_values_beyond_their_types_have_reasons_of_their_own(spark):
+    orders = spark.createDataFrame([("SO1",)], "order_id string")
+    products = spark.createDataFrame([("P1",)], "product_id string")
+    lines = [
+        ("10000000", "999.99", None),
+        ("7", "10000000000.00", None),
+        ("1", "1000000000000.00", "unit_price_out_of_range"),
+        ("1", "999999999999.999", "unit_price_out_of_range"),
+        ("2147483648", "1", "quantity_out_of_range"),
+        ("2147483647", "999999999999.99", "amount_out_of_range"),
+        ("-99999999999", "1", "non_positive_quantity"),
+        ("1", "-1000000000000000", "invalid_unit_price"),
+    ]
+    raw = text_frame(spark, ITEM, [("SO1", str(i), "P1", q, p) for i, (q, p, _) in enumerate(lines, 1)])
+    judged = {r.line_number: r.reject_reason for r in cleaning.judge_order_items(raw, orders, products).collect()}
+    assert judged == {i: why for i, (_, _, why) in enumerate(lines, 1)}
+    rates = text_frame(spark, ["currency", "rate_to_usd"], [("A", "999999.999999"), ("B", "1000000"), ("C", "-5"), ("D", "x")])
+    assert reasons(cleaning.judge_fx_rates(rates), "currency") == {"B": "rate_out_of_range", "C": "invalid_rate", "D": "invalid_rate"}
+    listed = text_frame(spark, ["product_id", "product_name", "category", "list_price_usd"], [("P1", "a", "b", "10000000000"), ("P2", "a", "b", "1")])
+    assert reasons(cleaning.judge_products(listed), "product_id") == {"P1": "price_out_of_range"}
+
+
+def test_large_amounts_stay_exact(spark):
+    from decimal import Decimal
+
+    from ledgerloom.plans.core import order_items_converted
+
+    items = spark.sql("SELECT 'i' AS order_item_id, 'SO1' AS order_id, 1 AS line_number, 'P' AS product_id, 2147483647 AS quantity, CAST(4656612.87 AS DECIMAL(14,2)) AS unit_price_local, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS _loaded_at")
+    orders = spark.sql("SELECT 'SO1' AS order_id, 'C' AS customer_id, DATE'2024-01-01' AS order_date, 'completed' AS status, 'X' AS currency, CAST(0.1234 AS DECIMAL(5,4)) AS discount_pct, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ingested_at, 'b' AS _batch_id, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS _loaded_at")
+    rates = spark.sql("SELECT 'X' AS currency, CAST(999999.999999 AS DECIMAL(18,6)) AS rate_to_usd")
+    products = spark.sql("SELECT 'P' AS product_id, 'c' AS category")
+    row = order_items_converted(items, orders, rates, products).first()
+    local = 2147483647 * Decimal("4656612.87")
+    exact = local * Decimal("999999.999999")
+    assert row.line_amount_local == local
+    assert abs(row.line_amount_usd - exact) <= Decimal("0.005")
+    assert abs(row.net_revenue_usd - exact * Decimal("0.8766")) <= Decimal("0.005")
+
+
 def test_an_unreadable_update_stamp_wins(spark):
     row = ("C1", "A", "B", "a@b.com", "US", "smb", "x", "2024-01-01")
     raw = text_frame(spark, CUSTOMER, [(*row, "2024-05-01 00:00:00"), (*row[:1], "Z", *row[2:], "soon")])
@@ -152,6 +191,10 @@ def test_offsets_become_utc_in_any_session_zone(spark):
         "2024-06-01T12:00:00-0530",
         "2024-06-01 12:00:00.250",
         "2024-06-01",
+        "2024-06-01T12:00:00+02",
+        "2024-06-01 12:00:00 -02:30",
+        "2024-06-01T12:00:00 CET",
+        "2024-06-01T12:00:00 Europe/Paris",
         "never",
     ]
     assert one_column(spark, values, parse_utc) == [
@@ -162,6 +205,10 @@ def test_offsets_become_utc_in_any_session_zone(spark):
         datetime(2024, 6, 1, 17, 30),
         datetime(2024, 6, 1, 12, 0, 0, 250000),
         datetime(2024, 6, 1),
+        datetime(2024, 6, 1, 10, 0),
+        datetime(2024, 6, 1, 14, 30),
+        None,
+        None,
         None,
     ]
 

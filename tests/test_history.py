@@ -46,6 +46,19 @@ def test_versions_open_close_vanish_and_return(spark):
     )
 
 
+def test_a_key_that_returns_unchanged_starts_a_version_of_its_own(spark):
+    rows = [("A", "smb", D[0]), ("B", "smb", D[0])]
+    history = open_versions(snapshot(spark, rows), "customer_id", "updated_at")
+    history = take(history, snapshot(spark, rows[:1]), D[4])
+    history = take(history, snapshot(spark, rows), D[6])
+    history = take(history, snapshot(spark, rows), D[7])
+    assert plain(history) == sorted(
+        [("A", "smb", D[0], None), ("B", "smb", D[0], D[4]), ("B", "smb", D[6], None)], key=str
+    )
+    keys = [r[0] for r in history.select("customer_version_key").collect()]
+    assert len(set(keys)) == 3
+
+
 def test_the_same_snapshot_twice_changes_nothing(spark):
     current = snapshot(spark, [("A", "smb", D[0]), ("B", "smb", D[1])])
     history = open_versions(current, "customer_id", "updated_at")

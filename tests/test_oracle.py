@@ -5,8 +5,10 @@ from compare import compare, duck
 from conftest import SF
 
 import __spark_entry__ as entry
+from ledgerloom.queries import QUERIES
+from oracle.sql import oracle
 
-SQL = entry.oracle_sql()
+SQL = oracle()
 
 
 @pytest.fixture(scope="module")
@@ -14,9 +16,9 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    assert compare(entry.queries()[name](spark, SF), con, SQL[name]) is None
+    assert compare(QUERIES[name](spark, SF), con, SQL[name]) is None
 
 
 def test_entry_has_rows(spark):
@@ -24,4 +26,5 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == SQL.keys()
+    assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= entry.queries().keys() and SQL.keys() <= entry.oracle_sql().keys()

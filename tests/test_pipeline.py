@@ -107,8 +107,10 @@ def test_second_batch_is_idempotent_and_keeps_history(spark, env):
 
 def test_audit_quarantine_and_report(spark, env):
     runs = spark.read.parquet(f"{env['lake']}/ops/pipeline_runs").orderBy("started_at").collect()
-    assert [(r.stage, r.status) for r in runs[:2]] == [("ingest", "success"), ("transform", "success")]
-    assert json.loads(runs[0].metrics)["rows_loaded"]["orders"] > 0
+    ended = [r for r in runs if r.status != "running"]
+    assert len(runs) == 2 * len(ended)
+    assert [(r.stage, r.status) for r in ended[:2]] == [("ingest", "success"), ("transform", "success")]
+    assert json.loads(ended[0].metrics)["rows_loaded"]["orders"] > 0
     checks = spark.read.parquet(f"{env['lake']}/ops/dq_results").filter("run_id = '20010101'")
     assert checks.count() == 27
     assert checks.filter("severity = 'error'").agg(F.bool_and("passed")).first()[0]
@@ -121,6 +123,8 @@ def test_audit_quarantine_and_report(spark, env):
 def test_publish_exports_every_table(spark, env, tmp_path):
     exported = pipeline.publish(spark, env["lake"], str(tmp_path / "out"))
     assert set(exported) == set(pipeline.Warehouse.CORE + pipeline.Warehouse.ANALYTICS)
+    people = spark.read.option("header", True).csv(str(tmp_path / "out/dim_customer"))
+    assert people.filter("email NOT LIKE '*****@%'").isEmpty() and not people.isEmpty()
     kpi = spark.read.option("header", True).csv(str(tmp_path / "out/kpi_summary"))
     assert "paying_customers" in kpi.columns and kpi.count() == 1
 
@@ -136,21 +140,12 @@ def test_a_failed_gate_lands_nothing_but_leaves_evidence(spark, env, tmp_path):
     with pytest.raises(DataQualityError, match="min_rows"):
         pipeline.ingest(spark, landing, root, "bad")
     assert not Path(root, "raw").exists()
-    run = spark.read.parquet(f"{root}/ops/pipeline_runs").first()
+    run = spark.read.parquet(f"{root}/ops/pipeline_runs").filter("status <> 'running'").first()
     assert (run.stage, run.status) == ("ingest", "failed") and run.error_message.startswith("DataQualityError")
     assert spark.read.parquet(f"{root}/ops/dq_results").count() == 27
     assert Path(root, "rejects/orders/batch_id=bad").exists()
 
 
-def test_old_batches_leave_the_landing_tables_only(spark, env):
-    assert pipeline.expire(spark, env["lake"], pipeline.utc_now()) == []
-    later = pipeline.utc_now() + timedelta(days=91)
-    dropped = pipeline.expire(spark, env["lake"], later)
-    assert "orders/20010101" in dropped and "fx_rates/20010102" in dropped
-    assert read_batches(spark, f"{env['lake']}/raw/orders", LANDED["orders"]).isEmpty()
-    assert not spark.read.parquet(f"{env['lake']}/clean/orders").isEmpty()
-
-
 def test_missing_extract_is_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="customers.csv"):
         read_extract(spark, str(tmp_path), "customers")
@@ -191,14 +186,14 @@ def test_upsert_rewrites_only_the_touched_folders(spark, store, tmp_path):
     t = PartitionedTable(spark, str(tmp_path / "t"), "m")
     jan, feb, mar = (date(2024, i, 1) for i in (1, 2, 3))
     t.replace(spark.createDataFrame([(1, jan, "a"), (2, feb, "b"), (3, mar, "c"), (4, mar, "d")], schema))
-    untouched = {p.name for p in (tmp_path / "t/m=2024-03-01").glob("*.parquet")}
+    untouched = {p.name for p in (tmp_path / "t/v1/m=2024-03-01").glob("*.parquet")}
     # row 2 moves from February, which becomes empty, to January; row 5 is new; a column is added
     delta = spark.createDataFrame([(2, jan, "B", 7), (5, jan, "e", 8)], schema + ", w int")
     t.upsert(delta, "id", store)
     got = sorted((r.id, r.m, r.v, r.w) for r in t.read().collect())
     assert got == [(1, jan, "a", None), (2, jan, "B", 7), (3, mar, "c", None), (4, mar, "d", None), (5, jan, "e", 8)]
-    assert not (tmp_path / "t/m=2024-02-01").exists()
-    assert {p.name for p in (tmp_path / "t/m=2024-03-01").glob("*.parquet")} == untouched
+    assert not (tmp_path / "t/v1/m=2024-02-01").exists()
+    assert {p.name for p in (tmp_path / "t/v1/m=2024-03-01").glob("*.parquet")} == untouched
     assert t.upsert(delta.limit(0), "id", store).count() == 5
 
 
@@ -209,3 +204,58 @@ def test_versions_are_switched_not_overwritten(spark, tmp_path):
     t.replace(t.read().unionByName(spark.createDataFrame([(2, "x")], "id int, y string"), allowMissingColumns=True))
     assert sorted(map(tuple, t.read().collect()), key=str) == [(1, None), (2, "x")]
     assert lake.exists(spark, str(tmp_path / "t/v1"))
+    t.replace(t.read())
+    assert not lake.exists(spark, str(tmp_path / "t/v1")) and lake.exists(spark, str(tmp_path / "t/v2"))
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    (tmp_path / "finance").mkdir()
+    path = tmp_path / "finance/fx_rates.csv"
+    path.write_text('rate_to_usd,note,currency\n1.5,"a, b",EUR\n')
+    assert [tuple(r) for r in read_extract(spark, str(tmp_path), "fx_rates").collect()] == [("EUR", "1.5")]
+    path.write_text("rate,currency\n1.5,EUR\n")
+    with pytest.raises(ValueError, match="rate_to_usd"):
+        read_extract(spark, str(tmp_path), "fx_rates")
+
+
+def test_written_csv_reads_back(spark, tmp_path):
+    rows = [('say "hi"', " a "), ("x,y", "line"), (None, "z")]
+    lake.write_csv(spark.createDataFrame(rows, "a string, b string"), str(tmp_path / "t"))
+    back = spark.read.options(header=True, escape='"').csv(str(tmp_path / "t"))
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_a_failed_test_leaves_the_tables_before_and_publishes_nothing(spark, env, monkeypatch, tmp_path):
+    before = totals(spark, env), core_version(spark, env)
+    broken = spark.createDataFrame([("t", "c", "error", False, 1, "1 rows")], "table_name string, check_name string, severity string, passed boolean, failures long, detail string")
+    with monkeypatch.context() as m:
+        m.setattr(pipeline.checks, "model_tests", lambda built: broken)
+        with pytest.raises(DataQualityError, match="t.c"):
+            pipeline.transform(spark, env["lake"], "bad-tests", full_refresh=True)
+    assert (totals(spark, env), core_version(spark, env)) == before
+    with pytest.raises(DataQualityError, match="failed"):
+        pipeline.publish(spark, env["lake"], str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+    pipeline.transform(spark, env["lake"], "good-tests")
+    assert totals(spark, env) == before[0]
+
+
+def core_version(spark, env):
+    return [pipeline.core_table(spark, env["lake"], n).version() for n in ("fct_orders", "kpi_summary", "dim_customer")]
+
+
+def test_freshness_stops_the_day(spark, env):
+    assert set(pipeline.check_freshness(spark, env["lake"], pipeline.utc_now()).values()) == {"pass"}
+    with pytest.raises(DataQualityError, match="orders"):
+        pipeline.check_freshness(spark, env["lake"], pipeline.utc_now() + timedelta(hours=51))
+
+
+def test_old_batches_leave_the_landing_tables_only(spark, env):
+    assert pipeline.expire(spark, env["lake"], pipeline.utc_now()) == []
+    later = pipeline.utc_now() + timedelta(days=91)
+    dropped = pipeline.expire(spark, env["lake"], later)
+    assert sorted(dropped) == sorted(f"{t}/{b}" for t in ("orders", "order_items") for b in ("20010101", "20010102"))
+    # what is known only from an old batch still belongs to later orders
+    assert not read_batches(spark, f"{env['lake']}/raw/products", LANDED["products"]).isEmpty()
+    assert read_batches(spark, f"{env['lake']}/raw/orders", LANDED["orders"]).isEmpty()
+    assert not spark.read.parquet(f"{env['lake']}/clean/orders").isEmpty()

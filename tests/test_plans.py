@@ -32,9 +32,9 @@ def written_plans(monkeypatch):
 
     plans, write = {}, Store.write
 
-    def spy(self, name, df, partition_by=()):
+    def spy(self, name, df):
         plans[name.rsplit("-", 1)[0]] = plan(df)
-        return write(self, name, df, partition_by)
+        return write(self, name, df)
 
     monkeypatch.setattr(Store, "write", spy)
     return plans

@@ -44,6 +44,11 @@ def test_duplicates_and_orphans_are_counted(spark):
     ids = spark.createDataFrame([(1,), (1,), (2,), (1,)], "id int")
     keys = spark.createDataFrame([(1,), (3,), (None,), (3,)], "fk int")
     assert q.check_unique(ids, "t", ["id"]).first().failures == 2
+    # and it counts NULL as a key
+    assert q.check_unique(keys, "t", ["fk"]).first().failures == 1
+    nulls = keys.unionByName(keys.filter("fk IS NULL"))
+    assert q.check_unique(nulls, "t", ["fk"]).first().failures == 2
+    assert q.check_unique(nulls, "t", ["fk"], nulls_count=False).first().failures == 1
     # the gate counts NULL as an orphan, the model tests do not
     assert q.check_relationship(keys, "t", "fk", ids, "id").first().failures == 3
     assert q.check_relationship(keys, "t", "fk", ids, "id", null_is_orphan=False).first().failures == 2
@@ -71,6 +76,20 @@ def test_scopes_without_rows_still_report(spark):
     }
 
 
+def test_fixed_calendar_ends_can_fail_the_fact(spark, warehouse):
+    from datetime import date
+
+    from ledgerloom.params import Params
+    from ledgerloom.plans import core
+
+    def orphans(**ends):
+        days = core.dim_date(warehouse.fct_orders, Params(**ends))
+        return q.check_relationship(warehouse.fct_orders, "fct_orders", "order_date", days, "date_day").first().failures
+
+    assert orphans(calendar_start=date(1990, 1, 1), calendar_end=date(2002, 1, 1)) == 0
+    assert orphans(calendar_start=date(1998, 1, 1), calendar_end=date(2002, 1, 1)) > 0
+
+
 def test_every_raw_row_is_accounted_for(warehouse):
     from ledgerloom.plans.warehouse import SCOPE
     from ledgerloom.queries import _accounts
