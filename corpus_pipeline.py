@@ -6,35 +6,57 @@ Each stage takes (spark, docs, sf_dir) and works on everything its predecessor k
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, mixing
+from ledgerloom.llm import bpe, exact_dedup, mixing, ngram_join, toxicity
+from ledgerloom.llm.deploy import deployed
 from ledgerloom.sources.store import Store
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def without_toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go. It learns from the labels of documents that are not held out."""
+    labels = deployed(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.without_toxic(docs, labels, Store.for_session(spark))
+
+
 def without_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are equal without white space one stays."""
+    """Of documents that are equal without white space one stays: the longest, then the smallest doc_id."""
     return exact_dedup.kept_rows(docs, Store.for_session(spark))
 
 
-def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links of 80 percent of five-word shingles connect the one with the smallest doc_id stays."""
+    return ngram_join.one_of_each(docs, Store.for_session(deployed(spark)))
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mixed_rows(docs, Store.for_session(spark))
 
 
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, and digests of the ids and of the bytes they decode to, a row for each time a document is taken."""
+    deployed(spark)
+    return bpe.digests(bpe.encoded_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
 STAGES = [
+    ("toxicity", without_toxic_documents),
     ("exact_dedup", without_exact_copies),
-    ("mixing", mixed),
+    ("ngram_join", without_near_copies),
+    ("mixing", mixed_sources),
+    ("bpe", encoded),
 ]
 
-#: Random rounding by hash cannot be written in SQL; the tests compare each stage with a brute-force version.
+#: A learned model and rounding by hash cannot be written in SQL; the tests compare the stages with brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
     store = Store.for_session(spark)
     for name, stage in STAGES:

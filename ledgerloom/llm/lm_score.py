@@ -122,12 +122,12 @@ def _tables(sparse: DataFrame, sizes: list[int]) -> list[np.ndarray]:
 
 def _losses(hashes: np.ndarray, first: np.ndarray, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     """Bits each word costs: the pair's share of the word before it, smoothed by the word's share of all."""
-    slot = _slot(arrays.mixed(hashes), SLOT_BITS)
-    alone = (words[slot] + 1.0) / (words.sum() + len(words))
-    before = np.r_[np.inf, words[slot][:-1]]
+    met = words[_slot(arrays.mixed(hashes), SLOT_BITS)].astype(np.float64)
+    alone = (met + 1.0) / (words.sum(dtype=np.float64) + len(words))
+    before = np.r_[np.inf, met[:-1]]
     starts = first[:-1]
     before[starts[starts < len(hashes)]] = np.inf
-    together = pairs[_slot(_pairs(hashes, first), SLOT_BITS)]
+    together = pairs[_slot(_pairs(hashes, first), SLOT_BITS)].astype(np.float64)
     # the first word of a text follows no word; a slot that several pairs share counts at most what its word has
     trust = np.where(np.isinf(before), 0.0, before)
     together = np.minimum(together, trust)
