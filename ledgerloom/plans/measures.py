@@ -21,15 +21,16 @@ RATE = 6  # decimal places of a rate
 # The colours of a rising and a falling figure.
 RISING, FALLING = "#16A34A", "#DC2626"
 
-# Calendar attributes are functions of the order date, so they need no join with the calendar.
+# Calendar attributes are functions of a day, so they need no join with the calendar.
 DATE_COLUMNS = {
-    "order_month": lambda: F.col("order_month"),
-    "year": lambda: F.year("order_date"),
-    "quarter": lambda: F.quarter("order_date"),
-    "month": lambda: F.month("order_date"),
-    "year_month": lambda: F.date_format("order_month", "yyyy-MM"),
+    "order_month": month_start,
+    "year": F.year,
+    "quarter": F.quarter,
+    "month": F.month,
+    "year_month": lambda day: F.date_format(day, "yyyy-MM"),
 }
 FACT_COLUMNS = ("sales_channel", "status", "currency", "order_date")
+LINE_COLUMNS = ("category",)
 CUSTOMER_COLUMNS = ("segment", "country", "acquisition_channel", "signup_month", "first_order_month")
 
 ORDER_MEASURES = {
@@ -67,6 +68,13 @@ COHORT_MEASURES = {
     "cohort_retention_pct": lambda: ratio(F.sum("active_customers"), F.sum("cohort_customers"), RATE),
     "cohort_cumulative_revenue_per_customer": lambda: F.max("cumulative_revenue_per_customer_usd"),
 }
+# Measures that move the date filter: they need the months around the one they are asked for.
+TIME_MEASURES = (
+    "revenue_pm", "revenue_py", "revenue_ytd", "revenue_rolling_3m", "revenue_mom_pct", "revenue_yoy_pct", "yoy_colour",
+)
+# Measures of who buys for the first time, again, or in the month after.
+FLOW_MEASURES = ("new_customers", "returning_customers", "retained_customers_mom", "customer_retention_rate_mom")
+SHARE_MEASURES = ("revenue_share_pct",)
 
 
 class Measures:
@@ -94,27 +102,32 @@ class Measures:
     # ---- filter context -------------------------------------------------------------------
 
     def _order_grain(self, columns: Sequence[str], where: Column | None) -> DataFrame:
-        orders = self.warehouse.fct_orders
+        revenue_order = F.col("is_revenue_order")
+        sums = [
+            F.sum("net_revenue_usd").alias("net"),
+            F.coalesce(F.sum(F.when(revenue_order, F.col("gross_amount_usd"))), F.lit(0)).alias("gross"),
+            F.coalesce(F.sum(F.when(revenue_order, F.col("discount_amount_usd"))), F.lit(0)).alias("discount"),
+            F.count_if(revenue_order).alias("completed"),
+            F.count_if(F.col("status") == "refunded").alias("refunded"),
+            F.count("*").alias("all_orders"),
+            F.max("order_date").alias("last_date"),
+        ]
+        return self._grain(self.warehouse.fct_orders, FACT_COLUMNS, columns, where, sums)
+
+    def _line_grain(self, columns: Sequence[str], where: Column | None) -> DataFrame:
+        sums = [F.sum("net_revenue_usd").alias("net")]
+        return self._grain(self.warehouse.fct_order_items, LINE_COLUMNS, columns, where, sums)
+
+    def _grain(self, facts, own: Sequence[str], columns: Sequence[str], where: Column | None, sums) -> DataFrame:
+        """One row per customer and requested column of the fact, with the customer's columns."""
         dated = [c for c in columns if c in DATE_COLUMNS]
-        of_fact = [c for c in columns if c in FACT_COLUMNS]
+        of_fact = [c for c in columns if c in own]
         of_customer = [c for c in columns if c in CUSTOMER_COLUMNS]
         unknown = set(columns) - {*dated, *of_fact, *of_customer}
         if unknown:
-            raise ValueError(f"no such column for orders: {sorted(unknown)}")
-        revenue_order = F.col("is_revenue_order")
-        grain = (
-            orders.withColumns({c: DATE_COLUMNS[c]() for c in dated})
-            .groupBy("customer_id", *dated, *of_fact)
-            .agg(
-                F.sum("net_revenue_usd").alias("net"),
-                F.coalesce(F.sum(F.when(revenue_order, F.col("gross_amount_usd"))), F.lit(0)).alias("gross"),
-                F.coalesce(F.sum(F.when(revenue_order, F.col("discount_amount_usd"))), F.lit(0)).alias("discount"),
-                F.count_if(revenue_order).alias("completed"),
-                F.count_if(F.col("status") == "refunded").alias("refunded"),
-                F.count("*").alias("all_orders"),
-                F.max("order_date").alias("last_date"),
-            )
-        )
+            raise ValueError(f"no such column for these measures: {sorted(unknown)}")
+        grain = facts.withColumns({c: DATE_COLUMNS[c](F.col("order_date")) for c in dated})
+        grain = grain.groupBy("customer_id", *dated, *of_fact).agg(*sums)
         # security too applies to one row per customer and requested column: no order is shuffled for it
         if of_customer or self.user is not None:
             grain = grain.join(self.customers.select("customer_id", *of_customer), "customer_id")
@@ -126,30 +139,98 @@ class Measures:
         by: Sequence[str] = (),
         where: Column | None = None,
         where_columns: Sequence[str] = (),
+        dates: Column | None = None,
     ) -> DataFrame:
-        """One row per combination of ``by``. ``where`` may use ``by`` and ``where_columns``."""
+        """One row per combination of ``by``.
+
+        ``where`` may use ``by`` and ``where_columns``. ``dates`` is a filter on date columns of ``by``: measures
+        that move the date filter see beyond it, as do the months before a customer's first one.
+        """
+        asked = [*dict.fromkeys([*by, *where_columns])]
+        line_level = any(c in LINE_COLUMNS for c in asked)
+        grain = self._line_grain if line_level else self._order_grain
+        order_measures = {"total_revenue": ORDER_MEASURES["total_revenue"]} if line_level else ORDER_MEASURES
         catalog = (
-            (ORDER_MEASURES, lambda: self._order_grain([*dict.fromkeys([*by, *where_columns])], where)),
+            (order_measures, lambda: grain(asked, where)),
             (LTV_MEASURES, lambda: self._filtered(self._visible(self.warehouse.customer_ltv), where)),
             (RFM_MEASURES, lambda: self._filtered(self._visible(self.warehouse.rfm_segments), where)),
             (COHORT_MEASURES, lambda: self._filtered(self.warehouse.cohort_retention, where)),
         )
-        result, missing = None, set(measures)
+        parts = []
         for family, base in catalog:
             wanted = [m for m in measures if m in family]
-            if not wanted:
-                continue
-            missing -= set(wanted)
-            part = base().groupBy(*by).agg(*[family[m]().alias(m) for m in wanted])
-            if result is None:
-                result = part
-            elif by:
+            if wanted:
+                parts.append((wanted, base().groupBy(*by).agg(*[family[m]().alias(m) for m in wanted])))
+        for family, build in (
+            (TIME_MEASURES, lambda: self._time_part(by, where, where_columns)),
+            (FLOW_MEASURES, lambda: self._flow_part(by, where, where_columns)),
+            (SHARE_MEASURES, lambda: self._share_part(by, where, where_columns)),
+        ):
+            wanted = [m for m in measures if m in family]
+            if wanted:
+                parts.append((wanted, build().select(*by, *wanted)))
+        missing = set(measures) - {m for wanted, _ in parts for m in wanted}
+        if missing:
+            raise ValueError(f"no such measure for these columns: {sorted(missing)}")
+        result = parts[0][1]
+        for wanted, part in parts[1:]:
+            if by:
                 result = result.join(part, list(by), "full_outer")
             else:
                 result = result.withColumns({m: part.select(m).scalar() for m in wanted})
-        if missing:
-            raise ValueError(f"no such measure: {sorted(missing)}")
-        return result.select(*by, *measures)
+        return self._filtered(result.select(*by, *measures), dates)
+
+    def _time_part(self, by: Sequence[str], where: Column | None, where_columns: Sequence[str]) -> DataFrame:
+        if "order_month" not in by or any(c in DATE_COLUMNS for c in by if c != "order_month"):
+            raise ValueError("measures that move the date filter are asked for by order_month")
+        return self.time_intelligence([c for c in by if c != "order_month"], where, where_columns)
+
+    def _share_part(self, by: Sequence[str], where: Column | None, where_columns: Sequence[str]) -> DataFrame:
+        return self.revenue_share(
+            [c for c in by if c not in DATE_COLUMNS], [c for c in by if c in DATE_COLUMNS], where, where_columns
+        )
+
+    def _flow_part(self, by: Sequence[str], where: Column | None, where_columns: Sequence[str]) -> DataFrame:
+        """New, returning and retained customers in any period and group of customers.
+
+        A purchase counts its customer as a buyer of its period, and as a buyer before the period that the month
+        after it is in. One aggregation per customer and period then replaces the intersection of two sets.
+        """
+        dated = [c for c in by if c in DATE_COLUMNS]
+        others = [c for c in by if c not in DATE_COLUMNS]
+        if set(others) - set(CUSTOMER_COLUMNS) or set(where_columns) - set(CUSTOMER_COLUMNS):
+            raise ValueError("customers are counted by their own columns and dates only")
+        months = self._order_grain([*dict.fromkeys(["order_month", *others, *where_columns])], where)
+        last = months.agg(F.max("order_month").alias("last"))
+        counted = F.array(
+            F.struct(F.col("order_month").alias("day"), F.lit(True).alias("now")),
+            F.struct(F.add_months("order_month", 1).alias("day"), F.lit(False).alias("now")),
+        )
+        seen = months.filter("completed > 0").select("customer_id", *others, F.explode(counted).alias("m"))
+        seen = seen.filter(F.col("m.day") <= last.scalar())
+        seen = seen.select("customer_id", *others, "m.now", *[DATE_COLUMNS[c](F.col("m.day")).alias(c) for c in dated])
+        buyers = (
+            seen.groupBy("customer_id", *by)
+            .agg(F.bool_or("now").alias("now"), F.bool_or(~F.col("now")).alias("before"))
+            .groupBy(*by)
+            .agg(
+                F.count_if("now").alias("_active"),
+                F.count_if("before").alias("_before"),
+                F.count_if(F.col("now") & F.col("before")).alias("retained_customers_mom"),
+            )
+        )
+        first = self._filtered(self.customers.filter(F.col("first_order_date").isNotNull()), where)
+        first = first.withColumns({c: DATE_COLUMNS[c](F.col("first_order_date")) for c in dated})
+        first = first.groupBy(*by).agg(F.count("*").alias("_new"))
+        both = buyers.join(first, list(by), "left") if by else buyers.withColumn("_new", first.scalar())
+        new = F.coalesce("_new", F.lit(0))
+        return both.select(
+            *by,
+            new.alias("new_customers"),
+            (F.col("_active") - new).alias("returning_customers"),
+            "retained_customers_mom",
+            ratio(F.col("retained_customers_mom"), F.col("_before"), RATE).alias("customer_retention_rate_mom"),
+        )
 
     @staticmethod
     def _filtered(df: DataFrame, where: Column | None) -> DataFrame:
@@ -157,10 +238,12 @@ class Measures:
 
     # ---- measures that move the date filter -------------------------------------------------
 
-    def time_intelligence(self, by: Sequence[str] = ()) -> DataFrame:
+    def time_intelligence(
+        self, by: Sequence[str] = (), where: Column | None = None, where_columns: Sequence[str] = ()
+    ) -> DataFrame:
         """Previous month and year, year to date and rolling quarter on a dense calendar."""
         orders = self._visible(self.warehouse.fct_orders)
-        sold = self.evaluate(["total_revenue"], ["order_month", *by])
+        sold = self.evaluate(["total_revenue"], ["order_month", *by], where, where_columns)
         span = orders.agg(F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"))
         if by:
             ends = {c: span.select(c).scalar() for c in span.columns}
@@ -191,11 +274,22 @@ class Measures:
         rising = F.coalesce(F.col("revenue_yoy_pct"), F.lit(0)) >= 0
         return changed.withColumn("yoy_colour", F.when(rising, RISING).otherwise(FALLING))
 
-    def revenue_share(self, by: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    def revenue_share(
+        self,
+        by: Sequence[str],
+        within: Sequence[str] = (),
+        where: Column | None = None,
+        where_columns: Sequence[str] = (),
+    ) -> DataFrame:
         """Share of the revenue of all selected customers, per ``within``."""
-        sold = self.evaluate(["total_revenue"], [*within, *by])
-        whole = F.sum("total_revenue").over(Window.partitionBy(*within))
-        return sold.withColumn("revenue_share_pct", ratio(cents(F.col("total_revenue")), cents(whole), RATE))
+        sold = self.evaluate(["total_revenue"], [*within, *by], where, where_columns)
+        if within:
+            whole = sold.groupBy(*within).agg(F.sum("total_revenue").alias("_whole"))
+            sold = sold.join(whole, list(within))
+        else:
+            sold = sold.withColumn("_whole", sold.agg(F.sum("total_revenue")).scalar())
+        share = ratio(cents(F.col("total_revenue")), cents(F.col("_whole")), RATE)
+        return sold.select(*within, *by, "total_revenue", share.alias("revenue_share_pct"))
 
     def customer_activity(self) -> DataFrame:
         """Active, new and returning customers by month."""

@@ -22,7 +22,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "2001-12-03 12:00:00"  # "now" for the queries over the derived feed
 LOG_AS_OF = "2024-01-31 00:00:00"  # "now" for the queries over the run logs
-REGIONAL_USER = "emea.manager@example.com"
+REGIONAL_USER = "EMEA.Manager@example.com"  # addresses are compared in any case
+EXECUTIVE = "executive@example.com"
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -40,8 +41,8 @@ def _on_warehouse(build: Callable[[Warehouse], DataFrame]) -> Query:
     return lambda spark, sf_dir: present(build(open_warehouse(spark, sf_dir)))
 
 
-def _on_measures(build: Callable[[Measures], DataFrame], user: str | None = None) -> Query:
-    return lambda spark, sf_dir: present(build(Measures(open_warehouse(spark, sf_dir), spark, user)))
+def _on_measures(build: Callable[[Measures], DataFrame], user: str | None = None, restricted: bool = True) -> Query:
+    return lambda spark, sf_dir: present(build(Measures(open_warehouse(spark, sf_dir), spark, user, restricted)))
 
 
 def _on_events(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -157,6 +158,41 @@ QUERIES: dict[str, Query] = {
     "measure_revenue_share": _on_measures(lambda m: m.revenue_share(["segment"], ["year"])),
     "measures_customers": _on_measures(lambda m: m.customer_activity()),
     "measure_retained_mom": _on_measures(lambda m: m.retained_month_over_month()),
+    "measures_customer_flow": _on_measures(
+        lambda m: m.evaluate(
+            [
+                "active_customers",
+                "new_customers",
+                "returning_customers",
+                "retained_customers_mom",
+                "customer_retention_rate_mom",
+            ],
+            ["year_month", "segment"],
+        )
+    ),
+    "measures_customer_flow_by_year": _on_measures(
+        lambda m: m.evaluate(
+            ["new_customers", "returning_customers", "retained_customers_mom"],
+            ["year", "country"],
+            F.col("segment") == "SMB",
+            ["segment"],
+        )
+    ),
+    "measures_yoy_by_segment": _on_measures(
+        lambda m: m.evaluate(
+            ["total_revenue", "revenue_py", "revenue_yoy_pct", "yoy_colour"],
+            ["order_month", "segment"],
+            F.col("country") == "DE",
+            ["country"],
+            dates=F.year("order_month") == 2000,
+        )
+    ),
+    "measures_category": _on_measures(
+        lambda m: m.evaluate(["total_revenue", "revenue_share_pct"], ["year", "category"]), REGIONAL_USER
+    ),
+    "measures_executive": _on_measures(
+        lambda m: m.evaluate(["total_revenue", "active_customers", "revenue_share_pct"], ["country"]), EXECUTIVE, False
+    ),
     "measures_ltv": _on_measures(
         lambda m: m.evaluate(
             [

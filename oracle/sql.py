@@ -995,6 +995,60 @@ Q: dict[str, str] = {
                    (SELECT count(*) FROM buyers b JOIN buyers p ON p.customer_id = b.customer_id
                      AND p.m = (b.m - INTERVAL 1 MONTH)::DATE WHERE b.m = s.m) AS retained_customers_mom
             FROM spans s WHERE s.m <= (SELECT max(order_month) FROM facts))""",
+    "measures_customer_flow": f"""
+        WITH b AS (SELECT DISTINCT o.customer_id, c.segment, o.order_month AS m FROM facts o JOIN customers c USING (customer_id)
+                   WHERE o.is_revenue_order),
+        f AS (SELECT customer_id, segment, m, bool_or(cur) AS cur, bool_or(NOT cur) AS prv
+              FROM (SELECT *, true AS cur FROM b UNION ALL SELECT customer_id, segment, (m + INTERVAL 1 MONTH)::DATE, false FROM b)
+              WHERE m <= (SELECT max(order_month) FROM facts) GROUP BY 1, 2, 3),
+        g AS (SELECT m, segment, count(*) FILTER (cur) AS a, count(*) FILTER (prv) AS p, count(*) FILTER (cur AND prv) AS r
+              FROM f GROUP BY 1, 2),
+        n AS (SELECT first_order_month AS m, segment, count(*) AS n FROM customers GROUP BY 1, 2)
+        SELECT strftime(x.m, '%Y-%m') AS year_month, x.segment, x.act AS active_customers,
+               CASE WHEN g.m IS NOT NULL THEN coalesce(n.n, 0) END AS new_customers,
+               g.a - coalesce(n.n, 0) AS returning_customers, g.r AS retained_customers_mom,
+               {rate("g.r", "g.p", 6)} AS customer_retention_rate_mom
+        FROM (SELECT coalesce(g.m, o.m) AS m, coalesce(g.segment, o.segment) AS segment, o.act
+              FROM g FULL JOIN (SELECT o.order_month AS m, c.segment, count(DISTINCT o.customer_id) FILTER (is_revenue_order) AS act
+                                FROM facts o JOIN customers c USING (customer_id) GROUP BY 1, 2) o
+                ON o.m = g.m AND o.segment = g.segment) x
+        LEFT JOIN g ON g.m = x.m AND g.segment = x.segment
+        LEFT JOIN n ON n.m = x.m AND n.segment = x.segment AND g.m IS NOT NULL""",
+    "measures_customer_flow_by_year": """
+        WITH b AS (SELECT DISTINCT o.customer_id, c.country, o.order_month AS m FROM facts o JOIN customers c USING (customer_id)
+                   WHERE o.is_revenue_order AND c.segment = 'SMB'),
+        f AS (SELECT customer_id, country, year(m) AS y, bool_or(cur) AS cur, bool_or(NOT cur) AS prv
+              FROM (SELECT *, true AS cur FROM b UNION ALL SELECT customer_id, country, (m + INTERVAL 1 MONTH)::DATE, false FROM b)
+              WHERE m <= (SELECT max(o.order_month) FROM facts o JOIN customers c USING (customer_id) WHERE c.segment = 'SMB')
+              GROUP BY 1, 2, 3),
+        n AS (SELECT year(first_order_date) AS y, country, count(*) AS n FROM customers
+              WHERE segment = 'SMB' AND first_order_date IS NOT NULL GROUP BY 1, 2)
+        SELECT f.y AS year, f.country, coalesce(max(n.n), 0) AS new_customers,
+               count(*) FILTER (f.cur) - coalesce(max(n.n), 0) AS returning_customers,
+               count(*) FILTER (f.cur AND f.prv) AS retained_customers_mom
+        FROM f LEFT JOIN n ON n.y = f.y AND n.country = f.country GROUP BY 1, 2""",
+    "measures_yoy_by_segment": f"""
+        SELECT order_month, segment, {usd("rev")} AS total_revenue, {usd("py")} AS revenue_py,
+               {rate("coalesce(rev, 0) - py", "py", 6)} AS revenue_yoy_pct,
+               CASE WHEN coalesce({rate("coalesce(rev, 0) - py", "py", 6)}, 0) >= 0 THEN '#16A34A' ELSE '#DC2626' END
+                   AS yoy_colour
+        FROM (
+            SELECT m.order_month, g.segment, r.rev, lag(r.rev, 12) OVER (PARTITION BY g.segment ORDER BY m.order_month) AS py
+            FROM months m
+            JOIN (SELECT DISTINCT c.segment FROM facts o JOIN customers c USING (customer_id) WHERE c.country = 'DE') g ON true
+            LEFT JOIN (SELECT o.order_month, c.segment, sum(o.net_cents) AS rev FROM facts o JOIN customers c USING (customer_id)
+                       WHERE c.country = 'DE' GROUP BY 1, 2) r ON r.order_month = m.order_month AND r.segment = g.segment)
+        WHERE year(order_month) = 2000""",
+    "measures_category": f"""
+        SELECT year, category, {usd("cents")} AS total_revenue,
+               {rate("cents", "sum(cents) OVER (PARTITION BY year)", 6)} AS revenue_share_pct
+        FROM (SELECT year(l.order_date) AS year, l.category, sum(l.net_cents) AS cents FROM lines l
+              JOIN customers c USING (customer_id) WHERE c.country IN ('GB', 'DE', 'FR') GROUP BY 1, 2)""",
+    "measures_executive": f"""
+        SELECT country, {usd("cents")} AS total_revenue, n AS active_customers,
+               {rate("cents", "sum(cents) OVER ()", 6)} AS revenue_share_pct
+        FROM (SELECT c.country, sum(o.net_cents) AS cents, count(DISTINCT o.customer_id) FILTER (o.is_revenue_order) AS n
+              FROM facts o JOIN customers c USING (customer_id) GROUP BY 1)""",
     "measures_ltv": f"""
         SELECT segment, {rate("sum(cents)", "count(*) * 100", 2)} AS avg_customer_ltv,
                {rate("sum(clv)", "count(*) * 100", 2)} AS avg_predicted_clv,
