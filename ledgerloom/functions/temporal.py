@@ -51,6 +51,18 @@ def parse_utc(text: Column) -> Column:
     return F.timestamp_add("MINUTE", -offset, plain)
 
 
+_EPOCH = "1970-01-01 00:00:00"
+
+
+def as_instant(utc: Column) -> Column:
+    """Zone-free UTC as an instant, whatever the session zone. Streams count their event time in instants."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", moment(_EPOCH), utc))
+
+
+def as_utc(instant: Column) -> Column:
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), moment(_EPOCH))
+
+
 def days_before(ts: Column, days: int) -> Column:
     return ts - F.make_dt_interval(days=F.lit(days))
 

@@ -10,13 +10,14 @@ from pyspark.sql.types import DecimalType, IntegerType
 
 from ledgerloom.functions.temporal import moment
 from ledgerloom.operators.security import masked
-from ledgerloom.plans import checks, marts, monitoring
+from ledgerloom.plans import checks, core, marts, monitoring, pipeline
 from ledgerloom.plans.cleaning import Cleaned
 from ledgerloom.plans.measures import Measures
 from ledgerloom.plans.warehouse import SCOPE, Warehouse, open_warehouse
 from ledgerloom.sources import feed, lake
-from ledgerloom.sources.schemas import TABLES
-from ledgerloom.streaming.orders import latest_from_stream
+from ledgerloom.sources.extracts import SOURCES, read_extract
+from ledgerloom.sources.schemas import EXTRACT_COLUMNS, LANDED, TABLES
+from ledgerloom.streaming.orders import latest_from_stream, once_from_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +84,48 @@ def _raw_batch_replace(w: Warehouse) -> DataFrame:
     )
 
 
+def _extract_round_trip(w: Warehouse, table: str) -> DataFrame:
+    """The first delivery of an extract, written with its columns in another order and read again."""
+    spec, columns = SOURCES[table], EXTRACT_COLUMNS[table]
+    base = w.store.path(w.store.unique("extract"))
+    rows = w.extracts[table].filter(F.col("_batch_id") == w.first_batch).select(*reversed(columns))
+    if spec.format == "csv":
+        lake.write_csv(rows, f"{base}/{spec.system}/{spec.file}")
+    else:
+        rows.write.option("ignoreNullFields", False).json(f"{base}/{spec.system}/{spec.file}")
+    return read_extract(w.store.spark, base, table)
+
+
+def _quarantine_round_trip(w: Warehouse) -> DataFrame:
+    base = w.store.path(w.store.unique("quarantine"))
+    pipeline.write_quarantine({"order_items": w.rejects("order_items")}, base, "b")
+    return w.store.spark.read.options(header=True, escape='"').csv(f"{base}/rejects/order_items/batch_id=b")
+
+
+def _staged_load(w: Warehouse) -> DataFrame:
+    """Clean products staged under upper-case names and loaded twice as one batch."""
+    base = w.store.path(w.store.unique("staged"))
+    rows = w.raw("products", w.first_batch).drop("_batch_id")
+    rows.toDF(*[c.upper() for c in rows.columns]).write.parquet(f"{base}/clean/batch_id=b")
+    for _ in range(2):
+        lake.load_staged(w.store.spark, f"{base}/clean", f"{base}/raw", LANDED["products"], "b")
+    return lake.read_batches(w.store.spark, f"{base}/raw", LANDED["products"])
+
+
+def _fact_in_folders(w: Warehouse) -> DataFrame:
+    """The order fact of the first batch in month folders, updated in place by the delta of the next."""
+    facts = lake.PartitionedTable(w.store.spark, w.store.path(w.store.unique("facts")), "order_month")
+    facts.replace(w.first_load_orders)
+    return facts.upsert(core.fct_orders(w.changed_orders, w.changed_lines), "order_id", w.store)
+
+
+def _exported_customers(w: Warehouse) -> DataFrame:
+    path = w.store.path(w.store.unique("export"))
+    lake.write_csv(masked(w.dim_customer, "reporter"), path)
+    back = w.store.spark.read.options(header=True, escape='"').csv(path)
+    return back.select("customer_id", "full_name", "email", "country", "completed_orders")
+
+
 def _dim_customer_masked(w: Warehouse) -> DataFrame:
     return masked(w.dim_customer, "reporter").select("customer_id", "email", "country")
 
@@ -116,7 +159,13 @@ QUERIES: dict[str, Query] = {
     # landing and staging
     "raw_batch_replace": _on_warehouse(_raw_batch_replace),
     **{f"stg_{t}": _node(f"stg_{t}") for t in TABLES},
+    "extract_csv": _on_warehouse(lambda w: _extract_round_trip(w, "order_items")),
+    "extract_jsonl": _on_warehouse(lambda w: _extract_round_trip(w, "orders")),
+    "quarantine_csv": _on_warehouse(_quarantine_round_trip),
+    "staged_load": _on_warehouse(_staged_load),
     # facts and dimensions
+    "fct_orders_in_folders": _on_warehouse(_fact_in_folders),
+    "export_customers": _on_warehouse(_exported_customers),
     "order_items_converted": _node("order_items_converted"),
     "fct_order_items": _node("fct_order_items"),
     "fct_orders": _node("fct_orders"),
@@ -238,4 +287,5 @@ QUERIES: dict[str, Query] = {
     ),
     # streaming
     "stream_orders_latest": _on_warehouse(latest_from_stream),
+    "stream_orders_once": _on_warehouse(once_from_stream),
 }

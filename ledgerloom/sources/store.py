@@ -7,6 +7,7 @@ row positions that later steps rely on.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
@@ -16,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+_own_folders: set[str] = set()
 _local_roots: dict[str, tempfile.TemporaryDirectory] = {}
 
 
@@ -32,6 +34,13 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[app].name
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext._jsc is None:  # stopped: nothing can be reached any more
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @dataclass(frozen=True)
 class Store:
     """A folder of tables, each written once."""
@@ -41,8 +50,12 @@ class Store:
 
     @classmethod
     def for_session(cls, spark: SparkSession) -> Store:
-        folder = f"{shared_root(spark)}/ledgerloom/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-        return cls(spark, folder)
+        """A store of its own below the folder of this application, which goes when the driver ends."""
+        own = f"{shared_root(spark)}/ledgerloom/{spark.sparkContext.applicationId}"
+        if own not in _own_folders:
+            _own_folders.add(own)
+            atexit.register(_remove, spark, own)
+        return cls(spark, f"{own}/{uuid.uuid4().hex}")
 
     @classmethod
     @contextmanager
@@ -52,8 +65,7 @@ class Store:
         try:
             yield store
         finally:
-            path = spark._jvm.org.apache.hadoop.fs.Path(store.root)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            _remove(spark, store.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

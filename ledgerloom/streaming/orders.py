@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerloom.functions.temporal import as_instant, as_utc, parse_utc
+from ledgerloom.functions.text import strip
 from ledgerloom.operators.rules import REASON, rejected
 from ledgerloom.plans.cleaning import judge_orders, settle, split_empty_orders
 from ledgerloom.plans.staging import stg_orders
@@ -95,3 +97,27 @@ def latest_from_stream(warehouse) -> DataFrame:
     stamped = landed.withColumn("_loaded_at", F.element_at(loads, F.col("_batch_id")).cast("timestamp_ntz"))
     # the same rule as for files: an order without accepted lines is not staged
     return stg_orders(split_empty_orders(stamped, warehouse.settled_order_items, ["_batch_id"])[0])
+
+
+def once_from_stream(warehouse) -> DataFrame:
+    """Deliver the order feed twice as files and stream it without exact re-deliveries."""
+    spark, store = warehouse.store.spark, warehouse.store
+    base = store.path(store.unique("stream"))
+    rows = warehouse.extracts["orders"].select(
+        F.upper(strip(F.col("order_id"))).alias("order_id"),
+        as_instant(parse_utc(F.col("ingested_at"))).alias("ingested_at"),
+    )
+    for _ in range(2):
+        rows.write.mode("append").parquet(f"{base}/feed")
+    feed = spark.readStream.schema(rows.schema).parquet(f"{base}/feed")
+    query = (
+        without_exact_redeliveries(feed, "ingested_at")
+        .writeStream.format("parquet")
+        .option("path", f"{base}/once")
+        .option("checkpointLocation", f"{base}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    once = spark.read.schema(rows.schema).parquet(f"{base}/once")
+    return once.withColumn("ingested_at", as_utc(F.col("ingested_at")))

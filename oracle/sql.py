@@ -855,6 +855,18 @@ Q: dict[str, str] = {
     "quantity::BIGINT AS quantity, unit_price::DOUBLE AS unit_price_local, _loaded_at FROM stg_order_items",
     "stg_products": "SELECT product_id, product_name, category, list_price_usd::DOUBLE AS list_price_usd FROM stg_products",
     "stg_fx_rates": "SELECT currency, rate_to_usd::DOUBLE AS rate_to_usd FROM stg_fx_rates",
+    "extract_csv": "SELECT order_id, line_number, product_id, quantity, nullif(unit_price, 'NaN') AS unit_price "
+    "FROM x_order_items WHERE _batch_id = 'b1'",
+    "extract_jsonl": "SELECT order_id, customer_id, order_ts, currency, status, sales_channel, discount_pct, ingested_at "
+    "FROM x_orders WHERE _batch_id = 'b1'",
+    "quarantine_csv": "SELECT order_id, line_number::VARCHAR AS line_number, product_id, quantity::VARCHAR AS quantity, "
+    "unit_price::VARCHAR AS unit_price, _batch_id, reject_reason FROM j_order_items WHERE reject_reason IS NOT NULL",
+    "staged_load": "SELECT product_id, product_name, category, list_price_usd::DOUBLE AS list_price_usd, _loaded_at, "
+    "'b' AS _batch_id FROM raw_products WHERE _batch_id = 'b1'",
+    "export_customers": "SELECT customer_id, full_name, '*****' || substr(email, strpos(email, '@')) AS email, country, "
+    "completed_orders::VARCHAR AS completed_orders FROM customers",
+    "stream_orders_once": f"SELECT DISTINCT upper({strip('order_id')}) AS order_id, {as_utc('ingested_at')} AS ingested_at "
+    "FROM x_orders",
     "order_items_converted": f"SELECT {LINE_COLUMNS} FROM lines",
     "fct_order_items": f"SELECT {LINE_COLUMNS} FROM lines",
     "fct_orders": f"SELECT {ORDER_COLUMNS} FROM facts",
@@ -868,6 +880,11 @@ Q: dict[str, str] = {
             SELECT * FROM delta_facts
             UNION ALL
             SELECT * FROM facts1 WHERE order_id NOT IN (SELECT order_id FROM delta_facts))""",
+    "fct_orders_in_folders": f"""
+        SELECT {ORDER_COLUMNS} FROM (
+            SELECT * FROM delta_facts
+            UNION ALL
+            SELECT * FROM facts1 WHERE order_id NOT IN (SELECT order_id FROM delta_facts))""",
     "dim_customer": f"SELECT * EXCLUDE (cents), {usd('cents')} AS lifetime_revenue_usd FROM customers",
     "dim_customer_history": """
         SELECT customer_version_key, customer_id, segment, country, acquisition_channel, valid_from,
