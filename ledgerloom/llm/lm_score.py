@@ -6,7 +6,7 @@ twice (others are one unknown word). A document's score is the mean over its wor
 background's, in bits: the lower, the more it is like the target.
 
 Counts cover every document. They are kept in tables of a fixed number of slots that words and word pairs are hashed
-to (``SLOTS``, 8 MB each), so the broadcast models have one size for any corpus; tasks add up their own counts
+to (``SLOTS``, 4 MB each), so the broadcast models have one size for any corpus; tasks add up their own counts
 first and pass on the slots they have met.
 """
 
@@ -25,9 +25,9 @@ from ledgerloom.llm.bits import possible_members
 from ledgerloom.llm.words import whole
 from ledgerloom.sources.store import Store
 
-SLOT_BITS = 21
+SLOT_BITS = 20
 SLOTS = 1 << SLOT_BITS
-VOCABULARY_BITS = 22
+VOCABULARY_BITS = 21
 SMOOTHING = 4.0  # words' worth of trust in the unigrams
 _PIECE = 1 << 18  # slots in a piece of a table
 _U = np.uint64
@@ -107,15 +107,15 @@ def _added(table: pa.Table) -> pa.Table:
     total = np.zeros(_PIECE, dtype=np.int64)
     for slots, counts in zip(table.column("slots").to_pylist(), table.column("counts").to_pylist(), strict=True):
         total[np.frombuffer(slots, dtype=np.uint32)] += np.frombuffer(counts, dtype=np.uint32)
-    return pa.table({"piece": table.column("piece")[:1], "sums": pa.array([total.astype(np.float64).tobytes()], pa.binary())})
+    return pa.table({"piece": table.column("piece")[:1], "sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
 
 def _tables(sparse: DataFrame, sizes: list[int]) -> list[np.ndarray]:
     """The whole tables; their size is fixed."""
-    out = [np.zeros(n) for n in sizes]
+    out = [np.zeros(n, dtype=np.float32) for n in sizes]
     for r in sparse.groupBy("piece").applyInArrow(_added, "piece long, sums binary").collect():
         table, piece = divmod(r["piece"], 256)
-        sums = np.frombuffer(r["sums"])
+        sums = np.frombuffer(r["sums"], dtype=np.float32)
         out[table][piece * _PIECE : (piece + 1) * _PIECE] = sums[: len(out[table]) - piece * _PIECE]
     return out
 
@@ -170,12 +170,12 @@ def cross_entropy_difference(docs: DataFrame, wanted: DataFrame, store: Store) -
     target = target_texts(docs, wanted, store)
     kinds = "piece long, slots binary, counts binary"
     (seen,) = _tables(target.mapInArrow(_word_counts, kinds), [1 << VOCABULARY_BITS])
-    vocabulary = spark.sparkContext.broadcast(seen >= 2)  # 4 MB
+    vocabulary = spark.sparkContext.broadcast(seen >= 2)  # 2 MB
     counts = target.mapInArrow(_model_counts(vocabulary, 0), kinds).unionByName(
         texts.mapInArrow(_model_counts(vocabulary, 2), kinds)
     )
-    tables = [t.astype(np.float32) for t in _tables(counts, [SLOTS] * 4)]
-    models = spark.sparkContext.broadcast([tuple(tables[:2]), tuple(tables[2:])])  # 32 MB
+    tables = _tables(counts, [SLOTS] * 4)
+    models = spark.sparkContext.broadcast([tuple(tables[:2]), tuple(tables[2:])])  # 16 MB
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = docs.select("doc_id", whole("text").alias("text")).mapInArrow(
         _scores(vocabulary, models), f"doc_id {kind}, n_words long, target_bits double, background_bits double"
