@@ -65,7 +65,11 @@ class Store:
         try:
             yield store
         finally:
-            _remove(spark, store.root)
+            store.remove()
+
+    def remove(self) -> None:
+        """Delete all its tables; nothing that still reads them can be evaluated any more."""
+        _remove(self.spark, self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
