@@ -13,13 +13,13 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +30,13 @@ PER_TASK = 1 << 11  # entries a task proposes for it
 _HELD = 1 << 18  # entries a worker holds besides, and distinct pre-tokens a task counts at a time
 _LONGEST = 64  # code points of a pre-token that is held
 
-#: Fixed value: the split of byte-level BPE, with its white space written out.
-_SPACE = r"[\t\n\r \xa0]"
-_SPLIT = regex.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^\t\n\r \xa0\p{{L}}\p{{N}}]+|{_SPACE}+(?![^\t\n\r \xa0])|{_SPACE}+"
+# The split of byte-level BPE, over characters whose class no Unicode version changes.
+_SPACE, _LETTER, _NUMBER = r"\t\n\r \xa0", r"A-Za-zªµº\xc0-\xd6\xd8-\xf6\xf8-ɏ", r"0-9²³¹¼½¾"
+_SPLIT = re.compile(
+    rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+"
+    rf"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
-_UNSURE = regex.compile(r"[^\t\n\r -~\xa0-ɏ‐-‧‰-⁞€]")
+_UNSURE = re.compile(r"[^\t\n\r -~\xa0-ɏ‐-‧‰-⁞€]")
 
 
 @lru_cache(maxsize=2)
@@ -84,12 +85,24 @@ class Lengths(dict):
         return n
 
 
+_lengths: dict[tuple[str, int], Lengths] = {}
+
+
+def worker_lengths(table: dict[str, int], path: str) -> Lengths:
+    """The lengths that all tasks of a worker share for a table."""
+    key = (path, hash(frozenset(table.items())))
+    if key not in _lengths:
+        _lengths.clear()
+        _lengths[key] = Lengths(table, path)
+    return _lengths[key]
+
+
 class Counting:
     """Counts the tokens of texts."""
 
     def __init__(self, table: dict[str, int], path: str):
         self.path, self.special = path, special_strings(path)
-        self.lengths = Lengths(table, path)
+        self.lengths = worker_lengths(table, path)
 
     def count(self, text: str) -> int:
         if self.special is None or _UNSURE.search(text) is not None:

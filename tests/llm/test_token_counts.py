@@ -46,9 +46,23 @@ def test_another_kind_of_tokenizer(spark, make_docs):
     assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in out} == expected(rows, path)
 
 
+def test_split_is_that_of_the_library():
+    import regex
+
+    pattern = regex.compile(public_tokenizers.PATTERN)
+    rng = random.Random(3)
+    safe = [chr(c) for c in [9, 10, 13, *range(32, 127), *range(0xA0, 0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205F), 0x20AC]]
+    for _ in range(3000):
+        text = "".join(rng.choice(safe) if rng.random() < 0.5 else rng.choice("a b'sltvemrd 1\n\xa0.") for _ in range(30))
+        assert token_counts._UNSURE.search(text) is None
+        assert token_counts._SPLIT.findall(text) == pattern.findall(text)
+
+
 def test_full_cache_starts_again(monkeypatch):
     monkeypatch.setattr(token_counts, "_HELD", 3)
     counting = token_counts.Counting({" the": 1}, PATH)
+    assert token_counts.Counting({" the": 1}, PATH).lengths is counting.lengths
+    assert token_counts.Counting({" a": 1}, PATH).lengths is not counting.lengths
     text = " ".join(f"alpha{i} the beta{i % 5}" for i in range(50))
     assert counting.count(text) == token_counts.count_by_library(text, PATH)
     assert len(counting.lengths) <= 4
