@@ -12,6 +12,11 @@ from pyspark.sql import DataFrame
 _PIECE = 21  # bits in a piece: 256 kB
 
 
+def pieces(bits: int) -> int:
+    """Number of pieces of a set of 2**``bits`` bits."""
+    return 1 << max(bits - _PIECE, 0)
+
+
 def packed(bits: np.ndarray) -> list[tuple[int, bytes]]:
     """Distinct bit numbers (uint32) as one binary per piece of the set."""
     bits = np.unique(bits.astype(np.uint32))

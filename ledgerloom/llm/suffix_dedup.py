@@ -2,7 +2,7 @@
 
 **Anchors.** Of the 27 strings of 24 bytes in a window of 50 bytes, those with the lowest hash are its anchors. Equal
 windows have equal anchors, so a repeated window has an anchor that is met in several documents. A first pass finds
-the anchors met more than once and keeps them in a bit set of fixed size.
+the anchors met more than once and keeps them in a bit set.
 
 **Contexts.** All windows with a given anchor lie in the 76 bytes around it, its context. A second pass sends anchor
 and context hash of the repeated ones. Where the same context is met in a smaller document, all its windows are
@@ -14,7 +14,12 @@ match lengths are computed at the sampled run ends only. Streaming over the text
 match that does not start a run is one shorter than the match before it. Suffixes with matches of 50 or more are
 one set of equal windows, of which the first document keeps its own.
 
-Every bucket, bit set and array is bounded by the input of a task, a fixed size or a document.
+**Hot anchors.** An anchor that more than ``HOT`` documents of one task have may have a context for every third
+document, too many for one bucket. Its windows are compared as such, by their hashes: a task passes on the first
+document of each distinct window, so a window costs one entry per task however often it is met.
+
+The bit sets have a bit for every eight bytes of text up to ``MAX_BITS`` (256 MB broadcast at most); beyond that
+they let more through to the buckets, and the result is the same. Every bucket holds an even share of the input.
 """
 
 from __future__ import annotations
@@ -41,8 +46,11 @@ _STARTS = SIDE + 1  # windows in a context
 _GAP = 255  # no byte of UTF-8
 _MARGIN = 128
 _BLOCK = 1 << 20  # bytes laid out at a time
+_LINES = 4096  # contexts of one index, about
 _HELD = 3_000_000  # anchors a task holds before it passes them on
-_BITS = 28  # bits of a bit set: 32 MB
+HOT = 2000  # documents of a task with the same anchor
+MIN_BITS, MAX_BITS = 22, 31  # bits of a bit set, as powers of two
+_HOT_BITS = 22  # of that of hot anchors
 _U = np.uint64
 _LAST = np.iinfo(np.int64).max  # a null doc_id
 
@@ -71,12 +79,32 @@ class Anchors:
     context: np.ndarray
     laid: np.ndarray
     place: np.ndarray
+    runs: dict[int, np.ndarray]
+    is_start: np.ndarray
+
+    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The windows around the chosen anchors: number of the text, start in it, hash."""
+        place = ((self.place[chosen] - SIDE)[:, None] + np.arange(_STARTS)).ravel()
+        row = np.repeat(self.row[chosen], _STARTS)
+        at = ((self.at[chosen] - SIDE)[:, None] + np.arange(_STARTS)).ravel()
+        whole_ = self.is_start[place]
+        place, row, at = place[whole_], row[whole_], at[whole_]
+        return row, at, arrays.mixed(_joined(self.runs, place, (16, 16, 16, 2)))
 
     def text(self, chosen: np.ndarray) -> np.ndarray:
         """The bytes of the chosen contexts, one per line."""
         return self.laid[(self.place[chosen] - SIDE)[:, None] + np.arange(CONTEXT)]
 
 
+def _joined(runs: dict[int, np.ndarray], place: np.ndarray, widths: tuple[int, ...]) -> np.ndarray:
+    """Hash of the string from each place that is as long as the widths together."""
+    total, done = np.zeros(len(place), dtype=_U), 0
+    for width in widths:
+        total = total * _power(width) + runs[width][place + done]
+        done += width
+    return total
+
+
 def _parts(offsets: np.ndarray) -> Iterator[list[tuple[int, int, int, int, int]]]:
     """(text, from, to, core from, core to) in blocks; a long text in parts that overlap by a margin."""
     block, total = [], 0
@@ -124,19 +152,22 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> Iterator[Anchors]:
         at = place - first[part] + starts[part]
         core = (at >= lows[part]) & (at < highs[part])
         place, part, at = place[core], part[core], at[core]
-        total, done = np.zeros(len(place), dtype=_U), 0
-        for width in (16, 16, 16, 16, 8, 4):
-            total = total * _power(width) + runs[width][place - SIDE + done]
-            done += width
-        yield Anchors(rows[part], at, arrays.mixed(hashed[place]), arrays.mixed(total), laid, place)
+        context = arrays.mixed(_joined(runs, place - SIDE, (16, 16, 16, 16, 8, 4)))
+        yield Anchors(rows[part], at, arrays.mixed(hashed[place]), context, laid, place, runs, is_start)
 
 
-def _key_bit(key: np.ndarray) -> np.ndarray:
-    return (key >> _U(64 - _BITS)).astype(np.uint32)
+def set_bits(docs: DataFrame) -> int:
+    """Bits of a bit set for these texts, as a power of two."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(max((size // 8).bit_length(), MIN_BITS), MAX_BITS)
 
 
-def _context_bit(key: np.ndarray, context: np.ndarray) -> np.ndarray:
-    return _key_bit(arrays.mixed(key ^ context))
+def _key_bit(key: np.ndarray, bits: int) -> np.ndarray:
+    return (key >> _U(64 - bits)).astype(np.uint32)
+
+
+def _context_bit(key: np.ndarray, context: np.ndarray, bits: int) -> np.ndarray:
+    return _key_bit(arrays.mixed(key ^ context), bits)
 
 
 def _batch_texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -174,8 +205,12 @@ def _column(table: pa.Table, name: str, kind) -> np.ndarray:
 # first pass: which anchors are met in several documents
 
 
-def _met(buckets: int):
-    """The upper half of a task's distinct anchors by bucket; at -1 - piece the bits of those that several texts have."""
+def _met(buckets: int, bits: int, hot: int):
+    """The upper half of a task's distinct anchors by bucket.
+
+    At -1 - piece the bits of those that several texts have, and after the pieces of that set the bits of those that
+    more than ``hot`` texts have.
+    """
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
@@ -187,10 +222,15 @@ def _met(buckets: int):
             order = np.argsort(key, kind="stable")
             key, row = key[order], row[order]
             same = key[1:] == key[:-1]
-            several = _key_bit(key[1:][same & (row[1:] != row[:-1])])
-            key = key[np.r_[True, ~same][: len(key)]]
+            fresh = np.r_[True, ~same | (row[1:] != row[:-1])][: len(key)]  # once per text
+            key, row = key[fresh], row[fresh]
+            start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+            texts_with = np.diff(np.r_[start, len(key)])
+            key = key[start]
             out = _dealt(_bucket(key, buckets), [(key >> _U(32)).astype(np.uint32)])
-            out += [(-1 - piece, bits) for piece, bits in bitsets.packed(several)]
+            several, crowded = _key_bit(key[texts_with > 1], bits), _key_bit(key[texts_with > hot], _HOT_BITS)
+            out += [(-1 - piece, b) for piece, b in bitsets.packed(several)]
+            out += [(-1 - bitsets.pieces(bits) - piece, b) for piece, b in bitsets.packed(crowded)]
             return _binary(out, ["bucket", "values"], 1)
 
         for batch in batches:
@@ -208,21 +248,28 @@ def _met(buckets: int):
     return met
 
 
-def _met_again(table: pa.Table) -> pa.Table:
+def _met_again(bits: int):
     """Of a bucket: the bits of the anchors that more than one task has."""
-    bucket = table.column("bucket")[0].as_py()
-    values = np.sort(_column(table, "values", np.uint32))
-    if bucket < 0:
-        found = [(-1 - bucket, np.unique(values).tobytes())]
-    else:
-        found = bitsets.packed(values[1:][values[1:] == values[:-1]] >> np.uint32(32 - _BITS))
-    return pa.Table.from_batches([_binary(found, ["piece", "bits"], 1)])
+
+    def met_again(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        values = np.sort(_column(table, "values", np.uint32))
+        if bucket < 0:
+            found = [(-1 - bucket, np.unique(values).tobytes())]
+        else:
+            found = bitsets.packed(values[1:][values[1:] == values[:-1]] >> np.uint32(32 - bits))
+        return pa.Table.from_batches([_binary(found, ["piece", "bits"], 1)])
+
+    return met_again
 
 
-def repeated_anchors(docs: DataFrame, buckets: int) -> Broadcast:
-    """Bit set of the anchors that are met in more than one row."""
-    met = docs.select("text").mapInArrow(_met(buckets), "bucket long, values binary")
-    return bitsets.broadcast_set(met.groupBy("bucket").applyInArrow(_met_again, "piece long, bits binary"), _BITS)
+def repeated_anchors(docs: DataFrame, store: Store, buckets: int, bits: int, hot: int) -> tuple[Broadcast, Broadcast]:
+    """Bit sets of the anchors that are met in more than one row, and of those met in too many rows of a task."""
+    met = docs.select("text").mapInArrow(_met(buckets, bits, hot), "bucket long, values binary")
+    found = store.scratch(met.groupBy("bucket").applyInArrow(_met_again(bits), "piece long, bits binary"), "anchors")
+    several = F.col("piece") < bitsets.pieces(bits)
+    crowded = found.filter(~several).withColumn("piece", F.col("piece") - bitsets.pieces(bits))
+    return bitsets.broadcast_set(found.filter(several), bits), bitsets.broadcast_set(crowded, _HOT_BITS)
 
 
 # second pass: contexts of repeated anchors, and of those with several contexts the texts
@@ -291,20 +338,23 @@ def _documents(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return doc, batch.column(1).to_numpy(zero_copy_only=False)
 
 
-def _contexts(repeated: Broadcast, buckets: int, groups: int):
-    """Marks of contexts that a smaller document of the task has; the others by bucket."""
+def _contexts(repeated: Broadcast, hot: Broadcast, bits: int, buckets: int, groups: int):
+    """Marks of contexts that a smaller document of the task has; the others by bucket. Windows of hot anchors alike,
+    by the buckets after those."""
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        windows: list[tuple] = []
         total = 0
 
-        def passed_on() -> pa.RecordBatch:
-            found = _Found.of(held)
+        def passed_on(parts: list[tuple], first_bucket: int, low: int) -> pa.RecordBatch:
+            found = _Found.of(parts)
             order, _, _, is_first = _first_of(found)
             found = found[order]
             later, first = found[~is_first], found[is_first]
-            rows = [(b, None, *v, *[None] * 4) for b, *v in _dealt(_bucket(first.key, buckets), first.written())]
-            marks = _mark_rows(later.doc, later.text, later.at - SIDE, later.at, groups)
+            to = _bucket(first.key, buckets) + first_bucket
+            rows = [(b, None, *v, *[None] * 4) for b, *v in _dealt(to, first.written())]
+            marks = _mark_rows(later.doc, later.text, later.at - low, later.at, groups)
             rows += [(None, g, *[None] * 5, *v) for g, *v in marks]
             return _binary(rows, ["bucket", "group", *_Found.names(), *_MARKS[1:]], 2)
 
@@ -312,32 +362,40 @@ def _contexts(repeated: Broadcast, buckets: int, groups: int):
             for part, data, offsets in _batch_texts(batch, 2):
                 doc, text = _documents(part)
                 for a in anchors(data, offsets):
-                    seen = bitsets.in_set(repeated.value, _key_bit(a.key))
+                    seen = bitsets.in_set(repeated.value, _key_bit(a.key, bits))
+                    crowded = bitsets.in_set(hot.value, _key_bit(a.key, _HOT_BITS))
+                    row, at, window = a.windows(np.flatnonzero(crowded))
+                    windows.append((window, window, doc[row], text[row], at))
+                    seen &= ~crowded
                     row = a.row[seen]
                     held.append((a.key[seen], a.context[seen], doc[row], text[row], a.at[seen]))
-                    total += len(row)
+                    total += len(row) + len(window)
                 if total > _HELD // 3:
-                    yield passed_on()
-                    held, total = [], 0
-        yield passed_on()
+                    yield passed_on(held, 0, SIDE)
+                    yield passed_on(windows, buckets, 0)
+                    held, windows, total = [], [], 0
+        yield passed_on(held, 0, SIDE)
+        yield passed_on(windows, buckets, 0)
 
     return contexts
 
 
-def _settled(groups: int):
-    """Of a bucket: marks of contexts that a smaller document has, and bits of the contexts that need a closer look."""
+def _settled(bits: int, buckets: int, groups: int):
+    """Of a bucket: marks of contexts (or of windows) that a smaller document has, and bits of the contexts that need a
+    closer look."""
 
     def settled(table: pa.Table) -> pa.Table:
         found = _Found.read(table)
+        low = SIDE if table.column("bucket")[0].as_py() < buckets else 0  # a window's context is the window
         order, new_key, new_context, is_first = _first_of(found)
         found = found[order]
         later = found[~is_first]
-        rows = [(g, None, None, *v) for g, *v in _mark_rows(later.doc, later.text, later.at - SIDE, later.at, groups)]
+        rows = [(g, None, None, *v) for g, *v in _mark_rows(later.doc, later.text, later.at - low, later.at, groups)]
         start = np.flatnonzero(new_key)
         several = np.add.reduceat(new_context.astype(np.int64), start) > 1 if len(start) else np.zeros(0, dtype=bool)
         several = np.repeat(several, np.diff(np.r_[start, len(new_key)])) & new_context
-        bits = bitsets.packed(_context_bit(found.key[several], found.context[several]))
-        rows += [(None, piece, b, *[None] * 4) for piece, b in bits]
+        wanted = bitsets.packed(_context_bit(found.key[several], found.context[several], bits))
+        rows += [(None, piece, b, *[None] * 4) for piece, b in wanted]
         names = ["group", "piece", "bits", *_MARKS[1:]]
         columns = list(zip(*rows)) or [()] * 7
         kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
@@ -349,7 +407,7 @@ def _settled(groups: int):
 # third pass: contexts that share an anchor with others, compared byte by byte
 
 
-def _texts(wanted: Broadcast, repeated: Broadcast, buckets: int):
+def _texts(wanted: Broadcast, repeated: Broadcast, hot: Broadcast, bits: int, buckets: int):
     """The contexts that need a closer look, by bucket; of each one the first document of the task."""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,8 +428,9 @@ def _texts(wanted: Broadcast, repeated: Broadcast, buckets: int):
             for part, data, offsets in _batch_texts(batch, 2):
                 doc, text = _documents(part)
                 for a in anchors(data, offsets):
-                    seen = np.flatnonzero(bitsets.in_set(repeated.value, _key_bit(a.key)))
-                    seen = seen[bitsets.in_set(wanted.value, _context_bit(a.key[seen], a.context[seen]))]
+                    seen = bitsets.in_set(repeated.value, _key_bit(a.key, bits))
+                    seen = np.flatnonzero(seen & ~bitsets.in_set(hot.value, _key_bit(a.key, _HOT_BITS)))
+                    seen = seen[bitsets.in_set(wanted.value, _context_bit(a.key[seen], a.context[seen], bits))]
                     row = a.row[seen]
                     held.append((a.key[seen], a.context[seen], doc[row], text[row], a.at[seen]))
                     bodies.append(a.text(seen))
@@ -416,15 +475,28 @@ def _moved(rank: np.ndarray, by: int) -> np.ndarray:
     return out
 
 
-def suffix_ranks(body: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """Ranks of all suffixes of all lines by their first 7, 14, 28, ... bytes, up to the whole line."""
+def suffix_order(body: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """All suffixes of all lines (line * width + column) in order, equal ones by line, and their ranks by first bytes.
+
+    Ranks by the first 7 bytes give ranks by the first 21, and so on; by 14 where the numbers would get too large.
+    """
+    lines, width = body.shape
     span, rank = _FIRST, _dense(_starting_bytes(body))
-    out = [(span, rank)]
-    while span < body.shape[1]:
-        rank = _dense(rank * (int(rank.max(initial=0)) + 1) + _moved(rank, span))
-        span *= 2
-        out.append((span, rank))
-    return out
+    ranks = [(span, rank)]
+    while True:
+        base = int(rank.max(initial=0)) + 1
+        if 2 * span >= width and base * base * (lines + 1) < 1 << 62:
+            last = (rank * base + _moved(rank, span)) * (lines + 1) + np.arange(lines)[:, None]
+            return np.argsort(last.ravel()), ranks
+        if 2 * span >= 2 * width:  # ranks are by whole suffixes
+            return np.lexsort((np.arange(body.size), rank.ravel())), ranks
+        longer = rank * base + _moved(rank, span)
+        if base**3 < 1 << 62:
+            longer, span = longer * base + _moved(rank, 2 * span), 3 * span
+        else:
+            span = 2 * span
+        rank = _dense(longer)
+        ranks.append((span, rank))
 
 
 @dataclass(frozen=True)
@@ -439,10 +511,9 @@ class RunIndex:
     @classmethod
     def build(cls, body: np.ndarray) -> RunIndex:
         lines, width = body.shape
-        ranks = suffix_ranks(body)
-        order = np.argsort(ranks[-1][1].ravel() * body.size + np.arange(body.size))
+        order, ranks = suffix_order(body)
         # the byte before a suffix; before a line stands its own end mark, which is like no other
-        before = np.empty((lines, width), dtype=np.int64)
+        before = np.empty((lines, width), dtype=np.int32)
         before[:, 1:] = body[:, :-1]
         before[:, 0] = 256 + np.arange(lines)
         transform = before.ravel()[order]
@@ -456,9 +527,11 @@ class RunIndex:
         common = np.zeros(len(a), dtype=np.int64)
         for span, rank in reversed(self.ranks):
             flat = rank.ravel()
-            inside = np.flatnonzero(common < room)
-            same = inside[flat[a[inside] + common[inside]] == flat[b[inside] + common[inside]]]
-            common[same] += span
+            going = np.flatnonzero(common < room)
+            while len(going):  # once or twice
+                going = going[flat[a[going] + common[going]] == flat[b[going] + common[going]]]
+                common[going] += span
+                going = going[common[going] < room[going]]
         # equal ranks past the end of a line say that the lines end alike
         inside = np.flatnonzero(common < room)
         first = _starting_bytes(self.body).ravel()
@@ -506,36 +579,47 @@ def _marked(groups: int):
         order, _, _, is_first = _first_of(found)
         order = order[is_first]  # contexts met in later documents are marked already
         found, body = found[order], body[order]
-        _, _, new_context, _ = _first_of(found)
-        start = np.flatnonzero(new_context)
-        line_of = np.cumsum(new_context) - 1
-        by_doc = np.argsort(found.doc[start], kind="stable")  # lines in the order of their first documents
-        line = np.empty(len(start), dtype=np.int64)
-        line[by_doc] = np.arange(len(start))
-        docs = found.doc[start][by_doc]
-        first = repeated_windows(body[start][by_doc])
-        again = docs[first] < docs[:, None]
-        # runs of window starts that are repeated
-        edge = np.zeros((len(docs), _STARTS + 2), dtype=np.int8)
-        edge[:, 1:-1] = again
-        step = np.diff(edge, axis=1)
-        of_line, low = np.nonzero(step == 1)
-        high = np.nonzero(step == -1)[1] - 1
-        # for every place the context has in its first document
-        count = np.bincount(of_line, minlength=len(docs)) if len(docs) else np.zeros(0, dtype=np.int64)
-        begin = np.cumsum(count) - count
-        mine = line[line_of]
-        times = count[mine] if len(mine) else mine
-        rows = np.repeat(np.arange(len(mine)), times)
-        nth = np.arange(len(rows)) - np.repeat(np.cumsum(times) - times, times)
-        which = begin[mine[rows]] + nth if len(rows) else rows
-        base = found.at[rows] - SIDE
-        out = _mark_rows(found.doc[rows], found.text[rows], base + low[which], base + high[which], groups)
+        # equal windows have equal anchors, so a bucket can be indexed in parts that sort fast
+        part = ((found.key >> _U(40)) % _U(len(body) // _LINES + 1)).astype(np.int64)
+        out = []
+        for chosen in np.split(np.argsort(part, kind="stable"), np.cumsum(np.bincount(part))[:-1]) if len(part) else []:
+            out += _mark_rows(*_repeated_in(found[chosen], body[chosen]), groups)
         return pa.Table.from_batches([_binary(out, _MARKS, 1)])
 
     return marked
 
 
+def _repeated_in(found: _Found, body: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document, its text, first and last start of the windows that a smaller document has.
+
+    ``found`` is in the order of key and context, and has each context in its first document only.
+    """
+    _, _, new_context, _ = _first_of(found)
+    start = np.flatnonzero(new_context)
+    line_of = np.cumsum(new_context) - 1
+    by_doc = np.argsort(found.doc[start], kind="stable")  # lines in the order of their first documents
+    line = np.empty(len(start), dtype=np.int64)
+    line[by_doc] = np.arange(len(start))
+    docs = found.doc[start][by_doc]
+    first = repeated_windows(body[start][by_doc])
+    again = docs[first] < docs[:, None]
+    # runs of window starts that are repeated
+    edge = np.zeros((len(docs), _STARTS + 2), dtype=np.int8)
+    edge[:, 1:-1] = again
+    step = np.diff(edge, axis=1)
+    of_line, low = np.nonzero(step == 1)
+    high = np.nonzero(step == -1)[1] - 1
+    # for every place the context has in its first document
+    count = np.bincount(of_line, minlength=len(docs))
+    begin = np.cumsum(count) - count
+    mine = line[line_of]
+    times = count[mine]
+    rows = np.repeat(np.arange(len(mine)), times)
+    which = begin[mine[rows]] + np.arange(len(rows)) - np.repeat(np.cumsum(times) - times, times)
+    base = found.at[rows] - SIDE
+    return found.doc[rows], found.text[rows], base + low[which], base + high[which]
+
+
 def _merged_marks(table: pa.Table) -> pa.Table:
     """Of a group of documents: for each the ranges of repeated windows, in order and without overlap."""
     doc, text = _column(table, "m_doc", np.int64), _column(table, "m_text", np.int64)
@@ -590,7 +674,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "spans", "kept"])
 
 
-def without_repeats(docs: DataFrame, store: Store) -> DataFrame:
+def without_repeats(docs: DataFrame, store: Store, hot: int = HOT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, spans (start and end of the removed runs), kept (the other bytes).
 
     A byte is removed when it is covered by 50 bytes that also start in a document with a smaller doc_id, judged on
@@ -599,20 +683,21 @@ def without_repeats(docs: DataFrame, store: Store) -> DataFrame:
     empty table gives an empty result.
     """
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets, groups = 2 * partitions, 4 * partitions
+    buckets, groups = 2 * partitions, partitions
     body = whole("text")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("hash"), body.alias("text"))
 
-    repeated = repeated_anchors(rows, buckets)
+    bits = set_bits(rows)
+    repeated, crowded = repeated_anchors(rows, store, buckets, bits, hot)
     kinds = "bucket long, group long, key binary, context binary, doc binary, text binary, at binary, "
-    found = rows.mapInArrow(_contexts(repeated, buckets, groups), kinds + _MARK_KINDS.partition(", ")[2])
+    found = rows.mapInArrow(_contexts(repeated, crowded, bits, buckets, groups), kinds + _MARK_KINDS.partition(", ")[2])
     found = store.scratch(found, "contexts")
     open_ = found.filter("bucket IS NOT NULL").select("bucket", *_Found.names()).groupBy("bucket")
     kinds = "group long, piece long, bits binary, " + _MARK_KINDS.partition(", ")[2]
-    settled = store.scratch(open_.applyInArrow(_settled(groups), kinds), "settled")
-    wanted = bitsets.broadcast_set(settled.filter("piece IS NOT NULL"), _BITS)
+    settled = store.scratch(open_.applyInArrow(_settled(bits, buckets, groups), kinds), "settled")
+    wanted = bitsets.broadcast_set(settled.filter("piece IS NOT NULL"), bits)
     kinds = "bucket long, key binary, context binary, doc binary, text binary, at binary, body binary"
-    texts = rows.mapInArrow(_texts(wanted, repeated, buckets), kinds)
+    texts = rows.mapInArrow(_texts(wanted, repeated, crowded, bits, buckets), kinds)
     ends = texts.groupBy("bucket").applyInArrow(_marked(groups), _MARK_KINDS)
 
     marks = found.filter("group IS NOT NULL").select(*_MARKS).unionByName(settled.filter("group IS NOT NULL").select(*_MARKS))

@@ -83,6 +83,16 @@ def test_hot_passage_with_many_endings(spark, store, make_docs):
     assert result(without_repeats(make_docs(rows, 5), store)) == brute(rows)
 
 
+def test_hot_anchors_by_their_windows(spark, store, make_docs):
+    rng = random.Random(19)
+    passage = random_text(rng, [f"w{i}" for i in range(50)], 30)
+    rows = corpus(rng, 120) + EDGES[:9]
+    rows += [(3000 + i, f"{rng.random()} {passage[rng.randint(0, 9) :]} {rng.random()} tail {i % 7}") for i in range(200)]
+    rows += [(4000 + i, passage * 2) for i in range(40)]
+    for hot in (0, 4):
+        assert result(without_repeats(make_docs(rows, 4), store, hot)) == brute(rows)
+
+
 def test_long_texts_are_read_in_parts(spark, store, make_docs, monkeypatch):
     rng = random.Random(4)
     rows = [(i, t * 3) for i, t in corpus(rng, 25)]
