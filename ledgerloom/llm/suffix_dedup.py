@@ -47,7 +47,7 @@ _GAP = 255  # no byte of UTF-8
 _MARGIN = 128
 _BLOCK = 1 << 20  # bytes laid out at a time
 _LINES = 4096  # contexts of one index, about
-_HELD = 3_000_000  # anchors a task holds before it passes them on
+_HELD = 1_000_000  # anchors a task holds before it passes them on
 HOT = 2000  # documents of a task with the same anchor
 MIN_BITS, MAX_BITS = 22, 31  # bits of a bit set, as powers of two
 _HOT_BITS = 22  # of that of hot anchors
