@@ -15,31 +15,41 @@ from ledgerloom.sources.store import Store
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+_stores: dict[int, Store] = {}
+
+
+def _store(spark: SparkSession, stage: int) -> Store:
+    """Scratch tables of a stage. Those of the stages before it go: their results are written when it starts."""
+    for earlier in [n for n in _stores if n < stage]:
+        _stores.pop(earlier).remove()
+    _stores[stage] = Store.for_session(deployed(spark))
+    return _stores[stage]
+
 
 def without_toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go. It learns from the labels of documents that are not held out."""
-    labels = deployed(spark).read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.without_toxic(docs, labels, Store.for_session(spark))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.without_toxic(docs, labels, _store(spark, 0))
 
 
 def without_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are equal without white space one stays: the longest, then the smallest doc_id."""
-    return exact_dedup.kept_rows(docs, Store.for_session(spark))
+    return exact_dedup.kept_rows(docs, _store(spark, 1))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of 80 percent of five-word shingles connect the one with the smallest doc_id stays."""
-    return ngram_join.one_of_each(docs, Store.for_session(deployed(spark)))
+    return ngram_join.one_of_each(docs, _store(spark, 2))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    return mixing.mixed_rows(docs, Store.for_session(spark))
+    return mixing.mixed_rows(docs, _store(spark, 3))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, and digests of the ids and of the bytes they decode to, a row for each time a document is taken."""
-    deployed(spark)
+    _store(spark, 4)
     return bpe.digests(bpe.encoded_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
