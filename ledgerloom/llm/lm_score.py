@@ -1,13 +1,14 @@
 """Scores by cross-entropy difference of two n-gram models.
 
 A target model is learned from documents of the wanted kind, a background model from all documents. They are
-matched: bigrams with the same smoothing, the same tables and one vocabulary, the words the target has at least
-twice (others are one unknown word). A document's score is the mean over its words of the target's loss less the
-background's, in bits: the lower, the more it is like the target.
-
-Counts cover every document. They are kept in tables of a fixed number of slots that words and word pairs are hashed
-to (``SLOTS``, 4 MB each), so the broadcast models have one size for any corpus; tasks add up their own counts
-first and pass on the slots they have met.
+matched: bigrams with the same smoothing and one vocabulary, the words the target has at least twice (others are one
+unknown word). A document's score is the mean over its words of the target's loss less the background's, in bits: the
+lower, the more it is like the target.
+
+Counts cover every document and are exact per 64-bit hash of a word or a word pair. Nothing that grows with the corpus
+is sent to a task or the driver whole: documents are written in blocks, a block sends its distinct words and pairs with
+their counts to buckets by hash, and each bucket sends the sums back to the blocks that asked. Only a vocabulary of up
+to ``BROADCAST`` words is broadcast; a larger one meets the words of the blocks in buckets too.
 """
 
 from __future__ import annotations
@@ -25,136 +26,354 @@ from ledgerloom.llm.bits import possible_members
 from ledgerloom.llm.words import whole
 from ledgerloom.sources.store import Store
 
-SLOT_BITS = 20
-SLOTS = 1 << SLOT_BITS
-VOCABULARY_BITS = 21
+SLOTS = 1 << 20  # words the unigrams are smoothed over, or the vocabulary if that is larger
 SMOOTHING = 4.0  # words' worth of trust in the unigrams
-_PIECE = 1 << 18  # slots in a piece of a table
+BROADCAST = 1 << 21  # words of a vocabulary that is broadcast: 16 MB
+_BLOCK = 8 << 20  # bytes of text in a block, about, or one document
+_HELD = 1_000_000  # words a task holds before it passes them on
 _U = np.uint64
-_UNKNOWN, _START = _U(0x9E3779B97F4A7C15), _U(0xD1B54A32D192ED03)
+_UNKNOWN = _U(0x9E3779B97F4A7C15)
+_CODEC = pa.Codec("zstd")
+
+
+def _dealt(keys: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+    """(bucket, places of its keys in ``keys``), by the lower half of the hashes."""
+    to = ((keys & _U(0xFFFFFFFF)) % _U(buckets)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    cuts = np.flatnonzero(np.diff(to[order])) + 1
+    return [(int(to[p[0]]), p) for p in np.split(order, cuts) if len(p)]
+
+
+def _small(values: np.ndarray) -> bytes:
+    """Whole numbers packed: as few bytes each as the largest one needs, first bytes of all first, compressed."""
+    values = values.astype(np.min_scalar_type(int(values.max(initial=0))))
+    width = values.itemsize
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, width).T)
+    return bytes([width]) + _CODEC.compress(planes.tobytes(), asbytes=True)
+
+
+def _wide(packed: bytes, n: int, kind=np.int64) -> np.ndarray:
+    """The ``n`` numbers that ``_small`` packed."""
+    width = packed[0]
+    if not n:
+        return np.zeros(0, dtype=kind)
+    planes = np.frombuffer(_CODEC.decompress(packed[1:], n * width, asbytes=True), dtype=np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(f"u{width}").ravel().astype(kind)
+
+
+def _steps(keys: np.ndarray) -> bytes:
+    """Sorted hashes packed: their differences need fewer bytes."""
+    return _small(np.diff(keys, prepend=_U(0)))
+
+
+def _climbed(packed: bytes, n: int) -> np.ndarray:
+    return np.cumsum(_wide(packed, n, _U), dtype=_U)
+
+
+def _ranked(words: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words, frequent ones first, and the places in them; small numbers for most words pack well."""
+    words, again = np.unique(words, return_inverse=True)
+    index = again[index]
+    order = np.argsort(-np.bincount(index, minlength=len(words)), kind="stable")
+    place = np.empty(len(words), dtype=np.int64)
+    place[order] = np.arange(len(words))
+    return words[order], place[index]
 
 
-def _slot(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> _U(64 - bits)).astype(np.int64)
+def _table(rows: list[tuple], kinds: str) -> pa.RecordBatch:
+    """Rows of the columns in ``kinds``, which are long, boolean or binary."""
+    names, types = zip(*[k.split() for k in kinds.split(", ")])
+    arrow = {"long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    columns = list(zip(*rows)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, arrow[t]) for c, t in zip(columns, types, strict=True)], names=list(names))
 
 
-def _pairs(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """A hash of each word and the one before it in its text."""
-    before = np.r_[_START, hashes[:-1]]
-    starts = first[:-1]
-    before[starts[starts < len(hashes)]] = _START
-    return arrays.mixed(before * _U(0xBF58476D1CE4E5B9) + hashes)
+def _rows(table: pa.Table, *names: str):
+    return zip(*[table.column(n).to_pylist() for n in names], strict=True)
 
 
-def _known(hashes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    return np.where(vocabulary[_slot(hashes, VOCABULARY_BITS)], hashes, _UNKNOWN)
+def _summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order and the sum of each."""
+    order = np.argsort(hashes)
+    hashes, counts = hashes[order], counts[order]
+    start = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
+    return hashes[start], np.add.reduceat(counts, start) if len(start) else counts
 
 
-class _Table:
-    """Counts by slot that grow with what is met, not with the table."""
+# the vocabulary
 
-    def __init__(self, slots: int):
-        self.counts = np.zeros(slots, dtype=np.uint32)
+_WORD_KINDS = "bucket long, n long, hashes binary, counts binary"
+_VOCABULARY_KINDS = "bucket long, n long, known binary"
 
-    def add(self, slots: np.ndarray) -> None:
-        met, times = np.unique(slots, return_counts=True)
-        self.counts[met] += times.astype(np.uint32)
 
-    def rows(self, table: int) -> list[tuple[int, bytes, bytes]]:
-        """(table and piece, slots, counts) of what was met."""
-        out = []
-        for piece in range(-(-len(self.counts) // _PIECE)):
-            part = self.counts[piece * _PIECE : (piece + 1) * _PIECE]
-            met = np.flatnonzero(part)
-            if len(met):
-                out.append((table * 256 + piece, met.astype(np.uint32).tobytes(), part[met].tobytes()))
-        return out
+def _word_counts(buckets: int):
+    """A task's words and how often it has them, by bucket."""
 
+    def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
 
-def _sparse(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * 3
-    kinds = (pa.int64(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["piece", "slots", "counts"])
+        def passed_on() -> pa.RecordBatch:
+            hashes, counts = np.unique(np.concatenate(held), return_counts=True)
+            return _table([(b, len(p), _steps(hashes[p]), _small(counts[p])) for b, p in _dealt(hashes, buckets)], _WORD_KINDS)
 
+        for batch in batches:
+            for part in arrays.pieces(batch, 0):
+                held.append(arrays.words(*arrays.text_bytes(part.column(0))).hashes)
+                if sum(map(len, held)) > _HELD:
+                    yield passed_on()
+                    held = []
+        if held:
+            yield passed_on()
+
+    return word_counts
+
+
+def _seen_twice(table: pa.Table) -> pa.Table:
+    """Of a bucket: the words met at least twice, in order."""
+    hashes = [_climbed(h, n) for n, h in _rows(table, "n", "hashes")]
+    counts = [_wide(c, n) for n, c in _rows(table, "n", "counts")]
+    found, times = _summed(np.concatenate(hashes), np.concatenate(counts))
+    found = found[times >= 2]
+    return pa.Table.from_batches([_table([(table.column("bucket")[0].as_py(), len(found), found.tobytes())], _VOCABULARY_KINDS)])
+
+
+def _among(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which hashes are in ``known``, which is sorted."""
+    if not len(known):
+        return np.zeros(len(hashes), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
+
+
+# documents in blocks
+
+
+def _block_kinds(doc_id: str) -> str:
+    return f"ids array<{doc_id}>, n_words long, sizes binary, words binary, index binary"
+
+
+def _blocks(vocabulary: Broadcast | None):
+    """Documents packed: their ids and numbers of words, the distinct words and for each word its number there.
+
+    With a vocabulary other words are the unknown one already.
+    """
 
-def _text_words(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, arrays.Words]]:
-    for batch in batches:
-        for part in arrays.pieces(batch, column):
-            yield part, arrays.words(*arrays.text_bytes(part.column(column)))
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids: list[pa.Array] = []
+        sizes: list[np.ndarray] = []
+        hashes: list[np.ndarray] = []
+        total = 0
 
+        def packed() -> pa.RecordBatch:
+            words, index = np.unique(np.concatenate(hashes), return_inverse=True)
+            if vocabulary is not None:
+                words = np.where(_among(words, vocabulary.value), words, _UNKNOWN)
+            words, index = _ranked(words, index)
+            all_ids = pa.concat_arrays(ids)
+            columns = [pa.ListArray.from_arrays(pa.array([0, len(all_ids)], pa.int32()), all_ids)]
+            columns.append(pa.array([len(index)], pa.int64()))
+            columns += [pa.array([b], pa.binary()) for b in (_small(np.concatenate(sizes)), words.tobytes(), _small(index))]
+            return pa.RecordBatch.from_arrays(columns, names=["ids", "n_words", "sizes", "words", "index"])
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = _Table(1 << VOCABULARY_BITS)
-    for _, found in _text_words(batches, 0):
-        table.add(_slot(found.hashes, VOCABULARY_BITS))
-    yield _sparse(table.rows(0))
+        for batch in batches:
+            for part in arrays.pieces(batch, 1):
+                data, offsets = arrays.text_bytes(part.column(1))
+                found = arrays.words(data, offsets)
+                ids.append(part.column(0))
+                sizes.append(np.diff(found.first))
+                hashes.append(found.hashes)
+                total += len(data)
+                if total >= _BLOCK:
+                    yield packed()
+                    ids, sizes, hashes, total = [], [], [], 0
+        if ids:
+            yield packed()
 
+    return blocks
 
-def _model_counts(vocabulary: Broadcast, tables: int):
-    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs = _Table(SLOTS), _Table(SLOTS)
-        for _, found in _text_words(batches, 0):
-            known = _known(found.hashes, vocabulary.value)
-            words.add(_slot(arrays.mixed(known), SLOT_BITS))
-            pairs.add(_slot(_pairs(known, found.first), SLOT_BITS))
-        yield _sparse(words.rows(tables) + pairs.rows(tables + 1))
 
-    return counts
+def _unpacked(ids: int, sizes: bytes, words: bytes, index: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each of the documents, the distinct words, and the number of each word in these."""
+    n = _wide(sizes, ids)
+    return n, np.frombuffer(words, dtype=_U), _wide(index, int(n.sum()))
 
 
-def _added(table: pa.Table) -> pa.Table:
-    """The sums of one piece of a table."""
-    total = np.zeros(_PIECE, dtype=np.int64)
-    for slots, counts in zip(table.column("slots").to_pylist(), table.column("counts").to_pylist(), strict=True):
-        total[np.frombuffer(slots, dtype=np.uint32)] += np.frombuffer(counts, dtype=np.uint32)
-    return pa.table({"piece": table.column("piece")[:1], "sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+# a vocabulary that is too large for a broadcast
 
+_ASKED_KINDS = "bucket long, block long, hashes binary"
+_TOLD_KINDS = "block long, bucket long, is_known binary"
 
-def _tables(sparse: DataFrame, sizes: list[int]) -> list[np.ndarray]:
-    """The whole tables; their size is fixed."""
-    out = [np.zeros(n, dtype=np.float32) for n in sizes]
-    for r in sparse.groupBy("piece").applyInArrow(_added, "piece long, sums binary").collect():
-        table, piece = divmod(r["piece"], 256)
-        sums = np.frombuffer(r["sums"], dtype=np.float32)
-        out[table][piece * _PIECE : (piece + 1) * _PIECE] = sums[: len(out[table]) - piece * _PIECE]
-    return out
 
+def _asked(buckets: int):
+    """The words of each block by bucket."""
 
-def _losses(hashes: np.ndarray, first: np.ndarray, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, words in _rows(batch, "block", "words"):
+                words = np.frombuffer(words, dtype=_U)
+                yield _table([(b, block, words[p].tobytes()) for b, p in _dealt(words, buckets)], _ASKED_KINDS)
+
+    return asked
+
+
+def _told(asked: pa.Table, vocabulary: pa.Table) -> pa.Table:
+    """Which of the words that blocks ask a bucket for are known."""
+    known = np.frombuffer(b"".join(vocabulary.column("known").to_pylist()), dtype=_U)
+    rows = []
+    for bucket, block, hashes in _rows(asked, "bucket", "block", "hashes"):
+        rows.append((block, bucket, _among(np.frombuffer(hashes, dtype=_U), known).tobytes()))
+    return pa.Table.from_batches([_table(rows, _TOLD_KINDS)])
+
+
+def _with_unknown(buckets: int):
+    """A block in which words that no bucket knows are the unknown one."""
+
+    def with_unknown(block: pa.Table, told: pa.Table) -> pa.Table:
+        words = np.frombuffer(block.column("words")[0].as_py(), dtype=_U)
+        flags = dict(_rows(told, "bucket", "is_known"))
+        known = np.zeros(len(words), dtype=bool)
+        for bucket, places in _dealt(words, buckets):
+            known[places] = np.frombuffer(flags[bucket], dtype=bool)
+        ids = len(block.column("ids")[0])
+        _, _, index = _unpacked(ids, block.column("sizes")[0].as_py(), words.tobytes(), block.column("index")[0].as_py())
+        words, index = _ranked(np.where(known, words, _UNKNOWN), index)
+        for name, value in (("words", words.tobytes()), ("index", _small(index))):
+            block = block.set_column(block.column_names.index(name), name, pa.array([value], pa.binary()))
+        return block
+
+    return with_unknown
+
+
+# counts of words and pairs
+
+_ENTRY_KINDS = "bucket long, block long, target boolean, n long, keys binary, counts binary"
+_SUM_KINDS = "block long, bucket long, target_sums binary, all_sums binary"
+
+
+def _keys(n: np.ndarray, words: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of a block's words and of its pairs, the number of each pair's key, its second word, and text starts.
+
+    The first keys are those of the words, in the order of ``words``. A word that starts a text has no pair.
+    """
+    starts = np.zeros(len(index) + 1, dtype=bool)
+    starts[np.cumsum(n) - n] = True
+    starts = starts[:-1]
+    later = np.flatnonzero(~starts)
+    pairs, pair = np.unique(index[later - 1] * len(words) + index[later], return_inverse=True)
+    before, word = np.divmod(pairs, max(len(words), 1))
+    pairs = arrays.mixed(words[before] * _U(0xBF58476D1CE4E5B9) + words[word])
+    return np.r_[arrays.mixed(words), pairs], len(words) + pair, later, starts
+
+
+def _dealt_in_order(keys: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+    order = np.argsort(keys, kind="stable")
+    return [(b, order[p]) for b, p in _dealt(keys[order], buckets)]
+
+
+def _entries(buckets: int):
+    """The words and pairs of each block and how often it has them, by bucket."""
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, target, ids, *packed in _rows(batch, "block", "target", "n_ids", "sizes", "words", "index"):
+                n, words, index = _unpacked(ids, *packed)
+                keys, pair, _, _ = _keys(n, words, index)
+                counts = np.bincount(np.r_[index, pair], minlength=len(keys))
+                dealt = _dealt_in_order(keys, buckets)
+                yield _table([(b, block, target, len(p), _steps(keys[p]), _small(counts[p])) for b, p in dealt], _ENTRY_KINDS)
+
+    return entries
+
+
+def _sums(table: pa.Table) -> pa.Table:
+    """Of a bucket: for each block the sums of its entries over the target and over all documents."""
+    asked = list(_rows(table, "block", "bucket", "target", "n"))
+    sizes = [a[3] for a in asked]
+    keys = np.concatenate([_climbed(k, n) for n, k in _rows(table, "n", "keys")])
+    counts = np.concatenate([_wide(c, n) for n, c in _rows(table, "n", "counts")])
+    keys, place = np.unique(keys, return_inverse=True)
+    of_target = np.repeat([a[2] for a in asked], sizes)
+    sums = []
+    for chosen in (of_target, slice(None)):
+        total = np.zeros(len(keys), dtype=np.int64)
+        np.add.at(total, place[chosen], counts[chosen])
+        sums.append(total)
+    edge = np.cumsum([0, *sizes])
+    rows = [(a[0], a[1], *[_small(s[place[low:high]]) for s in sums]) for a, low, high in zip(asked, edge[:-1], edge[1:], strict=True)]
+    return pa.Table.from_batches([_table(rows, _SUM_KINDS)])
+
+
+def _losses(met: np.ndarray, together: np.ndarray, starts: np.ndarray, total: int, n_words: int) -> np.ndarray:
     """Bits each word costs: the pair's share of the word before it, smoothed by the word's share of all."""
-    met = words[_slot(arrays.mixed(hashes), SLOT_BITS)].astype(np.float64)
-    alone = (met + 1.0) / (words.sum(dtype=np.float64) + len(words))
-    before = np.r_[np.inf, met[:-1]]
-    starts = first[:-1]
-    before[starts[starts < len(hashes)]] = np.inf
-    together = pairs[_slot(_pairs(hashes, first), SLOT_BITS)].astype(np.float64)
-    # the first word of a text follows no word; a slot that several pairs share counts at most what its word has
-    trust = np.where(np.isinf(before), 0.0, before)
-    together = np.minimum(together, trust)
+    alone = (met + 1.0) / (total + n_words)
+    # the first word of a text follows no word
+    trust = np.where(starts, 0.0, np.r_[0.0, met[:-1]][: len(met)])
     return -np.log2((together + SMOOTHING * alone) / (trust + SMOOTHING))
 
 
-def _scores(vocabulary: Broadcast, models: Broadcast):
-    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, found in _text_words(batches, 1):
-            known = _known(found.hashes, vocabulary.value)
-            n = np.diff(found.first)
-            columns = [part.column(0), pa.array(n, pa.int64())]
-            for words, pairs in models.value:
-                bits = np.r_[0.0, np.cumsum(_losses(known, found.first, words, pairs))] if len(known) else np.zeros(1)
-                mean = (bits[found.first[1:]] - bits[found.first[:-1]]) / np.maximum(n, 1)
-                columns.append(pa.array(mean, pa.float64()))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "target_bits", "background_bits"])
+def _scores(buckets: int, totals: tuple[int, int], n_words: int):
+    """A row for each document of a block. ``totals`` are the words of the target and of all documents."""
+
+    def scores(block: pa.Table, sums: pa.Table) -> pa.Table:
+        ids = block.column("ids").combine_chunks().flatten()
+        packed = [block.column(c)[0].as_py() for c in ("sizes", "words", "index")]
+        n, words, index = _unpacked(len(ids), *packed)
+        keys, pair, later, starts = _keys(n, words, index)
+        parts = {bucket: s for bucket, *s in _rows(sums, "bucket", "target_sums", "all_sums")}
+        dealt = _dealt_in_order(keys, buckets)
+        edge = np.r_[0, np.cumsum(n)]
+        columns = [ids, pa.array(n, pa.int64())]
+        for model, total in enumerate(totals):
+            count = np.zeros(len(keys))
+            for bucket, places in dealt:
+                count[places] = _wide(parts[bucket][model], len(places))
+            together = np.zeros(len(index))
+            together[later] = count[pair]
+            bits = np.r_[0.0, np.cumsum(_losses(count[index], together, starts, total, n_words))]
+            columns.append(pa.array((bits[edge[1:]] - bits[edge[:-1]]) / np.maximum(n, 1), pa.float64()))
+        return pa.Table.from_arrays(columns, names=["doc_id", "n_words", "target_bits", "background_bits"])
 
     return scores
 
 
-def target_texts(docs: DataFrame, wanted: DataFrame, store: Store) -> DataFrame:
-    """text of the documents whose doc_id is in ``wanted``, written. Few other texts are shuffled."""
+def _told_apart(docs: DataFrame, wanted: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
+    """(rows that may be of the target, written, and all other rows): doc_id, text, and whether it is of the target.
+
+    Few texts that are not of the target are shuffled.
+    """
     ids = store.scratch(wanted.select(F.col("doc_id").alias("_wanted")).filter("_wanted IS NOT NULL").distinct(), "wanted")
     rows = docs.select("doc_id", whole("text").alias("text")).withColumn("key", F.xxhash64("doc_id"))
-    rows = possible_members(rows, "key", ids.select(F.xxhash64("_wanted").alias("key")))
-    return store.scratch(rows.join(ids, F.col("doc_id") == F.col("_wanted"), "left_semi").select("text"), "target")
+    rows = possible_members(rows, "key", ids.select(F.xxhash64("_wanted").alias("key")), keep=True)
+    may = rows.filter("member").join(ids, F.col("doc_id") == F.col("_wanted"), "left")
+    names = ("doc_id", "text", "target")
+    may = store.scratch(may.withColumn("target", F.col("_wanted").isNotNull()).select(*names), "members")
+    return may, rows.filter("NOT member").withColumn("target", F.lit(False)).select(*names)
+
+
+def _known_words(vocabulary: DataFrame) -> Broadcast:
+    parts = [r["known"] for r in vocabulary.select("known").collect()]
+    return vocabulary.sparkSession.sparkContext.broadcast(np.sort(np.frombuffer(b"".join(parts), dtype=_U)))
+
+
+def _packed_documents(may: DataFrame, others: DataFrame, known: Broadcast | None, store: Store) -> DataFrame:
+    """Blocks of documents, written. The target and the rest do not share blocks."""
+    kind = _block_kinds(may.schema["doc_id"].dataType.simpleString())
+
+    def blocks(rows: DataFrame, target: bool) -> DataFrame:
+        return rows.select("doc_id", "text").mapInArrow(_blocks(known), kind).withColumn("target", F.lit(target))
+
+    parts = [blocks(may.filter("target"), True), blocks(may.filter("NOT target"), False), blocks(others, False)]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return store.scratch(every.withColumn("block", F.monotonically_increasing_id()), "blocks")
+
+
+def _with_known(blocks: DataFrame, vocabulary: DataFrame, buckets: int, store: Store) -> DataFrame:
+    """The blocks with the words outside the vocabulary as the unknown one; the two meet by bucket."""
+    asked = blocks.select("block", "words").mapInArrow(_asked(buckets), _ASKED_KINDS)
+    told = asked.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInArrow(_told, _TOLD_KINDS)
+    some = blocks.filter("n_words > 0").groupBy("block").cogroup(told.groupBy("block"))
+    kind = _block_kinds(blocks.schema["ids"].dataType.elementType.simpleString())
+    marked = some.applyInArrow(_with_unknown(buckets), f"{kind}, target boolean, block long")
+    return store.scratch(marked.unionByName(blocks.filter("n_words = 0")), "known")
 
 
 def cross_entropy_difference(docs: DataFrame, wanted: DataFrame, store: Store) -> DataFrame:
@@ -165,19 +384,26 @@ def cross_entropy_difference(docs: DataFrame, wanted: DataFrame, store: Store) -
     and are scored each. If the target is empty, both models know only the unknown word. Other columns are
     not read; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    texts = docs.select(whole("text").alias("text"))
-    target = target_texts(docs, wanted, store)
-    kinds = "piece long, slots binary, counts binary"
-    (seen,) = _tables(target.mapInArrow(_word_counts, kinds), [1 << VOCABULARY_BITS])
-    vocabulary = spark.sparkContext.broadcast(seen >= 2)  # 2 MB
-    counts = target.mapInArrow(_model_counts(vocabulary, 0), kinds).unionByName(
-        texts.mapInArrow(_model_counts(vocabulary, 2), kinds)
-    )
-    tables = _tables(counts, [SLOTS] * 4)
-    models = spark.sparkContext.broadcast([tuple(tables[:2]), tuple(tables[2:])])  # 16 MB
+    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = Store(store.spark, store.path(store.unique("texts")))
+    may, others = _told_apart(docs, wanted, texts)
+    counted = may.filter("target").select("text").mapInArrow(_word_counts(buckets), _WORD_KINDS).groupBy("bucket")
+    vocabulary = store.scratch(counted.applyInArrow(_seen_twice, _VOCABULARY_KINDS), "vocabulary")
+    size = vocabulary.agg(F.sum("n")).first()[0] or 0
+    known = _known_words(vocabulary) if size <= BROADCAST else None
+    blocks = _packed_documents(may, others, known, store)
+    texts.remove()  # all is in the blocks
+    if known is None:
+        blocks = _with_known(blocks, vocabulary, buckets, store)
+
+    packed = blocks.select("block", "target", F.size("ids").alias("n_ids"), "sizes", "words", "index")
+    entries = packed.mapInArrow(_entries(buckets), _ENTRY_KINDS)
+    sums = entries.groupBy("bucket").applyInArrow(_sums, _SUM_KINDS)
+    n_words = {r["target"]: r["n"] for r in blocks.groupBy("target").agg(F.sum("n_words").alias("n")).collect()}
+    totals = n_words.get(True, 0), sum(n_words.values())
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", whole("text").alias("text")).mapInArrow(
-        _scores(vocabulary, models), f"doc_id {kind}, n_words long, target_bits double, background_bits double"
+    scored = blocks.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(
+        _scores(buckets, totals, max(SLOTS, size + 1)),
+        f"doc_id {kind}, n_words long, target_bits double, background_bits double",
     )
     return scored.withColumn("score", F.col("target_bits") - F.col("background_bits"))

@@ -74,3 +74,21 @@ def test_empty_target_and_table(spark, store, make_docs):
     assert [r.n_words for r in lm_score.cross_entropy_difference(docs, none, store).orderBy("doc_id").collect()] == [2, 2, 0]
     some = spark.createDataFrame([(1,)], "doc_id long")
     assert lm_score.cross_entropy_difference(docs.filter("doc_id > 9"), some, store).count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [1 << 21, 0])
+def test_counts_are_exact_past_any_table(spark, store, make_docs, monkeypatch, broadcast):
+    """More distinct pairs and single words than would keep apart in 2^20 and 2^21 slots."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(1500)}" for _ in range(2500))) for i in range(120)]
+    rows += [(500 + i, " ".join(f"once{i}-{k}" for k in range(3000))) for i in range(12)]
+    rows += [(800 + i, "w1 once3-7 w2 w3") for i in range(5)] + [(900, ""), (901, None)]
+    wanted = {i for i, _ in rows if i % 2 == 0}
+    monkeypatch.setattr(lm_score, "BROADCAST", broadcast)  # 0: the vocabulary meets the words in buckets
+    monkeypatch.setattr(lm_score, "_HELD", 20000)
+    marks = spark.createDataFrame([(i,) for i in wanted], "doc_id long")
+    out = lm_score.cross_entropy_difference(make_docs(rows, 5), marks, store).collect()
+    expected = brute(rows, wanted)
+    assert len(out) == len(rows)
+    for r in out:
+        assert (r.n_words, r.target_bits, r.background_bits, r.score) == pytest.approx(expected[r.doc_id], abs=1e-9)
