@@ -14,8 +14,8 @@ match lengths are computed at the sampled run ends only. Streaming over the text
 match that does not start a run is one shorter than the match before it. Suffixes with matches of 50 or more are
 one set of equal windows, of which the first document keeps its own.
 
-**Hot anchors.** An anchor that more than ``HOT`` documents of one task have may have a context for every third
-document, too many for one bucket. Its windows are compared as such, by their hashes: a task passes on the first
+**Hot anchors.** The first pass also adds up, over all tasks, how many contexts each anchor has. One with more than
+``HOT`` has too many for one index. Its windows are compared as such, by their hashes: a task passes on the first
 document of each distinct window, so a window costs one entry per task however often it is met.
 
 The bit sets have a bit for every eight bytes of text up to ``MAX_BITS`` (256 MB broadcast at most); beyond that
@@ -48,9 +48,9 @@ _MARGIN = 128
 _BLOCK = 1 << 20  # bytes laid out at a time
 _LINES = 4096  # contexts of one index, about
 _HELD = 1_000_000  # anchors a task holds before it passes them on
-HOT = 2000  # documents of a task with the same anchor
+HOT = 2000  # contexts of an anchor, as tasks pass them on
 MIN_BITS, MAX_BITS = 22, 31  # bits of a bit set, as powers of two
-_HOT_BITS = 22  # of that of hot anchors
+_HOT_BITS = 24  # of that of hot anchors
 _U = np.uint64
 _LAST = np.iinfo(np.int64).max  # a null doc_id
 
@@ -205,68 +205,90 @@ def _column(table: pa.Table, name: str, kind) -> np.ndarray:
 # first pass: which anchors are met in several documents
 
 
-def _met(buckets: int, bits: int, hot: int):
-    """The upper half of a task's distinct anchors by bucket.
+def _contexts_with(key: np.ndarray, context: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Number of distinct contexts of each anchor. ``key`` is sorted, and each anchor starts at one of ``start``."""
+    count = np.diff(np.r_[start, len(key)])
+    out = np.ones(len(start), dtype=np.uint32)
+    again = np.repeat(count > 1, count)
+    of = np.repeat(np.arange(len(start)), count)[again]
+    context = context[again]
+    order = np.lexsort((context, of))
+    of, context = of[order], context[order]
+    fresh = np.r_[True, (of[1:] != of[:-1]) | (context[1:] != context[:-1])][: len(of)]
+    out[count > 1] = np.bincount(of[fresh], minlength=len(start))[count > 1]
+    return out
+
+
+def _met(buckets: int, bits: int):
+    """The upper half of a task's distinct anchors by bucket, and how many contexts each has.
 
-    At -1 - piece the bits of those that several texts have, and after the pieces of that set the bits of those that
-    more than ``hot`` texts have.
+    At -1 - piece the bits of those that several texts have.
     """
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
         rows: list[np.ndarray] = []
+        contexts: list[np.ndarray] = []
         total = texts = 0
 
         def passed_on() -> pa.RecordBatch:
             key, row = _join(keys, _U), _join(rows, np.int64)
             order = np.argsort(key, kind="stable")
             key, row = key[order], row[order]
-            same = key[1:] == key[:-1]
-            fresh = np.r_[True, ~same | (row[1:] != row[:-1])][: len(key)]  # once per text
-            key, row = key[fresh], row[fresh]
-            start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
-            texts_with = np.diff(np.r_[start, len(key)])
+            new = np.r_[True, key[1:] != key[:-1]][: len(key)]
+            start = np.flatnonzero(new)
+            other = np.r_[False, row[1:] != row[:-1]][: len(key)] & ~new  # another text has the anchor too
+            several = np.unique(_key_bit(key[other], bits))
+            counts = _contexts_with(key, _join(contexts, _U)[order], start)
             key = key[start]
-            out = _dealt(_bucket(key, buckets), [(key >> _U(32)).astype(np.uint32)])
-            several, crowded = _key_bit(key[texts_with > 1], bits), _key_bit(key[texts_with > hot], _HOT_BITS)
-            out += [(-1 - piece, b) for piece, b in bitsets.packed(several)]
-            out += [(-1 - bitsets.pieces(bits) - piece, b) for piece, b in bitsets.packed(crowded)]
-            return _binary(out, ["bucket", "values"], 1)
+            out = _dealt(_bucket(key, buckets), [(key >> _U(32)).astype(np.uint32), counts])
+            out += [(-1 - piece, b, b"") for piece, b in bitsets.packed(several)]
+            return _binary(out, ["bucket", "values", "counts"], 1)
 
         for batch in batches:
             for part, data, offsets in _batch_texts(batch, 0):
                 for a in anchors(data, offsets):
                     keys.append(a.key)
                     rows.append(a.row + texts)
+                    contexts.append(a.context)
                     total += len(a.key)
                 texts += part.num_rows
                 if total > _HELD:
                     yield passed_on()
-                    keys, rows, total = [], [], 0
+                    keys, rows, contexts, total = [], [], [], 0
         yield passed_on()
 
     return met
 
 
-def _met_again(bits: int):
-    """Of a bucket: the bits of the anchors that more than one task has."""
+def _met_again(bits: int, hot: int):
+    """Of a bucket: the bits of the anchors that more than one task has.
+
+    After the pieces of that set, the bits of those that have more than ``hot`` contexts in all tasks together.
+    """
 
     def met_again(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        values = np.sort(_column(table, "values", np.uint32))
+        values = _column(table, "values", np.uint32)
         if bucket < 0:
             found = [(-1 - bucket, np.unique(values).tobytes())]
         else:
+            order = np.argsort(values)
+            values, counts = values[order], _column(table, "counts", np.uint32)[order].astype(np.int64)
             found = bitsets.packed(values[1:][values[1:] == values[:-1]] >> np.uint32(32 - bits))
+            start = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+            crowded = values[start[np.add.reduceat(counts, start) > hot]] if len(start) else values
+            crowded = bitsets.packed(crowded >> np.uint32(32 - _HOT_BITS))
+            found += [(bitsets.pieces(bits) + piece, b) for piece, b in crowded]
         return pa.Table.from_batches([_binary(found, ["piece", "bits"], 1)])
 
     return met_again
 
 
 def repeated_anchors(docs: DataFrame, store: Store, buckets: int, bits: int, hot: int) -> tuple[Broadcast, Broadcast]:
-    """Bit sets of the anchors that are met in more than one row, and of those met in too many rows of a task."""
-    met = docs.select("text").mapInArrow(_met(buckets, bits, hot), "bucket long, values binary")
-    found = store.scratch(met.groupBy("bucket").applyInArrow(_met_again(bits), "piece long, bits binary"), "anchors")
+    """Bit sets of the anchors that are met in more than one row, and of those with too many contexts."""
+    met = docs.select("text").mapInArrow(_met(buckets, bits), "bucket long, values binary, counts binary")
+    found = store.scratch(met.groupBy("bucket").applyInArrow(_met_again(bits, hot), "piece long, bits binary"), "anchors")
     several = F.col("piece") < bitsets.pieces(bits)
     crowded = found.filter(~several).withColumn("piece", F.col("piece") - bitsets.pieces(bits))
     return bitsets.broadcast_set(found.filter(several), bits), bitsets.broadcast_set(crowded, _HOT_BITS)

@@ -93,6 +93,23 @@ def test_hot_anchors_by_their_windows(spark, store, make_docs):
         assert result(without_repeats(make_docs(rows, 4), store, hot)) == brute(rows)
 
 
+def test_anchors_are_hot_by_all_tasks_together(spark, store, make_docs):
+    rng = random.Random(23)
+    passage = random_text(rng, [f"w{i}" for i in range(50)], 30)
+    rows = [(i, f"{rng.random()} {passage} {rng.random()} tail") for i in range(64)]
+    docs = make_docs(rows, 16)  # a few rows each
+    repeated, hot = suffix_dedup.repeated_anchors(docs, store, 8, suffix_dedup.MIN_BITS, 20)
+    data, offsets = np.frombuffer(rows[0][1].encode(), np.uint8), np.array([0, len(rows[0][1].encode())])
+    (found,) = suffix_dedup.anchors(data, offsets)
+    low, high = rows[0][1].index(passage), rows[0][1].index(passage) + len(passage)
+    inside = (found.at >= low + suffix_dedup.SIDE) & (found.at + suffix_dedup.ANCHOR + suffix_dedup.SIDE <= high)
+    shared = (found.at >= low) & (found.at + suffix_dedup.ANCHOR <= high)
+    crowded = suffix_dedup.bitsets.in_set(hot.value, suffix_dedup._key_bit(found.key, suffix_dedup._HOT_BITS))
+    assert crowded[shared & ~inside].any()  # their contexts reach beyond the passage: one for each document
+    assert not crowded[inside].any() and not crowded[~shared].any()  # one context in all, or one document
+    assert result(without_repeats(docs, store, 20)) == brute(rows)
+
+
 def test_long_texts_are_read_in_parts(spark, store, make_docs, monkeypatch):
     rng = random.Random(4)
     rows = [(i, t * 3) for i, t in corpus(rng, 25)]
