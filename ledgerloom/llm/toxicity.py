@@ -21,7 +21,6 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -374,9 +373,8 @@ def learned_model(docs: DataFrame, labels: DataFrame, store: Store, limit: int =
 
     kinds = "word string, bad long, good long, term long, edits long"
     matching = words.mapInArrow(_matching_words(terms), kinds).collect()  # words of the sample near a term
-    # a word near a term that clean documents use is a word of its own; a term with several such words is matched as is
+    # a word near a term that clean documents use is a word of its own, however many a term has
     near = [r for r in matching if r["edits"] and r["good"]]
-    crowd = Counter(r["term"] for r in near)
     known = {t.text for t in terms if not t.is_stem}
     # a word that begins with a stem has its own share, near the stem's if it is rare
     own = [
@@ -384,8 +382,7 @@ def learned_model(docs: DataFrame, labels: DataFrame, store: Store, limit: int =
         for r in matching
         if not r["edits"] and terms[r["term"]].is_stem and r["word"] not in known
     ]
-    lexicon = [Term(t.text, t.is_stem, t.weight, 0 if crowd[i] > 2 else t.edits) for i, t in enumerate(terms)]
-    prior = Model((*lexicon, *own), share, innocent=frozenset(r["word"] for r in near if crowd[r["term"]] <= 2))
+    prior = Model((*terms, *own), share, innocent=frozenset(r["word"] for r in near))
 
     def learned(kind: int, value: float, trust: float) -> float:
         toxic = [r["toxic"] for r in seen if r["kind"] == kind]

@@ -129,3 +129,19 @@ def test_no_labels_and_empty_table(spark, store, make_docs):
     some = spark.createDataFrame([(1, 1, 1), (2, 1, 0)], LABELS)
     assert toxicity.scored_documents(docs, some, store).count() == 3
     assert toxicity.scored_documents(docs.filter("doc_id > 9"), some, store).count() == 0
+
+
+def test_terms_with_many_clean_neighbours_keep_their_misspellings(spark, store, make_docs):
+    rng = random.Random(7)
+    clean = ["gribblewart", "gribblewurt", "gribblewirt", "gribblewert"]
+    filler = ["".join(rng.choice(("the", "on", "er", "an", "re", "ha", "st")) for _ in range(3)) for _ in range(200)]
+    rows = []
+    for i in range(1200):
+        rows.append((i, " ".join([*rng.choices(filler, k=20), "gribblewort" if i % 6 == 0 else clean[i % 4], *rng.choices(filler, k=20)])))
+    labels = spark.createDataFrame([(i, 1, int(i % 6 == 0)) for i in range(1200)], LABELS)
+    model = toxicity.learned_model(make_docs(rows), labels, store)
+    assert {t.text: t.edits for t in model.terms}["gribblewort"] > 0
+    assert model.innocent >= set(clean)
+    found = Reader(model)
+    assert [h[2] for h in found.hits("gribblevort gribblewort")] == [True, False]
+    assert found.hits(" ".join(clean)) == []
