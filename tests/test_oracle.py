@@ -1,8 +1,7 @@
 """Every query against its SQL counterpart."""
 
 import pytest
-from compare import compare, duck
-from conftest import SF
+from compare import SF, compare, duck
 
 import __spark_entry__ as entry
 from ledgerloom.queries import QUERIES
