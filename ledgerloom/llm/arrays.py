@@ -115,6 +115,20 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(_hash_words(lower, starts, ends), np.searchsorted(starts, offsets))
 
 
+def runs(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words:
+    """Maximal runs of the byte values that are True in ``inside``, after A-Z became a-z. A run ends with its text."""
+    lower = _LOWER[data]
+    own = np.zeros(len(data) + 2, dtype=np.int8)
+    own[1:-1] = inside[data]
+    steps = np.diff(own)
+    begins, ends = steps[:-1] == 1, steps[1:] == -1
+    edge = offsets[(offsets > 0) & (offsets < len(data))]
+    begins[edge] |= own[edge + 1] == 1
+    ends[edge - 1] |= own[edge] == 1
+    starts = np.flatnonzero(begins)
+    return Words(_hash_words(lower, starts, np.flatnonzero(ends) + 1), np.searchsorted(starts, offsets))
+
+
 def shingle_hashes(w: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all runs of ``size`` words of one text; of all its words if it has fewer; none if it has none."""
     n = len(w) - size + 1

@@ -13,9 +13,11 @@ from ledgerloom.llm import (
     chat,
     exact_dedup,
     fingerprints,
+    language_id,
     lm_score,
     mixing,
     ngram_join,
+    ranked_search,
     suffix_dedup,
     token_counts,
     toxicity,
@@ -87,6 +89,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(_table(spark, sf_dir, "documents"), Store.for_session(spark))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, items = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return ranked_search.ranked_documents(documents, items, Store.for_session(spark))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -100,6 +111,8 @@ QUERIES: dict[str, Query] = {
         op8_exact_dedup,
         op9_source_mixing,
         op10_token_counts,
+        op11_language_id,
+        op13_ranked_search,
     )
 }
 
@@ -137,6 +150,40 @@ ORACLE: dict[str, str] = {
         )
         SELECT * FROM ranked
     """,
+    "op13_ranked_search": r"""
+        WITH found AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM found GROUP BY doc_id
+        ), totals AS (
+            SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes
+        ), wanted AS (
+            SELECT item_id, term, count(*) AS times FROM (
+                SELECT item_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM benchmark
+            ) GROUP BY item_id, term
+        ), met AS (
+            SELECT doc_id, term, count(*) AS tf FROM found WHERE term IN (SELECT term FROM wanted) GROUP BY doc_id, term
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM met, totals GROUP BY term
+        ), impacts AS (
+            SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)) AS impact
+            FROM met JOIN sizes USING (doc_id), totals
+        ), scores AS (
+            SELECT item_id, doc_id, sum(times * w * impact)::BIGINT AS score
+            FROM wanted JOIN weights USING (term) JOIN impacts USING (term) GROUP BY item_id, doc_id
+        ), ranked AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+            FROM scores WHERE score > 0
+        )
+        SELECT * FROM ranked WHERE rank <= 20
+    """,
 }
 
 

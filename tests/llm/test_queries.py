@@ -17,7 +17,7 @@ def results(spark):
 
 def test_every_operator_has_a_query():
     names = sorted(int(n[2:].split("_")[0]) for n in queries.queries())
-    assert names == list(range(1, 11))
+    assert names == list(range(1, 14))
     assert queries.oracle_sql().keys() <= queries.queries().keys()
 
 
@@ -36,7 +36,7 @@ def test_oracle(results, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op5_chat_formatting"}))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op5_chat_formatting", "op12_prefix_trie", "op13_ranked_search"}))
 def test_one_row_per_document(results, name):
     import pyarrow.parquet as pq
 
