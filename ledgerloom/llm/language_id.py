@@ -29,6 +29,7 @@ from ledgerloom.sources.store import Store
 ORDER = 4  # characters of the longest runs
 SAMPLE_CHARS = 2_000_000  # characters models learn from, over all languages: 7 arrays of 12 bytes each at most
 CALIBRATION = 5  # one of so many documents of the sample calibrates
+BROADCAST = 1 << 16  # languages whose sizes are broadcast
 TAIL = 0.005  # share of a language's own documents beyond the bound of rejection
 _DEVIATIONS = 4  # the bound is at least so many standard deviations above the mean
 UNKNOWN = "und"
@@ -194,8 +195,10 @@ def labelled_sample(docs: DataFrame, store: Store, chars: int = SAMPLE_CHARS) ->
     """
     told = docs.filter("lang IS NOT NULL AND text IS NOT NULL").filter(~is_held_out(F.col("doc_id")))
     told = told.select("lang", "text", F.length("text").cast("long").alias("n"), F.xxhash64("text").alias("h"))
-    sizes = told.groupBy("lang").agg(F.sum("n").alias("all"))
+    sizes = store.scratch(told.groupBy("lang").agg(F.sum("n").alias("all")), "sizes")
     n_languages = sizes.count()
+    if n_languages <= BROADCAST:  # so that the texts need not be shuffled to meet them
+        sizes = F.broadcast(sizes)
     part = chars / max(n_languages, 1)
     # about twice what is needed, by hash, before anything is shuffled; copies of a text share a hash and meet map-side
     near = told.join(sizes, "lang").filter(F.pmod("h", F.lit(1 << 20)) < F.lit(2 * part * (1 << 20)) / F.greatest("all", F.lit(1)) + 1)
