@@ -17,6 +17,7 @@ from ledgerloom.llm import (
     lm_score,
     mixing,
     ngram_join,
+    prefix_trie,
     ranked_search,
     suffix_dedup,
     token_counts,
@@ -93,6 +94,11 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(_table(spark, sf_dir, "documents"), Store.for_session(spark))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = Store.for_session(spark)
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(_table(spark, sf_dir, "conversations"), store), store)
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, items = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return ranked_search.ranked_documents(documents, items, Store.for_session(spark))
@@ -112,6 +118,7 @@ QUERIES: dict[str, Query] = {
         op9_source_mixing,
         op10_token_counts,
         op11_language_id,
+        op12_prefix_trie,
         op13_ranked_search,
     )
 }
@@ -150,6 +157,53 @@ ORACLE: dict[str, str] = {
         )
         SELECT * FROM ranked
     """,
+    "op12_prefix_trie": r"""
+        WITH crc AS (
+            -- crc32 of the decimal: each digit's code, then eight times a shift
+            SELECT conv_id, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+                    lambda c: [unicode(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                lambda a, x: CASE WHEN x >= 0 THEN xor(a, x)
+                    WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)) % 6 AS h
+            FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+        ), placed AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), rebuilt AS (
+            SELECT c.conv_id, 0 AS own, p.place, p.role, p.text
+            FROM crc c JOIN placed p ON p.conv_id = c.conv_id - c.conv_id % 100 AND p.place <= c.h
+            UNION ALL
+            SELECT c.conv_id, 1, p.place, p.role, p.text FROM crc c JOIN placed p ON p.conv_id = c.conv_id AND p.place > c.h
+        ), depths AS (
+            SELECT *, row_number() OVER w AS depth FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY own, place)
+        ), prefixes AS (
+            SELECT conv_id, depth, length(text) AS n_chars, sha256(string_agg(
+                length(role) || ':' || role || length(text) || ':' || text, ',') OVER (PARTITION BY conv_id ORDER BY depth)) AS node
+            FROM depths
+            UNION ALL
+            SELECT conv_id, 0, 0, '' FROM crc
+        ), steps AS (
+            SELECT *, lag(node) OVER w AS above, lead(node) OVER w IS NULL AS is_end
+            FROM prefixes WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+        ), nodes AS (
+            SELECT node, any_value(above) AS above, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs,
+                (count(*) - 1) * any_value(n_chars) AS saved,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256
+            FROM steps GROUP BY node
+        ), children AS (
+            SELECT above AS node, count(*) AS n_children FROM nodes WHERE above IS NOT NULL GROUP BY above
+        ), passed AS (
+            -- every node with all that lie on the way of a conversation through it
+            SELECT DISTINCT u.node, v.node AS below FROM steps u JOIN steps v ON u.conv_id = v.conv_id AND u.depth <= v.depth
+        ), sums AS (
+            SELECT p.node, count(*) FILTER (c.n_children IS NULL) AS n_leaves, sum(n.saved)::BIGINT AS saved_tokens
+            FROM passed p JOIN nodes n ON n.node = p.below LEFT JOIN children c ON c.node = p.below GROUP BY p.node
+        )
+        SELECT n.conv_id, n.depth::BIGINT AS depth, a.conv_id AS parent_conv_id, n.n_convs,
+            coalesce(c.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+        FROM nodes n JOIN sums s ON s.node = n.node LEFT JOIN nodes a ON a.node = n.above LEFT JOIN children c ON c.node = n.node
+    """,
     "op13_ranked_search": r"""
         WITH found AS (
             SELECT doc_id, unnest(regexp_extract_all(
