@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.temporal import NTZ
 from ledgerloom.operators import rules
 from ledgerloom.operators.asof import as_of
-from ledgerloom.operators.scd2 import open_versions, scd2_apply, scd2_history
+from ledgerloom.operators.scd2 import open_versions, scd2_apply, scd2_history, scd2_snapshots
 from ledgerloom.params import Params
 from ledgerloom.plans import cleaning, core, marts, staging
 from ledgerloom.sources import feed
@@ -236,15 +236,15 @@ class Warehouse:
 
     @view
     def customer_snapshots(self):
-        """Version history after one snapshot per batch, oldest first."""
-        history = None
-        for batch in sorted(self.loaded_at):
-            current = staging.stg_customers(self.raw("customers", batch)).select(*VERSION_COLUMNS)
-            if history is None:
-                history = open_versions(current, "customer_id", "updated_at")
-            else:
-                history = scd2_apply(history, current, "customer_id", "updated_at", self.loaded_at[batch])
-        return history
+        """Version history after one snapshot of all that has landed per batch."""
+        landed = self.raw("customers").select("_batch_id", *VERSION_COLUMNS)
+        return scd2_snapshots(landed, self.loaded_at, "_batch_id", "customer_id", "updated_at", complete=False)
+
+    @view
+    def daily_snapshots(self):
+        """Version history after twelve daily snapshots."""
+        first = self.clean("customers").filter(F.col("_batch_id") == self.first_batch)
+        return scd2_snapshots(feed.daily_customers(first), feed.DAILY, "_batch_id", "customer_id", "updated_at")
 
     @view
     def crm_snapshots(self):

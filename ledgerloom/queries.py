@@ -176,6 +176,7 @@ QUERIES: dict[str, Query] = {
     "dim_product": _node("dim_product"),
     "dim_date": _node("dim_date"),
     "scd2_apply": _node("crm_snapshots"),
+    "scd2_daily_snapshots": _node("daily_snapshots"),
     "scd2_history": _node("customer_versions"),
     # marts
     "monthly_revenue": _node("monthly_revenue"),

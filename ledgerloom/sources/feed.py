@@ -262,6 +262,30 @@ def extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+DAILY = {f"d{i:02d}": f"2002-01-{i:02d} 02:00:00" for i in range(1, 13)}
+
+
+def daily_customers(customers: DataFrame) -> DataFrame:
+    """Twelve daily deliveries of clean customers, in which some go missing, return, change, go back or lose their stamp."""
+    k = F.substring("customer_id", 2, 20).cast("bigint")
+    day = F.col("day")
+    changes = F.floor(day * (k % 3) / 4).cast("int")
+    older = (k % 10 == 3) & (day % 5 == 0)
+    ahead = F.when(k % 20 == 5, changes * 150).otherwise(changes)  # some stamps lie in the future
+    stamp = F.col("updated_at") + F.make_dt_interval(days=F.when(older, -1).otherwise(ahead))
+    unknown = (k % 50 == 7) | ((k % 50 == 8) & (day % 3 == 0))
+    rows = customers.drop("_batch_id").select("*", F.explode(F.sequence(F.lit(1), F.lit(len(DAILY)))).alias("day"))
+    rows = rows.filter((k % 4 == 0) | ((k * 5 + day * 3) % 13 >= 2))
+    return rows.select(
+        F.concat(F.lit("d"), F.lpad(day.cast("string"), 2, "0")).alias("_batch_id"),
+        "customer_id",
+        F.when(changes % 2 == 1, "Enterprise").otherwise(F.col("segment")).alias("segment"),
+        "country",
+        "acquisition_channel",
+        F.when(~unknown, stamp).alias("updated_at"),
+    )
+
+
 def run_log(events: DataFrame) -> DataFrame:
     """A log of stage runs, one run per event."""
     k = F.col("event_id")

@@ -457,6 +457,41 @@ SELECT md5(concat_ws('|', customer_id, updated_at::VARCHAR)) AS customer_version
 FROM versions
 """
 
+# twelve daily snapshots, taken in one after the other
+CTE["daily"] = """
+SELECT 'd' || lpad(day::VARCHAR, 2, '0') AS _batch_id, customer_id,
+       CASE WHEN changes % 2 = 1 THEN 'Enterprise' ELSE segment END AS segment, country, acquisition_channel,
+       CASE WHEN k % 50 = 7 OR k % 50 = 8 AND day % 3 = 0 THEN NULL
+            WHEN k % 10 = 3 AND day % 5 = 0 THEN updated_at - INTERVAL 1 DAY
+            WHEN k % 20 = 5 THEN updated_at + to_days((changes * 150)::INTEGER)
+            ELSE updated_at + to_days(changes::INTEGER) END AS updated_at
+FROM (SELECT *, (day * (k % 3)) // 4 AS changes
+      FROM (SELECT *, substr(customer_id, 2)::BIGINT AS k FROM s_customers WHERE _batch_id = 'b1'),
+           (SELECT unnest(range(1, 13)) AS day))
+WHERE k % 4 = 0 OR (k * 5 + day * 3) % 13 >= 2
+"""
+_VERSION = "customer_id, segment, country, acquisition_channel, updated_at"
+CTE["taken01"] = f"SELECT {_VERSION}, updated_at AS valid_from, NULL::TIMESTAMP AS valid_to FROM daily WHERE _batch_id = 'd01'"
+for _i in range(2, 13):
+    _was, _at = f"taken{_i - 1:02d}", f"TIMESTAMP '2002-01-{_i:02d} 02:00:00'"
+    CTE[f"news{_i:02d}"] = f"""
+SELECT d.*, CASE WHEN e.ended IS NOT NULL AND NOT coalesce(d.updated_at >= e.ended, false) THEN {_at}
+                 ELSE d.updated_at END AS start
+FROM daily d LEFT JOIN (SELECT customer_id, max(valid_to) AS ended FROM {_was} GROUP BY 1) e USING (customer_id)
+WHERE d._batch_id = 'd{_i:02d}'
+"""
+    CTE[f"taken{_i:02d}"] = f"""
+SELECT {_VERSION}, valid_from, valid_to FROM {_was} WHERE valid_to IS NOT NULL
+UNION ALL
+SELECT o.customer_id, o.segment, o.country, o.acquisition_channel, o.updated_at, o.valid_from,
+       CASE WHEN n.customer_id IS NULL THEN {_at} WHEN n.updated_at > o.updated_at THEN n.start END
+FROM {_was} o LEFT JOIN news{_i:02d} n USING (customer_id) WHERE o.valid_to IS NULL
+UNION ALL
+SELECT n.customer_id, n.segment, n.country, n.acquisition_channel, n.updated_at, n.start, NULL
+FROM news{_i:02d} n LEFT JOIN (SELECT * FROM {_was} WHERE valid_to IS NULL) o USING (customer_id)
+WHERE o.customer_id IS NULL OR n.updated_at > o.updated_at
+"""
+
 # ---- marts ------------------------------------------------------------------------------------
 
 CTE["monthly"] = """
@@ -913,6 +948,7 @@ Q: dict[str, str] = {
         SELECT md5(concat_ws('|', customer_id, '2001-12-03 02:00:00')), customer_id, segment, country,
                acquisition_channel, updated_at, TIMESTAMP '2001-12-03 02:00:00', NULL
         FROM a WHERE customer_id NOT IN (SELECT customer_id FROM z)""",
+    "scd2_daily_snapshots": "SELECT md5(concat_ws('|', customer_id, valid_from::VARCHAR)) AS customer_version_key, * FROM taken12",
     "scd2_history": "SELECT * EXCLUDE (version) FROM history",
     "monthly_revenue": f"""
         SELECT order_month, {usd("cents")} AS revenue_usd, orders, active AS active_customers, new AS new_customers,

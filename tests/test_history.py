@@ -2,7 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.scd2 import open_versions, scd2_apply, scd2_history
+from ledgerloom.operators.scd2 import open_versions, scd2_apply, scd2_history, scd2_snapshots
 from ledgerloom.operators.upsert import reprocess_from, upsert
 
 D = [datetime(2024, m, 1) for m in range(1, 13)]
@@ -100,3 +100,60 @@ def test_incremental_facts_equal_a_full_rebuild(warehouse):
     for name in ("fct_orders", "fct_order_items"):
         full, incremental = getattr(warehouse, name), getattr(warehouse, f"{name}_incremental")
         assert full.exceptAll(incremental).isEmpty() and incremental.exceptAll(full).isEmpty()
+
+
+def folded(spark, batches, at):
+    """One snapshot after the other, each history written before the next step."""
+    history = None
+    for rows, moment in zip(batches, at, strict=True):
+        current = snapshot(spark, rows)
+        if history is None:
+            history = open_versions(current, "customer_id", "updated_at")
+        else:
+            history = take(history, current, moment)
+        history = spark.createDataFrame(history.collect(), history.schema)
+    return history
+
+
+def test_many_snapshots_in_one_pass_equal_the_fold(spark):
+    """Keys that vanish and return, unknown, older and future stamps, and a snapshot without rows."""
+    import random
+
+    rng = random.Random(11)
+    at = [datetime(2024, 1 + i // 2, 1 + 14 * (i % 2)) for i in range(10)]
+    batches = []
+    for i, now in enumerate(at):
+        rows = []
+        for k in range(60 if i != 6 else 0):
+            if rng.random() < 0.75:
+                stamp = rng.choice([*D, now, now, datetime(2023, 1, 1), datetime(2023, 1, 1), None if k % 3 == 0 else now])
+                rows.append((f"K{k}", rng.choice("xyz"), stamp))
+        batches.append(rows)
+    rows = [(f"b{i:02d}", *r) for i, part in enumerate(batches) for r in part]
+    every = spark.createDataFrame(rows, "batch string, customer_id string, segment string, updated_at timestamp_ntz")
+    taken_at = {f"b{i:02d}": str(t) for i, t in enumerate(at)}
+    got = scd2_snapshots(every.repartition(5), taken_at, "batch", "customer_id", "updated_at")
+    want = folded(spark, batches, at)
+    assert plain(got) == plain(want)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+
+
+def test_the_plan_does_not_grow_with_the_number_of_snapshots(spark):
+    def exchanges(n):
+        rows = [(f"b{i:03d}", "A", "x", D[i % 12]) for i in range(n)]
+        every = spark.createDataFrame(rows, "batch string, customer_id string, segment string, updated_at timestamp_ntz")
+        taken_at = {f"b{i:03d}": str(D[0]) for i in range(n)}
+        history = scd2_snapshots(every, taken_at, "batch", "customer_id", "updated_at")
+        assert history.count() >= 1
+        return history._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    assert exchanges(2) == exchanges(200) == 1
+
+
+def test_what_is_missing_stays_if_snapshots_are_not_complete(spark):
+    rows = [("b1", "A", "x", D[0]), ("b3", "A", "y", D[2]), ("b1", "B", "x", D[0]), ("b2", "C", "x", None), ("b3", "C", "y", D[3])]
+    every = spark.createDataFrame(rows, "batch string, customer_id string, segment string, updated_at timestamp_ntz")
+    got = scd2_snapshots(every, {f"b{i}": str(D[i]) for i in (1, 2, 3)}, "batch", "customer_id", "updated_at", complete=False)
+    assert plain(got) == sorted(
+        [("A", "x", D[0], D[2]), ("A", "y", D[2], None), ("B", "x", D[0], None), ("C", "x", None, None)], key=str
+    )
