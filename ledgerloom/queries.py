@@ -15,6 +15,7 @@ from ledgerloom.plans.cleaning import Cleaned
 from ledgerloom.plans.measures import Measures
 from ledgerloom.plans.warehouse import SCOPE, Warehouse, open_warehouse
 from ledgerloom.sources import feed, lake
+from ledgerloom.sources.catalog import Catalog
 from ledgerloom.sources.extracts import SOURCES, read_extract
 from ledgerloom.sources.schemas import EXTRACT_COLUMNS, LANDED, TABLES
 from ledgerloom.streaming.orders import latest_from_stream, once_from_stream
@@ -114,9 +115,10 @@ def _staged_load(w: Warehouse) -> DataFrame:
 
 def _fact_in_folders(w: Warehouse) -> DataFrame:
     """The order fact of the first batch in month folders, updated in place by the delta of the next."""
-    facts = lake.PartitionedTable(w.store.spark, w.store.path(w.store.unique("facts")), "order_month")
-    facts.replace(w.first_load_orders)
-    return facts.upsert(core.fct_orders(w.changed_orders, w.changed_lines), "order_id", w.store)
+    tables = Catalog(w.store.spark, w.store.path(w.store.unique("facts")))
+    tables.replace("fct_orders", w.first_load_orders, "order_month", "order_id")
+    delta = w.store.scratch(core.fct_orders(w.changed_orders, w.changed_lines), "delta")
+    return tables.upsert("fct_orders", delta)
 
 
 def _exported_customers(w: Warehouse) -> DataFrame:

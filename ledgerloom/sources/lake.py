@@ -1,32 +1,18 @@
-"""Files of the lake: batch folders, versioned tables, exports and audit records."""
+"""Files of the lake: batch folders, exports and audit records."""
 
 from __future__ import annotations
 
-import json
 import re
-from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ledgerloom.operators.upsert import upsert
-from ledgerloom.sources.store import Store
+from ledgerloom.sources.files import delete, exists
 
 _SAFE = re.compile(r"[A-Za-z0-9_.-]+")
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
-    return fs.exists(p)
-
-
 def replace_batch(df: DataFrame, path: str, batch_id: str, column: str = "_batch_id") -> None:
     """Write one batch as its own partition folder, replacing an earlier load of the same batch.
 
@@ -39,8 +25,7 @@ def replace_batch(df: DataFrame, path: str, batch_id: str, column: str = "_batch
 
 
 def drop_batch(spark: SparkSession, path: str, batch_id: str, column: str = "_batch_id") -> None:
-    p, fs = _fs(spark, f"{path}/{column}={batch_id}")
-    fs.delete(p, True)
+    delete(spark, f"{path}/{column}={batch_id}")
 
 
 def read_batches(spark: SparkSession, path: str, schema: StructType, column: str = "_batch_id") -> DataFrame:
@@ -68,127 +53,6 @@ def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    p, fs = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    p, fs = _fs(spark, path)
-    stream = fs.create(p, True)
-    try:
-        stream.write(bytearray(text, "utf-8"))
-    finally:
-        stream.close()
-
-
-@dataclass(frozen=True)
-class Staged:
-    """A table as it will be: written, but not what readers see until ``commit``."""
-
-    table: DataFrame
-    commit: Callable[[], DataFrame]
-
-
-@dataclass(frozen=True)
-class VersionedTable:
-    """A table that is replaced as a whole: a new version folder, then a pointer to it.
-
-    The version being read is never overwritten, so a failed or repeated write leaves a usable table. The version
-    before stays for those who still read it; older ones are removed.
-    """
-
-    spark: SparkSession
-    path: str
-
-    def version(self) -> int:
-        return int(_read_text(self.spark, f"{self.path}/_current") or 0)
-
-    def exists(self) -> bool:
-        return self.version() > 0
-
-    def folder(self, version: int | None = None) -> str:
-        return f"{self.path}/v{self.version() if version is None else version}"
-
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.folder())
-
-    def _switch(self, version: int) -> DataFrame:
-        _write_text(self.spark, f"{self.path}/_current", str(version))
-        for old in range(version - 2, 0, -1):
-            path, fs = _fs(self.spark, self.folder(old))
-            if not fs.delete(path, True):
-                break
-        return self.read()
-
-    def staged(self, df: DataFrame) -> Staged:
-        following = self.version() + 1
-        df.write.mode("overwrite").parquet(self.folder(following))
-        return Staged(self.spark.read.parquet(self.folder(following)), lambda: self._switch(following))
-
-    def replace(self, df: DataFrame) -> DataFrame:
-        return self.staged(df).commit()
-
-
-@dataclass(frozen=True)
-class PartitionedTable(VersionedTable):
-    """A versioned table in one folder per value of a column; an update rewrites only the folders it touches."""
-
-    column: str
-
-    def _read(self, folder: str) -> DataFrame:
-        # the schema is kept beside the data, so older folders show later columns as NULL
-        schema = StructType.fromJson(json.loads(_read_text(self.spark, f"{folder}/_schema")))
-        return self.spark.read.schema(schema).parquet(folder).select(*schema.names)
-
-    def read(self) -> DataFrame:
-        return self._read(self.folder())
-
-    def _write(self, df: DataFrame, folder: str, mode: str) -> None:
-        # rebalancing writes few files per folder and splits a folder that holds much of the table
-        writer = df.hint("rebalance", self.column).write.mode("overwrite").partitionBy(self.column)
-        writer.option("partitionOverwriteMode", mode).parquet(folder)
-        _write_text(self.spark, f"{folder}/_schema", df.schema.json())
-
-    def staged(self, df: DataFrame) -> Staged:
-        following = self.version() + 1
-        self._write(df, self.folder(following), "static")
-        return Staged(self._read(self.folder(following)), lambda: self._switch(following))
-
-    def staged_upsert(self, delta: DataFrame, key: str, store: Store) -> Staged:
-        """Replace the delta's keys. Both the folders they were in and those they go to are rewritten, at the commit.
-
-        A commit that is broken off is made good by the next update: the delta's keys are still in the lookback, and
-        their folders are found by the key.
-        """
-        existing = self.read()
-        before = existing.join(delta.select(key), key, "left_semi").select(self.column)
-        # one value per folder
-        touched = [r[0] for r in before.union(delta.select(self.column)).distinct().collect()]
-        if not touched:
-            return Staged(existing, self.read)
-        in_touched = F.col(self.column).isin(touched)
-        changed = store.scratch(upsert(existing.filter(in_touched), delta, key), "changed_folders")
-
-        def commit() -> DataFrame:
-            filled = {r[0] for r in changed.select(self.column).distinct().collect()}
-            self._write(changed, self.folder(), "dynamic")
-            for value in set(touched) - filled:
-                drop_batch(self.spark, self.folder(), str(value), self.column)
-            return self.read()
-
-        return Staged(existing.filter(~in_touched).unionByName(changed, allowMissingColumns=True), commit)
-
-    def upsert(self, delta: DataFrame, key: str, store: Store) -> DataFrame:
-        return self.staged_upsert(delta, key, store).commit()
-
-
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

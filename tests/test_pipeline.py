@@ -1,7 +1,7 @@
 """End to end over files: two batches, idempotent reloads, history, audit, export."""
 
 import json
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 from decimal import Decimal
 from pathlib import Path
 
@@ -12,7 +12,7 @@ from ledgerloom.operators.quality import DataQualityError
 from ledgerloom.plans import pipeline
 from ledgerloom.sources import feed, lake
 from ledgerloom.sources.extracts import SOURCES, read_extract
-from ledgerloom.sources.lake import PartitionedTable, VersionedTable, load_staged, read_batches, replace_batch
+from ledgerloom.sources.lake import load_staged, read_batches, replace_batch
 from ledgerloom.sources.schemas import EXTRACT_COLUMNS, LANDED
 
 SF = "/root/testdata/sf0.001"
@@ -45,7 +45,7 @@ def env(spark, tmp_path_factory):
 
 
 def table(spark, env, name):
-    return pipeline.core_table(spark, env["lake"], name).read()
+    return pipeline.catalog(spark, env["lake"]).read(pipeline.place(name))
 
 
 def totals(spark, env):
@@ -181,33 +181,6 @@ def test_staged_columns_match_in_any_case(spark, tmp_path):
     assert (row.currency, row.rate_to_usd, row["_batch_id"]) == ("USD", Decimal("1.5"), "x")
 
 
-def test_upsert_rewrites_only_the_touched_folders(spark, store, tmp_path):
-    schema = "id int, m date, v string"
-    t = PartitionedTable(spark, str(tmp_path / "t"), "m")
-    jan, feb, mar = (date(2024, i, 1) for i in (1, 2, 3))
-    t.replace(spark.createDataFrame([(1, jan, "a"), (2, feb, "b"), (3, mar, "c"), (4, mar, "d")], schema))
-    untouched = {p.name for p in (tmp_path / "t/v1/m=2024-03-01").glob("*.parquet")}
-    # row 2 moves from February, which becomes empty, to January; row 5 is new; a column is added
-    delta = spark.createDataFrame([(2, jan, "B", 7), (5, jan, "e", 8)], schema + ", w int")
-    t.upsert(delta, "id", store)
-    got = sorted((r.id, r.m, r.v, r.w) for r in t.read().collect())
-    assert got == [(1, jan, "a", None), (2, jan, "B", 7), (3, mar, "c", None), (4, mar, "d", None), (5, jan, "e", 8)]
-    assert not (tmp_path / "t/v1/m=2024-02-01").exists()
-    assert {p.name for p in (tmp_path / "t/v1/m=2024-03-01").glob("*.parquet")} == untouched
-    assert t.upsert(delta.limit(0), "id", store).count() == 5
-
-
-def test_versions_are_switched_not_overwritten(spark, tmp_path):
-    t = VersionedTable(spark, str(tmp_path / "t"))
-    assert not t.exists()
-    t.replace(spark.createDataFrame([(1,)], "id int"))
-    t.replace(t.read().unionByName(spark.createDataFrame([(2, "x")], "id int, y string"), allowMissingColumns=True))
-    assert sorted(map(tuple, t.read().collect()), key=str) == [(1, None), (2, "x")]
-    assert lake.exists(spark, str(tmp_path / "t/v1"))
-    t.replace(t.read())
-    assert not lake.exists(spark, str(tmp_path / "t/v1")) and lake.exists(spark, str(tmp_path / "t/v2"))
-
-
 def test_csv_columns_are_taken_by_name(spark, tmp_path):
     (tmp_path / "finance").mkdir()
     path = tmp_path / "finance/fx_rates.csv"
@@ -226,13 +199,13 @@ def test_written_csv_reads_back(spark, tmp_path):
 
 
 def test_a_failed_test_leaves_the_tables_before_and_publishes_nothing(spark, env, monkeypatch, tmp_path):
-    before = totals(spark, env), core_version(spark, env)
+    before = totals(spark, env), pipeline.catalog(spark, env["lake"]).version()
     broken = spark.createDataFrame([("t", "c", "error", False, 1, "1 rows")], "table_name string, check_name string, severity string, passed boolean, failures long, detail string")
     with monkeypatch.context() as m:
         m.setattr(pipeline.checks, "model_tests", lambda built: broken)
         with pytest.raises(DataQualityError, match="t.c"):
             pipeline.transform(spark, env["lake"], "bad-tests", full_refresh=True)
-    assert (totals(spark, env), core_version(spark, env)) == before
+    assert (totals(spark, env), pipeline.catalog(spark, env["lake"]).version()) == before
     with pytest.raises(DataQualityError, match="failed"):
         pipeline.publish(spark, env["lake"], str(tmp_path / "out"))
     assert not (tmp_path / "out").exists()
@@ -240,10 +213,6 @@ def test_a_failed_test_leaves_the_tables_before_and_publishes_nothing(spark, env
     assert totals(spark, env) == before[0]
 
 
-def core_version(spark, env):
-    return [pipeline.core_table(spark, env["lake"], n).version() for n in ("fct_orders", "kpi_summary", "dim_customer")]
-
-
 def test_freshness_stops_the_day(spark, env):
     assert set(pipeline.check_freshness(spark, env["lake"], pipeline.utc_now()).values()) == {"pass"}
     with pytest.raises(DataQualityError, match="orders"):
