@@ -1,11 +1,11 @@
 """Scores by cross-entropy difference of two n-gram models.
 
 A target model is learned from documents of the wanted kind, a background model from all documents. They are
-matched: bigrams with the same smoothing and one vocabulary, the words the target has at least twice (others are one
-unknown word). A document's score is the mean over its words of the target's loss less the background's, in bits: the
+matched: bigrams with the same smoothing over one vocabulary, the words the target has at least twice, one unknown
+word for all others, and the end of a text, whose loss is not counted. A document's score is the mean over its words of the target's loss less the background's, in bits: the
 lower, the more it is like the target.
 
-Counts cover every document and are exact per 64-bit hash of a word or a word pair. Nothing that grows with the corpus
+Counts cover every document and are exact per 56-bit hash of a word or a word pair. Nothing that grows with the corpus
 is sent to a task or the driver whole: documents are written in blocks, a block sends its distinct words and pairs with
 their counts to buckets by hash, and each bucket sends the sums back to the blocks that asked. Only a vocabulary of up
 to ``BROADCAST`` words is broadcast; a larger one meets the words of the blocks in buckets too.
@@ -13,6 +13,7 @@ to ``BROADCAST`` words is broadcast; a larger one meets the words of the blocks
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,19 +27,21 @@ from ledgerloom.llm.bits import possible_members
 from ledgerloom.llm.words import whole
 from ledgerloom.sources.store import Store
 
-SLOTS = 1 << 20  # words the unigrams are smoothed over, or the vocabulary if that is larger
 SMOOTHING = 4.0  # words' worth of trust in the unigrams
 BROADCAST = 1 << 21  # words of a vocabulary that is broadcast: 16 MB
-_BLOCK = 8 << 20  # bytes of text in a block, about, or one document
+_BLOCK = 16 << 20  # bytes of text in a block, about, or one document
+_BUCKET = 32 << 20  # bytes of keys in a bucket, about
+_KEY_BYTES = 6  # of keys per word of text, at most
 _HELD = 1_000_000  # words a task holds before it passes them on
 _U = np.uint64
+_SPARE = 8  # low bits of a key that are not used
 _UNKNOWN = _U(0x9E3779B97F4A7C15)
 _CODEC = pa.Codec("zstd")
 
 
 def _dealt(keys: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
-    """(bucket, places of its keys in ``keys``), by the lower half of the hashes."""
-    to = ((keys & _U(0xFFFFFFFF)) % _U(buckets)).astype(np.int64)
+    """(bucket, places of its keys in ``keys``). A bucket is a range of hashes, so that its keys lie close together."""
+    to = (((keys >> _U(32)) * _U(buckets)) >> _U(32)).astype(np.int64)
     order = np.argsort(to, kind="stable")
     cuts = np.flatnonzero(np.diff(to[order])) + 1
     return [(int(to[p[0]]), p) for p in np.split(order, cuts) if len(p)]
@@ -61,13 +64,13 @@ def _wide(packed: bytes, n: int, kind=np.int64) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(f"u{width}").ravel().astype(kind)
 
 
-def _steps(keys: np.ndarray) -> bytes:
-    """Sorted hashes packed: their differences need fewer bytes."""
-    return _small(np.diff(keys, prepend=_U(0)))
+def _steps(keys: np.ndarray, spare: int = 0) -> bytes:
+    """Sorted hashes packed: their differences need fewer bytes. The ``spare`` low bits are 0."""
+    return _small(np.diff(keys >> _U(spare), prepend=_U(0)))
 
 
-def _climbed(packed: bytes, n: int) -> np.ndarray:
-    return np.cumsum(_wide(packed, n, _U), dtype=_U)
+def _climbed(packed: bytes, n: int, spare: int = 0) -> np.ndarray:
+    return np.cumsum(_wide(packed, n, _U), dtype=_U) << _U(spare)
 
 
 def _ranked(words: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,7 +151,7 @@ def _among(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def _block_kinds(doc_id: str) -> str:
-    return f"ids array<{doc_id}>, n_words long, sizes binary, words binary, index binary"
+    return f"ids array<{doc_id}>, n_words long, n_ends long, sizes binary, words binary, index binary"
 
 
 def _blocks(vocabulary: Broadcast | None):
@@ -170,9 +173,10 @@ def _blocks(vocabulary: Broadcast | None):
             words, index = _ranked(words, index)
             all_ids = pa.concat_arrays(ids)
             columns = [pa.ListArray.from_arrays(pa.array([0, len(all_ids)], pa.int32()), all_ids)]
-            columns.append(pa.array([len(index)], pa.int64()))
-            columns += [pa.array([b], pa.binary()) for b in (_small(np.concatenate(sizes)), words.tobytes(), _small(index))]
-            return pa.RecordBatch.from_arrays(columns, names=["ids", "n_words", "sizes", "words", "index"])
+            n = np.concatenate(sizes)
+            columns += [pa.array([v], pa.int64()) for v in (len(index), np.count_nonzero(n))]
+            columns += [pa.array([b], pa.binary()) for b in (_small(n), words.tobytes(), _small(index))]
+            return pa.RecordBatch.from_arrays(columns, names=["ids", "n_words", "n_ends", "sizes", "words", "index"])
 
         for batch in batches:
             for part in arrays.pieces(batch, 1):
@@ -261,7 +265,8 @@ def _keys(n: np.ndarray, words: np.ndarray, index: np.ndarray) -> tuple[np.ndarr
     pairs, pair = np.unique(index[later - 1] * len(words) + index[later], return_inverse=True)
     before, word = np.divmod(pairs, max(len(words), 1))
     pairs = arrays.mixed(words[before] * _U(0xBF58476D1CE4E5B9) + words[word])
-    return np.r_[arrays.mixed(words), pairs], len(words) + pair, later, starts
+    keys = np.r_[arrays.mixed(words), pairs] >> _U(_SPARE) << _U(_SPARE)
+    return keys, len(words) + pair, later, starts
 
 
 def _dealt_in_order(keys: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
@@ -279,7 +284,7 @@ def _entries(buckets: int):
                 keys, pair, _, _ = _keys(n, words, index)
                 counts = np.bincount(np.r_[index, pair], minlength=len(keys))
                 dealt = _dealt_in_order(keys, buckets)
-                yield _table([(b, block, target, len(p), _steps(keys[p]), _small(counts[p])) for b, p in dealt], _ENTRY_KINDS)
+                yield _table([(b, block, target, len(p), _steps(keys[p], _SPARE), _small(counts[p])) for b, p in dealt], _ENTRY_KINDS)
 
     return entries
 
@@ -288,7 +293,7 @@ def _sums(table: pa.Table) -> pa.Table:
     """Of a bucket: for each block the sums of its entries over the target and over all documents."""
     asked = list(_rows(table, "block", "bucket", "target", "n"))
     sizes = [a[3] for a in asked]
-    keys = np.concatenate([_climbed(k, n) for n, k in _rows(table, "n", "keys")])
+    keys = np.concatenate([_climbed(k, n, _SPARE) for n, k in _rows(table, "n", "keys")])
     counts = np.concatenate([_wide(c, n) for n, c in _rows(table, "n", "counts")])
     keys, place = np.unique(keys, return_inverse=True)
     of_target = np.repeat([a[2] for a in asked], sizes)
@@ -303,7 +308,11 @@ def _sums(table: pa.Table) -> pa.Table:
 
 
 def _losses(met: np.ndarray, together: np.ndarray, starts: np.ndarray, total: int, n_words: int) -> np.ndarray:
-    """Bits each word costs: the pair's share of the word before it, smoothed by the word's share of all."""
+    """Bits each word costs: the pair's share of the word before it, smoothed by the word's share of all.
+
+    The end of a text counts as a word, so what follows a word and what stands alone both have shares that add up to 1;
+    ``total`` are all words and ends, ``n_words`` the different ones.
+    """
     alone = (met + 1.0) / (total + n_words)
     # the first word of a text follows no word
     trust = np.where(starts, 0.0, np.r_[0.0, met[:-1]][: len(met)])
@@ -311,7 +320,7 @@ def _losses(met: np.ndarray, together: np.ndarray, starts: np.ndarray, total: in
 
 
 def _scores(buckets: int, totals: tuple[int, int], n_words: int):
-    """A row for each document of a block. ``totals`` are the words of the target and of all documents."""
+    """A row for each document of a block. ``totals`` are the words and ends of the target and of all documents."""
 
     def scores(block: pa.Table, sums: pa.Table) -> pa.Table:
         ids = block.column("ids").combine_chunks().flatten()
@@ -354,8 +363,21 @@ def _known_words(vocabulary: DataFrame) -> Broadcast:
     return vocabulary.sparkSession.sparkContext.broadcast(np.sort(np.frombuffer(b"".join(parts), dtype=_U)))
 
 
-def _packed_documents(may: DataFrame, others: DataFrame, known: Broadcast | None, store: Store) -> DataFrame:
-    """Blocks of documents, written. The target and the rest do not share blocks."""
+def _in_buckets(blocks: DataFrame, store: Store, buckets: int) -> DataFrame:
+    """The blocks written in buckets: what comes back to them is shuffled, they themselves are not.
+
+    Only a table of the catalog can be bucketed; its files lie in the store, and its name goes at once.
+    """
+    name = f"blocks_{uuid.uuid4().hex}"
+    path = store.path(store.unique("blocks"))
+    blocks.write.format("parquet").bucketBy(buckets, "block").option("path", path).saveAsTable(name)
+    written = blocks.sparkSession.table(name)
+    blocks.sparkSession.sql(f"DROP TABLE {name}")
+    return written
+
+
+def _packed_documents(may: DataFrame, others: DataFrame, known: Broadcast | None) -> DataFrame:
+    """Blocks of documents. The target and the rest do not share blocks."""
     kind = _block_kinds(may.schema["doc_id"].dataType.simpleString())
 
     def blocks(rows: DataFrame, target: bool) -> DataFrame:
@@ -363,17 +385,17 @@ def _packed_documents(may: DataFrame, others: DataFrame, known: Broadcast | None
 
     parts = [blocks(may.filter("target"), True), blocks(may.filter("NOT target"), False), blocks(others, False)]
     every = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return store.scratch(every.withColumn("block", F.monotonically_increasing_id()), "blocks")
+    return every.withColumn("block", F.monotonically_increasing_id())
 
 
-def _with_known(blocks: DataFrame, vocabulary: DataFrame, buckets: int, store: Store) -> DataFrame:
+def _with_known(blocks: DataFrame, vocabulary: DataFrame, buckets: int) -> DataFrame:
     """The blocks with the words outside the vocabulary as the unknown one; the two meet by bucket."""
     asked = blocks.select("block", "words").mapInArrow(_asked(buckets), _ASKED_KINDS)
     told = asked.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInArrow(_told, _TOLD_KINDS)
     some = blocks.filter("n_words > 0").groupBy("block").cogroup(told.groupBy("block"))
     kind = _block_kinds(blocks.schema["ids"].dataType.elementType.simpleString())
     marked = some.applyInArrow(_with_unknown(buckets), f"{kind}, target boolean, block long")
-    return store.scratch(marked.unionByName(blocks.filter("n_words = 0")), "known")
+    return marked.unionByName(blocks.filter("n_words = 0"))
 
 
 def cross_entropy_difference(docs: DataFrame, wanted: DataFrame, store: Store) -> DataFrame:
@@ -391,19 +413,22 @@ def cross_entropy_difference(docs: DataFrame, wanted: DataFrame, store: Store) -
     vocabulary = store.scratch(counted.applyInArrow(_seen_twice, _VOCABULARY_KINDS), "vocabulary")
     size = vocabulary.agg(F.sum("n")).first()[0] or 0
     known = _known_words(vocabulary) if size <= BROADCAST else None
-    blocks = _packed_documents(may, others, known, store)
+    blocks = _in_buckets(_packed_documents(may, others, known), store, buckets)
     texts.remove()  # all is in the blocks
     if known is None:
-        blocks = _with_known(blocks, vocabulary, buckets, store)
+        blocks = _in_buckets(_with_known(blocks, vocabulary, buckets), store, buckets)
 
+    counted = blocks.groupBy("target").agg(F.sum("n_words").alias("words"), F.sum("n_ends").alias("ends")).collect()  # two rows
+    n_words = {r["target"]: r["words"] + r["ends"] for r in counted}
+    totals = n_words.get(True, 0), sum(n_words.values())
+    # a bucket is read whole by one task: as many as keep it small
+    buckets = max(buckets, totals[1] * _KEY_BYTES // _BUCKET)
     packed = blocks.select("block", "target", F.size("ids").alias("n_ids"), "sizes", "words", "index")
     entries = packed.mapInArrow(_entries(buckets), _ENTRY_KINDS)
     sums = entries.groupBy("bucket").applyInArrow(_sums, _SUM_KINDS)
-    n_words = {r["target"]: r["n"] for r in blocks.groupBy("target").agg(F.sum("n_words").alias("n")).collect()}
-    totals = n_words.get(True, 0), sum(n_words.values())
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = blocks.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(
-        _scores(buckets, totals, max(SLOTS, size + 1)),
+        _scores(buckets, totals, size + 2),  # the unknown word and the end of a text
         f"doc_id {kind}, n_words long, target_bits double, background_bits double",
     )
     return scored.withColumn("score", F.col("target_bits") - F.col("background_bits"))

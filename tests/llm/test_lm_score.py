@@ -13,8 +13,26 @@ def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", lower)
 
 
+END = "</s>"
+
+
+def model_of(part, vocabulary):
+    """The share of a word (None: unknown, END) after another one (None: unknown, "<s>": first of a text)."""
+    single = Counter(w for t in part for w in t) + Counter({END: sum(map(bool, part))})
+    pairs = Counter(p for t in part if t for p in zip(["<s>", *t], [*t, END]))
+    total, n_words = sum(single.values()), len(vocabulary) + 2
+
+    def share(w, before):
+        alone = (single[w] + 1) / (total + n_words)
+        trust = single[before] if before != "<s>" else 0
+        together = pairs[before, w] if before != "<s>" else 0
+        return (together + lm_score.SMOOTHING * alone) / (trust + lm_score.SMOOTHING)
+
+    return share
+
+
 def brute(rows, wanted):
-    """The same smoothing over plain dictionaries; right as long as no two words share a slot."""
+    """The same smoothing over plain dictionaries."""
     texts = [words(t) for _, t in rows]
     target = [w for (i, _), w in zip(rows, texts) if i in wanted]
     vocabulary = {w for w, n in Counter(w for t in target for w in t).items() if n >= 2}
@@ -22,27 +40,29 @@ def brute(rows, wanted):
     def known(t):
         return [w if w in vocabulary else None for w in t]
 
-    models = []
-    for part in (target, texts):
-        part = [known(t) for t in part]
-        single = Counter(w for t in part for w in t)
-        pairs = Counter(p for t in part for p in zip(["<s>", *t], t))
-        models.append((single, pairs, sum(single.values())))
+    models = [model_of([known(t) for t in part], vocabulary) for part in (target, texts)]
     out = {}
     for (i, _), t in zip(rows, texts):
         means = []
-        for single, pairs, total in models:
+        for share in models:
             bits, before = 0.0, "<s>"
             for w in known(t):
-                alone = (single[w] + 1) / (total + lm_score.SLOTS)
-                trust = single[before] if before != "<s>" else 0
-                bits -= math.log2((min(pairs[before, w], trust) + lm_score.SMOOTHING * alone) / (trust + lm_score.SMOOTHING))
+                bits -= math.log2(share(w, before))
                 before = w
             means.append(bits / len(t) if t else 0.0)
         out[i] = (len(t), *means, means[0] - means[1])
     return out
 
 
+def test_shares_add_up_to_one():
+    """What follows any word, and what begins a text, in a model of which the operator's losses are the logarithms."""
+    part = [words("a b a b b"), words("a never b"), words("b"), []]
+    vocabulary = {"a", "b"}
+    share = model_of([[w if w in vocabulary else None for w in t] for t in part], vocabulary)
+    for before in ("a", "b", None, "<s>"):
+        assert sum(share(w, before) for w in ("a", "b", None, END)) == pytest.approx(1)
+
+
 def corpus():
     rng = random.Random(12)
     rows = []
