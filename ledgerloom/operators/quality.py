@@ -1,15 +1,16 @@
 """Data-quality checks. A check is one result row per scope (for instance per batch).
 
-All column-level checks of a table share one aggregation pass; uniqueness and references count their
+All column-level checks of a table share one aggregation pass, or are counted while the table is written and need none;
+uniqueness and references count their
 keys before anything is shuffled, so a hot key costs one row per input partition.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 RESULT = ("table_name", "check_name", "severity", "passed", "failures", "detail")
@@ -21,35 +22,47 @@ class DataQualityError(RuntimeError):
 
 @dataclass(frozen=True)
 class ColumnCheck:
-    """A check that looks at one row at a time: how many rows (or values) fail it."""
+    """A check that looks at one row at a time: it counts the rows for which each of ``failing`` is true.
+
+    With ``at_least`` it counts instead how many rows are missing from that number.
+    """
 
     name: str
-    failures: Column
+    failing: tuple[Column, ...]
     detail: Column
+    at_least: int | None = None
+
+    def failures(self, within: Column | None = None) -> Column:
+        """The aggregate that counts, over all rows or those ``within`` a scope."""
+        inside = F.lit(True) if within is None else within
+        if self.at_least is not None:
+            return F.greatest(F.lit(self.at_least) - F.count_if(inside), F.lit(0)).cast("bigint")
+        counts = [F.count_if(f if within is None else f & inside) for f in self.failing]
+        return sum(counts[1:], counts[0]).cast("bigint")
 
 
 def _count(what: str) -> Column:
     return F.concat(F.col("_failures").cast("string"), F.lit(f" {what}"))
 
 
+def failing_rows(name: str, failing: Column) -> ColumnCheck:
+    return ColumnCheck(name, (failing,), _count("rows"))
+
+
 def not_null(*columns: str) -> ColumnCheck:
-    nulls = sum((F.count_if(F.col(c).isNull()) for c in columns[1:]), F.count_if(F.col(columns[0]).isNull()))
     detail = F.when(F.col("_failures") == 0, "no nulls").otherwise(_count("nulls"))
-    return ColumnCheck(f"not_null({', '.join(columns)})", nulls, detail)
+    return ColumnCheck(f"not_null({', '.join(columns)})", tuple(F.col(c).isNull() for c in columns), detail)
 
 
 def accepted_values(column: str, allowed: Sequence[str]) -> ColumnCheck:
     """NULL passes."""
-    bad = F.count_if(~F.col(column).isin(*allowed))
     detail = F.when(F.col("_failures") == 0, "all valid").otherwise(_count("unexpected"))
-    return ColumnCheck(f"accepted_values({column})", bad, detail)
+    return ColumnCheck(f"accepted_values({column})", (~F.col(column).isin(*allowed),), detail)
 
 
 def positive(column: str) -> ColumnCheck:
     """NULL passes."""
-    return ColumnCheck(
-        f"positive({column})", F.count_if(F.col(column) <= 0), _count("non-positive values")
-    )
+    return ColumnCheck(f"positive({column})", (F.col(column) <= 0,), _count("non-positive values"))
 
 
 def accepted_range(column: str, low=None, high=None) -> ColumnCheck:
@@ -59,19 +72,60 @@ def accepted_range(column: str, low=None, high=None) -> ColumnCheck:
         outside = outside | (F.col(column) < F.lit(low))
     if high is not None:
         outside = outside | (F.col(column) > F.lit(high))
-    return ColumnCheck(f"accepted_range({column})", F.count_if(outside), _count("out of range"))
+    return ColumnCheck(f"accepted_range({column})", (outside,), _count("out of range"))
 
 
 def expression_is_true(expression: str) -> ColumnCheck:
     """NULL passes."""
-    return ColumnCheck(
-        f"expression_is_true({expression})", F.count_if(~F.expr(expression)), _count("false")
-    )
+    return ColumnCheck(f"expression_is_true({expression})", (~F.expr(expression),), _count("false"))
 
 
 def min_rows(n: int) -> ColumnCheck:
-    short = F.greatest(F.lit(n) - F.count("*"), F.lit(0))
-    return ColumnCheck(f"min_rows({n})", short, _count("rows short"))
+    return ColumnCheck(f"min_rows({n})", (), _count("rows short"), at_least=n)
+
+
+#: What was counted: per scope (None without scopes) the failures of each check by its name.
+Counts = Mapping[str | None, Mapping[str, int]]
+
+
+def counting(
+    df: DataFrame, asked: Mapping[str, Sequence[ColumnCheck]], scope: str | None = None, values: Sequence[str] = ()
+) -> tuple[DataFrame, Callable[[], dict[str, Counts]]]:
+    """(``df``, which counts while it is written, and what it has counted by then) for checks under several names.
+
+    Counting must be the last thing that happens to the rows before they are written: there each task counts once, however
+    often stages before it run again. ``values`` are all scopes, each counted on its own.
+    """
+    metrics, places = [], []
+    for name, checks in asked.items():
+        for value in values or (None,):
+            within = None if scope is None else F.col(scope) == F.lit(value)
+            for check in checks:
+                metrics.append(check.failures(within).alias(f"c{len(places)}"))
+                places.append((name, value, check.name))
+    observation = Observation()
+
+    def counted() -> dict[str, Counts]:
+        found: dict[str, dict] = {name: {} for name in asked}
+        got = observation.get
+        for i, (name, value, check) in enumerate(places):
+            found[name].setdefault(value, {})[check] = got[f"c{i}"]
+        return found
+
+    return df.observe(observation, *metrics), counted
+
+
+def counted_checks(
+    spark: SparkSession, table: str, checks: Sequence[ColumnCheck], counts: Counts, scope: Sequence[str] = ()
+) -> DataFrame:
+    """The results ``check_columns`` would find, from what was counted when the table was written."""
+    rows = [(*((value,) if scope else ()), table, c.name, counts[value][c.name]) for value in counts for c in checks]
+    kinds = ", ".join([*(f"`{c}` string" for c in scope), "table_name string", "check_name string", "_failures bigint"])
+    return _finish(spark.createDataFrame(rows, kinds), _detail(checks), scope)
+
+
+def _detail(checks: Sequence[ColumnCheck]) -> Column:
+    return F.coalesce(*[F.when(F.col("check_name") == c.name, c.detail) for c in checks])
 
 
 def _results(counted: DataFrame, table: str, checks: Sequence[tuple[str, str, Column]], scope, scopes) -> DataFrame:
@@ -103,12 +157,11 @@ def check_columns(
     df: DataFrame, table: str, checks: Sequence[ColumnCheck], scope: Sequence[str] = (), scopes: DataFrame | None = None
 ) -> DataFrame:
     """Several column checks of one table in one pass."""
-    counted = df.groupBy(*scope).agg(*[c.failures.cast("bigint").alias(f"_c{i}") for i, c in enumerate(checks)])
+    counted = df.groupBy(*scope).agg(*[c.failures().alias(f"_c{i}") for i, c in enumerate(checks)])
     # a scope without rows passes everything but the row minimum
-    empty = [F.lit(int(c.name[9:-1]) if c.name.startswith("min_rows(") else 0).cast("bigint") for c in checks]
+    empty = [F.lit(c.at_least or 0).cast("bigint") for c in checks]
     rows = _results(counted, table, [(c.name, f"_c{i}", empty[i]) for i, c in enumerate(checks)], scope, scopes)
-    detail = F.coalesce(*[F.when(F.col("check_name") == c.name, c.detail) for c in checks])
-    return _finish(rows, detail, scope)
+    return _finish(rows, _detail(checks), scope)
 
 
 def check_unique(

@@ -56,12 +56,17 @@ def gate() -> dict[str, TableChecks]:
 
 
 def gate_checks(
-    clean: Mapping[str, DataFrame], scope: Sequence[str] = (), scopes: DataFrame | None = None
+    clean: Mapping[str, DataFrame],
+    scope: Sequence[str] = (),
+    scopes: DataFrame | None = None,
+    counts: Mapping[str, q.Counts] | None = None,
 ) -> DataFrame:
-    """The 17 checks on the cleaned tables."""
+    """The 17 checks on the cleaned tables; ``counts`` are those of columns from when the tables were written."""
     parts = []
     for table, asked in gate().items():
-        if asked.columns:
+        if counts is not None and table in counts:
+            parts.append(q.counted_checks(clean[table].sparkSession, table, asked.columns, counts[table], scope))
+        elif asked.columns:
             parts.append(q.check_columns(clean[table], table, asked.columns, scope, scopes))
         parts.append(q.check_unique(clean[table], table, asked.key, scope, scopes))
         for column, parent in asked.parents:
@@ -185,15 +190,98 @@ def recon_cohort_month_zero(cohorts: DataFrame) -> DataFrame:
     )
 
 
-def _failing_rows(df: DataFrame, model: str, name: str, failing) -> DataFrame:
-    check = q.ColumnCheck(name, F.count_if(failing), F.concat(F.col("_failures").cast("string"), F.lit(" rows")))
-    return q.check_columns(df, model, [check])
+_GATE, _MODEL = "gate:", "model:"
+# tables that are written under another name than that of their tests
+_WRITTEN_AS = {f"settled_{t}": t for t in ("customers", "order_items", "products", "fx_rates")} | {"clean_orders": "orders"}
 
 
-def model_tests(w) -> DataFrame:
-    """The 61 tests on the built models, one row each; per model one pass for the column tests."""
+def column_tests() -> dict[str, tuple[q.ColumnCheck, ...]]:
+    """The tests of models that look at one row at a time."""
     half = F.lit("0.5").cast("decimal(2,1)")
     one = F.lit(1).cast("decimal(22,4)")
+    return {
+        "raw_customers": (q.not_null("customer_id"),),
+        "raw_orders": (q.not_null("order_id"),),
+        "security_country_access": (q.not_null("user_email"), q.not_null("country")),
+        "stg_customers": (q.not_null("customer_id"), q.not_null("email"), q.accepted_values("segment", SEGMENT_VALUES)),
+        "stg_orders": (
+            q.not_null("order_id"),
+            q.not_null("customer_id"),
+            q.accepted_values("status", STATUSES),
+            q.accepted_range("discount_pct", F.lit(0), half),
+        ),
+        "stg_order_items": (q.not_null("order_item_id"), q.accepted_range("quantity", F.lit(1))),
+        "stg_products": (q.not_null("product_id"),),
+        "stg_fx_rates": (q.not_null("currency"),),
+        "fct_orders": (
+            q.not_null("order_id"),
+            q.not_null("customer_id"),
+            q.not_null("order_date"),
+            q.accepted_values("status", STATUSES),
+            q.accepted_range("net_revenue_usd", F.lit(0)),
+            q.expression_is_true("net_revenue_usd <= gross_amount_usd"),
+        ),
+        "fct_order_items": (q.not_null("order_item_id"),),
+        "dim_customer": (q.not_null("customer_id"), q.accepted_values("segment", SEGMENT_VALUES)),
+        "dim_customer_history": (q.not_null("customer_version_key"), q.expression_is_true("valid_from < valid_to")),
+        "dim_product": (q.not_null("product_id"),),
+        "dim_date": (q.not_null("date_day"),),
+        "monthly_revenue": (q.not_null("order_month"),),
+        "customer_ltv": (q.not_null("customer_id"), q.accepted_values("lifecycle_status", LIFECYCLE_VALUES)),
+        "cohort_retention": (
+            q.accepted_range("retention_rate", F.lit(0), one),
+            q.failing_rows(
+                "cohort_month_zero_full_retention", (F.col("months_since_first") == 0) & (F.col("retention_rate") != 1)
+            ),
+        ),
+        "rfm_segments": (q.accepted_values("rfm_segment", RFM_VALUES),),
+        "kpi_summary": (q.expression_is_true("repeat_purchase_rate between 0 and 1"),),
+    }
+
+
+def counted_by(table: str) -> dict[str, tuple[q.ColumnCheck, ...]]:
+    """The checks to count while ``table`` is written."""
+    landed = _WRITTEN_AS.get(table)
+    tests, asked = column_tests(), {}
+    if landed is not None:
+        asked = {_GATE + landed: gate()[landed].columns, _MODEL + f"raw_{landed}": tests.get(f"raw_{landed}", ())}
+    elif table in tests:
+        asked = {_MODEL + table: tests[table]}
+    return {name: checks for name, checks in asked.items() if checks}
+
+
+def gate_counts(observed: Mapping[str, q.Counts]) -> dict[str, q.Counts]:
+    return {name.removeprefix(_GATE): counts for name, counts in observed.items() if name.startswith(_GATE)}
+
+
+def model_column_tests(w) -> list[DataFrame]:
+    """The column tests, counted when the tables were written; of a table that was not, by reading it.
+
+    An update counts the folders it writes: those it leaves passed the tests of the transform that wrote them.
+    """
+    spark, parts = w.store.spark, []
+    for model, tests in column_tests().items():
+        if model.startswith("raw_"):
+            table = w.raw(model.removeprefix("raw_"))
+        elif model == "security_country_access":
+            table = country_grants(spark)
+        else:
+            table = getattr(w, model)
+        counts = w.observed.get(_MODEL + model)  # there once the table is built
+        if counts is None:
+            parts.append(q.check_columns(table, model, tests))
+        else:  # of landed tables over all their batches
+            total = {t.name: sum(of[t.name] for of in counts.values()) for t in tests}
+            parts.append(q.counted_checks(spark, model, tests, {None: total}))
+    return parts
+
+
+def _failing_rows(df: DataFrame, model: str, name: str, failing) -> DataFrame:
+    return q.check_columns(df, model, [q.failing_rows(name, failing)])
+
+
+def model_tests(w) -> DataFrame:
+    """The 61 tests on the built models, one row each. Those of columns need no pass over what was written with ``counting``."""
 
     def unique(df, model, columns):
         return q.check_unique(df, model, columns, nulls_count=False)
@@ -206,91 +294,33 @@ def model_tests(w) -> DataFrame:
     )
     ltv, rfm = w.customer_ltv, w.rfm_segments
     parts = [
-        # sources and seed
-        q.check_columns(w.raw("customers"), "raw_customers", [q.not_null("customer_id")]),
-        q.check_columns(w.raw("orders"), "raw_orders", [q.not_null("order_id")]),
-        q.check_columns(
-            country_grants(w.store.spark), "security_country_access", [q.not_null("user_email"), q.not_null("country")]
-        ),
         # staging
         unique(stg_c, "stg_customers", ["customer_id"]),
-        q.check_columns(
-            stg_c,
-            "stg_customers",
-            [q.not_null("customer_id"), q.not_null("email"), q.accepted_values("segment", SEGMENT_VALUES)],
-        ),
         unique(stg_o, "stg_orders", ["order_id"]),
-        q.check_columns(
-            stg_o,
-            "stg_orders",
-            [
-                q.not_null("order_id"),
-                q.not_null("customer_id"),
-                q.accepted_values("status", STATUSES),
-                q.accepted_range("discount_pct", F.lit(0), half),
-            ],
-        ),
         related("stg_orders", stg_o, "customer_id", stg_c, "customer_id"),
         related("stg_orders", stg_o, "currency", stg_fx, "currency"),
         unique(stg_i, "stg_order_items", ["order_item_id"]),
-        q.check_columns(
-            stg_i, "stg_order_items", [q.not_null("order_item_id"), q.accepted_range("quantity", F.lit(1))]
-        ),
         related("stg_order_items", stg_i, "product_id", stg_p, "product_id"),
         unique(stg_p, "stg_products", ["product_id"]),
-        q.check_columns(stg_p, "stg_products", [q.not_null("product_id")]),
         unique(stg_fx, "stg_fx_rates", ["currency"]),
-        q.check_columns(stg_fx, "stg_fx_rates", [q.not_null("currency")]),
         # core
         unique(w.fct_orders, "fct_orders", ["order_id"]),
-        q.check_columns(
-            w.fct_orders,
-            "fct_orders",
-            [
-                q.not_null("order_id"),
-                q.not_null("customer_id"),
-                q.not_null("order_date"),
-                q.accepted_values("status", STATUSES),
-                q.accepted_range("net_revenue_usd", F.lit(0)),
-                q.expression_is_true("net_revenue_usd <= gross_amount_usd"),
-            ],
-        ),
         related("fct_orders", w.fct_orders, "customer_id", w.dim_customer, "customer_id"),
         related("fct_orders", w.fct_orders, "order_date", w.dim_date, "date_day"),
         unique(w.fct_order_items, "fct_order_items", ["order_item_id"]),
-        q.check_columns(w.fct_order_items, "fct_order_items", [q.not_null("order_item_id")]),
         related("fct_order_items", w.fct_order_items, "product_id", w.dim_product, "product_id"),
         unique(w.dim_customer, "dim_customer", ["customer_id"]),
-        q.check_columns(
-            w.dim_customer, "dim_customer", [q.not_null("customer_id"), q.accepted_values("segment", SEGMENT_VALUES)]
-        ),
         unique(w.dim_customer_history, "dim_customer_history", ["customer_version_key"]),
-        q.check_columns(
-            w.dim_customer_history,
-            "dim_customer_history",
-            [q.not_null("customer_version_key"), q.expression_is_true("valid_from < valid_to")],
-        ),
         unique(w.dim_product, "dim_product", ["product_id"]),
-        q.check_columns(w.dim_product, "dim_product", [q.not_null("product_id")]),
         unique(w.dim_date, "dim_date", ["date_day"]),
-        q.check_columns(w.dim_date, "dim_date", [q.not_null("date_day")]),
         # analytics
         unique(w.monthly_revenue, "monthly_revenue", ["order_month"]),
-        q.check_columns(w.monthly_revenue, "monthly_revenue", [q.not_null("order_month")]),
         unique(ltv, "customer_ltv", ["customer_id"]),
-        q.check_columns(
-            ltv, "customer_ltv", [q.not_null("customer_id"), q.accepted_values("lifecycle_status", LIFECYCLE_VALUES)]
-        ),
         related("customer_ltv", ltv, "customer_id", w.dim_customer, "customer_id"),
         unique(w.cohort_retention, "cohort_retention", ["cohort_month", "months_since_first"]),
-        q.check_columns(w.cohort_retention, "cohort_retention", [q.accepted_range("retention_rate", F.lit(0), one)]),
         unique(w.retention_90d, "retention_90d", ["month_start"]),
         unique(rfm, "rfm_segments", ["customer_id"]),
-        q.check_columns(rfm, "rfm_segments", [q.accepted_values("rfm_segment", RFM_VALUES)]),
         unique(w.revenue_by_category, "revenue_by_category", ["order_month", "category"]),
-        q.check_columns(
-            w.kpi_summary, "kpi_summary", [q.expression_is_true("repeat_purchase_rate between 0 and 1")]
-        ),
         # singular
         _failing_rows(
             order_total_breaks(w.fct_orders, w.fct_order_items), "fct_orders", "order_totals_match_lines", F.col("broken")
@@ -301,11 +331,5 @@ def model_tests(w) -> DataFrame:
             "monthly_revenue_reconciles",
             ~F.col("passed"),
         ),
-        _failing_rows(
-            w.cohort_retention,
-            "cohort_retention",
-            "cohort_month_zero_full_retention",
-            (F.col("months_since_first") == 0) & (F.col("retention_rate") != 1),
-        ),
     ]
-    return q.union(parts)
+    return q.union([*parts, *model_column_tests(w)])

@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.temporal import NTZ
-from ledgerloom.operators import rules
+from ledgerloom.operators import quality, rules
 from ledgerloom.operators.asof import as_of
 from ledgerloom.operators.scd2 import open_versions, scd2_apply, scd2_history, scd2_snapshots
 from ledgerloom.params import Params
-from ledgerloom.plans import cleaning, core, marts, staging
+from ledgerloom.plans import checks, cleaning, core, marts, staging
 from ledgerloom.sources import feed
 from ledgerloom.sources.schemas import TABLES
 from ledgerloom.sources.store import Store, file_stamp
@@ -41,7 +41,7 @@ def _node(written: bool) -> Callable:
             with lock:
                 if name not in self._built:
                     df = build(self)
-                    self._built[name] = self.store.write(name, df) if written else df
+                    self._built[name] = self._write(name, df) if written else df
                 return self._built[name]
 
         return property(get)
@@ -68,9 +68,21 @@ class Warehouse:
         self.store = store
         self.params = params
         self._built: dict[str, DataFrame] = {}
+        self.observed: dict[str, quality.Counts] = {}
         self._locks: dict[str, threading.RLock] = {}
         self._locks_guard = threading.Lock()
 
+    def _write(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a table; its column checks are counted on the way."""
+        asked = checks.counted_by(name)
+        if not asked:
+            return self.store.write(name, df)
+        scoped = ("_batch_id", tuple(sorted(self.loaded_at))) if "_batch_id" in df.columns and name in self.LANDED else ()
+        df, counted = quality.counting(df, asked, *scoped)
+        table = self.store.write(name, df)
+        self.observed |= counted()
+        return table
+
     @property
     def first_batch(self) -> str:
         return min(self.loaded_at)
@@ -281,7 +293,7 @@ class Warehouse:
     def dim_product(self):
         return core.dim_product(self.stg_products)
 
-    @view
+    @table
     def dim_date(self):
         return core.dim_date(self.fct_orders, self.params)
 
@@ -296,7 +308,7 @@ class Warehouse:
         base = marts.customer_base(self.fct_orders, self.dim_customer, self.params)
         return marts.placed_customers(base, self.store)
 
-    @view
+    @table
     def customer_ltv(self):
         return marts.customer_ltv(self.placed_customers)
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +32,13 @@ _SAFE = re.compile(r"[A-Za-z0-9_. -]+")
 KEPT = 3  # manifests whose folders stay
 
 
+Step = Callable[[DataFrame], DataFrame]
+
+
+def _as_it_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 class Conflict(RuntimeError):
     """Another commit came first."""
 
@@ -103,15 +110,15 @@ class Catalog:
 
     # ---- writing ---------------------------------------------------------------------------
 
-    def _write(self, name: str, df: DataFrame, column: str | None, key: str | None, base: int) -> dict[str, str]:
+    def _write(self, name: str, df: DataFrame, column: str | None, key: str | None, last: Step, base: int) -> dict[str, str]:
         """Write ``df`` as a version of its own, and its key index. Returns folder -> version."""
         version = f"{base + 1:012d}-{uuid.uuid4().hex[:8]}"
         path = f"{self.root}/{name}/{_VERSION}={version}"
         if column is None:
-            df.write.parquet(path)
+            last(df).write.parquet(path)
             return {"": version}
         # rebalancing writes few files per folder and splits a folder that holds much of the table
-        df.hint("rebalance", column).write.partitionBy(column).parquet(path)
+        last(df.hint("rebalance", column)).write.partitionBy(column).parquet(path)
         folders = [f for f in children(self.spark, path) if f.startswith(f"{column}=")]
         for folder in folders:
             if not _SAFE.fullmatch(folder.partition("=")[2]):
@@ -129,10 +136,15 @@ class Catalog:
     def _staged(self, name: str, state: dict, base: int) -> Staged:
         return Staged(name, self._read(name, state), state, base)
 
-    def stage(self, name: str, df: DataFrame, column: str | None = None, key: str | None = None) -> Staged:
-        """Write the whole table, in a folder per value of ``column``; ``key`` is what later updates find rows by."""
+    def stage(
+        self, name: str, df: DataFrame, column: str | None = None, key: str | None = None, last: Step = _as_it_is
+    ) -> Staged:
+        """Write the whole table, in a folder per value of ``column``; ``key`` is what later updates find rows by.
+
+        ``last`` is done to the rows right before they are written, after all shuffles.
+        """
         base = self.version()
-        folders = self._write(name, df, column, key, base)
+        folders = self._write(name, df, column, key, last, base)
         return self._staged(name, {"schema": df.schema.jsonValue(), "column": column, "key": key, "folders": folders}, base)
 
     def holders(self, name: str, state: dict, keys: DataFrame) -> list[str]:
@@ -148,7 +160,7 @@ class Catalog:
         found = keyindex.may_hold(index, keys.select(F.col(state["key"]).cast("string").alias("key")))
         return [r["folder"] for r in found.select("folder").distinct().collect()]  # one per folder
 
-    def stage_upsert(self, name: str, delta: DataFrame) -> Staged:
+    def stage_upsert(self, name: str, delta: DataFrame, last: Step = _as_it_is) -> Staged:
         """The table with the rows of the delta's keys replaced. Folders they were in and those they go to are rewritten.
 
         ``delta`` is read several times: a written table.
@@ -163,7 +175,7 @@ class Catalog:
         touched = [r["folder"] for r in before.union(delta.select(self._folder(column))).distinct().collect()]  # one per folder
         old = self._read(name, state, [f for f in touched if f in state["folders"]])
         changed = upsert(old, delta, key)
-        written = self._write(name, changed, column, key, base)
+        written = self._write(name, changed, column, key, last, base)
         kept = {f: v for f, v in state["folders"].items() if f not in touched}
         return self._staged(name, {**state, "schema": changed.schema.jsonValue(), "folders": kept | written}, base)
 

@@ -102,3 +102,36 @@ def test_all_61_model_tests_pass(warehouse):
     results = checks.model_tests(warehouse).collect()
     assert len(results) == 61
     assert [r for r in results if not r.passed] == []
+
+
+def test_counts_taken_while_writing_equal_those_of_a_scan(spark, tmp_path):
+    rows = [("b1", 1, "a"), ("b1", -1, None), ("b2", 5, "x"), ("b2", None, "a"), ("b2", 0, "a")]
+    df = spark.createDataFrame(rows, "_batch_id string, n int, s string").repartition(3)
+    asked = [q.min_rows(2), q.positive("n"), q.accepted_values("s", ["a"]), q.accepted_range("n", 0, 4), q.expression_is_true("n > 0"), q.not_null("n", "s")]
+    scopes = spark.createDataFrame([("b1",), ("b2",), ("b3",)], "_batch_id string")
+    counted, told = q.counting(df, {"t": asked, "u": asked[:1]}, "_batch_id", ["b1", "b2", "b3"])
+    counted.write.parquet(str(tmp_path / "t"))
+    counts = told()
+    want = q.check_columns(df, "t", asked, ["_batch_id"], scopes)
+    got = q.counted_checks(spark, "t", asked, counts["t"], ["_batch_id"])
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+    assert counts["u"] == {b: {"min_rows(2)": n} for b, n in (("b1", 0), ("b2", 0), ("b3", 2))}
+    whole, told = q.counting(df.limit(0), {"t": asked})
+    whole.write.parquet(str(tmp_path / "none"))
+    got, want = q.counted_checks(spark, "t", asked, told()["t"]), q.check_columns(df.limit(0), "t", asked)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_column_checks_read_no_table_again(warehouse):
+    tests = checks.model_column_tests(warehouse)
+    assert len(tests) == len(checks.column_tests()) and not any(map(scans, tests))
+    clean = {t: warehouse.clean(t) for t in checks.gate()}
+    scopes = warehouse.extracts["customers"].select("_batch_id").distinct()
+    counts = checks.gate_counts(warehouse.observed)
+    assert set(counts) == {t for t, asked in checks.gate().items() if asked.columns}
+    with_counts = checks.gate_checks(clean, ["_batch_id"], scopes, counts)
+    assert scans(with_counts) < scans(checks.gate_checks(clean, ["_batch_id"], scopes))
