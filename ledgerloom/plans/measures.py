@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import cents, ratio, signed_ratio
 from ledgerloom.functions.temporal import month_spine, month_start
+from ledgerloom.operators import periods
 from ledgerloom.operators.security import country_grants, visible_customers, visible_facts
 from ledgerloom.plans.warehouse import Warehouse
 
@@ -31,6 +32,15 @@ DATE_COLUMNS = {
 }
 FACT_COLUMNS = ("sales_channel", "status", "currency", "order_date")
 LINE_COLUMNS = ("category",)
+# The grain a set of calendar columns asks for.
+_GRAINS = (
+    ("day", {"order_date"}),
+    ("month", {"order_month"}),
+    ("month", {"year_month"}),
+    ("month", {"year", "month"}),
+    ("quarter", {"year", "quarter"}),
+    ("year", {"year"}),
+)
 CUSTOMER_COLUMNS = ("segment", "country", "acquisition_channel", "signup_month", "first_order_month")
 
 ORDER_MEASURES = {
@@ -116,7 +126,7 @@ class Measures:
 
     def _line_grain(self, columns: Sequence[str], where: Column | None) -> DataFrame:
         sums = [F.sum("net_revenue_usd").alias("net")]
-        return self._grain(self.warehouse.fct_order_items, LINE_COLUMNS, columns, where, sums)
+        return self._grain(self.warehouse.fct_order_items, (*LINE_COLUMNS, "order_date"), columns, where, sums)
 
     def _grain(self, facts, own: Sequence[str], columns: Sequence[str], where: Column | None, sums) -> DataFrame:
         """One row per customer and requested column of the fact, with the customer's columns."""
@@ -181,9 +191,16 @@ class Measures:
         return self._filtered(result.select(*by, *measures), dates)
 
     def _time_part(self, by: Sequence[str], where: Column | None, where_columns: Sequence[str]) -> DataFrame:
-        if "order_month" not in by or any(c in DATE_COLUMNS for c in by if c != "order_month"):
-            raise ValueError("measures that move the date filter are asked for by order_month")
-        return self.time_intelligence([c for c in by if c != "order_month"], where, where_columns)
+        dated = {c for c in by if c in DATE_COLUMNS or c == "order_date"}
+        grain = next((g for g, needed in _GRAINS if needed <= dated), None)
+        if grain is None:
+            raise ValueError("measures that move the date filter are asked for by day, month, quarter or year")
+        others = [c for c in by if c not in dated]
+        if dated == {"order_month"}:
+            return self.time_intelligence(others, where, where_columns)
+        moved = self.moved_revenue(grain, others, where, where_columns)
+        columns = {c: F.col("period") if c == "order_date" else DATE_COLUMNS[c](F.col("period")) for c in dated}
+        return moved.withColumns(columns)
 
     def _share_part(self, by: Sequence[str], where: Column | None, where_columns: Sequence[str]) -> DataFrame:
         return self.revenue_share(
@@ -263,8 +280,23 @@ class Measures:
             F.sum(revenue).over(in_order.rowsBetween(-2, 0)).alias("revenue_rolling_3m"),
         )
 
+        return self._with_changes(moved)
+
+    def moved_revenue(
+        self, grain: str, by: Sequence[str] = (), where: Column | None = None, where_columns: Sequence[str] = ()
+    ) -> DataFrame:
+        """The measures that move the date filter for each ``period`` of a grain: day, month, quarter or year.
+
+        Revenue is added up per day and group first; each of these rows then names the periods it counts for.
+        """
+        sold = self.evaluate(["total_revenue"], ["order_date", *by], where, where_columns)
+        names = dict(zip(periods.MOVED, ("total_revenue", "revenue_pm", "revenue_py", "revenue_ytd", "revenue_rolling_3m")))
+        return self._with_changes(periods.moved_sums(sold, "order_date", "total_revenue", grain, by).withColumnsRenamed(names))
+
+    @staticmethod
+    def _with_changes(moved: DataFrame) -> DataFrame:
         def change(before: str) -> Column:
-            now = F.coalesce(cents(revenue), F.lit(0))
+            now = F.coalesce(cents(F.col("total_revenue")), F.lit(0))
             return signed_ratio(now - cents(F.col(before)), cents(F.col(before)), RATE)
 
         changed = moved.withColumns(

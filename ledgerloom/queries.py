@@ -244,6 +244,23 @@ QUERIES: dict[str, Query] = {
             dates=F.year("order_month") == 2000,
         )
     ),
+    "measures_yoy_by_year": _on_measures(
+        lambda m: m.evaluate(["total_revenue", "revenue_py", "revenue_yoy_pct", "yoy_colour"], ["year", "segment"])
+    ),
+    "measures_time_by_quarter": _on_measures(
+        lambda m: m.evaluate(
+            ["total_revenue", "revenue_pm", "revenue_py", "revenue_ytd", "revenue_rolling_3m", "revenue_yoy_pct"],
+            ["year", "quarter", "sales_channel"],
+        )
+    ),
+    "measures_time_by_day": _on_measures(
+        lambda m: m.evaluate(
+            ["total_revenue", "revenue_pm", "revenue_py", "revenue_ytd", "revenue_rolling_3m"], ["order_date"]
+        )
+    ),
+    "measures_ytd_by_category": _on_measures(
+        lambda m: m.evaluate(["total_revenue", "revenue_ytd", "revenue_py"], ["year", "quarter", "category"])
+    ),
     "measures_category": _on_measures(
         lambda m: m.evaluate(["total_revenue", "revenue_share_pct"], ["year", "category"]), REGIONAL_USER
     ),

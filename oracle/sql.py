@@ -1025,6 +1025,47 @@ Q: dict[str, str] = {
                    sum(r.rev) OVER (PARTITION BY year(m.order_month) ORDER BY m.order_month ROWS UNBOUNDED PRECEDING) AS ytd,
                    sum(r.rev) OVER (ORDER BY m.order_month ROWS 2 PRECEDING) AS rolling
             FROM months m LEFT JOIN (SELECT order_month, sum(net_cents) AS rev FROM facts GROUP BY 1) r USING (order_month))""",
+    "measures_yoy_by_year": f"""
+        WITH r AS (SELECT year(o.order_date) AS y, c.segment, sum(o.net_cents) AS rev
+                   FROM facts o JOIN customers c USING (customer_id) GROUP BY 1, 2),
+        y AS (SELECT unnest(range((SELECT min(y) FROM r), (SELECT max(y) FROM r) + 1)) AS y)
+        SELECT y.y AS year, s.segment, {usd("r.rev")} AS total_revenue, {usd("p.rev")} AS revenue_py,
+               {rate("coalesce(r.rev, 0) - p.rev", "p.rev", 6)} AS revenue_yoy_pct,
+               CASE WHEN coalesce({rate("coalesce(r.rev, 0) - p.rev", "p.rev", 6)}, 0) >= 0 THEN '#16A34A' ELSE '#DC2626' END
+                   AS yoy_colour
+        FROM y CROSS JOIN (SELECT DISTINCT segment FROM r) s
+        LEFT JOIN r ON r.y = y.y AND r.segment = s.segment LEFT JOIN r p ON p.y = y.y - 1 AND p.segment = s.segment""",
+    "measures_time_by_quarter": f"""
+        WITH q AS (SELECT unnest(generate_series(date_trunc('quarter', min(order_date)), date_trunc('quarter', max(order_date)),
+                                                 INTERVAL 3 MONTH))::DATE AS a FROM facts),
+        m AS (SELECT order_month, sales_channel, sum(net_cents) AS rev FROM facts GROUP BY 1, 2),
+        x AS (SELECT q.a, s.sales_channel,
+                     sum(rev) FILTER (order_month >= q.a AND order_month < q.a + INTERVAL 3 MONTH) AS rev,
+                     sum(rev) FILTER (order_month >= q.a - INTERVAL 1 MONTH AND order_month < q.a + INTERVAL 2 MONTH) AS pm,
+                     sum(rev) FILTER (order_month >= q.a - INTERVAL 1 YEAR AND order_month < q.a - INTERVAL 9 MONTH) AS py,
+                     sum(rev) FILTER (year(order_month) = year(q.a) AND order_month < q.a + INTERVAL 3 MONTH) AS ytd
+              FROM q CROSS JOIN (SELECT DISTINCT sales_channel FROM m) s JOIN m ON m.sales_channel = s.sales_channel GROUP BY 1, 2)
+        SELECT year(a) AS year, quarter(a) AS quarter, sales_channel, {usd("rev")} AS total_revenue, {usd("pm")} AS revenue_pm,
+               {usd("py")} AS revenue_py, {usd("ytd")} AS revenue_ytd, {usd("rev")} AS revenue_rolling_3m,
+               {rate("coalesce(rev, 0) - py", "py", 6)} AS revenue_yoy_pct
+        FROM x""",
+    "measures_time_by_day": f"""
+        WITH d AS (SELECT order_date AS d, sum(net_cents) AS rev FROM facts GROUP BY 1),
+        s AS (SELECT unnest(generate_series(min(d), max(d), INTERVAL 1 DAY))::DATE AS x FROM d)
+        SELECT x AS order_date, {usd("(SELECT rev FROM d WHERE d = x)")} AS total_revenue,
+               {usd("(SELECT sum(rev) FROM d WHERE (d + INTERVAL 1 MONTH)::DATE = x AND day(d) = day(x))")} AS revenue_pm,
+               {usd("(SELECT sum(rev) FROM d WHERE (d + INTERVAL 1 YEAR)::DATE = x AND day(d) = day(x))")} AS revenue_py,
+               {usd("(SELECT sum(rev) FROM d WHERE year(d) = year(x) AND d <= x)")} AS revenue_ytd,
+               {usd("(SELECT sum(rev) FROM d WHERE d > x - INTERVAL 3 MONTH AND d <= x)")} AS revenue_rolling_3m
+        FROM s""",
+    "measures_ytd_by_category": f"""
+        WITH q AS (SELECT unnest(generate_series(date_trunc('quarter', min(order_date)), date_trunc('quarter', max(order_date)),
+                                                 INTERVAL 3 MONTH))::DATE AS a FROM lines),
+        m AS (SELECT date_trunc('quarter', order_date)::DATE AS q, category, sum(net_cents) AS rev FROM lines GROUP BY 1, 2)
+        SELECT year(q.a) AS year, quarter(q.a) AS quarter, c.category, {usd("sum(rev) FILTER (m.q = q.a)")} AS total_revenue,
+               {usd("sum(rev) FILTER (year(m.q) = year(q.a) AND m.q <= q.a)")} AS revenue_ytd,
+               {usd("sum(rev) FILTER (m.q = q.a - INTERVAL 1 YEAR)")} AS revenue_py
+        FROM q CROSS JOIN (SELECT DISTINCT category FROM m) c JOIN m ON m.category = c.category GROUP BY q.a, c.category""",
     "measure_revenue_share": f"""
         SELECT year, segment, {usd("cents")} AS total_revenue,
                {rate("cents", "sum(cents) OVER (PARTITION BY year)", 6)} AS revenue_share_pct

@@ -157,3 +157,26 @@ def test_time_intelligence_per_segment_adds_up(spark, warehouse):
     assert len(rows) == len(whole) and {r.n for r in rows} == {3}
     for r in rows:
         assert (r.total, r.rolling) == (whole[r.order_month].total_revenue, whole[r.order_month].revenue_rolling_3m)
+
+
+def test_periods_at_the_month_equal_the_windows_over_months(warehouse, spark):
+    m = Measures(warehouse, spark)
+    for by in ([], ["sales_channel"]):
+        windows = m.time_intelligence(by)
+        moved = m.moved_revenue("month", by).withColumnRenamed("period", "order_month").select(*windows.columns)
+        assert windows.exceptAll(moved).isEmpty() and moved.exceptAll(windows).isEmpty()
+
+
+def test_a_day_of_a_longer_month_counts_for_no_day_of_a_shorter_one(spark):
+    from ledgerloom.operators.periods import moved_sums
+
+    days = [date(2024, 1, 31), date(2024, 2, 29), date(2024, 3, 1), date(2025, 2, 28)]
+    cells = spark.createDataFrame([(d, 10**i) for i, d in enumerate(days)], "d date, n long")
+    got = {r.period: r for r in moved_sums(cells, "d", "n", "day").collect()}
+    assert got[date(2024, 2, 29)].month_before is None and got[date(2024, 3, 29)].month_before == 10
+    assert got[date(2025, 2, 28)].year_before is None and got[date(2025, 2, 28)].to_date == 1000
+    assert got[date(2024, 4, 30)].rolling == 110 and got[date(2024, 4, 29)].rolling == 111
+    year = {r.period: r for r in moved_sums(cells, "d", "n", "year").collect()}
+    assert year[date(2025, 1, 1)].year_before == 111 and year[date(2024, 1, 1)].rolling is None
+    month = {r.period: r for r in moved_sums(cells, "d", "n", "month").collect()}
+    assert month[date(2024, 2, 1)].month_before == 1 and month[date(2025, 2, 1)].year_before == 10
