@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import cents, ratio, signed_ratio
 from ledgerloom.functions.temporal import month_spine, month_start
-from ledgerloom.operators import periods
+from ledgerloom.operators import distinct, periods
 from ledgerloom.operators.security import country_grants, visible_customers, visible_facts
-from ledgerloom.plans.warehouse import Warehouse
+from ledgerloom.plans.warehouse import BUYER_CELLS, Warehouse
 
 RATE = 6  # decimal places of a rate
 # The colours of a rising and a falling figure.
@@ -215,8 +215,8 @@ class Measures:
         """
         dated = [c for c in by if c in DATE_COLUMNS]
         others = [c for c in by if c not in DATE_COLUMNS]
-        if set(others) - set(CUSTOMER_COLUMNS) or set(where_columns) - set(CUSTOMER_COLUMNS):
-            raise ValueError("customers are counted by their own columns and dates only")
+        if (set(others) | set(where_columns)) - set(CUSTOMER_COLUMNS):
+            return self._flow_of_sets(by, where, where_columns)
         months = self._order_grain([*dict.fromkeys(["order_month", *others, *where_columns])], where)
         last = months.agg(F.max("order_month").alias("last"))
         counted = F.array(
@@ -236,10 +236,49 @@ class Measures:
                 F.count_if(F.col("now") & F.col("before")).alias("retained_customers_mom"),
             )
         )
-        first = self._filtered(self.customers.filter(F.col("first_order_date").isNotNull()), where)
-        first = first.withColumns({c: DATE_COLUMNS[c](F.col("first_order_date")) for c in dated})
-        first = first.groupBy(*by).agg(F.count("*").alias("_new"))
-        both = buyers.join(first, list(by), "left") if by else buyers.withColumn("_new", first.scalar())
+        return self._flow(buyers, by, by, self._filtered(self.customers, where))
+
+    def _flow_of_sets(self, by: Sequence[str], where: Column | None, where_columns: Sequence[str]) -> DataFrame:
+        """The same by columns of orders too, from the sets of buyers of the finest cells.
+
+        First purchases are a column of customers, which a column of orders does not filter: new customers are those of
+        the period, whatever the order. So ``where`` may be on columns of the one or of the other.
+        """
+        asked = [*dict.fromkeys([*by, *where_columns])]
+        dated = [c for c in by if c in DATE_COLUMNS]
+        of_cell = [c for c in asked if c in BUYER_CELLS and c not in dated]
+        of_customer = [c for c in asked if c in CUSTOMER_COLUMNS]
+        unknown = set(asked) - {*dated, *of_cell, *of_customer}
+        if unknown:
+            raise ValueError(f"buyers are counted by {BUYER_CELLS}, dates and columns of customers, not by {sorted(unknown)}")
+        if where_columns and set(where_columns) & set(of_cell) and set(where_columns) & set(of_customer):
+            raise ValueError("a filter is on columns of orders or on columns of customers")
+        cells = self.warehouse.buyer_sets
+        if of_customer or self.user is not None:
+            known = self.customers.select("customer_id", *of_customer).join(self.warehouse.customer_numbers, "customer_id")
+            cells = distinct.cut(cells, distinct.sets(known, "number", of_customer), of_customer)
+        cells = self._filtered(cells, where)
+        last = self.warehouse.fct_orders.agg(F.max("order_month")).scalar()
+        counted = F.array(
+            F.struct(F.col("order_month").alias("day"), F.lit(True).alias("now")),
+            F.struct(F.add_months("order_month", 1).alias("day"), F.lit(False).alias("now")),
+        )
+        # a set counts for its own month and, as buyers before, for the next
+        seen = cells.select("*", F.explode(counted).alias("m")).filter(F.col("m.day") <= last)
+        others = [c for c in by if c not in dated]
+        seen = seen.select(*others, distinct.BLOCK, distinct.BITS, "m.now", *[DATE_COLUMNS[c](F.col("m.day")).alias(c) for c in dated])
+        sizes = distinct.two_sets(seen, by, F.col("now"))
+        sizes = sizes.filter((F.col("first") > 0) | (F.col("second") > 0))  # what was cut away altogether
+        sizes = sizes.withColumnsRenamed({"first": "_active", "second": "_before", "both": "retained_customers_mom"})
+        new = self.customers if set(where_columns) & set(of_cell) else self._filtered(self.customers, where)
+        return self._flow(sizes, by, [c for c in by if c not in of_cell], new)
+
+    def _flow(self, buyers: DataFrame, by: Sequence[str], on: Sequence[str], customers: DataFrame) -> DataFrame:
+        """The measures of FLOW_MEASURES from counts of buyers by ``by`` and first purchases by ``on``."""
+        first = customers.filter(F.col("first_order_date").isNotNull())
+        first = first.withColumns({c: DATE_COLUMNS[c](F.col("first_order_date")) for c in on if c in DATE_COLUMNS})
+        first = first.groupBy(*on).agg(F.count("*").alias("_new"))
+        both = buyers.join(first, list(on), "left") if on else buyers.withColumn("_new", first.scalar())
         new = F.coalesce("_new", F.lit(0))
         return both.select(
             *by,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.temporal import NTZ
-from ledgerloom.operators import quality, rules
+from ledgerloom.operators import distinct, quality, rules
 from ledgerloom.operators.asof import as_of
 from ledgerloom.operators.scd2 import open_versions, scd2_apply, scd2_history, scd2_snapshots
 from ledgerloom.params import Params
@@ -25,6 +25,7 @@ from ledgerloom.sources.schemas import TABLES
 from ledgerloom.sources.store import Store, file_stamp
 
 SCOPE = ("_batch_id",)
+BUYER_CELLS = ("order_month", "sales_channel", "currency")
 RESTORED_AT = "2001-12-03 02:00:00"
 VERSION_COLUMNS = ("customer_id", "segment", "country", "acquisition_channel", "updated_at")
 
@@ -332,6 +333,19 @@ class Warehouse:
     def revenue_by_category(self):
         return marts.revenue_by_category(self.fct_order_items)
 
+    @table
+    def customer_numbers(self):
+        """A dense number for every customer, for sets of them."""
+        everyone = self.dim_customer.select("customer_id").unionByName(self.fct_orders.select("customer_id"))
+        return distinct.numbered(everyone, "customer_id", self.store)
+
+    @table
+    def buyer_sets(self):
+        """Who bought, as sets, in the finest cells that buyers are counted by."""
+        cells = [*BUYER_CELLS]
+        bought = self.fct_orders.filter("is_revenue_order").select("customer_id", *cells).distinct()
+        return distinct.sets(bought.join(self.customer_numbers, "customer_id"), "number", cells)
+
     @table
     def kpi_summary(self):
         return marts.kpi_summary(self.customer_ltv)

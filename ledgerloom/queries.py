@@ -235,6 +235,24 @@ QUERIES: dict[str, Query] = {
             ["segment"],
         )
     ),
+    "measures_buyers_by_channel": _on_measures(
+        lambda m: m.evaluate(
+            [
+                "active_customers",
+                "new_customers",
+                "returning_customers",
+                "retained_customers_mom",
+                "customer_retention_rate_mom",
+            ],
+            ["year", "quarter", "sales_channel"],
+        )
+    ),
+    "measures_buyers_by_channel_and_segment": _on_measures(
+        lambda m: m.evaluate(
+            ["retained_customers_mom", "customer_retention_rate_mom"], ["order_month", "sales_channel", "segment"]
+        ),
+        REGIONAL_USER,
+    ),
     "measures_yoy_by_segment": _on_measures(
         lambda m: m.evaluate(
             ["total_revenue", "revenue_py", "revenue_yoy_pct", "yoy_colour"],

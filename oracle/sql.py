@@ -1121,6 +1121,34 @@ Q: dict[str, str] = {
                count(*) FILTER (f.cur) - coalesce(max(n.n), 0) AS returning_customers,
                count(*) FILTER (f.cur AND f.prv) AS retained_customers_mom
         FROM f LEFT JOIN n ON n.y = f.y AND n.country = f.country GROUP BY 1, 2""",
+    "measures_buyers_by_channel": f"""
+        WITH b AS (SELECT DISTINCT customer_id, sales_channel, order_month AS m FROM facts WHERE is_revenue_order),
+        f AS (SELECT customer_id, sales_channel, year(m) AS y, quarter(m) AS q, bool_or(cur) AS cur, bool_or(NOT cur) AS prv
+              FROM (SELECT *, true AS cur FROM b
+                    UNION ALL SELECT customer_id, sales_channel, (m + INTERVAL 1 MONTH)::DATE, false FROM b)
+              WHERE m <= (SELECT max(order_month) FROM facts) GROUP BY 1, 2, 3, 4),
+        g AS (SELECT y, q, sales_channel, count(*) FILTER (cur) AS a, count(*) FILTER (prv) AS p,
+                     count(*) FILTER (cur AND prv) AS r FROM f GROUP BY 1, 2, 3),
+        n AS (SELECT year(first_order_date) AS y, quarter(first_order_date) AS q, count(*) AS n FROM customers
+              WHERE first_order_date IS NOT NULL GROUP BY 1, 2),
+        o AS (SELECT year(order_date) AS y, quarter(order_date) AS q, sales_channel,
+                     count(DISTINCT customer_id) FILTER (is_revenue_order) AS act FROM facts GROUP BY 1, 2, 3)
+        SELECT coalesce(g.y, o.y) AS year, coalesce(g.q, o.q) AS quarter, coalesce(g.sales_channel, o.sales_channel) AS sales_channel,
+               o.act AS active_customers, CASE WHEN g.y IS NOT NULL THEN coalesce(n.n, 0) END AS new_customers,
+               g.a - coalesce(n.n, 0) AS returning_customers, g.r AS retained_customers_mom,
+               {rate("g.r", "g.p", 6)} AS customer_retention_rate_mom
+        FROM g FULL JOIN o ON g.y = o.y AND g.q = o.q AND g.sales_channel = o.sales_channel
+        LEFT JOIN n ON n.y = g.y AND n.q = g.q""",
+    "measures_buyers_by_channel_and_segment": f"""
+        WITH b AS (SELECT DISTINCT o.customer_id, o.sales_channel, c.segment, o.order_month AS m
+                   FROM facts o JOIN customers c USING (customer_id) WHERE o.is_revenue_order AND c.country IN ('GB', 'DE', 'FR')),
+        f AS (SELECT customer_id, sales_channel, segment, m, bool_or(cur) AS cur, bool_or(NOT cur) AS prv
+              FROM (SELECT *, true AS cur FROM b
+                    UNION ALL SELECT customer_id, sales_channel, segment, (m + INTERVAL 1 MONTH)::DATE, false FROM b)
+              WHERE m <= (SELECT max(order_month) FROM facts) GROUP BY 1, 2, 3, 4)
+        SELECT m AS order_month, sales_channel, segment, count(*) FILTER (cur AND prv) AS retained_customers_mom,
+               {rate("count(*) FILTER (cur AND prv)", "count(*) FILTER (prv)", 6)} AS customer_retention_rate_mom
+        FROM f GROUP BY 1, 2, 3""",
     "measures_yoy_by_segment": f"""
         SELECT order_month, segment, {usd("rev")} AS total_revenue, {usd("py")} AS revenue_py,
                {rate("coalesce(rev, 0) - py", "py", 6)} AS revenue_yoy_pct,
