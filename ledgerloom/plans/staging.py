@@ -9,13 +9,13 @@ from ledgerloom.functions.temporal import NTZ
 from ledgerloom.operators.latest import latest_per_key
 
 
-def _newest(*stamps: str) -> list[Column]:
+def newest(*stamps: str) -> list[Column]:
     """Newest stamp first; the batch id settles loads of the same moment."""
     return [F.col(s).desc_nulls_last() for s in (*stamps, "_loaded_at", "_batch_id")]
 
 
 def stg_customers(raw: DataFrame) -> DataFrame:
-    return latest_per_key(raw, ["customer_id"], _newest("updated_at")).select(
+    return latest_per_key(raw, ["customer_id"], newest("updated_at")).select(
         "customer_id",
         "first_name",
         "last_name",
@@ -32,7 +32,7 @@ def stg_customers(raw: DataFrame) -> DataFrame:
 
 def stg_orders(raw: DataFrame) -> DataFrame:
     """The order feed re-delivers an order when it changes; the newest delivery wins."""
-    return latest_per_key(raw, ["order_id"], _newest("ingested_at")).select(
+    return latest_per_key(raw, ["order_id"], newest("ingested_at")).select(
         "order_id",
         "customer_id",
         F.col("order_ts").cast(NTZ).alias("order_ts"),
@@ -48,7 +48,7 @@ def stg_orders(raw: DataFrame) -> DataFrame:
 
 
 def stg_order_items(raw: DataFrame) -> DataFrame:
-    return latest_per_key(raw, ["order_id", "line_number"], _newest()).select(
+    return latest_per_key(raw, ["order_id", "line_number"], newest()).select(
         F.concat(F.col("order_id"), F.lit("-"), F.col("line_number").cast("string")).alias("order_item_id"),
         "order_id",
         F.col("line_number").cast("int").alias("line_number"),
@@ -60,12 +60,12 @@ def stg_order_items(raw: DataFrame) -> DataFrame:
 
 
 def stg_products(raw: DataFrame) -> DataFrame:
-    return latest_per_key(raw, ["product_id"], _newest()).select(
+    return latest_per_key(raw, ["product_id"], newest()).select(
         "product_id", "product_name", "category", F.col("list_price_usd").cast("decimal(12,2)").alias("list_price_usd")
     )
 
 
 def stg_fx_rates(raw: DataFrame) -> DataFrame:
-    return latest_per_key(raw, ["currency"], _newest()).select(
+    return latest_per_key(raw, ["currency"], newest()).select(
         "currency", F.col("rate_to_usd").cast("decimal(18,6)").alias("rate_to_usd")
     )

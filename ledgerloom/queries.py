@@ -18,7 +18,7 @@ from ledgerloom.sources import feed, lake
 from ledgerloom.sources.catalog import Catalog
 from ledgerloom.sources.extracts import SOURCES, read_extract
 from ledgerloom.sources.schemas import EXTRACT_COLUMNS, LANDED, TABLES
-from ledgerloom.streaming.orders import latest_from_stream, once_from_stream
+from ledgerloom.streaming.orders import folded_from_stream, latest_from_stream, once_from_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -330,5 +330,6 @@ QUERIES: dict[str, Query] = {
     ),
     # streaming
     "stream_orders_latest": _on_warehouse(latest_from_stream),
+    "stream_orders_folded": _on_warehouse(folded_from_stream),
     "stream_orders_once": _on_warehouse(once_from_stream),
 }

@@ -160,6 +160,11 @@ class Catalog:
         found = keyindex.may_hold(index, keys.select(F.col(state["key"]).cast("string").alias("key")))
         return [r["folder"] for r in found.select("folder").distinct().collect()]  # one per folder
 
+    def candidates(self, name: str, keys: DataFrame) -> DataFrame:
+        """The folders of a table that may hold one of the ``keys``: all rows that do, and others."""
+        state = self.snapshot().tables[name]
+        return self._read(name, state, self.holders(name, state, keys))
+
     def stage_upsert(self, name: str, delta: DataFrame, last: Step = _as_it_is) -> Staged:
         """The table with the rows of the delta's keys replaced. Folders they were in and those they go to are rewritten.
 

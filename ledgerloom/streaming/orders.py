@@ -18,9 +18,11 @@ from ledgerloom.functions.temporal import as_instant, as_utc, parse_utc
 from ledgerloom.functions.text import strip
 from ledgerloom.operators.rules import REASON, rejected
 from ledgerloom.plans.cleaning import judge_orders, settle, split_empty_orders
-from ledgerloom.plans.staging import stg_orders
-from ledgerloom.sources.lake import read_batches, replace_batch
+from ledgerloom.plans.staging import newest, stg_orders
+from ledgerloom.sources.catalog import Catalog
+from ledgerloom.sources.lake import drop_batch, read_batches, replace_batch
 from ledgerloom.sources.schemas import text_schema
+from ledgerloom.streaming.latest import Latest
 
 MICRO_BATCH = "_micro_batch"
 
@@ -51,8 +53,9 @@ def land_orders(
     quarantine: str,
     progress: str,
     scope: Sequence[str] = (),
+    state: Latest | None = None,
 ) -> None:
-    """Take in everything that is waiting, then stop."""
+    """Take in everything that is waiting, then stop. With a ``state`` landed folders are folded into it."""
 
     def land(rows: DataFrame, micro_batch: int) -> None:
         name = f"{micro_batch:09d}"
@@ -61,6 +64,9 @@ def land_orders(
         judged = rows.sparkSession.read.parquet(f"{quarantine}_judged/{MICRO_BATCH}={name}")
         replace_batch(rejected(judged), quarantine, name, MICRO_BATCH)
         replace_batch(settle(judged, "orders", scope), landing, name, MICRO_BATCH)
+        drop_batch(rows.sparkSession, f"{quarantine}_judged", name, MICRO_BATCH)  # both halves are there
+        if state is not None:
+            state.fold(micro_batch)
 
     query = (
         feed.writeStream.foreachBatch(land)
@@ -99,6 +105,35 @@ def latest_from_stream(warehouse) -> DataFrame:
     return stg_orders(split_empty_orders(stamped, warehouse.settled_order_items, ["_batch_id"])[0])
 
 
+def folded_from_stream(warehouse, parts: int = 6, every: int = 2) -> DataFrame:
+    """The same in several micro-batches, of which every few are folded into the newest orders."""
+    spark, store = warehouse.store.spark, warehouse.store
+    base = store.path(store.unique("folded"))
+    feed = warehouse.extracts["orders"].drop("_src_pos").repartition(parts, "order_ts", "status")
+    feed.write.option("ignoreNullFields", False).json(f"{base}/feed")
+    schema = warehouse.judged_orders.drop("_src_pos", REASON).schema
+    loads = F.create_map(*[F.lit(v) for pair in warehouse.loaded_at.items() for v in pair])
+
+    def accepted(folders: list[str]) -> DataFrame:
+        landed = spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+        stamped = landed.withColumn("_loaded_at", F.element_at(loads, F.col("_batch_id")).cast("timestamp_ntz"))
+        return split_empty_orders(stamped, warehouse.settled_order_items, ["_batch_id"])[0]
+
+    landing = f"{base}/landing"
+    state = Latest(Catalog(spark, f"{base}/state"), "orders", landing, MICRO_BATCH, "order_id", lambda: newest("ingested_at"), accepted, every)
+    land_orders(
+        order_feed(spark, f"{base}/feed", ["_batch_id"], files_per_batch=1),
+        warehouse.settled_customers,
+        warehouse.settled_fx_rates,
+        landing,
+        f"{base}/quarantine",
+        f"{base}/progress",
+        ["_batch_id"],
+        state,
+    )
+    return stg_orders(state.rows())
+
+
 def once_from_stream(warehouse) -> DataFrame:
     """Deliver the order feed twice as files and stream it without exact re-deliveries."""
     spark, store = warehouse.store.spark, warehouse.store

@@ -1240,6 +1240,7 @@ Q: dict[str, str] = {
                WHEN age > 30 THEN 'cool' ELSE 'hot' END AS tier, age <= 90 AS kept_in_raw
         FROM (SELECT _batch_id, max(_loaded_at) AS loaded_at, count(*) AS rows,
                      date_diff('day', max(_loaded_at)::DATE, DATE '2001-12-03') AS age FROM ({DAILY}) GROUP BY 1)""",
+    "stream_orders_folded": f"SELECT {ORDER}, order_date, _loaded_at FROM stg_orders",
     "stream_orders_latest": f"SELECT {ORDER}, order_date, _loaded_at FROM stg_orders",
 }
 
