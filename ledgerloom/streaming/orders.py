@@ -105,7 +105,7 @@ def latest_from_stream(warehouse) -> DataFrame:
     return stg_orders(split_empty_orders(stamped, warehouse.settled_order_items, ["_batch_id"])[0])
 
 
-def folded_from_stream(warehouse, parts: int = 6, every: int = 2) -> DataFrame:
+def folded_from_stream(warehouse, parts: int = 4, every: int = 2) -> DataFrame:
     """The same in several micro-batches, of which every few are folded into the newest orders."""
     spark, store = warehouse.store.spark, warehouse.store
     base = store.path(store.unique("folded"))
