@@ -69,10 +69,10 @@ def formatted(turns: DataFrame, names: Mapping[str, str] | None = None, marks: S
     """
     numbered = numbered_turns(turns)
     kept = maximal_conversations(numbered).withColumnRenamed("conv_id", "_conv")
-    pieces = numbered.select("conv_id", F.struct("place", rendered_turn(names, marks).alias("piece")).alias("p"))
-    texts = pieces.groupBy("conv_id").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["piece"]), "").alias("text")
+    # snapshots leave before anything is rendered
+    pieces = numbered.join(kept, F.col("conv_id").eqNullSafe(F.col("_conv"))).select(
+        "conv_id", "n_turns", "n_equal", F.struct("place", rendered_turn(names, marks).alias("piece")).alias("p")
     )
-    return texts.join(kept, F.col("conv_id").eqNullSafe(F.col("_conv"))).select(
-        "conv_id", F.col("n_turns").cast("long").alias("n_turns"), "n_equal", "text"
+    return pieces.groupBy("conv_id", F.col("n_turns").cast("long").alias("n_turns"), "n_equal").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["piece"]), "").alias("text")
     )
