@@ -184,6 +184,17 @@ class Catalog:
         kept = {f: v for f, v in state["folders"].items() if f not in touched}
         return self._staged(name, {**state, "schema": changed.schema.jsonValue(), "folders": kept | written}, base)
 
+    def stage_folders(self, name: str, rows: DataFrame, column: str) -> Staged:
+        """The table with ``rows`` added. Only the folders they go to are written again."""
+        base = self.version()
+        state = self._manifest(base).get(name)
+        if state is None:
+            return self.stage(name, rows, column)
+        touched = [r["folder"] for r in rows.select(self._folder(column).alias("folder")).distinct().collect()]  # one per folder
+        old = self._read(name, state, [f for f in touched if f in state["folders"]])
+        written = self._write(name, old.unionByName(rows, allowMissingColumns=True), column, None, _as_it_is, base)
+        return self._staged(name, {**state, "folders": state["folders"] | written}, base)
+
     # ---- committing ------------------------------------------------------------------------
 
     def commit(self, staged: Sequence[Staged]) -> Snapshot:
