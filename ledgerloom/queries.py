@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType
 
 from ledgerloom.functions.temporal import moment
+from ledgerloom.operators.rules import REASON, rejected
 from ledgerloom.operators.security import masked
 from ledgerloom.plans import checks, core, marts, monitoring, pipeline
-from ledgerloom.plans.cleaning import Cleaned
+from ledgerloom.plans.cleaning import Cleaned, judge_order_items, judge_orders, settle
 from ledgerloom.plans.measures import Measures
 from ledgerloom.plans.warehouse import SCOPE, Warehouse, open_warehouse
 from ledgerloom.sources import feed, lake
 from ledgerloom.sources.catalog import Catalog
-from ledgerloom.sources.extracts import SOURCES, read_extract
-from ledgerloom.sources.schemas import EXTRACT_COLUMNS, LANDED, TABLES
+from ledgerloom.sources.extracts import SOURCES, read_extract, read_traced
+from ledgerloom.sources.schemas import EXTRACT_COLUMNS, LANDED, LINE, TABLES
 from ledgerloom.streaming.orders import folded_from_stream, latest_from_stream, once_from_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +109,32 @@ def _quarantine_round_trip(w: Warehouse) -> DataFrame:
     return w.store.spark.read.options(header=True, escape='"').csv(f"{base}/rejects/order_items/batch_id=b")
 
 
+def _unreadable_lines(w: Warehouse) -> DataFrame:
+    """Lines of the first delivery broken on the way: orders cut at the end, order lines with a field too many."""
+    spark, base = w.store.spark, w.store.path(w.store.unique("broken"))
+    broken = F.col("order_id").endswith("7")
+
+    def first(table: str) -> DataFrame:
+        return w.extracts[table].filter(F.col("_batch_id") == w.first_batch).select(*EXTRACT_COLUMNS[table])
+
+    line = F.to_json(F.struct(*EXTRACT_COLUMNS["orders"]), {"ignoreNullFields": "false"})
+    cut = F.when(broken, F.left(line, F.length(line) - 1)).otherwise(line)
+    first("orders").select(cut).write.text(f"{base}/erp/orders.jsonl")
+    names = EXTRACT_COLUMNS["order_items"]
+    fields = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in names])
+    longer = F.when(broken, F.concat(fields, F.lit(",late"))).otherwise(fields)
+    # one column by the name of the whole header
+    plain = first("order_items").select(longer.alias(",".join(names)))
+    plain.write.options(header=True, sep="\x01", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(
+        f"{base}/erp/order_items.csv"
+    )
+    customers, rates, products = (w.clean(t).filter(F.col("_batch_id") == w.first_batch) for t in ("customers", "fx_rates", "products"))
+    orders = judge_orders(read_traced(spark, base, "orders"), customers, rates)
+    lines = judge_order_items(read_traced(spark, base, "order_items"), settle(orders, "orders"), products)
+    parts = [rejected(j).select(F.lit(t).alias("table_name"), REASON, LINE) for t, j in (("orders", orders), ("order_items", lines))]
+    return parts[0].unionByName(parts[1]).filter(F.col(LINE).isNotNull()).withColumnRenamed(LINE, "line")
+
+
 def _staged_load(w: Warehouse) -> DataFrame:
     """Clean products staged under upper-case names and loaded twice as one batch."""
     base = w.store.path(w.store.unique("staged"))
@@ -169,6 +196,7 @@ QUERIES: dict[str, Query] = {
     "extract_csv": _on_warehouse(lambda w: _extract_round_trip(w, "order_items")),
     "extract_jsonl": _on_warehouse(lambda w: _extract_round_trip(w, "orders")),
     "quarantine_csv": _on_warehouse(_quarantine_round_trip),
+    "quarantine_unreadable": _on_warehouse(_unreadable_lines),
     "staged_load": _on_warehouse(_staged_load),
     # facts and dimensions
     "fct_orders_in_folders": _on_warehouse(_fact_in_folders),

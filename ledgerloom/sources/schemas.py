@@ -29,6 +29,9 @@ EXTRACT_COLUMNS = {
     "fx_rates": ("currency", "rate_to_usd"),
 }
 
+# Where a row of an extract comes from: the text of a line that cannot be read, its file, the part of the file.
+LINE, FILE, BLOCK = TRACE = ("_line", "_source_file", "_source_block")
+
 # Load order: parents first.
 TABLES = ("fx_rates", "products", "customers", "orders", "order_items")
 

@@ -21,7 +21,7 @@ from ledgerloom.plans.cleaning import judge_orders, settle, split_empty_orders
 from ledgerloom.plans.staging import newest, stg_orders
 from ledgerloom.sources.catalog import Catalog
 from ledgerloom.sources.lake import drop_batch, read_batches, replace_batch
-from ledgerloom.sources.schemas import text_schema
+from ledgerloom.sources.schemas import LINE, text_schema
 from ledgerloom.streaming.latest import Latest
 
 MICRO_BATCH = "_micro_batch"
@@ -30,11 +30,11 @@ MICRO_BATCH = "_micro_batch"
 def order_feed(
     spark: SparkSession, path: str, extra: Sequence[str] = (), files_per_batch: int | None = None
 ) -> DataFrame:
-    """The feed as JSON lines, everything as text. Without ``files_per_batch`` one micro-batch takes all that waits."""
+    """The feed as JSON lines, everything as text; ``LINE`` is the text of one that cannot be read. Without ``files_per_batch`` one micro-batch takes all that waits."""
     schema = text_schema("orders")
     for column in extra:
         schema = schema.add(column, "string")
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema.add(LINE, "string")).option("columnNameOfCorruptRecord", LINE)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(path)

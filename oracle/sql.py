@@ -896,6 +896,16 @@ Q: dict[str, str] = {
     "FROM x_orders WHERE _batch_id = 'b1'",
     "quarantine_csv": "SELECT order_id, line_number::VARCHAR AS line_number, product_id, quantity::VARCHAR AS quantity, "
     "unit_price::VARCHAR AS unit_price, _batch_id, reject_reason FROM j_order_items WHERE reject_reason IS NOT NULL",
+    "quarantine_unreadable": """
+        SELECT 'orders' AS table_name, 'unreadable_line' AS reject_reason, left(line, length(line) - 1) AS line
+        FROM (SELECT json_object('order_id', order_id, 'customer_id', customer_id, 'order_ts', order_ts, 'currency', currency,
+                                 'status', status, 'sales_channel', sales_channel, 'discount_pct', discount_pct,
+                                 'ingested_at', ingested_at)::VARCHAR AS line
+              FROM x_orders WHERE _batch_id = 'b1' AND order_id LIKE '%7')
+        UNION ALL
+        SELECT 'order_items', 'unreadable_line', coalesce(order_id, '') || ',' || coalesce(line_number, '') || ',' ||
+               coalesce(product_id, '') || ',' || coalesce(quantity, '') || ',' || coalesce(unit_price, '') || ',late'
+        FROM x_order_items WHERE _batch_id = 'b1' AND order_id LIKE '%7'""",
     "staged_load": "SELECT product_id, product_name, category, list_price_usd::DOUBLE AS list_price_usd, _loaded_at, "
     "'b' AS _batch_id FROM raw_products WHERE _batch_id = 'b1'",
     "export_customers": "SELECT customer_id, full_name, '*****' || substr(email, strpos(email, '@')) AS email, country, "

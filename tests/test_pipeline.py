@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.quality import DataQualityError
 from ledgerloom.plans import pipeline
+from ledgerloom.plans.cleaning import transform_all
 from ledgerloom.sources import feed, lake
-from ledgerloom.sources.extracts import SOURCES, read_extract
+from ledgerloom.sources.extracts import SOURCES, read_extract, read_extracts
 from ledgerloom.sources.lake import load_staged, read_batches, replace_batch
 from ledgerloom.sources.schemas import EXTRACT_COLUMNS, LANDED
 
@@ -158,6 +159,43 @@ def test_csv_reads_text_and_missing_tokens(spark, tmp_path):
     assert {tuple(r) for r in rows} == {("USD", "1.0"), (None, None), ('A "b", c', "007")}
 
 
+def test_unreadable_lines_are_quarantined_with_their_text(spark, tmp_path):
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "lake")
+    (tmp_path / "landing/crm").mkdir(parents=True)
+    (tmp_path / "landing/erp").mkdir()
+    (tmp_path / "landing/catalog").mkdir()
+    (tmp_path / "landing/finance").mkdir()
+    customer = "C%d,Ann,Lee,ann@example.com,US,SMB,web,2024-01-01,2024-01-02"
+    header = ",".join(EXTRACT_COLUMNS["customers"])
+    short = "C2,Bo,Ray,bo@example.com,US,SMB,web,2024-01-01"  # the last field is missing
+    quoted = 'C3,"Lee, Ann",Lee,ann@example.com,US,SMB,web,2024-01-01,2024-01-02'
+    too_long = customer % 4 + ",2024-01-03"
+    (tmp_path / "landing/crm/customers.csv").write_text("\n".join([header, customer % 1, short, quoted, too_long]) + "\n")
+    order = '{"order_id": "O%d", "customer_id": "C1", "order_ts": "2024-02-01", "currency": "USD", "status": "completed"}'
+    torn, no_object = (order % 2)[:40], "12"
+    (tmp_path / "landing/erp/orders.jsonl").write_text("\n".join([order % 1, torn, no_object, "", order % 3]) + "\n")
+    (tmp_path / "landing/erp/order_items.csv").write_text("order_id,line_number,product_id,quantity,unit_price\nO1,1,P1,1,2\nO3,1,P1,1,2\n")
+    (tmp_path / "landing/catalog/products.csv").write_text("product_id,product_name,category,list_price_usd\nP1,Pen,office,2\n")
+    (tmp_path / "landing/finance/fx_rates.csv").write_text("currency,rate_to_usd\nUSD,1\n")
+
+    cleaned = transform_all(read_extracts(spark, landing))
+    for table, kept in (("customers", ["C1", "C2", "C3"]), ("orders", ["O1", "O3"])):
+        data = cleaned[table].data
+        assert set(data.columns) == set(EXTRACT_COLUMNS[table])
+        assert sorted(r[0] for r in data.select(data.columns[0]).collect()) == kept
+    bad = {t: {(r["reject_reason"], r["_line"], r["_source_file"].split("/")[-1]) for r in cleaned[t].rejects.collect()} for t in cleaned}
+    assert bad["customers"] == {("unreadable_line", too_long, "customers.csv")}
+    assert bad["orders"] == {("unreadable_line", torn, "orders.jsonl"), ("unreadable_line", no_object, "orders.jsonl")}
+    assert not bad["products"] and not bad["fx_rates"] and not bad["order_items"]
+
+    # every raw row is accounted for, and the text is in the files of the quarantine
+    pipeline.ingest(spark, landing, root, "b")
+    results = spark.read.parquet(f"{root}/ops/dq_results").filter("check_name = 'row_reconciliation'").collect()
+    assert len(results) == 5 and all(r.passed for r in results), results
+    kept = spark.read.options(header=True, escape='"').csv(f"{root}/rejects/orders/batch_id=b")
+    assert {r["_line"] for r in kept.collect()} == {torn, no_object}
+
+
 def test_reloading_a_batch_replaces_it_and_an_empty_one_clears_it(spark, tmp_path):
     path = str(tmp_path / "things")
     df = spark.createDataFrame([(1,), (2,)], "id int")
