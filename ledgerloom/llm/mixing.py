@@ -23,6 +23,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from ledgerloom.llm.words import let, numbered_rows, whole, word_count
 from ledgerloom.operators.ordered import POS, SLICE, lay_out, place
@@ -236,7 +237,10 @@ def mixture(docs: DataFrame, store: Store, weights: Sequence[int] = WEIGHTS, mos
     target 0. Rows of equal doc_id and text are taken apart or together alike: each is a row. Other columns are
     not read; an empty table gives an empty result.
     """
-    sizes = sized(docs, store)
+    return _mixture(sized(docs, store), store, weights, most)
+
+
+def _mixture(sizes: DataFrame, store: Store, weights: Sequence[int], most: int) -> DataFrame:
     targets = store.scratch(source_targets(sizes, store, weights, most), "targets")
     t = targets.select(F.col("source").alias("_source"), "source_size", "target")
     out = mix(sizes, targets, store).join(t, F.col("source").eqNullSafe(F.col("_source")))
@@ -246,9 +250,32 @@ def mixture(docs: DataFrame, store: Store, weights: Sequence[int] = WEIGHTS, mos
 
 
 def mixed_rows(docs: DataFrame, store: Store, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it, with all their columns."""
+    """The rows of ``docs``, each as often as the mix takes it, with all their columns.
+
+    The draws know a row by its place in the order of hashes of whole rows, so they do not depend on how the rows lie in
+    files and partitions. Rows that are equal in every column share a hash and change places freely.
+    """
     rows = numbered_rows(docs, store)
-    copies = mixture(rows.select(F.col("row").alias("doc_id"), "doc.text", "doc.source"), store, weights, most)
-    times = F.sequence(F.lit(1), F.col("copies").cast("int"))
-    taken = copies.filter("copies > 0").select(F.col("doc_id").alias("row"), times.alias("times"))
+    sizes = rows.select(
+        "row",
+        F.col("doc.source").alias("source"),
+        word_count(whole("doc.text")).alias("size"),
+        F.xxhash64(*_content(docs)).alias("key"),
+        F.hash(*_content(docs)).alias("_check"),
+    )
+    laid = lay_out(sizes, [F.col(c) for c in ("key", "_check", "row")], store, "names")
+    named = store.scratch(place(laid, "doc_id", "_total").select("doc_id", "row", "key", "source", "size"), "named")
+    copies = _mixture(named.drop("row"), store, weights, most)
+    taken = copies.filter("copies > 0").join(named.select("doc_id", "row"), "doc_id")
+    taken = taken.select("row", F.sequence(F.lit(1), F.col("copies").cast("int")).alias("times"))
     return rows.join(taken, "row").select("doc", F.explode("times")).select("doc.*")
+
+
+def _content(docs: DataFrame) -> list[Column]:
+    """What a hash of a whole row of ``doc`` reads: every column, and which are null. Maps have no hash; their JSON has."""
+
+    def value(field: StructField) -> Column:
+        column = F.col("doc").getField(field.name)
+        return F.to_json(F.struct(column)) if "map<" in field.dataType.simpleString() else column
+
+    return [part for field in docs.schema for part in (value(field), F.col("doc").getField(field.name).isNull())]

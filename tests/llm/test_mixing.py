@@ -1,7 +1,8 @@
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm.mixing import mixed_rows, mixture, source_targets, sized
 
@@ -100,6 +101,16 @@ def test_repeated_rows_and_mixed_rows(spark, store, make_docs, clashing):
     assert words == pytest.approx(sum(len(t.split()) for _, t, _ in data), rel=0.02)
 
 
+def test_mixed_rows_do_not_depend_on_how_rows_lie(spark, store, make_docs):
+    data = rows(500, lambda i: f"s{i % 4}") + [(5, "same text", "s0")] * 30 + [(None, None, None), (7, None, "s1")]
+    docs = make_docs(data).withColumn("more", F.create_map(F.lit("a"), F.col("source")))
+    one, two = (
+        Counter((r.doc_id, r.text, r.source, r.more["a"]) for r in mixed_rows(d, store).collect())
+        for d in (docs.repartition(7, "text"), docs.orderBy(F.desc("text")).coalesce(2))
+    )
+    assert one == two
+
+
 def test_targets_of_many_sources(spark, store, make_docs):
     data = [(i, "w " * (1 + i % 37), f"s{i % 333:03d}") for i in range(1000)]
     got = {r.source: r.target for r in source_targets(sized(make_docs(data), store), store).collect()}
