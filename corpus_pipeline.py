@@ -6,6 +6,8 @@ Each stage takes (spark, docs, sf_dir) and works on everything its predecessor k
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,15 +17,20 @@ from ledgerloom.sources.store import Store
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-_stores: dict[int, Store] = {}
+#: Stores by number of the stage. Runs side by side, in threads of their own, do not see each other's.
+_stores: ContextVar[dict[int, list[Store]]] = ContextVar("stores of the stages of a run")
 
 
 def _store(spark: SparkSession, stage: int) -> Store:
     """Scratch tables of a stage. Those of the stages before it go: their results are written when it starts."""
-    for earlier in [n for n in _stores if n < stage]:
-        _stores.pop(earlier).remove()
-    _stores[stage] = Store.for_session(deployed(spark))
-    return _stores[stage]
+    stores = dict(_stores.get({}))
+    for earlier in [n for n in stores if n < stage]:
+        for store in stores.pop(earlier):
+            store.remove()
+    store = Store.for_session(deployed(spark))
+    stores[stage] = [*stores.get(stage, []), store]  # a stage that runs again may still be read from its first run
+    _stores.set(stores)
+    return store
 
 
 def without_toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
