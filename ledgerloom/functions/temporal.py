@@ -33,6 +33,8 @@ def parse_date(text: Column) -> Column:
 
 _ZONE = r"\s*([Zz]|[+-]\d{2}(?::?\d{2})?)$"
 _TIMED = r"^\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}"
+# the form nearly all stamps have: whole seconds of UTC, which the first 19 characters say
+_PLAIN = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\dZ?\z"
 
 
 def parse_utc(text: Column) -> Column:
@@ -40,7 +42,15 @@ def parse_utc(text: Column) -> Column:
 
     ``Z`` or an offset (``+02``, ``+0200``, ``+02:00``, after blanks too) is applied to a time of day; none means
     UTC already. Any other zone is unknown, and so is the time.
+
+    One anchored expression tells the usual form; only other text is searched for a zone. That search is bound by a
+    lambda: it stays out of the generated code of the rows' own stage, which otherwise outgrows what the JVM compiles.
     """
+    zoned = F.get(F.transform(F.array(text), _parse_zoned), F.lit(0))
+    return F.when(text.rlike(_PLAIN), F.left(text, F.lit(19)).try_cast(NTZ)).otherwise(zoned)
+
+
+def _parse_zoned(text: Column) -> Column:
     zone = F.when(text.rlike(_TIMED), F.nullif(F.regexp_extract(text, _ZONE, 1), F.lit("")))
     local = F.when(zone.isNotNull(), F.regexp_replace(text, _ZONE, "")).otherwise(text)
     # a cast to a zone-free time would drop a zone without notice

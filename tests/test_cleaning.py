@@ -1,11 +1,13 @@
+import re
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.temporal import calendar_months, parse_date, parse_utc
+from ledgerloom.functions.temporal import _parse_zoned, calendar_months, parse_date, parse_utc
 from ledgerloom.functions.text import strip, title_case
 from ledgerloom.operators.rules import rejected
 from ledgerloom.plans import cleaning
+from ledgerloom.plans.warehouse import SCOPE
 
 CUSTOMER = "customer_id first_name last_name email country segment acquisition_channel signup_date updated_at".split()
 ORDER = "order_id customer_id order_ts currency status sales_channel discount_pct ingested_at".split()
@@ -21,6 +23,10 @@ def one_column(spark, values, expression):
     return [r[0] for r in df.orderBy("i").select(expression(F.col("x"))).collect()]
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def reasons(judged, key):
     return {r[key]: r["reject_reason"] for r in rejected(judged).collect()}
 
@@ -213,6 +219,29 @@ def test_offsets_become_utc_in_any_session_zone(spark):
     ]
 
 
+def test_usual_stamps_are_read_as_those_searched_for_a_zone(spark):
+    values = [
+        "2024-03-01T10:30:00Z", "2024-03-01T10:30:00", "2024-03-01 10:30:00", "2024-02-30T10:30:00Z", "2024-03-01T24:30:00Z",
+        "2024-03-01T10:30:00Z\n", "2024-03-01T10:30:00 Z", "2024-03-01T10:30:00z", "2024-03-01T10:30:00.5Z", "2024-03-01", "x", "", None,
+    ]
+    assert one_column(spark, values, parse_utc) == one_column(spark, values, _parse_zoned)
+
+
+def test_code_that_reads_stamps_stays_small_enough_to_be_compiled(spark):
+    """The JVM does not compile a method of 8000 bytes or more, so every row would be interpreted."""
+    df = spark.range(9).select(F.concat(F.lit("2024-03-01T10:30:0"), "id", F.lit("Z")).alias("x"), F.lit(None).cast("string").alias("y"))
+    read = df.repartition(2).select(parse_utc(F.col("x")), parse_utc(F.col("y")))
+    text = spark._sc._jvm.PythonSQLUtils.explainString(read._jdf.queryExecution(), "codegen")
+    assert all(int(size) < 8000 for size in re.findall(r"maxMethodCodeSize:(\d+)", text)), text[:200]
+    assert "lambdafunction" in plan(read)
+
+
+def test_lines_travel_without_helper_columns(spark, warehouse):
+    text = plan(cleaning.judge_order_items(warehouse.extracts["order_items"], warehouse.settled_orders, warehouse.settled_products, SCOPE))
+    joins = text.index("Join")
+    assert "_own_reason" in text[joins:] and not re.search(r"[ ,(\[]_(quantity|price)#", text[:joins])
+
+
 def test_months_are_counted_by_boundaries(spark):
     df = spark.createDataFrame([(date(2024, 1, 31), date(2024, 2, 1)), (date(2023, 12, 1), date(2024, 12, 31))], "a date, b date")
     assert [r[0] for r in df.select(calendar_months(F.col("a"), F.col("b"))).collect()] == [1, 12]
