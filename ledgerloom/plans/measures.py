@@ -78,6 +78,8 @@ COHORT_MEASURES = {
     "cohort_retention_pct": lambda: ratio(F.sum("active_customers"), F.sum("cohort_customers"), RATE),
     "cohort_cumulative_revenue_per_customer": lambda: F.max("cumulative_revenue_per_customer_usd"),
 }
+# Measures that tell customers apart.
+_OF_CUSTOMERS = ("active_customers", "revenue_per_customer")
 # Measures that move the date filter: they need the months around the one they are asked for.
 TIME_MEASURES = (
     "revenue_pm", "revenue_py", "revenue_ytd", "revenue_rolling_3m", "revenue_mom_pct", "revenue_yoy_pct", "yoy_colour",
@@ -111,7 +113,7 @@ class Measures:
 
     # ---- filter context -------------------------------------------------------------------
 
-    def _order_grain(self, columns: Sequence[str], where: Column | None) -> DataFrame:
+    def _order_grain(self, columns: Sequence[str], where: Column | None, per_customer: bool = True) -> DataFrame:
         revenue_order = F.col("is_revenue_order")
         sums = [
             F.sum("net_revenue_usd").alias("net"),
@@ -122,14 +124,20 @@ class Measures:
             F.count("*").alias("all_orders"),
             F.max("order_date").alias("last_date"),
         ]
-        return self._grain(self.warehouse.fct_orders, FACT_COLUMNS, columns, where, sums)
+        return self._grain(self.warehouse.fct_orders, FACT_COLUMNS, columns, where, sums, per_customer)
 
-    def _line_grain(self, columns: Sequence[str], where: Column | None) -> DataFrame:
+    def _line_grain(self, columns: Sequence[str], where: Column | None, per_customer: bool = True) -> DataFrame:
         sums = [F.sum("net_revenue_usd").alias("net")]
-        return self._grain(self.warehouse.fct_order_items, (*LINE_COLUMNS, "order_date"), columns, where, sums)
+        return self._grain(self.warehouse.fct_order_items, (*LINE_COLUMNS, "order_date"), columns, where, sums, per_customer)
 
-    def _grain(self, facts, own: Sequence[str], columns: Sequence[str], where: Column | None, sums) -> DataFrame:
-        """One row per customer and requested column of the fact, with the customer's columns."""
+    def _grain(
+        self, facts, own: Sequence[str], columns: Sequence[str], where: Column | None, sums, per_customer: bool
+    ) -> DataFrame:
+        """One row per customer and requested column of the fact, with the customer's columns.
+
+        Where nothing asks for customers, ``per_customer`` or by a column or security, rows are those of the columns
+        alone: few, added up before anything is shuffled.
+        """
         dated = [c for c in columns if c in DATE_COLUMNS]
         of_fact = [c for c in columns if c in own]
         of_customer = [c for c in columns if c in CUSTOMER_COLUMNS]
@@ -137,9 +145,12 @@ class Measures:
         if unknown:
             raise ValueError(f"no such column for these measures: {sorted(unknown)}")
         grain = facts.withColumns({c: DATE_COLUMNS[c](F.col("order_date")) for c in dated})
-        grain = grain.groupBy("customer_id", *dated, *of_fact).agg(*sums)
+        met = bool(of_customer) or self.user is not None
+        keys = [*(["customer_id"] if met or per_customer else []), *dated, *of_fact]
+        # a constant key: without facts there is no row
+        grain = grain.groupBy(*(keys or [F.lit(0).alias("_all")])).agg(*sums)
         # security too applies to one row per customer and requested column: no order is shuffled for it
-        if of_customer or self.user is not None:
+        if met:
             grain = grain.join(self.customers.select("customer_id", *of_customer), "customer_id")
         return grain if where is None else grain.filter(where)
 
@@ -161,7 +172,7 @@ class Measures:
         grain = self._line_grain if line_level else self._order_grain
         order_measures = {"total_revenue": ORDER_MEASURES["total_revenue"]} if line_level else ORDER_MEASURES
         catalog = (
-            (order_measures, lambda: grain(asked, where)),
+            (order_measures, lambda: grain(asked, where, any(m in _OF_CUSTOMERS for m in measures))),
             (LTV_MEASURES, lambda: self._filtered(self._visible(self.warehouse.customer_ltv), where)),
             (RFM_MEASURES, lambda: self._filtered(self._visible(self.warehouse.rfm_segments), where)),
             (COHORT_MEASURES, lambda: self._filtered(self.warehouse.cohort_retention, where)),
@@ -329,6 +340,8 @@ class Measures:
         Revenue is added up per day and group first; each of these rows then names the periods it counts for.
         """
         sold = self.evaluate(["total_revenue"], ["order_date", *by], where, where_columns)
+        # a row per day and group, read for the bounds, the groups and the sums: the facts are read once
+        sold = self.warehouse.store.scratch(sold, "sold")
         names = dict(zip(periods.MOVED, ("total_revenue", "revenue_pm", "revenue_py", "revenue_ytd", "revenue_rolling_3m")))
         return self._with_changes(periods.moved_sums(sold, "order_date", "total_revenue", grain, by).withColumnsRenamed(names))
 

@@ -1,11 +1,13 @@
 """The shape of the physical plans."""
 
 import re
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import cleaning, core, marts, staging
+from ledgerloom.plans.measures import Measures
 from ledgerloom.plans.warehouse import SCOPE
 from ledgerloom.queries import QUERIES
 from ledgerloom.sources import feed
@@ -78,6 +80,23 @@ def test_facts_meet_customers_at_customer_grain(warehouse, no_broadcast):
     assert "partial_sum(net_revenue_usd" in text[join:]
 
 
+def test_measures_that_ask_for_no_customer_do_not_shuffle_by_customer(spark, warehouse, written_plans):
+    measures = Measures(warehouse, spark)
+    texts = [plan(measures.evaluate(["last_refreshed"]))]
+    measures.evaluate(["total_revenue", "revenue_ytd"], ["year", "quarter", "category"])
+    texts.append(written_plans["scratch/sold"])  # the facts are read once, for all that follows
+    for text in texts:
+        assert "customer_id" not in text
+    assert "customer_id" in plan(measures.evaluate(["active_customers"], ["year"]))
+
+
+def test_measures_of_no_orders_are_unknown(spark, warehouse):
+    empty = Measures(warehouse, spark)
+    empty.warehouse = SimpleNamespace(fct_orders=warehouse.fct_orders.filter("false"), store=warehouse.store)
+    row = empty.evaluate(["total_revenue", "completed_orders", "gross_sales"]).first()
+    assert row.asDict() == {"total_revenue": None, "completed_orders": None, "gross_sales": None}
+
+
 def test_customer_windows_run_per_slice(spark, store, written_plans, warehouse):
     base = marts.customer_base(warehouse.fct_orders, warehouse.dim_customer, warehouse.params)
     placed = marts.placed_customers(base, store)
