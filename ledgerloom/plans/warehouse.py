@@ -145,13 +145,21 @@ class Warehouse:
     def _settle(self, name: str) -> DataFrame:
         return cleaning.settle(self.judged(name), name, SCOPE).drop("_src_pos")
 
+    @table
+    def filled_orders(self):
+        """The orders that have accepted lines, whichever delivery of a line is kept.
+
+        Judged lines lie together by order, so that each task sends an order once.
+        """
+        return rules.accepted(self.judged_order_items).select(*SCOPE, "order_id").distinct()
+
     @table
     def clean_orders(self):
-        return cleaning.split_empty_orders(self.settled_orders, self.settled_order_items, SCOPE)[0]
+        return cleaning.split_empty_orders(self.settled_orders, self.filled_orders, SCOPE)[0]
 
     @view
     def empty_orders(self):
-        return cleaning.split_empty_orders(self.settled_orders, self.settled_order_items, SCOPE)[1]
+        return cleaning.split_empty_orders(self.settled_orders, self.filled_orders, SCOPE)[1]
 
     def clean(self, name: str) -> DataFrame:
         return self.clean_orders if name == "orders" else getattr(self, f"settled_{name}")

@@ -102,7 +102,7 @@ def latest_from_stream(warehouse) -> DataFrame:
     loads = F.create_map(*[F.lit(v) for pair in warehouse.loaded_at.items() for v in pair])
     stamped = landed.withColumn("_loaded_at", F.element_at(loads, F.col("_batch_id")).cast("timestamp_ntz"))
     # the same rule as for files: an order without accepted lines is not staged
-    return stg_orders(split_empty_orders(stamped, warehouse.settled_order_items, ["_batch_id"])[0])
+    return stg_orders(split_empty_orders(stamped, warehouse.filled_orders, ["_batch_id"])[0])
 
 
 def folded_from_stream(warehouse, parts: int = 4, every: int = 2) -> DataFrame:
@@ -117,7 +117,7 @@ def folded_from_stream(warehouse, parts: int = 4, every: int = 2) -> DataFrame:
     def accepted(folders: list[str]) -> DataFrame:
         landed = spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
         stamped = landed.withColumn("_loaded_at", F.element_at(loads, F.col("_batch_id")).cast("timestamp_ntz"))
-        return split_empty_orders(stamped, warehouse.settled_order_items, ["_batch_id"])[0]
+        return split_empty_orders(stamped, warehouse.filled_orders, ["_batch_id"])[0]
 
     landing = f"{base}/landing"
     state = Latest(Catalog(spark, f"{base}/state"), "orders", landing, MICRO_BATCH, "order_id", lambda: newest("ingested_at"), accepted, every)

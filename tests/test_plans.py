@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.plans import cleaning, core, marts, staging
 from ledgerloom.plans.measures import Measures
-from ledgerloom.plans.warehouse import SCOPE
+from ledgerloom.plans.warehouse import SCOPE, Warehouse
 from ledgerloom.queries import QUERIES
 from ledgerloom.sources import feed
+from ledgerloom.sources.store import Store
 
 SF = "/root/testdata/sf0.001"
 
@@ -61,6 +62,18 @@ def test_latest_version_is_picked_before_the_shuffle(warehouse):
         assert final < text.index("Exchange hashpartitioning") < partial
 
 
+def test_clean_orders_do_not_wait_for_the_newest_lines(spark, written_plans):
+    feeds = {name: df for name, df in feed.extracts(spark, SF).items()}
+    w = Warehouse(feeds, feed.BATCHES, Store.for_session(spark))
+    assert w.clean_orders.count() > 0 and w.empty_orders.count() > 0
+    assert "settled_order_items" not in written_plans
+    filled = written_plans["filled_orders"]
+    # an order is sent once per task that has lines of it
+    assert filled.count("HashAggregate(keys=[_batch_id") == 2 and "line_number" not in filled[: filled.index("FileScan")]
+    known = w.settled_order_items.select(*SCOPE, "order_id").distinct()
+    assert known.exceptAll(w.filled_orders).isEmpty() and w.filled_orders.exceptAll(known).isEmpty()
+
+
 def test_scans_read_only_the_needed_columns(spark, warehouse):
     kpi = plan(marts.revenue_by_category(warehouse.fct_order_items))
     assert re.search(r"ReadSchema: struct<category:string,order_month:date,status:string,quantity:int,net", kpi)
