@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import MONEY, money
@@ -26,9 +26,6 @@ def order_items_converted(
     rate that fits decimal(12,6), so the product is an exact decimal(38,12) and the only rounding is the
     one to cents.
     """
-    local = (F.col("quantity").cast("decimal(10,0)") * F.col("unit_price_local")).cast("decimal(18,2)")
-    usd = local * F.col("rate_to_usd").cast("decimal(12,6)")
-    net = usd * (F.lit(Decimal(1)) - F.col("discount_pct"))
     return (
         items.drop("_loaded_at")
         .join(orders.drop("_batch_id", "_loaded_at"), "order_id")
@@ -48,15 +45,41 @@ def order_items_converted(
             "ingested_at",
             "quantity",
             "unit_price_local",
-            money(local).alias("line_amount_local"),
-            money(usd).alias("line_amount_usd"),
-            F.when(F.col("status") == "completed", money(net))
-            .otherwise(F.lit(Decimal(0)).cast(MONEY))
-            .alias("net_revenue_usd"),
+            money(_local_amount()).alias("line_amount_local"),
+            *_amounts(),
         )
     )
 
 
+def _local_amount() -> Column:
+    return (F.col("quantity").cast("decimal(10,0)") * F.col("unit_price_local")).cast("decimal(18,2)")
+
+
+def _amounts() -> list[Column]:
+    usd = _local_amount() * F.col("rate_to_usd").cast("decimal(12,6)")
+    net = usd * (F.lit(Decimal(1)) - F.col("discount_pct"))
+    return [
+        money(usd).alias("line_amount_usd"),
+        F.when(F.col("status") == "completed", money(net))
+        .otherwise(F.lit(Decimal(0)).cast(MONEY))
+        .alias("net_revenue_usd"),
+    ]
+
+
+def priced_lines(items: DataFrame, orders: DataFrame, fx_rates: DataFrame) -> DataFrame:
+    """What an order's sums need of its lines, for lines whose product is known to exist.
+
+    The id is handed on as a value of its own. So adding up per order sends one row per order once more, and the
+    join above may split a hot order: Spark does so only where no later step relies on the layout of the join.
+    """
+    return (
+        items.select("order_id", "quantity", "unit_price_local")
+        .join(orders.select("order_id", "status", "currency", "discount_pct"), "order_id")
+        .join(fx_rates, "currency")
+        .select(F.concat("order_id", F.lit("")).alias("order_id"), "quantity", *_amounts())
+    )
+
+
 def fct_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """One row per order that has lines."""
     totals = lines.groupBy("order_id").agg(

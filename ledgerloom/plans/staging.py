@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,8 +49,9 @@ def stg_orders(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_order_items(raw: DataFrame) -> DataFrame:
-    return latest_per_key(raw, ["order_id", "line_number"], newest()).select(
+def stg_order_items(raw: DataFrame, within_batch: Sequence[Column] = ()) -> DataFrame:
+    """``within_batch`` orders the deliveries of a line in one batch, where those are still in ``raw``."""
+    return latest_per_key(raw, ["order_id", "line_number"], [*newest(), *within_batch]).select(
         F.concat(F.col("order_id"), F.lit("-"), F.col("line_number").cast("string")).alias("order_item_id"),
         "order_id",
         F.col("line_number").cast("int").alias("line_number"),

@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.temporal import NTZ
 from ledgerloom.operators import distinct, quality, rules
 from ledgerloom.operators.asof import as_of
+from ledgerloom.operators.latest import delivery_order
 from ledgerloom.operators.scd2 import open_versions, scd2_apply, scd2_history, scd2_snapshots
 from ledgerloom.params import Params
 from ledgerloom.plans import checks, cleaning, core, marts, staging
 from ledgerloom.sources import feed
-from ledgerloom.sources.schemas import TABLES
+from ledgerloom.sources.schemas import TABLES, TRACE
 from ledgerloom.sources.store import Store, file_stamp
 
 SCOPE = ("_batch_id",)
@@ -170,10 +171,13 @@ class Warehouse:
 
     # ---- landed batches and staging --------------------------------------------------------
 
+    def _stamped(self, df: DataFrame) -> DataFrame:
+        stamps = F.create_map(*[F.lit(v) for pair in self.loaded_at.items() for v in pair])
+        return df.withColumn("_loaded_at", F.element_at(stamps, F.col("_batch_id")).cast(NTZ))
+
     def raw(self, name: str, upto: str | None = None) -> DataFrame:
         """The append-only landing table, optionally as it was after batch ``upto``."""
-        stamps = F.create_map(*[F.lit(v) for pair in self.loaded_at.items() for v in pair])
-        landed = self.clean(name).withColumn("_loaded_at", F.element_at(stamps, F.col("_batch_id")).cast(NTZ))
+        landed = self._stamped(self.clean(name))
         return landed if upto is None else landed.filter(F.col("_batch_id") <= upto)
 
     @table
@@ -182,11 +186,15 @@ class Warehouse:
 
     @table
     def stg_orders(self):
-        return staging.stg_orders(self.raw("orders"))
+        """From the settled orders, so that facts do not wait for ``clean_orders`` to be written."""
+        filled, _ = cleaning.split_empty_orders(self.settled_orders, self.filled_orders, SCOPE)
+        return staging.stg_orders(self._stamped(filled))
 
     @table
     def stg_order_items(self):
-        return staging.stg_order_items(self.raw("order_items"))
+        """From the judged lines: the newest of all batches is picked in the same step as the newest of its batch."""
+        ok = self._stamped(rules.accepted(self.judged_order_items)).drop(*TRACE)
+        return staging.stg_order_items(ok, delivery_order(ok, (*SCOPE, *cleaning.KEYS["order_items"])))
 
     @table
     def stg_products(self):
@@ -200,7 +208,7 @@ class Warehouse:
 
     @view
     def order_items_converted(self):
-        self.build(("settled_order_items", "stg_fx_rates", "stg_products", "clean_orders"))
+        self.build(("stg_order_items", "stg_orders", "stg_fx_rates", "stg_products"))
         return core.order_items_converted(
             self.stg_order_items, self.stg_orders, self.stg_fx_rates, self.stg_products
         )
@@ -211,7 +219,10 @@ class Warehouse:
 
     @table
     def fct_orders(self):
-        return core.fct_orders(self.stg_orders, self.fct_order_items)
+        """Priced from the staged lines: cleaning has checked products, so an order needs none of their columns."""
+        self.build(("stg_order_items", "stg_orders", "stg_fx_rates"))
+        lines = core.priced_lines(self.stg_order_items, self.stg_orders, self.stg_fx_rates)
+        return core.fct_orders(self.stg_orders, lines)
 
     @table
     def first_load_stg_orders(self):

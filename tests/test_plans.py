@@ -176,3 +176,18 @@ def test_a_hot_order_is_split_between_tasks(spark, store):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_orders_do_not_wait_for_the_line_fact_or_clean_tables(spark, written_plans):
+    w = Warehouse(feed.extracts(spark, SF), feed.BATCHES, Store.for_session(spark))
+    orders = w.fct_orders
+    assert not {"settled_order_items", "clean_orders", "fct_order_items", "stg_products"} & written_plans.keys()
+    # lines and orders lie by order; the sums are sent once more, so that the join is free to split a hot order
+    text = written_plans["fct_orders"]
+    sums = text.index("partial_sum(line_amount_usd")
+    assert "Exchange hashpartitioning" in text[:sums] and "product_id" not in text
+    # the same rows as the way over the clean tables and the line fact
+    assert orders.exceptAll(core.fct_orders(w.stg_orders, w.fct_order_items)).isEmpty()
+    assert core.fct_orders(w.stg_orders, w.fct_order_items).exceptAll(orders).isEmpty()
+    staged = staging.stg_order_items(w.raw("order_items"))
+    assert staged.exceptAll(w.stg_order_items).isEmpty() and w.stg_order_items.exceptAll(staged).isEmpty()
