@@ -37,3 +37,25 @@ def mark_known(
     """
     keys = known.select(F.col(known_column).alias(column), *scope, F.lit(True).alias(flag))
     return df.join(keys, [column, *scope], "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
+def strangers(df: DataFrame, column: str, known: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """The values of ``column``, each once per ``scope``, that do not occur in the same column of ``known``.
+
+    Only keys are shuffled. Written, the result is as small as the feed has strangers, whatever the size of ``known``.
+    """
+    keys = [column, *scope]
+    return df.select(*keys).distinct().join(known.select(*keys), keys, "left_anti")
+
+
+def mark_familiar(df: DataFrame, column: str, unknown: DataFrame, flag: str, scope: Sequence[str] = ()) -> DataFrame:
+    """``mark_known`` by the ``strangers``: as long as Spark's size check broadcasts those, no row of ``df`` moves.
+
+    NULL is not known.
+    """
+    keys = [column, *scope]
+    met = df.join(unknown.select(*keys, F.lit(True).alias(flag)), keys, "left")
+    known = F.col(flag).isNull()
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    return met.withColumn(flag, known)

@@ -107,17 +107,25 @@ class Warehouse:
     def judged_customers(self):
         return cleaning.judge_customers(self.extracts["customers"])
 
+    @table
+    def unknown_customers(self):
+        return cleaning.unknown_customers(self.extracts["orders"], self.settled_customers, SCOPE)
+
+    @table
+    def unknown_products(self):
+        return cleaning.unknown_products(self.extracts["order_items"], self.settled_products, SCOPE)
+
     @table
     def judged_orders(self):
-        self.build(("settled_customers", "settled_fx_rates", "settled_products"))
+        self.build(("unknown_customers", "settled_fx_rates", "unknown_products"))
         return cleaning.judge_orders(
-            self.extracts["orders"], self.settled_customers, self.settled_fx_rates, SCOPE
+            self.extracts["orders"], self.settled_customers, self.settled_fx_rates, SCOPE, self.unknown_customers
         )
 
     @table
     def judged_order_items(self):
         return cleaning.judge_order_items(
-            self.extracts["order_items"], self.settled_orders, self.settled_products, SCOPE
+            self.extracts["order_items"], self.settled_orders, self.settled_products, SCOPE, self.unknown_products
         )
 
     def judged(self, name: str) -> DataFrame:

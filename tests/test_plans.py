@@ -191,3 +191,29 @@ def test_orders_do_not_wait_for_the_line_fact_or_clean_tables(spark, written_pla
     assert core.fct_orders(w.stg_orders, w.fct_order_items).exceptAll(orders).isEmpty()
     staged = staging.stg_order_items(w.raw("order_items"))
     assert staged.exceptAll(w.stg_order_items).isEmpty() and w.stg_order_items.exceptAll(staged).isEmpty()
+
+
+def test_a_wide_key_set_does_not_move_the_rows_it_is_asked_for(spark, written_plans):
+    feeds = feed.extracts(spark, SF)
+    w = Warehouse(feeds, feed.BATCHES, Store.for_session(spark))
+    orders, lines = w.judged_orders, w.judged_order_items
+    assert written_plans["judged_orders"].count("LeftOuter") == 2
+    for name, key in (("unknown_customers", "customer_id"), ("unknown_products", "product_id")):
+        assert "LeftAnti" in written_plans[name] and re.search(rf"HashAggregate\(keys=\[{key}", written_plans[name])
+        assert 0 < getattr(w, name).count() < 100
+    expected = cleaning.judge_orders(feeds["orders"], w.settled_customers, w.settled_fx_rates, SCOPE)
+    assert orders.exceptAll(expected).isEmpty() and expected.exceptAll(orders).isEmpty()
+    expected = cleaning.judge_order_items(feeds["order_items"], w.settled_orders, w.settled_products, SCOPE)
+    assert lines.exceptAll(expected).isEmpty() and expected.exceptAll(lines).isEmpty()
+    assert lines.filter("reject_reason = 'unknown_product'").count() > 0
+
+
+def test_a_missing_key_is_not_familiar(spark):
+    from ledgerloom.operators.rules import mark_familiar, strangers
+
+    rows = spark.createDataFrame([("a", "x"), (None, "x"), ("b", "x"), ("a", None)], "k string, s string")
+    known = spark.createDataFrame([("a", "x")], "k string, s string")
+    unknown = strangers(rows, "k", known, ["s"])
+    got = {(r.k, r.s): r.ok for r in mark_familiar(rows, "k", unknown, "ok", ["s"]).collect()}
+    assert got == {("a", "x"): True, (None, "x"): False, ("b", "x"): False, ("a", None): False}
+    assert {(r.k, r.s): r.ok for r in mark_familiar(rows, "k", unknown.limit(0), "ok", ["s"]).collect()}[(None, "x")] is False
