@@ -111,6 +111,10 @@ class Warehouse:
     def unknown_customers(self):
         return cleaning.unknown_customers(self.extracts["orders"], self.settled_customers, SCOPE)
 
+    @table
+    def unknown_orders(self):
+        return cleaning.unknown_orders(self.extracts["order_items"], self.settled_orders, SCOPE)
+
     @table
     def unknown_products(self):
         return cleaning.unknown_products(self.extracts["order_items"], self.settled_products, SCOPE)
@@ -125,7 +129,12 @@ class Warehouse:
     @table
     def judged_order_items(self):
         return cleaning.judge_order_items(
-            self.extracts["order_items"], self.settled_orders, self.settled_products, SCOPE, self.unknown_products
+            self.extracts["order_items"],
+            self.settled_orders,
+            self.settled_products,
+            SCOPE,
+            self.unknown_orders,
+            self.unknown_products,
         )
 
     def judged(self, name: str) -> DataFrame:
@@ -158,7 +167,7 @@ class Warehouse:
     def filled_orders(self):
         """The orders that have accepted lines, whichever delivery of a line is kept.
 
-        Judged lines lie together by order, so that each task sends an order once.
+        Lines of an order come together in the feed, so that a task sends an order about once.
         """
         return rules.accepted(self.judged_order_items).select(*SCOPE, "order_id").distinct()
 

@@ -198,7 +198,13 @@ def test_a_wide_key_set_does_not_move_the_rows_it_is_asked_for(spark, written_pl
     w = Warehouse(feeds, feed.BATCHES, Store.for_session(spark))
     orders, lines = w.judged_orders, w.judged_order_items
     assert written_plans["judged_orders"].count("LeftOuter") == 2
-    for name, key in (("unknown_customers", "customer_id"), ("unknown_products", "product_id")):
+    # lines are judged where they are read: the few strangers are broadcast, and no line is shuffled
+    assert "hashpartitioning" not in written_plans["judged_order_items"]
+    for name, key in (
+        ("unknown_customers", "customer_id"),
+        ("unknown_orders", "order_id"),
+        ("unknown_products", "product_id"),
+    ):
         assert "LeftAnti" in written_plans[name] and re.search(rf"HashAggregate\(keys=\[{key}", written_plans[name])
         assert 0 < getattr(w, name).count() < 100
     expected = cleaning.judge_orders(feeds["orders"], w.settled_customers, w.settled_fx_rates, SCOPE)
