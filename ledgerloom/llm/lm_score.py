@@ -6,9 +6,10 @@ word for all others, and the end of a text, whose loss is not counted. A documen
 lower, the more it is like the target.
 
 Counts cover every document and are exact per 56-bit hash of a word or a word pair. Nothing that grows with the corpus
-is sent to a task or the driver whole: documents are written in blocks, a block sends its distinct words and pairs with
-their counts to buckets by hash, and each bucket sends the sums back to the blocks that asked. Only a vocabulary of up
-to ``BROADCAST`` words is broadcast; a larger one meets the words of the blocks in buckets too.
+is sent to a task or the driver whole, and no text is shuffled: documents are written in blocks where they are read,
+only their ids meet those of the target, a block sends its distinct words and pairs with their counts to buckets by
+hash, and each bucket sends the sums back to the blocks that asked. Only a vocabulary of up to ``BROADCAST`` words is
+broadcast; a larger one meets the words of the blocks in buckets too.
 """
 
 from __future__ import annotations
@@ -23,13 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import arrays
-from ledgerloom.llm.bits import possible_members
 from ledgerloom.llm.words import whole
 from ledgerloom.sources.store import Store
 
 SMOOTHING = 4.0  # words' worth of trust in the unigrams
 BROADCAST = 1 << 21  # words of a vocabulary that is broadcast: 16 MB
-_BLOCK = 16 << 20  # bytes of text in a block, about, or one document
+_BLOCK = 12 << 20  # bytes of text in a block, up to a piece more, or one document
 _BUCKET = 32 << 20  # bytes of keys in a bucket, about
 _KEY_BYTES = 6  # of keys per word of text, at most
 _HELD = 1_000_000  # words a task holds before it passes them on
@@ -73,16 +73,24 @@ def _climbed(packed: bytes, n: int, spare: int = 0) -> np.ndarray:
     return np.cumsum(_wide(packed, n, _U), dtype=_U) << _U(spare)
 
 
-def _ranked(words: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _ranked(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct words, frequent ones first, and the places in them; small numbers for most words pack well."""
-    words, again = np.unique(words, return_inverse=True)
-    index = again[index]
+    words, index = np.unique(words, return_inverse=True)
     order = np.argsort(-np.bincount(index, minlength=len(words)), kind="stable")
     place = np.empty(len(words), dtype=np.int64)
     place[order] = np.arange(len(words))
     return words[order], place[index]
 
 
+def _merged(words: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words in order of their first place, for words that repeat, and the places in them."""
+    _, first, again = np.unique(words, return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    place = np.empty(len(first), dtype=np.int64)
+    place[order] = np.arange(len(first))
+    return words[first[order]], place[again][index]
+
+
 def _table(rows: list[tuple], kinds: str) -> pa.RecordBatch:
     """Rows of the columns in ``kinds``, which are long, boolean or binary."""
     names, types = zip(*[k.split() for k in kinds.split(", ")])
@@ -110,19 +118,21 @@ _VOCABULARY_KINDS = "bucket long, n long, known binary"
 
 
 def _word_counts(buckets: int):
-    """A task's words and how often it has them, by bucket."""
+    """A task's words of documents of the target and how often these have them, by bucket."""
 
     def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def passed_on() -> pa.RecordBatch:
-            hashes, counts = np.unique(np.concatenate(held), return_counts=True)
+            hashes, counts = _summed(*map(np.concatenate, zip(*held, strict=True)))
             return _table([(b, len(p), _steps(hashes[p]), _small(counts[p])) for b, p in _dealt(hashes, buckets)], _WORD_KINDS)
 
         for batch in batches:
-            for part in arrays.pieces(batch, 0):
-                held.append(arrays.words(*arrays.text_bytes(part.column(0))).hashes)
-                if sum(map(len, held)) > _HELD:
+            for sizes, words, index, targets in _rows(batch, "sizes", "words", "index", "targets"):
+                n, words, index = _unpacked(sizes, words, index)
+                times = np.bincount(index[_of_target(n, targets)], minlength=len(words))
+                held.append((words[times > 0], times[times > 0]))
+                if sum(len(words) for words, _ in held) > _HELD:
                     yield passed_on()
                     held = []
         if held:
@@ -151,54 +161,58 @@ def _among(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def _block_kinds(doc_id: str) -> str:
-    return f"ids array<{doc_id}>, n_words long, n_ends long, sizes binary, words binary, index binary"
+    return f"ids array<{doc_id}>, sizes array<long>, n_words long, n_ends long, words binary, index binary"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents packed: their ids and numbers of words, the distinct words and for each word its number there."""
+    ids: list[pa.Array] = []
+    sizes: list[np.ndarray] = []
+    hashes: list[np.ndarray] = []
+    total = 0
+
+    def packed() -> pa.RecordBatch:
+        words, index = _ranked(np.concatenate(hashes))
+        n = np.concatenate(sizes)
+        edge = pa.array([0, len(n)], pa.int32())
+        columns = [pa.ListArray.from_arrays(edge, a) for a in (pa.concat_arrays(ids), pa.array(n, pa.int64()))]
+        columns += [pa.array([v], pa.int64()) for v in (len(index), np.count_nonzero(n))]
+        columns += [pa.array([b], pa.binary()) for b in (words.tobytes(), _small(index))]
+        return pa.RecordBatch.from_arrays(columns, names=["ids", "sizes", "n_words", "n_ends", "words", "index"])
+
+    for batch in batches:
+        for part in arrays.pieces(batch, 1):
+            data, offsets = arrays.text_bytes(part.column(1))
+            found = arrays.words(data, offsets)
+            ids.append(part.column(0))
+            sizes.append(np.diff(found.first))
+            hashes.append(found.hashes)
+            total += len(data)
+            if total >= _BLOCK:
+                yield packed()
+                ids, sizes, hashes, total = [], [], [], 0
+    if ids:
+        yield packed()
+
+
+def _unpacked(sizes: list[int], words: bytes, index: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each of the documents, the distinct words, and the number of each word in these."""
+    n = np.array(sizes, dtype=np.int64)
+    return n, np.frombuffer(words, dtype=_U), _wide(index, int(n.sum()))
 
 
-def _blocks(vocabulary: Broadcast | None):
-    """Documents packed: their ids and numbers of words, the distinct words and for each word its number there.
+def _with_known(words: np.ndarray, index: np.ndarray, known: Broadcast | None) -> tuple[np.ndarray, np.ndarray]:
+    """The words and places in them with those outside the vocabulary as the unknown one. Without one they are so already."""
+    if known is None:
+        return words, index
+    return _merged(np.where(_among(words, known.value), words, _UNKNOWN), index)
 
-    With a vocabulary other words are the unknown one already.
-    """
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list[pa.Array] = []
-        sizes: list[np.ndarray] = []
-        hashes: list[np.ndarray] = []
-        total = 0
-
-        def packed() -> pa.RecordBatch:
-            words, index = np.unique(np.concatenate(hashes), return_inverse=True)
-            if vocabulary is not None:
-                words = np.where(_among(words, vocabulary.value), words, _UNKNOWN)
-            words, index = _ranked(words, index)
-            all_ids = pa.concat_arrays(ids)
-            columns = [pa.ListArray.from_arrays(pa.array([0, len(all_ids)], pa.int32()), all_ids)]
-            n = np.concatenate(sizes)
-            columns += [pa.array([v], pa.int64()) for v in (len(index), np.count_nonzero(n))]
-            columns += [pa.array([b], pa.binary()) for b in (_small(n), words.tobytes(), _small(index))]
-            return pa.RecordBatch.from_arrays(columns, names=["ids", "n_words", "n_ends", "sizes", "words", "index"])
-
-        for batch in batches:
-            for part in arrays.pieces(batch, 1):
-                data, offsets = arrays.text_bytes(part.column(1))
-                found = arrays.words(data, offsets)
-                ids.append(part.column(0))
-                sizes.append(np.diff(found.first))
-                hashes.append(found.hashes)
-                total += len(data)
-                if total >= _BLOCK:
-                    yield packed()
-                    ids, sizes, hashes, total = [], [], [], 0
-        if ids:
-            yield packed()
-
-    return blocks
-
-
-def _unpacked(ids: int, sizes: bytes, words: bytes, index: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words of each of the documents, the distinct words, and the number of each word in these."""
-    n = _wide(sizes, ids)
-    return n, np.frombuffer(words, dtype=_U), _wide(index, int(n.sum()))
+def _of_target(n: np.ndarray, targets: list[int] | None) -> np.ndarray:
+    """Which words of a block are of its documents at the places ``targets``."""
+    documents = np.zeros(len(n), dtype=bool)
+    documents[np.array(targets or [], dtype=np.int64)] = True
+    return np.repeat(documents, n)
 
 
 # a vocabulary that is too large for a broadcast
@@ -232,14 +246,12 @@ def _with_unknown(buckets: int):
     """A block in which words that no bucket knows are the unknown one."""
 
     def with_unknown(block: pa.Table, told: pa.Table) -> pa.Table:
-        words = np.frombuffer(block.column("words")[0].as_py(), dtype=_U)
+        n, words, index = _unpacked(*(block.column(c)[0].as_py() for c in ("sizes", "words", "index")))
         flags = dict(_rows(told, "bucket", "is_known"))
         known = np.zeros(len(words), dtype=bool)
         for bucket, places in _dealt(words, buckets):
             known[places] = np.frombuffer(flags[bucket], dtype=bool)
-        ids = len(block.column("ids")[0])
-        _, _, index = _unpacked(ids, block.column("sizes")[0].as_py(), words.tobytes(), block.column("index")[0].as_py())
-        words, index = _ranked(np.where(known, words, _UNKNOWN), index)
+        words, index = _merged(np.where(known, words, _UNKNOWN), index)
         for name, value in (("words", words.tobytes()), ("index", _small(index))):
             block = block.set_column(block.column_names.index(name), name, pa.array([value], pa.binary()))
         return block
@@ -249,24 +261,31 @@ def _with_unknown(buckets: int):
 
 # counts of words and pairs
 
-_ENTRY_KINDS = "bucket long, block long, target boolean, n long, keys binary, counts binary"
+_ENTRY_KINDS = "bucket long, block long, n long, keys binary, target_counts binary, all_counts binary"
 _SUM_KINDS = "block long, bucket long, target_sums binary, all_sums binary"
 
 
-def _keys(n: np.ndarray, words: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys of a block's words and of its pairs, the number of each pair's key, its second word, and text starts.
+def _keys(n: np.ndarray, words: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of a block's words and of its pairs, the number of each pair's key, and which words follow another.
 
     The first keys are those of the words, in the order of ``words``. A word that starts a text has no pair.
     """
-    starts = np.zeros(len(index) + 1, dtype=bool)
-    starts[np.cumsum(n) - n] = True
-    starts = starts[:-1]
-    later = np.flatnonzero(~starts)
-    pairs, pair = np.unique(index[later - 1] * len(words) + index[later], return_inverse=True)
+    follows = np.ones(len(index) + 1, dtype=bool)
+    follows[np.cumsum(n) - n] = False
+    follows = follows[:-1]
+    pairs = index[:-1] * len(words)
+    pairs += index[1:]
+    pairs, pair = np.unique(pairs[follows[1:]], return_inverse=True)
+    pair += len(words)
     before, word = np.divmod(pairs, max(len(words), 1))
     pairs = arrays.mixed(words[before] * _U(0xBF58476D1CE4E5B9) + words[word])
     keys = np.r_[arrays.mixed(words), pairs] >> _U(_SPARE) << _U(_SPARE)
-    return keys, len(words) + pair, later, starts
+    return keys, pair, follows
+
+
+def _times(keys: np.ndarray, index: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """How often words and pairs have each of the keys."""
+    return np.bincount(index, minlength=len(keys)) + np.bincount(pair, minlength=len(keys))
 
 
 def _dealt_in_order(keys: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
@@ -274,40 +293,41 @@ def _dealt_in_order(keys: np.ndarray, buckets: int) -> list[tuple[int, np.ndarra
     return [(b, order[p]) for b, p in _dealt(keys[order], buckets)]
 
 
-def _entries(buckets: int):
-    """The words and pairs of each block and how often it has them, by bucket."""
+def _entries(buckets: int, known: Broadcast | None):
+    """The words and pairs of each block and how often the target and all its documents have them, by bucket."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, target, ids, *packed in _rows(batch, "block", "target", "n_ids", "sizes", "words", "index"):
-                n, words, index = _unpacked(ids, *packed)
-                keys, pair, _, _ = _keys(n, words, index)
-                counts = np.bincount(np.r_[index, pair], minlength=len(keys))
+            for block, targets, *packed in _rows(batch, "block", "targets", "sizes", "words", "index"):
+                n, words, index = _unpacked(*packed)
+                words, index = _with_known(words, index, known)
+                keys, pair, follows = _keys(n, words, index)
+                wanted = _of_target(n, targets)
+                of_target = _times(keys, index[wanted], pair[wanted[follows]])
+                of_all = _times(keys, index, pair)
                 dealt = _dealt_in_order(keys, buckets)
-                yield _table([(b, block, target, len(p), _steps(keys[p], _SPARE), _small(counts[p])) for b, p in dealt], _ENTRY_KINDS)
+                rows = [(b, block, len(p), _steps(keys[p], _SPARE), _small(of_target[p]), _small(of_all[p])) for b, p in dealt]
+                yield _table(rows, _ENTRY_KINDS)
 
     return entries
 
 
 def _sums(table: pa.Table) -> pa.Table:
     """Of a bucket: for each block the sums of its entries over the target and over all documents."""
-    asked = list(_rows(table, "block", "bucket", "target", "n"))
-    sizes = [a[3] for a in asked]
+    asked = list(_rows(table, "block", "bucket", "n"))
     keys = np.concatenate([_climbed(k, n, _SPARE) for n, k in _rows(table, "n", "keys")])
-    counts = np.concatenate([_wide(c, n) for n, c in _rows(table, "n", "counts")])
     keys, place = np.unique(keys, return_inverse=True)
-    of_target = np.repeat([a[2] for a in asked], sizes)
     sums = []
-    for chosen in (of_target, slice(None)):
+    for name in ("target_counts", "all_counts"):
         total = np.zeros(len(keys), dtype=np.int64)
-        np.add.at(total, place[chosen], counts[chosen])
+        np.add.at(total, place, np.concatenate([_wide(c, n) for n, c in _rows(table, "n", name)]))
         sums.append(total)
-    edge = np.cumsum([0, *sizes])
+    edge = np.cumsum([0, *(a[2] for a in asked)])
     rows = [(a[0], a[1], *[_small(s[place[low:high]]) for s in sums]) for a, low, high in zip(asked, edge[:-1], edge[1:], strict=True)]
     return pa.Table.from_batches([_table(rows, _SUM_KINDS)])
 
 
-def _losses(met: np.ndarray, together: np.ndarray, starts: np.ndarray, total: int, n_words: int) -> np.ndarray:
+def _losses(met: np.ndarray, together: np.ndarray, follows: np.ndarray, total: int, n_words: int) -> np.ndarray:
     """Bits each word costs: the pair's share of the word before it, smoothed by the word's share of all.
 
     The end of a text counts as a word, so what follows a word and what stands alone both have shares that add up to 1;
@@ -315,18 +335,18 @@ def _losses(met: np.ndarray, together: np.ndarray, starts: np.ndarray, total: in
     """
     alone = (met + 1.0) / (total + n_words)
     # the first word of a text follows no word
-    trust = np.where(starts, 0.0, np.r_[0.0, met[:-1]][: len(met)])
+    trust = np.where(follows, np.r_[0.0, met[:-1]][: len(met)], 0.0)
     return -np.log2((together + SMOOTHING * alone) / (trust + SMOOTHING))
 
 
-def _scores(buckets: int, totals: tuple[int, int], n_words: int):
+def _scores(buckets: int, known: Broadcast | None, totals: tuple[int, int], n_words: int):
     """A row for each document of a block. ``totals`` are the words and ends of the target and of all documents."""
 
     def scores(block: pa.Table, sums: pa.Table) -> pa.Table:
         ids = block.column("ids").combine_chunks().flatten()
-        packed = [block.column(c)[0].as_py() for c in ("sizes", "words", "index")]
-        n, words, index = _unpacked(len(ids), *packed)
-        keys, pair, later, starts = _keys(n, words, index)
+        n, words, index = _unpacked(*(block.column(c)[0].as_py() for c in ("sizes", "words", "index")))
+        words, index = _with_known(words, index, known)
+        keys, pair, follows = _keys(n, words, index)
         parts = {bucket: s for bucket, *s in _rows(sums, "bucket", "target_sums", "all_sums")}
         dealt = _dealt_in_order(keys, buckets)
         edge = np.r_[0, np.cumsum(n)]
@@ -336,28 +356,14 @@ def _scores(buckets: int, totals: tuple[int, int], n_words: int):
             for bucket, places in dealt:
                 count[places] = _wide(parts[bucket][model], len(places))
             together = np.zeros(len(index))
-            together[later] = count[pair]
-            bits = np.r_[0.0, np.cumsum(_losses(count[index], together, starts, total, n_words))]
+            together[follows] = count[pair]
+            bits = np.r_[0.0, np.cumsum(_losses(count[index], together, follows, total, n_words))]
             columns.append(pa.array((bits[edge[1:]] - bits[edge[:-1]]) / np.maximum(n, 1), pa.float64()))
         return pa.Table.from_arrays(columns, names=["doc_id", "n_words", "target_bits", "background_bits"])
 
     return scores
 
 
-def _told_apart(docs: DataFrame, wanted: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
-    """(rows that may be of the target, written, and all other rows): doc_id, text, and whether it is of the target.
-
-    Few texts that are not of the target are shuffled.
-    """
-    ids = store.scratch(wanted.select(F.col("doc_id").alias("_wanted")).filter("_wanted IS NOT NULL").distinct(), "wanted")
-    rows = docs.select("doc_id", whole("text").alias("text")).withColumn("key", F.xxhash64("doc_id"))
-    rows = possible_members(rows, "key", ids.select(F.xxhash64("_wanted").alias("key")), keep=True)
-    may = rows.filter("member").join(ids, F.col("doc_id") == F.col("_wanted"), "left")
-    names = ("doc_id", "text", "target")
-    may = store.scratch(may.withColumn("target", F.col("_wanted").isNotNull()).select(*names), "members")
-    return may, rows.filter("NOT member").withColumn("target", F.lit(False)).select(*names)
-
-
 def _known_words(vocabulary: DataFrame) -> Broadcast:
     parts = [r["known"] for r in vocabulary.select("known").collect()]
     return vocabulary.sparkSession.sparkContext.broadcast(np.sort(np.frombuffer(b"".join(parts), dtype=_U)))
@@ -376,25 +382,30 @@ def _in_buckets(blocks: DataFrame, store: Store, buckets: int) -> DataFrame:
     return written
 
 
-def _packed_documents(may: DataFrame, others: DataFrame, known: Broadcast | None) -> DataFrame:
-    """Blocks of documents. The target and the rest do not share blocks."""
-    kind = _block_kinds(may.schema["doc_id"].dataType.simpleString())
+def _packed_documents(docs: DataFrame) -> DataFrame:
+    """Blocks of documents, of the target and others alike: which are which costs no text a shuffle."""
+    kind = _block_kinds(docs.schema["doc_id"].dataType.simpleString())
+    rows = docs.select("doc_id", whole("text").alias("text"))
+    return rows.mapInArrow(_blocks, kind).withColumn("block", F.monotonically_increasing_id())
 
-    def blocks(rows: DataFrame, target: bool) -> DataFrame:
-        return rows.select("doc_id", "text").mapInArrow(_blocks(known), kind).withColumn("target", F.lit(target))
 
-    parts = [blocks(may.filter("target"), True), blocks(may.filter("NOT target"), False), blocks(others, False)]
-    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return every.withColumn("block", F.monotonically_increasing_id())
+def _targets(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Of each block that has documents of the target: their places in it, their words and ends."""
+    ids = wanted.select(F.col("doc_id").alias("_wanted")).filter("_wanted IS NOT NULL").distinct()
+    places = blocks.select("block", F.posexplode(F.arrays_zip("ids", "sizes")).alias("place", "document"))
+    found = places.join(ids, F.col("document.ids") == F.col("_wanted"), "left_semi")
+    n = F.col("document.sizes")
+    counts = F.sum(n).alias("target_words"), F.count_if(n > 0).alias("target_ends")
+    return found.groupBy("block").agg(F.collect_list("place").alias("targets"), *counts)
 
 
-def _with_known(blocks: DataFrame, vocabulary: DataFrame, buckets: int) -> DataFrame:
+def _in_vocabulary(blocks: DataFrame, vocabulary: DataFrame, buckets: int) -> DataFrame:
     """The blocks with the words outside the vocabulary as the unknown one; the two meet by bucket."""
     asked = blocks.select("block", "words").mapInArrow(_asked(buckets), _ASKED_KINDS)
     told = asked.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInArrow(_told, _TOLD_KINDS)
     some = blocks.filter("n_words > 0").groupBy("block").cogroup(told.groupBy("block"))
     kind = _block_kinds(blocks.schema["ids"].dataType.elementType.simpleString())
-    marked = some.applyInArrow(_with_unknown(buckets), f"{kind}, target boolean, block long")
+    marked = some.applyInArrow(_with_unknown(buckets), f"{kind}, block long")
     return marked.unionByName(blocks.filter("n_words = 0"))
 
 
@@ -407,28 +418,29 @@ def cross_entropy_difference(docs: DataFrame, wanted: DataFrame, store: Store) -
     not read; an empty table gives an empty result.
     """
     buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = Store(store.spark, store.path(store.unique("texts")))
-    may, others = _told_apart(docs, wanted, texts)
-    counted = may.filter("target").select("text").mapInArrow(_word_counts(buckets), _WORD_KINDS).groupBy("bucket")
-    vocabulary = store.scratch(counted.applyInArrow(_seen_twice, _VOCABULARY_KINDS), "vocabulary")
+    packed = Store(store.spark, store.path(store.unique("packed")))
+    blocks = _in_buckets(_packed_documents(docs), packed, buckets)
+    targets = store.scratch(_targets(blocks, wanted), "targets")
+
+    marked = blocks.join(targets, "block").select("sizes", "words", "index", "targets")
+    met = marked.mapInArrow(_word_counts(buckets), _WORD_KINDS).groupBy("bucket")
+    vocabulary = store.scratch(met.applyInArrow(_seen_twice, _VOCABULARY_KINDS), "vocabulary")
     size = vocabulary.agg(F.sum("n")).first()[0] or 0
     known = _known_words(vocabulary) if size <= BROADCAST else None
-    blocks = _in_buckets(_packed_documents(may, others, known), store, buckets)
-    texts.remove()  # all is in the blocks
     if known is None:
-        blocks = _in_buckets(_with_known(blocks, vocabulary, buckets), store, buckets)
+        blocks = _in_buckets(_in_vocabulary(blocks, vocabulary, buckets), store, buckets)
+        packed.remove()
 
-    counted = blocks.groupBy("target").agg(F.sum("n_words").alias("words"), F.sum("n_ends").alias("ends")).collect()  # two rows
-    n_words = {r["target"]: r["words"] + r["ends"] for r in counted}
-    totals = n_words.get(True, 0), sum(n_words.values())
+    counted = targets.agg(F.sum(F.col("target_words") + F.col("target_ends"))), blocks.agg(F.sum(F.col("n_words") + F.col("n_ends")))
+    totals = tuple(c.first()[0] or 0 for c in counted)
     # a bucket is read whole by one task: as many as keep it small
     buckets = max(buckets, totals[1] * _KEY_BYTES // _BUCKET)
-    packed = blocks.select("block", "target", F.size("ids").alias("n_ids"), "sizes", "words", "index")
-    entries = packed.mapInArrow(_entries(buckets), _ENTRY_KINDS)
+    marked = blocks.join(targets, "block", "left").select("block", "targets", "sizes", "words", "index")
+    entries = marked.mapInArrow(_entries(buckets, known), _ENTRY_KINDS)
     sums = entries.groupBy("bucket").applyInArrow(_sums, _SUM_KINDS)
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = blocks.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(
-        _scores(buckets, totals, size + 2),  # the unknown word and the end of a text
+        _scores(buckets, known, totals, size + 2),  # the unknown word and the end of a text
         f"doc_id {kind}, n_words long, target_bits double, background_bits double",
     )
     return scored.withColumn("score", F.col("target_bits") - F.col("background_bits"))

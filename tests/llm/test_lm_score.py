@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from ledgerloom.llm import lm_score
+from ledgerloom.sources.store import Store
 
 
 def words(text):
@@ -112,3 +113,23 @@ def test_counts_are_exact_past_any_table(spark, store, make_docs, monkeypatch, b
     assert len(out) == len(rows)
     for r in out:
         assert (r.n_words, r.target_bits, r.background_bits, r.score) == pytest.approx(expected[r.doc_id], abs=1e-9)
+
+
+def test_no_text_is_shuffled(spark, store, make_docs, monkeypatch):
+    """However many documents the target has: texts are read into blocks where they lie."""
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df
+
+    write, in_buckets = Store.write, lm_score._in_buckets
+    monkeypatch.setattr(Store, "write", lambda self, name, df: write(self, name, noted(df)))
+    monkeypatch.setattr(lm_score, "_in_buckets", lambda blocks, *more: in_buckets(noted(blocks), *more))
+    docs = write(store, "documents", make_docs(corpus()))
+    marks = spark.range(0, 900, 4).withColumnRenamed("id", "doc_id")
+    noted(lm_score.cross_entropy_difference(docs, marks, store))
+    reads = [p for p in plans if "text#" in p]
+    assert reads
+    for p in reads:
+        assert not any(word in p for word in ("Join", "Aggregate", "Repartition", "FlatMap")), p
