@@ -29,7 +29,8 @@ from ledgerloom.sources.store import Store
 
 SMOOTHING = 4.0  # words' worth of trust in the unigrams
 BROADCAST = 1 << 21  # words of a vocabulary that is broadcast: 16 MB
-_BLOCK = 12 << 20  # bytes of text in a block, up to a piece more, or one document
+_BLOCK = 14 << 20  # bytes of text in a block, up to a piece more, or one document
+_PIECE = 2 << 20  # bytes of text that are cut into words at a time, about
 _BUCKET = 32 << 20  # bytes of keys in a bucket, about
 _KEY_BYTES = 6  # of keys per word of text, at most
 _HELD = 1_000_000  # words a task holds before it passes them on
@@ -172,7 +173,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = 0
 
     def packed() -> pa.RecordBatch:
-        words, index = _ranked(np.concatenate(hashes))
+        every = np.concatenate(hashes)
+        hashes.clear()
+        words, index = _ranked(every)
         n = np.concatenate(sizes)
         edge = pa.array([0, len(n)], pa.int32())
         columns = [pa.ListArray.from_arrays(edge, a) for a in (pa.concat_arrays(ids), pa.array(n, pa.int64()))]
@@ -181,7 +184,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(columns, names=["ids", "sizes", "n_words", "n_ends", "words", "index"])
 
     for batch in batches:
-        for part in arrays.pieces(batch, 1):
+        for part in arrays.pieces(batch, 1, _PIECE):
             data, offsets = arrays.text_bytes(part.column(1))
             found = arrays.words(data, offsets)
             ids.append(part.column(0))
@@ -275,7 +278,8 @@ def _keys(n: np.ndarray, words: np.ndarray, index: np.ndarray) -> tuple[np.ndarr
     follows = follows[:-1]
     pairs = index[:-1] * len(words)
     pairs += index[1:]
-    pairs, pair = np.unique(pairs[follows[1:]], return_inverse=True)
+    pairs = pairs[follows[1:]]
+    pairs, pair = np.unique(pairs, return_inverse=True)
     pair += len(words)
     before, word = np.divmod(pairs, max(len(words), 1))
     pairs = arrays.mixed(words[before] * _U(0xBF58476D1CE4E5B9) + words[word])
@@ -333,10 +337,16 @@ def _losses(met: np.ndarray, together: np.ndarray, follows: np.ndarray, total: i
     The end of a text counts as a word, so what follows a word and what stands alone both have shares that add up to 1;
     ``total`` are all words and ends, ``n_words`` the different ones.
     """
-    alone = (met + 1.0) / (total + n_words)
+    alone = met + 1.0
+    alone /= total + n_words
     # the first word of a text follows no word
     trust = np.where(follows, np.r_[0.0, met[:-1]][: len(met)], 0.0)
-    return -np.log2((together + SMOOTHING * alone) / (trust + SMOOTHING))
+    # in place: a block's arrays are most of what a task holds
+    share = np.multiply(alone, SMOOTHING, out=alone)
+    share += together
+    trust += SMOOTHING
+    share /= trust
+    return np.negative(np.log2(share, out=share), out=share)
 
 
 def _scores(buckets: int, known: Broadcast | None, totals: tuple[int, int], n_words: int):
