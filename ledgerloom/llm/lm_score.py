@@ -100,8 +100,15 @@ def _table(rows: list[tuple], kinds: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, arrow[t]) for c, t in zip(columns, types, strict=True)], names=list(names))
 
 
+def _values(column: pa.Array | pa.ChunkedArray) -> list:
+    """A list of numbers stays an array, a null one an empty array."""
+    if not pa.types.is_list(column.type):
+        return column.to_pylist()
+    return [np.zeros(0, dtype=np.int64) if v.values is None else v.values.to_numpy() for v in column]
+
+
 def _rows(table: pa.Table, *names: str):
-    return zip(*[table.column(n).to_pylist() for n in names], strict=True)
+    return zip(*[_values(table.column(n)) for n in names], strict=True)
 
 
 def _summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,9 +205,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed()
 
 
-def _unpacked(sizes: list[int], words: bytes, index: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(n: np.ndarray, words: bytes, index: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words of each of the documents, the distinct words, and the number of each word in these."""
-    n = np.array(sizes, dtype=np.int64)
     return n, np.frombuffer(words, dtype=_U), _wide(index, int(n.sum()))
 
 
@@ -211,10 +217,10 @@ def _with_known(words: np.ndarray, index: np.ndarray, known: Broadcast | None) -
     return _merged(np.where(_among(words, known.value), words, _UNKNOWN), index)
 
 
-def _of_target(n: np.ndarray, targets: list[int] | None) -> np.ndarray:
+def _of_target(n: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Which words of a block are of its documents at the places ``targets``."""
     documents = np.zeros(len(n), dtype=bool)
-    documents[np.array(targets or [], dtype=np.int64)] = True
+    documents[targets] = True
     return np.repeat(documents, n)
 
 
@@ -249,7 +255,7 @@ def _with_unknown(buckets: int):
     """A block in which words that no bucket knows are the unknown one."""
 
     def with_unknown(block: pa.Table, told: pa.Table) -> pa.Table:
-        n, words, index = _unpacked(*(block.column(c)[0].as_py() for c in ("sizes", "words", "index")))
+        n, words, index = _unpacked(*next(_rows(block, "sizes", "words", "index")))
         flags = dict(_rows(told, "bucket", "is_known"))
         known = np.zeros(len(words), dtype=bool)
         for bucket, places in _dealt(words, buckets):
@@ -354,7 +360,7 @@ def _scores(buckets: int, known: Broadcast | None, totals: tuple[int, int], n_wo
 
     def scores(block: pa.Table, sums: pa.Table) -> pa.Table:
         ids = block.column("ids").combine_chunks().flatten()
-        n, words, index = _unpacked(*(block.column(c)[0].as_py() for c in ("sizes", "words", "index")))
+        n, words, index = _unpacked(*next(_rows(block, "sizes", "words", "index")))
         words, index = _with_known(words, index, known)
         keys, pair, follows = _keys(n, words, index)
         parts = {bucket: s for bucket, *s in _rows(sums, "bucket", "target_sums", "all_sums")}

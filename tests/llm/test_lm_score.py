@@ -133,3 +133,17 @@ def test_no_text_is_shuffled(spark, store, make_docs, monkeypatch):
     assert reads
     for p in reads:
         assert not any(word in p for word in ("Join", "Aggregate", "Repartition", "FlatMap")), p
+
+
+def test_ids_that_are_text(spark, store):
+    """Ids of any type, repeated in documents and marks; some blocks have none of the target."""
+    rows = [(f"id{i % 70}", f"{'good' if i % 7 == 0 else 'other'} words {i % 5}") for i in range(200)] + [("empty", ""), (None, "good")]
+    wanted = {f"id{i}" for i in range(0, 70, 7)}
+    marks = spark.createDataFrame([(i,) for i in [*wanted, *wanted, None, "id"]], "doc_id string")
+    docs = spark.createDataFrame(rows, "doc_id string, text string").repartitionByRange(8, "doc_id")
+    out = lm_score.cross_entropy_difference(docs, marks, store).collect()
+    assert len(out) == len(rows)
+    numbered = [(i, text) for i, (_, text) in enumerate(rows)]
+    expected = brute(numbered, {i for i, (doc_id, _) in enumerate(rows) if doc_id in wanted})
+    found = sorted((r.doc_id or "", r.n_words, round(r.target_bits, 9), round(r.background_bits, 9)) for r in out)
+    assert found == sorted((doc_id or "", e[0], round(e[1], 9), round(e[2], 9)) for (doc_id, _), e in zip(rows, expected.values(), strict=True))
